@@ -7,10 +7,12 @@ all rows.  :func:`running` therefore works in two levels by default:
 1. rows are cut into seq ranges (``bucket = floor(seq / bucket_size)``); the
    running value inside a bucket is a window over ``(key, bucket)``, so no
    task sorts more than ``bucket_size`` rows of one key;
-2. each ``(key, bucket)`` is summarised by a partial aggregate, the summaries
-   (one row per bucket, so ``bucket_size`` times fewer) are prefix-combined
-   per key, and the offset of the earlier buckets is joined back on
-   ``(key, bucket)``.
+2. each ``(key, bucket)`` is summarised by a partial aggregate (combined
+   map-side, so a hot key ships one row per bucket and map task); the
+   summaries are prefix-combined per key and the offset of the earlier
+   buckets is joined to the rows on ``(key, bucket)`` before the level-1
+   window, which then runs on the join's partitioning.  The raw rows are
+   shuffled once (not at all for the join when AQE broadcasts the offsets).
 
 The result equals the one-level window for every row.
 """
@@ -54,6 +56,34 @@ def _one_level(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str,
     return df.select("*", *cols)
 
 
+def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Null-safe surrogate keys: each key becomes (value with NULL replaced by
+    a default of its type, is-NULL flag).  Window partitioning and the join
+    below then use the very same plain columns, so the join reuses the
+    window's hash partitioning and sort instead of shuffling the rows again."""
+    types = dict(df.dtypes)
+    cols, names = [], []
+    for i, k in enumerate(keys):
+        dt = types[k]
+        if dt == "string":
+            default = F.lit("")
+        elif dt in ("tinyint", "smallint", "int", "bigint", "float", "double") or dt.startswith("decimal"):
+            default = F.lit(0).cast(dt)
+        elif dt in ("timestamp", "timestamp_ntz", "date"):
+            default = F.lit(0).cast("timestamp").cast(dt)
+        elif dt == "boolean":
+            default = F.lit(False)
+        else:
+            default = None
+        if default is None:
+            cols.append(F.col(k).alias(f"_k{i}"))
+            names.append(f"_k{i}")
+        else:
+            cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
+            names += [f"_k{i}", f"_n{i}"]
+    return df.select("*", *cols), names
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -73,28 +103,28 @@ def running(
     if bucket_size <= 0:
         raise ValueError("bucket_size must be positive")
 
+    keyed, kcols = _key_columns(df, keys)
     bcol = "_rb"
-    base = df.withColumn(bcol, F.floor(F.col(order) / F.lit(bucket_size)))
+    base = keyed.withColumn(bcol, F.floor(F.col(order) / F.lit(bucket_size)))
+    part = [*kcols, bcol]
 
-    # Level 1: inside each (key, bucket).
-    inner = {}
-    for out, (kind, c) in specs.items():
-        inner[f"_in_{out}"] = (kind, c)
-    lvl1 = _one_level(base, [*keys, bcol], order, inner)
-
-    # Level 2: one summary row per (key, bucket), prefix-combined per key.
+    # Bucket summaries: a partial (map-side) aggregate, so only one small
+    # row per (key, bucket) and map task is shuffled.  All buffers are
+    # fixed-width, so this stays a hash aggregate.
     aggs = []
     for out, (kind, c) in specs.items():
         if kind == "sum":
             aggs.append(F.sum(c).alias(f"_bs_{out}"))
         elif kind == "count":
             aggs.append(F.count(F.lit(1)).alias(f"_bs_{out}"))
-        else:
-            newest = F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
-            aggs.append(newest.getField("v").alias(f"_bs_{out}"))
-    summary = base.groupBy(*keys, bcol).agg(*aggs)
-    wk = W.partitionBy(*keys).orderBy(bcol).rowsBetween(W.unboundedPreceding, -1)
-    offs = [F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)] + [F.col(bcol).alias("_k_b")]
+        else:  # newest non-NULL value of the bucket; NULL orderings are skipped
+            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_bs_{out}"))
+    summary = base.groupBy(*part).agg(*aggs)
+
+    # Offsets of the earlier buckets of the same key: a window over summary
+    # rows only (bucket_size times fewer than the key's rows).
+    wk = W.partitionBy(*kcols).orderBy(bcol).rowsBetween(W.unboundedPreceding, -1)
+    offs = [F.col(c) for c in part]
     for out, (kind, _) in specs.items():
         if kind in ("sum", "count"):
             offs.append(F.sum(f"_bs_{out}").over(wk).alias(f"_off_{out}"))
@@ -102,20 +132,20 @@ def running(
             offs.append(F.last(f"_bs_{out}", ignorenulls=True).over(wk).alias(f"_off_{out}"))
     offsets = summary.select(*offs)
 
-    cond = [lvl1[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)]
-    cond.append(lvl1[bcol] == offsets["_k_b"])
-    j = lvl1.join(offsets, cond, "inner")
+    # The raw rows meet their offsets first, then the level-1 window runs on
+    # the same (key, bucket) partitioning: the raw rows are shuffled once.
+    j = base.join(offsets, on=part, how="inner")
+    lvl1 = _one_level(j, part, order, {f"_in_{o}": ks for o, ks in specs.items()})
 
     finals = []
     for out, (kind, _) in specs.items():
         a, b = F.col(f"_in_{out}"), F.col(f"_off_{out}")
         if kind in ("sum", "count"):
-            finals.append(
-                F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).alias(out)
-            )
+            total = F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+            finals.append(F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(total).alias(out))
         else:
             finals.append(F.coalesce(a, b).alias(out))
-    return j.select(*df.columns, *finals)
+    return lvl1.select(*df.columns, *finals)
 
 
 def running_counter(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:

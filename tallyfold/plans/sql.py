@@ -251,11 +251,13 @@ spine AS (
         FOLD_CTE,
     ),
     "unpivot_fold": (
-        "WITH long AS (UNPIVOT (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_shipdate, "
-        "l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem) "
-        "ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME id VALUE value) "
-        "SELECT l_suppkey, 'gauge' AS type, id, arg_max(value, (l_shipdate, l_orderkey, l_linenumber, "
-        "l_partkey, value)) AS value, count(*) AS n_samples FROM long GROUP BY l_suppkey, id"
+        "WITH newest AS (SELECT l_suppkey, count(*) AS n_samples, arg_max({'q': l_quantity, "
+        "'p': l_extendedprice, 'd': l_discount, 't': l_tax}, (l_shipdate, l_orderkey, l_linenumber, "
+        "l_partkey, l_quantity, l_extendedprice, l_discount, l_tax)) AS s FROM lineitem GROUP BY l_suppkey) "
+        "SELECT l_suppkey, n_samples, 'gauge' AS type, 'l_quantity' AS id, s.q AS value FROM newest UNION ALL "
+        "SELECT l_suppkey, n_samples, 'gauge', 'l_extendedprice', s.p FROM newest UNION ALL "
+        "SELECT l_suppkey, n_samples, 'gauge', 'l_discount', s.d FROM newest UNION ALL "
+        "SELECT l_suppkey, n_samples, 'gauge', 'l_tax', s.t FROM newest"
     ),
     "explode_indexed": (
         "SELECT vec_id, 'gauge' AS type, 'dim' || CAST(i AS VARCHAR) AS id, CAST(embedding[i] AS DOUBLE) AS value "
