@@ -48,8 +48,13 @@ def restore_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     get -1, older than any update."""
     if not _path_exists(spark, path):
         return spark.createDataFrame([], STATE)
-    if fmt == "json":
-        raw = spark.read.schema(SNAPSHOT).json(path).withColumn("last_seq", F.lit(-1).cast("bigint"))
+    if fmt in ("json", "json_array"):
+        # json: JSON lines; json_array: one JSON array per file (the
+        # reference's snapshot file), read whole per file.
+        reader = spark.read.schema(SNAPSHOT)
+        if fmt == "json_array":
+            reader = reader.option("multiLine", "true")
+        raw = reader.json(path).withColumn("last_seq", F.lit(-1).cast("bigint"))
     else:
         raw = spark.read.format(fmt).load(path)
         if "last_seq" not in raw.columns:

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.operators import batching, fold
-from tallyfold.operators.sampling import report_intervals  # noqa: F401  (batch twin of stream_report)
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
 from tallyfold.session import scratch_path
 from tallyfold.sources.feed import feed_from_events
@@ -29,13 +28,15 @@ from tallyfold.sources.store import _path_exists, restore_snapshot
 VERSION_PREFIX = "v="
 
 
-def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The update feed read as a stream from ``{sf_dir}/events.parquet``.
+def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
+                glob: str = "events*.parquet") -> DataFrame:
+    """The update feed read as a stream from the events files in ``sf_dir``
+    (files are taken in modification-time order).
 
     ``ts`` is cast to TIMESTAMP (session time zone) so it can carry a
     watermark."""
-    sample = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    r = spark.readStream.schema(sample.schema).option("pathGlobFilter", "events*.parquet")
+    sample = spark.read.option("pathGlobFilter", glob).parquet(sf_dir)
+    r = spark.readStream.schema(sample.schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     events = r.parquet(sf_dir)
@@ -60,8 +61,9 @@ def version_path(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{VERSION_PREFIX}{batch_id:012d}"
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Highest committed version (one with ``_SUCCESS``) under ``root``."""
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest committed version (one with ``_SUCCESS``) under ``root``,
+    optionally only among versions lower than ``below``."""
     if not _path_exists(spark, root):
         return None
     fs, hroot = _fs(spark, root)
@@ -70,6 +72,8 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(VERSION_PREFIX):
             n = int(name[len(VERSION_PREFIX):])
+            if below is not None and n >= below:
+                continue
             if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 best = n if best is None or n > best else best
     return best
@@ -109,10 +113,9 @@ def start_snapshots(src: DataFrame, path: str, checkpoint: str, interval: str |
 def merge_micro_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
                       initial: DataFrame | None = None) -> None:
     """Merge one micro-batch into version ``batch_id - 1``, write ``batch_id``."""
-    prev = latest_version(spark, root)
-    if prev is not None and prev >= batch_id:
-        # Replay of a batch already committed: rebuild from the version before it.
-        prev = batch_id - 1 if batch_id > 0 and _path_exists(spark, version_path(root, batch_id - 1)) else None
+    # Always the newest version older than this batch: a replayed batch (after
+    # a failure between write and commit) rebuilds the same version.
+    prev = latest_version(spark, root, below=batch_id)
     if prev is None:
         base = initial if initial is not None else spark.createDataFrame([], STATE)
     else:
