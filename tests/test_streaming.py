@@ -111,3 +111,31 @@ def test_stream_batching(spark, tmp_dir):
     out = spark.read.json(f"{tmp_dir}/out")
     assert out.agg(F.sum("n_rows")).first()[0] == 10000
     assert out.where("n_rows > 100").count() == 0
+
+
+def test_stateful_with_initial_state(spark, tmp_dir, batch_state):
+    from tallyfold.streaming.stateful import stream_stateful
+
+    feed = load_feed(spark, SF01)
+    initial = fold.fold(feed.where("seq < 5000"))
+    t = pq.read_table(f"{SF01}/events.parquet")
+    os.makedirs(f"{tmp_dir}/in")
+    late = t.filter(pc.greater_equal(t["event_id"], 5000))
+    half = 5000 + (late.num_rows // 2)
+    pq.write_table(late.filter(pc.less(late["event_id"], half)), f"{tmp_dir}/in/events_a.parquet")
+    pq.write_table(late.filter(pc.greater_equal(late["event_id"], half)), f"{tmp_dir}/in/events_b.parquet")
+    os.utime(f"{tmp_dir}/in/events_a.parquet", (time.time() - 100, time.time() - 100))
+    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
+    out = stream_stateful(src, initial)
+
+    def write(b, bid):
+        b.withColumn("batch", F.lit(bid)).write.mode("append").parquet(f"{tmp_dir}/out")
+
+    q = out.writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    emitted = spark.read.parquet(f"{tmp_dir}/out")
+    allrows = initial.withColumn("batch", F.lit(-1)).unionByName(emitted)
+    final = allrows.groupBy("type", "id").agg(F.max_by(F.struct("delta", "value", "last_seq"), "batch").alias("s"))
+    final = final.select("type", "id", "s.delta", "s.value", "s.last_seq")
+    assert rows(final, *STATE_COLS) == batch_state
