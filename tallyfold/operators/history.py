@@ -36,7 +36,8 @@ DEFAULT_BUCKET = 1 << 20
 #   count running row count, current row included
 #   last  last non-NULL value, current row included
 #   prev  last non-NULL value strictly before the current row
-KINDS = ("sum", "count", "last", "prev")
+#   total sum over all rows of the key (no order)
+KINDS = ("sum", "count", "last", "prev", "total")
 
 
 def _one_level(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str, tuple[str, str | None]]) -> DataFrame:
@@ -51,8 +52,10 @@ def _one_level(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str,
             cols.append(F.count(F.lit(1)).over(inc).alias(out))
         elif kind == "last":
             cols.append(F.last(c, ignorenulls=True).over(inc).alias(out))
-        else:
+        elif kind == "prev":
             cols.append(F.last(c, ignorenulls=True).over(exc).alias(out))
+        else:
+            cols.append(F.sum(c).over(W.partitionBy(*keys)).alias(out))
     return df.select("*", *cols)
 
 
@@ -113,7 +116,7 @@ def running(
     # fixed-width, so this stays a hash aggregate.
     aggs = []
     for out, (kind, c) in specs.items():
-        if kind == "sum":
+        if kind in ("sum", "total"):
             aggs.append(F.sum(c).alias(f"_bs_{out}"))
         elif kind == "count":
             aggs.append(F.count(F.lit(1)).alias(f"_bs_{out}"))
@@ -126,7 +129,9 @@ def running(
     wk = W.partitionBy(*kcols).orderBy(bcol).rowsBetween(W.unboundedPreceding, -1)
     offs = [F.col(c) for c in part]
     for out, (kind, _) in specs.items():
-        if kind in ("sum", "count"):
+        if kind == "total":
+            offs.append(F.sum(f"_bs_{out}").over(W.partitionBy(*kcols)).alias(f"_off_{out}"))
+        elif kind in ("sum", "count"):
             offs.append(F.sum(f"_bs_{out}").over(wk).alias(f"_off_{out}"))
         else:
             offs.append(F.last(f"_bs_{out}", ignorenulls=True).over(wk).alias(f"_off_{out}"))
@@ -135,10 +140,13 @@ def running(
     # The raw rows meet their offsets first, then the level-1 window runs on
     # the same (key, bucket) partitioning: the raw rows are shuffled once.
     j = base.join(offsets, on=part, how="inner")
-    lvl1 = _one_level(j, part, order, {f"_in_{o}": ks for o, ks in specs.items()})
+    lvl1 = _one_level(j, part, order, {f"_in_{o}": ks for o, ks in specs.items() if ks[0] != "total"})
 
     finals = []
     for out, (kind, _) in specs.items():
+        if kind == "total":
+            finals.append(F.col(f"_off_{out}").alias(out))
+            continue
         a, b = F.col(f"_in_{out}"), F.col(f"_off_{out}")
         if kind in ("sum", "count"):
             total = F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))

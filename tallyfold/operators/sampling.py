@@ -68,20 +68,26 @@ def report_filled(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq") -
 
     The interval spine per key is generated with ``sequence`` + ``explode``
     from the key's first interval to the feed's last one (a scalar
-    subquery), so the output is (intervals x keys) by definition and no
-    join multiplies rows."""
+    subquery), so the output is (intervals x keys) by definition.  Spine rows
+    and interval values are unioned and one window per key carries the
+    values forward; no join, one shuffle of the spine."""
     base = report_intervals(df, every, ts, seq)
     last_win = valid_updates(df).select(F.max(F.window(F.col(ts), every).start)).scalar()
     step = F.expr(f"INTERVAL {every}")
     first = base.groupBy(*KEY).agg(F.min("win_start").alias("_first"))
-    spine = first.select(*KEY, F.explode(F.sequence(F.col("_first"), last_win, step)).alias("win_start"))
-    j = spine.join(base, on=["win_start", *KEY], how="left")
-    w = W.partitionBy(*KEY).orderBy("win_start").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return j.select(
-        "win_start", *KEY,
+    spine = first.select(
+        F.explode(F.sequence(F.col("_first"), last_win, step)).alias("win_start"), *KEY,
+        F.lit(None).cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"), F.lit(1).alias("_spine"),
+    )
+    vals = base.select("win_start", *KEY, "delta", "value", F.lit(0).alias("_spine"))
+    u = vals.unionByName(spine)
+    w = W.partitionBy(*KEY).orderBy("win_start", "_spine").rowsBetween(W.unboundedPreceding, W.currentRow)
+    carried = u.select(
+        "win_start", *KEY, "_spine",
         F.last("delta", ignorenulls=True).over(w).alias("delta"),
         F.last("value", ignorenulls=True).over(w).alias("value"),
     )
+    return carried.where(F.col("_spine") == 1).drop("_spine")
 
 
 def sample_intervals(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq") -> DataFrame:

@@ -76,16 +76,17 @@ def validate(df: DataFrame, mode: str = "batch", batch_col: str = "batch_id", se
 
 
 def _batch_strict(df: DataFrame, batch_col: str, seq: str) -> DataFrame:
-    # First bad seq per batch: one partial aggregate, one row per batch.  The
-    # join back is a plain equi-join; AQE broadcasts the per-batch side when it
-    # is small at run time and splits a hot batch on the large side otherwise.
-    first_bad = df.groupBy(batch_col).agg(
-        F.min(F.when(~is_valid_update(), F.col(seq))).alias("_first_bad")
-    )
-    j = df.join(first_bad, on=batch_col, how="inner")
-    keep = F.col("_first_bad").isNull() | (F.col(seq) < F.col("_first_bad"))
-    status = F.when(F.col("_first_bad").isNull(), F.lit(200)).otherwise(F.lit(400))
-    return j.where(keep).withColumn("status", status).drop("_first_bad")
+    # One pass of the two-level running sum over each batch in seq order:
+    # rows before the first bad row have a running bad count of 0, and the
+    # batch's total bad count gives its status.  A hot batch is never sorted
+    # or gathered in one task, and the input is not computed twice.
+    from tallyfold.operators.history import running
+
+    bad = F.when(~is_valid_update(), F.lit(1)).otherwise(F.lit(0))
+    r = running(df.withColumn("_bad", bad), [batch_col], seq,
+                {"_pre": ("sum", "_bad"), "_all": ("total", "_bad")})
+    status = F.when(F.col("_all") > 0, F.lit(400)).otherwise(F.lit(200))
+    return r.where(F.col("_pre") == 0).withColumn("status", status).drop("_bad", "_pre", "_all")
 
 
 def batch_status(df: DataFrame, batch_col: str = "batch_id", seq: str = "seq") -> DataFrame:
