@@ -32,6 +32,22 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tal
     return spark
 
 
+def scale_settings(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   min_partitions: int = 8) -> int:
+    """Size shuffles for an input of ``input_bytes``: one shuffle partition
+    per ``partition_bytes`` of input (so each task's share fits executor
+    memory and spills little), AQE coalescing towards the same size, and
+    scan splits of the same size.  Returns the partition count set."""
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    return n
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
