@@ -148,3 +148,18 @@ def outcome_counts(df: DataFrame, status: str = "status", body: str | None = Non
     if body is not None:
         aggs.append(F.sum(F.octet_length(F.col(body))).alias("bytes"))
     return df.groupBy(F.col(status).alias("status")).agg(*aggs)
+
+
+def observe_outcomes(df: DataFrame, name: str = "outcomes", status: str = "status") -> DataFrame:
+    """Live ingest statistics: attach per-outcome request counts as named
+    observed metrics (read them from ``StreamingQueryProgress.observedMetrics``
+    or an ``Observation``).  The counts ride along with the query; no extra
+    job runs."""
+    s = F.col(status)
+    return df.observe(
+        name,
+        F.count(F.lit(1)).alias("requests"),
+        F.count(F.when(s == 200, F.lit(1))).alias("ok"),
+        F.count(F.when((s >= 400) & (s < 500), F.lit(1))).alias("client_errors"),
+        F.count(F.when(s >= 500, F.lit(1))).alias("server_errors"),
+    )

@@ -183,8 +183,8 @@ def q_batch_strict(spark, sf):
     )
 
 
-def _json_judged(spark, sf):
-    feed = load_feed(spark, sf).withColumn("body", encode_json())
+def _json_judged(spark, sf, keep=()):
+    feed = load_feed(spark, sf, keep).withColumn("body", encode_json())
     return validate.validate(feed, mode="json")
 
 
@@ -282,9 +282,7 @@ def q_sign_rows(spark, sf):
 def q_delivery_outcome(spark, sf):
     # Every event is one send by its user (the request); attempts are the
     # user's sends in seq order, answered with the JSON-endpoint status.
-    judged = _json_judged(spark, sf).join(
-        load_table(spark, sf, "events").select(F.col("event_id").alias("seq"), "user_id"), "seq"
-    )
+    judged = _json_judged(spark, sf, keep=("user_id",))
     ranked = history.running(judged.select("seq", "user_id", "status"), ["user_id"], "seq",
                              {"attempt": ("count", None)}, bucket_size=500)
     attempts = ranked.select(

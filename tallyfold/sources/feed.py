@@ -35,11 +35,13 @@ def metric_type_of(event_type: Column) -> Column:
     )
 
 
-def feed_from_events(events: DataFrame) -> DataFrame:
-    """``events`` -> update feed ``(seq, ts, id, type, delta, value)``."""
+def feed_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` -> update feed ``(seq, ts, id, type, delta, value)``, plus
+    any source columns named in ``keep``."""
     has_payload = (F.col("event_id") % 10) != 0
     mtype = metric_type_of(F.col("event_type"))
     return events.select(
+        *keep,
         F.col("event_id").alias("seq"),
         F.col("ts"),
         F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("id"),
@@ -52,5 +54,5 @@ def feed_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_from_events(load_table(spark, sf_dir, "events"))
+def load_feed(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return feed_from_events(load_table(spark, sf_dir, "events"), keep)
