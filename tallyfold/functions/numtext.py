@@ -69,28 +69,21 @@ def format_fixed6(col: Column | str) -> Column:
     )
 
 
-def _strip_fraction_zeros(s: Column) -> Column:
-    # "12.500" -> "12.5", "12.0" -> "12"; text without a point is left alone.
-    return F.when(
-        s.contains("."), F.regexp_replace(F.regexp_replace(s, r"0+$", ""), r"\.$", "")
-    ).otherwise(s)
-
-
 def format_shortest(col: Column | str) -> Column:
     """Shortest round-trip decimal text of a DOUBLE, never with an exponent.
 
-    Spark prints the shortest digits and switches to ``d.dddE±n`` outside
-    [1e-3, 1e7); that form is expanded by moving the point with string
-    operations, so the digits stay exact at every magnitude."""
+    Spark prints the shortest digits: ``ddd.d`` inside [1e-3, 1e7), where
+    the only excess is a trailing ``.0``, and ``d.dddE±n`` outside it.  The
+    exponent form is expanded by moving the point with plain string
+    operations, so the digits stay exact at every magnitude and the common
+    case costs one suffix test."""
     v = _c(col)
     s = v.cast("string")
-    pat = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
-    sign = F.regexp_extract(s, pat, 1)
-    digits = F.regexp_replace(
-        F.concat(F.regexp_extract(s, pat, 2), F.regexp_extract(s, pat, 3)), r"0+$", ""
-    )
+    mant = F.substring_index(s, "E", 1)
+    e = F.substring_index(s, "E", -1).cast("int")
+    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.translate(mant, "-.", ""), r"0+$", "")
     digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    e = F.regexp_extract(s, pat, 4).cast("int")
     n = F.length(digits)
     pos = e + F.lit(1)  # digits before the point
     big = F.when(n <= pos, F.concat(digits, F.repeat(F.lit("0"), pos - n))).otherwise(
@@ -103,7 +96,8 @@ def format_shortest(col: Column | str) -> Column:
         .when(v == _pos_inf(), F.lit("+Inf"))
         .when(v == _neg_inf(), F.lit("-Inf"))
         .when(s.contains("E"), expanded)
-        .otherwise(_strip_fraction_zeros(s))
+        .when(s.endswith(".0"), F.substr(s, F.lit(1), F.length(s) - F.lit(2)))
+        .otherwise(s)
     )
 
 

@@ -106,15 +106,17 @@ def _field_ok(el: Column, name: str, allowed: tuple[str, ...]) -> Column:
     return f.isNull() | ok
 
 
-def batch_body_status(body: Column | str = "body", content_type: Column | str | None = "content_type") -> Column:
+def batch_body_status(body: Column | str = "body", content_type: Column | str | None = "content_type",
+                      parsed: Column | None = None) -> Column:
     """Status of a whole batch request body.
 
     415 for a content type other than JSON; 400 for a body over 10 MiB, one
     that is not a JSON array of update objects with fields of the right JSON
     types, or an empty array; else 200.  Type checks use VARIANT, because a
-    typed decoder would null a bad field and keep the batch."""
+    typed decoder would null a bad field and keep the batch.  ``parsed`` is
+    the body already parsed with ``try_parse_json``, if the caller has it."""
     b = F.col(body) if isinstance(body, str) else body
-    arr = F.try_variant_get(F.try_parse_json(b), "$", "array<variant>")
+    arr = F.try_variant_get(parsed if parsed is not None else F.try_parse_json(b), "$", "array<variant>")
 
     def element_ok(el):
         kind = F.schema_of_variant(el)
@@ -137,10 +139,18 @@ def batch_body_status(body: Column | str = "body", content_type: Column | str |
     return chain
 
 
-def validate_batches(df: DataFrame, body: str = "body", content_type: str | None = "content_type") -> DataFrame:
-    """Add the batch-level ``status`` to a table of batch requests."""
+def validate_batches(df: DataFrame, body: str = "body", content_type: str | None = "content_type",
+                     keep_parsed: bool = False) -> DataFrame:
+    """Add the batch-level ``status`` to a table of batch requests.
+
+    ``keep_parsed`` also keeps the parsed body as the VARIANT column
+    ``parsed``, so accepted batches can be decoded without parsing again
+    (see :func:`tallyfold.sources.readers.decode_parsed_batches`)."""
     ct = content_type if (content_type and content_type in df.columns) else None
-    return df.withColumn("status", batch_body_status(body, ct))
+    if not keep_parsed:
+        return df.withColumn("status", batch_body_status(body, ct))
+    p = df.withColumn("parsed", F.try_parse_json(F.col(body)))
+    return p.withColumn("status", batch_body_status(body, ct, F.col("parsed")))
 
 
 def ack(df: DataFrame) -> DataFrame:

@@ -163,9 +163,9 @@ def q_fold_atomic(spark, sf):
     # Batches travel as JSON payloads; each is checked whole, decoded back to
     # rows in array order, and only accepted batches are folded.
     enc = validate.validate_batches(
-        batching.encode_batches(_batched(spark, sf)), body="payload", content_type=None
+        batching.encode_batches(_batched(spark, sf)), body="payload", content_type=None, keep_parsed=True
     )
-    rows = readers.decode_batches(enc, "payload", keep=("win_start", "batch_no", "status"))
+    rows = readers.decode_parsed_batches(enc, "parsed", keep=("win_start", "batch_no", "status"))
     order = F.struct("win_start", "batch_no", "pos")
     accepted = rows.where(F.col("status") == 200)
     v = fold.valid_updates(accepted)

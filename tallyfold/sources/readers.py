@@ -24,6 +24,14 @@ def decode_batches(df: DataFrame, body: str = "body", keep=()) -> DataFrame:
     return e.select(*keep, "pos", *[F.col(f"_m.{f.name}").alias(f.name) for f in METRIC.fields])
 
 
+def decode_parsed_batches(df: DataFrame, parsed: str = "parsed", keep=()) -> DataFrame:
+    """Like :func:`decode_batches`, from bodies already parsed to VARIANT
+    (``validate_batches(..., keep_parsed=True)``): no second JSON parse."""
+    arr = F.try_variant_get(F.col(parsed), "$", BATCH_ARRAY.simpleString())
+    e = df.select(*keep, F.posexplode(arr).alias("pos", "_m"))
+    return e.select(*keep, "pos", *[F.col(f"_m.{f.name}").alias(f.name) for f in METRIC.fields])
+
+
 def read_metric_batch(spark: SparkSession, path: str) -> DataFrame:
     """JSON array files -> update rows in array order.
 
