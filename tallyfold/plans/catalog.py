@@ -304,6 +304,12 @@ def q_stream_merge(spark, sf):
     return stream.run_stream_merge(spark, sf)
 
 
+def q_stream_stateful(spark, sf):
+    from tallyfold.streaming.stateful import run_stream_stateful
+
+    return run_stream_stateful(spark, sf, CUTOFF)
+
+
 QUERIES: dict[str, Query] = {
     "fold": q_fold,
     "fold_gauges": q_fold_gauges,
@@ -349,4 +355,5 @@ QUERIES: dict[str, Query] = {
     "delivery_outcome": q_delivery_outcome,
     "stream_fold": q_stream_fold,
     "stream_merge": q_stream_merge,
+    "stream_stateful": q_stream_stateful,
 }

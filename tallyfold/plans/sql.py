@@ -107,6 +107,7 @@ ORACLES: dict[str, str] = {
     "restore_snapshot_json": FOLD_NO_SEQ,
     "stream_fold": FOLD,
     "stream_merge": FOLD,
+    "stream_stateful": FOLD,
     "running_counter": with_feed(
         "SELECT seq, type, id, delta, CAST(sum(delta) OVER (PARTITION BY type, id ORDER BY seq "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total "

@@ -41,10 +41,8 @@ class MetricStateProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         mtype, mid = key
-        if self.state.exists():
-            delta, value, last_seq = self.state.get()
-        else:
-            delta, value, last_seq = None, None, None
+        cur = self.state.get()  # None when the key has no state yet
+        delta, value, last_seq = cur if cur is not None else (None, None, None)
         for pdf in rows:
             if pdf.empty:
                 continue
@@ -66,7 +64,9 @@ class MetricStateProcessor(StatefulProcessor):
 
 
 def stream_stateful(src: DataFrame, initial: DataFrame | None = None) -> DataFrame:
-    """Live fold kept in keyed state, seeded from ``initial`` (a state table)."""
+    """Live fold kept in keyed state, seeded from ``initial`` (a stored state
+    table: streaming plans take only deterministic inputs, so materialise a
+    restored snapshot before passing it)."""
     spark = src.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     upd = valid_updates(src).select("seq", *KEY, "delta", "value")
@@ -78,3 +78,39 @@ def stream_stateful(src: DataFrame, initial: DataFrame | None = None) -> DataFra
         timeMode="None",
         initialState=init,
     )
+
+
+def run_stream_stateful(spark, sf_dir: str, cutoff: str) -> DataFrame:
+    """Seed keyed state with the fold of the feed before ``cutoff`` (through
+    a snapshot), stream the rest, and return the final state: each key's
+    newest emitted row, or its initial row when the stream never touched it."""
+    from pyspark.sql import functions as F
+
+    from tallyfold.operators.fold import fold
+    from tallyfold.session import scratch_path
+    from tallyfold.sources.feed import load_feed
+    from tallyfold.sources.store import restore_snapshot, write_snapshot
+    from tallyfold.streaming.stream import feed_stream
+
+    root = scratch_path(spark, "stream-stateful")
+    cut = F.lit(cutoff).cast("timestamp_ntz")
+    write_snapshot(fold(load_feed(spark, sf_dir).where(F.col("ts") < cut)), f"{root}/initial")
+    # The restored state is materialised once: a streaming plan accepts only
+    # deterministic inputs, and restore orders duplicates by row position.
+    restore_snapshot(spark, f"{root}/initial").write.parquet(f"{root}/seed")
+    initial = spark.read.parquet(f"{root}/seed")
+    late = feed_stream(spark, sf_dir).where(F.col("ts") >= cut.cast("timestamp"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/out/b={batch_id:012d}")
+
+    q = (
+        stream_stateful(late, initial).writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    emitted = spark.read.parquet(f"{root}/out").select(*KEY, "delta", "value", "last_seq", "_batch")
+    rows = initial.withColumn("_batch", F.lit(-1).cast("long")).unionByName(emitted)
+    newest = F.max_by(F.struct("delta", "value", "last_seq"), "_batch")
+    final = rows.groupBy(*KEY).agg(newest.alias("_s"))
+    return final.select(*KEY, "_s.delta", "_s.value", "_s.last_seq")
