@@ -12,6 +12,17 @@ from tallyfold.functions.numtext import indexed_name
 from tallyfold.operators.fold import valid_updates
 from tallyfold.schema import COUNTER, GAUGE, KEY
 
+# The runtime memory statistics the agent reports as gauges,
+# one column each in a wide sample.
+RUNTIME_GAUGES = (
+    "Alloc", "BuckHashSys", "Frees", "GCCPUFraction", "GCSys", "HeapAlloc", "HeapIdle", "HeapInuse",
+    "HeapObjects", "HeapReleased", "HeapSys", "LastGC", "Lookups", "MCacheInuse", "MCacheSys",
+    "MSpanInuse", "MSpanSys", "Mallocs", "NextGC", "NumForcedGC", "NumGC", "OtherSys", "PauseTotalNs",
+    "StackInuse", "StackSys", "Sys", "TotalAlloc",
+)
+RANDOM_GAUGE = "RandomValue"
+POLL_COUNTER = "PollCount"
+
 
 def gauge_rows(df: DataFrame, id_col: Column | str, value_col: Column | str, keep: Sequence[str] = ()) -> DataFrame:
     c = lambda x: F.col(x) if isinstance(x, str) else x
@@ -96,3 +107,55 @@ def sample_intervals(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq"
     newest = F.max(F.struct(F.col(seq).alias("_o"), *[F.col(c) for c in cols]))
     g = df.groupBy(F.window(F.col(ts), every).start.alias("win_start")).agg(newest.alias("_r"))
     return g.select("win_start", F.col("_r._o").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
+def report_rows(
+    samples: DataFrame,
+    gauge_cols: Sequence[str] = RUNTIME_GAUGES,
+    seq: str = "seq",
+    ts: str = "ts",
+    seed: int | None = None,
+    bucket_size: int | None = None,
+) -> DataFrame:
+    """The agent's report for each wide sample: one gauge per named column,
+    a ``RandomValue`` gauge in [0, 1), and the ``PollCount`` counter carrying
+    the number of samples taken so far (a running count in ``seq`` order,
+    two-level so a long sample history is not sorted in one task).
+
+    Output: ``seq, ts, type, id, delta, value``."""
+    from tallyfold.operators.history import DEFAULT_BUCKET, running
+
+    gauges = unpivot_sample(samples, [seq, ts], gauge_cols)
+    rnd = F.rand(seed) if seed is not None else F.rand()
+    random_rows = samples.select(
+        seq, ts, F.lit(GAUGE).alias("type"), F.lit(RANDOM_GAUGE).alias("id"),
+        F.lit(None).cast("bigint").alias("delta"), rnd.alias("value"),
+    )
+    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, bucket_size or DEFAULT_BUCKET)
+    polls = counted.select(
+        seq, ts, F.lit(COUNTER).alias("type"), F.lit(POLL_COUNTER).alias("id"),
+        F.col("_n").cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"),
+    )
+    return gauges.unionByName(random_rows).unionByName(polls)
+
+
+def ship_samples(
+    samples: DataFrame,
+    max_size: int,
+    every: str,
+    gauge_cols: Sequence[str] = RUNTIME_GAUGES,
+    seq: str = "seq",
+    ts: str = "ts",
+    seed: int | None = None,
+) -> DataFrame:
+    """Wide samples -> report rows -> size-or-interval batches -> one JSON
+    payload per batch (``win_start, batch_no, n_rows, first_seq, last_seq,
+    payload``).  Rows of one sample keep their column order inside a batch
+    through a fine-grained order key ``(seq, metric index)``."""
+    from tallyfold.operators.batching import assign_batches, encode_batches
+
+    rows = report_rows(samples, gauge_cols, seq, ts, seed)
+    names = list(gauge_cols) + [RANDOM_GAUGE, POLL_COUNTER]
+    idx = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("id"))
+    ordered = rows.withColumn("_o", F.col(seq) * F.lit(len(names) + 1) + idx).drop(seq).withColumnRenamed("_o", "seq")
+    return encode_batches(assign_batches(ordered, max_size, every))

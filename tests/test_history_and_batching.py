@@ -137,3 +137,31 @@ def test_delivery_outcome(spark):
     assert got == [(1, 1, 1, "delivered", 0), (2, 2, 2, "delivered", 1), (3, None, 4, "failed", 9), (4, 1, 1, "delivered", 0)]
     b = {r.request_id: r.outcome for r in delivery.delivery_outcome(att, "batch").collect()}
     assert b[4] == "failed"
+
+
+def _wide_samples(spark, n=25):
+    # Wide samples with the agent's runtime columns, values derived from lineitem.
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").limit(n)
+    w = li.select(F.monotonically_increasing_id().alias("seq"), F.col("l_shipdate").alias("ts"), "l_quantity")
+    return w.select("seq", "ts", *[(F.col("l_quantity") + i).alias(c) for i, c in enumerate(sampling.RUNTIME_GAUGES)]).cache()
+
+
+def test_report_rows(spark):
+    s = _wide_samples(spark)
+    r = sampling.report_rows(s, seed=3)
+    ids = {x.id for x in r.select("id").distinct().collect()}
+    assert {"Alloc", "TotalAlloc", "NextGC", "NumGC", "RandomValue", "PollCount"} <= ids
+    assert len(ids) == 29 and r.count() == 29 * 25
+    rv = r.where("id = 'RandomValue'").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    assert 0.0 <= rv.lo and rv.hi < 1.0
+    polls = [x.delta for x in r.where("id = 'PollCount'").orderBy("seq").collect()]
+    assert polls == list(range(1, 26))
+
+
+def test_ship_samples(spark):
+    s = _wide_samples(spark)
+    out = sampling.ship_samples(s, 50, "1 day", seed=3)
+    assert out.agg(F.sum("n_rows")).first()[0] == 29 * 25
+    assert out.where("n_rows > 50").count() == 0
+    dec = decode_batches(out, "payload")
+    assert dec.where("id = 'PollCount'").count() == 25
