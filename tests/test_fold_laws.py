@@ -127,3 +127,19 @@ def test_poll_count(spark):
     assert fold.poll_count(ev).first().delta == ev.count()
     per = fold.poll_count(ev, every="1 day").orderBy("win_start").collect()
     assert per[-1].delta == ev.count()
+
+
+def test_nan_gauge_snapshot_roundtrip(spark, tmp_dir):
+    upd = spark.createDataFrame([(1, "g", "gauge", None, float("nan")), (2, "h", "gauge", None, float("inf"))],
+                                "seq long, id string, type string, delta long, value double")
+    s = fold.fold(upd)
+    store.write_snapshot(s, f"{tmp_dir}/j", fmt="json")
+    back = {r.id: r.value for r in store.restore_snapshot(spark, f"{tmp_dir}/j", fmt="json").collect()}
+    assert back["g"] != back["g"] and back["h"] == float("inf")
+
+
+def test_no_snapshot_interval_means_no_snapshots(spark, tmp_dir):
+    from tallyfold.streaming import stream
+
+    src = stream.feed_stream(spark, "/root/testdata/sf0.001")
+    assert stream.start_snapshots(src, f"{tmp_dir}/s", f"{tmp_dir}/ck", interval=None) is None
