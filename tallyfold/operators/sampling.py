@@ -24,14 +24,20 @@ RANDOM_GAUGE = "RandomValue"
 POLL_COUNTER = "PollCount"
 
 
+def _c(x: Column | str) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
 def gauge_rows(df: DataFrame, id_col: Column | str, value_col: Column | str, keep: Sequence[str] = ()) -> DataFrame:
-    c = lambda x: F.col(x) if isinstance(x, str) else x
+    """Gauge update rows ``(type, id, delta, value)`` from an id and a value."""
+    c = _c
     return df.select(*keep, F.lit(GAUGE).alias("type"), c(id_col).alias("id"),
                      F.lit(None).cast("bigint").alias("delta"), c(value_col).cast("double").alias("value"))
 
 
 def counter_rows(df: DataFrame, id_col: Column | str, delta_col: Column | str, keep: Sequence[str] = ()) -> DataFrame:
-    c = lambda x: F.col(x) if isinstance(x, str) else x
+    """Counter update rows ``(type, id, delta, value)`` from an id and a delta."""
+    c = _c
     return df.select(*keep, F.lit(COUNTER).alias("type"), c(id_col).alias("id"),
                      c(delta_col).cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"))
 
