@@ -130,6 +130,20 @@ def q_replay_reads(spark, sf):
     return history.replay_reads(load_feed(spark, sf), bucket_size=500)
 
 
+def q_running_counter_hot(spark, sf):
+    # Five keys share the whole feed: no task sorts more than one bucket
+    # (1,000 seq values) of a key.
+    return history.running_counter(load_feed(spark, sf, hot=True), bucket_size=1000)
+
+
+def q_replay_reads_hot(spark, sf):
+    return history.replay_reads(load_feed(spark, sf, hot=True), bucket_size=1000)
+
+
+def q_fold_hot(spark, sf):
+    return fold.fold(load_feed(spark, sf, hot=True))
+
+
 def q_report_intervals(spark, sf):
     return sampling.report_intervals(load_feed(spark, sf), "1 hour")
 
@@ -327,6 +341,9 @@ QUERIES: dict[str, Query] = {
     "running_counter_bucketed": q_running_counter_bucketed,
     "running_counter_plain": q_running_counter_plain,
     "running_gauge": q_running_gauge,
+    "running_counter_hot": q_running_counter_hot,
+    "replay_reads_hot": q_replay_reads_hot,
+    "fold_hot": q_fold_hot,
     "cumulative_to_delta": q_cumulative_to_delta,
     "update_rank": q_update_rank,
     "replay_reads": q_replay_reads,

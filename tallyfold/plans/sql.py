@@ -38,8 +38,9 @@ folded AS (
 )"""
 
 
-def with_feed(body: str, *extra: str) -> str:
-    ctes = [FEED] + list(extra)
+def with_feed(body: str, *extra: str, hot: bool = False) -> str:
+    feed = FEED.replace("event_type || '_' || CAST(user_id AS VARCHAR) AS id", "event_type AS id") if hot else FEED
+    ctes = [feed] + list(extra)
     return "WITH " + ",".join(ctes) + "\n" + body
 
 
@@ -294,3 +295,25 @@ attempts AS (
 
 ORACLES["running_counter_bucketed"] = ORACLES["running_counter"]
 ORACLES["running_counter_plain"] = ORACLES["running_counter"]
+
+RUNNING_COUNTER_SQL = (
+    "SELECT seq, type, id, delta, CAST(sum(delta) OVER (PARTITION BY type, id ORDER BY seq "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total "
+    "FROM valid WHERE type = 'counter'"
+)
+REPLAY_READS_SQL = (
+    "SELECT r.seq, r.type, r.id, "
+    "CASE WHEN w.n > 0 THEN 200 ELSE 404 END AS status, "
+    "CASE WHEN w.n > 0 AND r.type = 'counter' THEN CAST(w.tot AS BIGINT) END AS delta, "
+    "CASE WHEN w.n > 0 AND r.type = 'gauge' THEN w.val END AS value "
+    "FROM (SELECT seq, type, id, is_read, "
+    "  count(CASE WHEN NOT is_read THEN 1 END) OVER w AS n, sum(delta) OVER w AS tot, "
+    "  last_value(value IGNORE NULLS) OVER w AS val "
+    "  FROM (SELECT seq, type, id, delta, value, (delta IS NULL AND value IS NULL) AS is_read "
+    "        FROM feed WHERE type IN ('gauge', 'counter')) "
+    "  WINDOW w AS (PARTITION BY type, id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) w "
+    "JOIN feed r ON r.seq = w.seq WHERE w.is_read"
+)
+ORACLES["running_counter_hot"] = with_feed(RUNNING_COUNTER_SQL, hot=True)
+ORACLES["replay_reads_hot"] = with_feed(REPLAY_READS_SQL, hot=True)
+ORACLES["fold_hot"] = with_feed("SELECT * FROM folded", FOLD_CTE, hot=True)

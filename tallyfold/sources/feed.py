@@ -35,16 +35,21 @@ def metric_type_of(event_type: Column) -> Column:
     )
 
 
-def feed_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def feed_from_events(events: DataFrame, keep: tuple[str, ...] = (), hot: bool = False) -> DataFrame:
     """``events`` -> update feed ``(seq, ts, id, type, delta, value)``, plus
-    any source columns named in ``keep``."""
+    any source columns named in ``keep``.
+
+    ``hot=True`` names each metric by its event type alone, so the whole
+    feed falls on five keys (each holds about a fifth of all rows): the
+    skewed form used to exercise hot-key handling."""
     has_payload = (F.col("event_id") % 10) != 0
     mtype = metric_type_of(F.col("event_type"))
+    mid = F.col("event_type") if hot else F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string"))
     return events.select(
         *keep,
         F.col("event_id").alias("seq"),
         F.col("ts"),
-        F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("id"),
+        mid.alias("id"),
         mtype.alias("type"),
         F.when(
             F.col("event_type").isin(*COUNTER_EVENTS) & has_payload,
@@ -54,5 +59,5 @@ def feed_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     )
 
 
-def load_feed(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return feed_from_events(load_table(spark, sf_dir, "events"), keep)
+def load_feed(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (), hot: bool = False) -> DataFrame:
+    return feed_from_events(load_table(spark, sf_dir, "events"), keep, hot)
