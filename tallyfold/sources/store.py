@@ -93,6 +93,19 @@ def write_state(state: DataFrame, path: str) -> None:
     )
 
 
+def save_state_table(state: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Store state as a table bucketed and sorted by ``(type, id)``.
+
+    Joins and aggregates on ``(type, id)`` then read it without an exchange:
+    :func:`tallyfold.operators.fold.merge_state_join` shuffles only the new
+    batch (into the same ``buckets`` partitions when
+    ``spark.sql.shuffle.partitions`` equals ``buckets``), not the state."""
+    w = state.select(*STATE_COLS).write.mode("overwrite").bucketBy(buckets, "type", "id").sortBy("type", "id")
+    if path:
+        w = w.option("path", path)
+    w.format("parquet").saveAsTable(name)
+
+
 def create_state(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the state table if it does not exist."""
     loc = f" LOCATION '{location}'" if location else ""

@@ -143,3 +143,21 @@ def test_no_snapshot_interval_means_no_snapshots(spark, tmp_dir):
 
     src = stream.feed_stream(spark, "/root/testdata/sf0.001")
     assert stream.start_snapshots(src, f"{tmp_dir}/s", f"{tmp_dir}/ck", interval=None) is None
+
+
+def test_bucketed_state_merge_shuffles_only_the_batch(spark, feed, tmp_dir):
+    old_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    old_bhj = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.save_state_table(fold.fold(feed.where("seq < 5000")), "tf_bucketed_state", 8, f"{tmp_dir}/st")
+        m = fold.merge_state_join(spark.table("tf_bucketed_state"), feed.where("seq >= 5000"))
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1  # the batch's fold only
+        assert rows(m, *STATE_COLS) == rows(fold.fold(feed), *STATE_COLS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old_parts)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_bhj)
+        spark.sql("DROP TABLE IF EXISTS tf_bucketed_state")
