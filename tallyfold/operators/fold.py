@@ -126,20 +126,20 @@ def poll_count(samples: DataFrame, ts: str = "ts", every: str | None = None) ->
 
     Without ``every``: one row with the total.  With ``every``: one row per
     interval holding the running count through the end of that interval, as
-    the agent reports it (a cumulative value).  The running count runs over
-    the per-interval counts, whose number is bounded by the time span."""
+    the agent reports it (a cumulative value).  The per-interval counts are a
+    partial aggregate; their running sum is the two-level prefix scan, so no
+    window gathers all intervals in one task."""
     if every is None:
         return samples.agg(F.count(F.lit(1)).alias("delta")).select(
             F.lit(COUNTER).alias("type"), F.lit("PollCount").alias("id"), "delta"
         )
-    from pyspark.sql import Window as W
+    from tallyfold.operators.history import running
 
     per = samples.groupBy(F.window(F.col(ts), every).start.alias("win_start")).agg(F.count(F.lit(1)).alias("n"))
-    w = W.orderBy("win_start").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return per.select(
-        "win_start", F.lit(COUNTER).alias("type"), F.lit("PollCount").alias("id"),
-        F.sum("n").over(w).alias("delta"),
-    )
+    # Order by interval start in seconds; buckets of 2^20 s (about 12 days).
+    per = per.withColumn("_o", F.unix_seconds(F.col("win_start").cast("timestamp")))
+    r = running(per, [], "_o", {"delta": ("sum", "n")}, bucket_size=1 << 20)
+    return r.select("win_start", F.lit(COUNTER).alias("type"), F.lit("PollCount").alias("id"), "delta")
 
 
 def outcome_counts(df: DataFrame, status: str = "status", body: str | None = None) -> DataFrame:
