@@ -324,6 +324,34 @@ def q_stream_stateful(spark, sf):
     return run_stream_stateful(spark, sf, CUTOFF)
 
 
+def q_stream_batches(spark, sf):
+    from tallyfold.streaming import stream
+
+    out = stream.run_stream_batches(spark, sf, BATCH_SIZE, BATCH_EVERY)
+    return out.select(
+        "win_start", "batch_no", "n_rows", "first_seq",
+        "last_seq", "payload",
+    )
+
+
+def q_feed_roundtrip(spark, sf):
+    # The feed written as gzip JSON lines and read back with the feed reader
+    # (corrupt-record column, gzip by suffix), then folded.
+    path = scratch_path(spark, "feed-json-gz")
+    store.write_feed(load_feed(spark, sf).select("seq", "id", "type", "delta", "value"), path)
+    back = spark.read.schema("seq long, id string, type string, delta long, value double").json(path)
+    rec = readers.read_metric_feed(spark, path)
+    assert "_corrupt_record" in rec.columns
+    return fold.fold(back)
+
+
+def q_state_table(spark, sf):
+    # State stored partitioned by type and sorted by id, read back whole.
+    path = scratch_path(spark, "state-table")
+    store.write_state(fold.fold(load_feed(spark, sf)), path)
+    return store.read_state(spark, path).select("type", "id", "delta", "value", "last_seq")
+
+
 QUERIES: dict[str, Query] = {
     "fold": q_fold,
     "fold_gauges": q_fold_gauges,
@@ -373,4 +401,7 @@ QUERIES: dict[str, Query] = {
     "stream_fold": q_stream_fold,
     "stream_merge": q_stream_merge,
     "stream_stateful": q_stream_stateful,
+    "stream_batches": q_stream_batches,
+    "feed_roundtrip": q_feed_roundtrip,
+    "state_table": q_state_table,
 }

@@ -317,3 +317,6 @@ REPLAY_READS_SQL = (
 ORACLES["running_counter_hot"] = with_feed(RUNNING_COUNTER_SQL, hot=True)
 ORACLES["replay_reads_hot"] = with_feed(REPLAY_READS_SQL, hot=True)
 ORACLES["fold_hot"] = with_feed("SELECT * FROM folded", FOLD_CTE, hot=True)
+ORACLES["stream_batches"] = ORACLES["encode_batches"]
+ORACLES["feed_roundtrip"] = FOLD
+ORACLES["state_table"] = FOLD

@@ -99,7 +99,7 @@ def run_stream_stateful(spark, sf_dir: str, cutoff: str) -> DataFrame:
     # deterministic inputs, and restore orders duplicates by row position.
     restore_snapshot(spark, f"{root}/initial").write.parquet(f"{root}/seed")
     initial = spark.read.parquet(f"{root}/seed")
-    late = feed_stream(spark, sf_dir).where(F.col("ts") >= cut.cast("timestamp"))
+    late = feed_stream(spark, sf_dir).where(F.col("ts") >= cut)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/out/b={batch_id:012d}")

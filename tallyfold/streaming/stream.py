@@ -31,16 +31,15 @@ VERSION_PREFIX = "v="
 def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
                 glob: str = "events*.parquet") -> DataFrame:
     """The update feed read as a stream from the events files in ``sf_dir``
-    (files are taken in modification-time order).
-
-    ``ts`` is cast to TIMESTAMP (session time zone) so it can carry a
-    watermark."""
+    (files are taken in modification-time order).  ``ts`` stays
+    TIMESTAMP_NTZ, like the batch feed, so intervals align the same way;
+    :func:`stream_report` casts it where a watermark needs TIMESTAMP."""
     sample = spark.read.option("pathGlobFilter", glob).parquet(sf_dir)
     r = spark.readStream.schema(sample.schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     events = r.parquet(sf_dir)
-    return feed_from_events(events).withColumn("ts", F.col("ts").cast("timestamp"))
+    return feed_from_events(events)
 
 
 def stream_fold(src: DataFrame) -> DataFrame:
@@ -143,7 +142,10 @@ def stream_report(src: DataFrame, every: str, delay: str, ts: str = "ts", seq: s
     newest gauge value and the counter sum within the interval.  Rows later
     than the watermark ``delay`` are dropped by rule (Spark counts them in
     ``numRowsDroppedByWatermark``); an interval is emitted once it closes."""
-    v = fold.valid_updates(src).withWatermark(ts, delay)
+    v = fold.valid_updates(src)
+    if dict(v.dtypes)[ts] == "timestamp_ntz":
+        v = v.withColumn(ts, F.col(ts).cast("timestamp"))
+    v = v.withWatermark(ts, delay)
     t = F.col("type")
     return v.groupBy(F.window(F.col(ts), every).alias("win"), *KEY).agg(
         F.sum(F.when(t == COUNTER, F.col("delta"))).alias("delta"),
@@ -185,3 +187,14 @@ def run_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_merge(feed_stream(spark, sf_dir), f"{root}/state", f"{root}/_checkpoint", available_now=True)
     q.awaitTermination()
     return read_version(spark, f"{root}/state")
+
+
+def run_stream_batches(spark: SparkSession, sf_dir: str, max_size: int, every: str) -> DataFrame:
+    """Run size-or-interval batching over the feed stream; return the payloads."""
+    root = scratch_path(spark, "stream-batches")
+    q = start_batching(feed_stream(spark, sf_dir), f"{root}/out", f"{root}/_checkpoint", max_size, every)
+    q.awaitTermination()
+    return spark.read.schema(
+        "win_start timestamp_ntz, batch_no bigint, n_rows bigint, first_seq bigint, last_seq bigint, "
+        "payload string, micro_batch bigint"
+    ).json(f"{root}/out")
