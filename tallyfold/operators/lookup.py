@@ -18,7 +18,8 @@ def lookup(requests: DataFrame, state: DataFrame, form: str = "json") -> DataFra
     """Answer a table of lookup requests ``(…, type, id)`` from ``state``.
 
     ``status`` is 200 with the payload, 404 when the metric is absent, and
-    for an unknown type 501 (JSON form) or 400 (path form).  The payload of
+    for an unknown type 501 (JSON form) or 400 (path form); a JSON request
+    that did not decode (``decoded = false``, see ``decode_json``) is 400.  The payload of
     a hit is ``delta`` for counters and ``value`` for gauges; ``text`` is the
     plain-text reply of the path form.
 
@@ -35,6 +36,8 @@ def lookup(requests: DataFrame, state: DataFrame, form: str = "json") -> DataFra
     known = t.isin(GAUGE, COUNTER)
     bad_type = F.lit(501) if form == "json" else F.lit(400)
     status = F.when(~known | t.isNull(), bad_type).when(F.col("_hit").isNull(), F.lit(404)).otherwise(F.lit(200))
+    if form == "json" and "decoded" in requests.columns:
+        status = F.when(~F.coalesce(F.col("decoded"), F.lit(False)), F.lit(400)).otherwise(status)
     ok = status == 200
     out = j.withColumn("status", status).withColumn(
         "delta", F.when(ok & (t == COUNTER), F.col("_d"))

@@ -166,3 +166,27 @@ def test_batch_ack_and_observed_outcomes(spark):
     assert obs.get["n"] == 3
     observed = fold.observe_outcomes(judged, "o")
     assert observed.count() == 3
+
+
+def test_json_lookup_requests_decode(spark):
+    from tallyfold.operators import lookup
+    from tallyfold.schema import VALUE_REQUEST
+
+    upd = spark.createDataFrame([(1, "G1", "gauge", None, 99.9)], "seq long, id string, type string, delta long, value double")
+    req = decode_json(_bodies(spark, ['{"id":"G1","type":"gauge"}', "{bad", '{"id":"G1","type":"x"}']), schema=VALUE_REQUEST)
+    got = [r.status for r in lookup.lookup(req, fold.fold(upd)).orderBy("seq").collect()]
+    assert got == [200, 400, 501]
+
+
+def test_streaming_feed_reader(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.json", "w") as f:
+        f.write('{"id":"c","type":"counter","delta":2}\n{bad\n{"id":"c","type":"counter","delta":3}\n')
+    src = readers.read_metric_feed(spark, f"{tmp_dir}/in", streaming=True)
+    assert src.isStreaming
+    q = (src.writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.where("_corrupt_record IS NOT NULL").count() == 1
+    assert out.where("delta IS NOT NULL").agg(F.sum("delta")).first()[0] == 5
