@@ -321,7 +321,13 @@ def q_stream_merge(spark, sf):
 def q_stream_stateful(spark, sf):
     from tallyfold.streaming.stateful import run_stream_stateful
 
-    return run_stream_stateful(spark, sf, CUTOFF)
+    return run_stream_stateful(spark, sf, CUTOFF, vectorized=True)
+
+
+def q_stream_stateful_rows(spark, sf):
+    from tallyfold.streaming.stateful import run_stream_stateful
+
+    return run_stream_stateful(spark, sf, CUTOFF, vectorized=False)
 
 
 def q_stream_batches(spark, sf):
@@ -401,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "stream_fold": q_stream_fold,
     "stream_merge": q_stream_merge,
     "stream_stateful": q_stream_stateful,
+    "stream_stateful_rows": q_stream_stateful_rows,
     "stream_batches": q_stream_batches,
     "feed_roundtrip": q_feed_roundtrip,
     "state_table": q_state_table,

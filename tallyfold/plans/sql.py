@@ -320,3 +320,4 @@ ORACLES["fold_hot"] = with_feed("SELECT * FROM folded", FOLD_CTE, hot=True)
 ORACLES["stream_batches"] = ORACLES["encode_batches"]
 ORACLES["feed_roundtrip"] = FOLD
 ORACLES["state_table"] = FOLD
+ORACLES["stream_stateful_rows"] = FOLD

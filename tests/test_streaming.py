@@ -113,7 +113,8 @@ def test_stream_batching(spark, tmp_dir):
     assert out.where("n_rows > 100").count() == 0
 
 
-def test_stateful_with_initial_state(spark, tmp_dir, batch_state):
+@pytest.mark.parametrize("vectorized", [True, False])
+def test_stateful_with_initial_state(spark, tmp_dir, batch_state, vectorized):
     from tallyfold.streaming.stateful import stream_stateful
 
     feed = load_feed(spark, SF01)
@@ -126,7 +127,7 @@ def test_stateful_with_initial_state(spark, tmp_dir, batch_state):
     pq.write_table(late.filter(pc.greater_equal(late["event_id"], half)), f"{tmp_dir}/in/events_b.parquet")
     os.utime(f"{tmp_dir}/in/events_a.parquet", (time.time() - 100, time.time() - 100))
     src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
-    out = stream_stateful(src, initial)
+    out = stream_stateful(src, initial, vectorized)
 
     def write(b, bid):
         b.withColumn("batch", F.lit(bid)).write.mode("append").parquet(f"{tmp_dir}/out")
