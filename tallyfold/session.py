@@ -55,14 +55,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) is a private folder made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = None
+    try:
+        sc = spark.sparkContext
+        if not root:
+            jdir = sc._jsc.sc().getCheckpointDir()
+            root = jdir.get() if jdir.isDefined() else None
+    except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect session)
+        sc = None
     if not root:
         root = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(root)
     return root
 
 

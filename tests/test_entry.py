@@ -35,3 +35,17 @@ def test_oracles_parse_on_smallest_tables():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     for name, sql in _entry().oracle_sql().items():
         con.execute(f"SELECT count(*) FROM ({sql})").fetchone()
+
+
+def test_checkpoint_root_and_scale_settings(spark):
+    from tallyfold.session import checkpoint_root, scale_settings, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root and scratch_path(spark, "x").startswith(root.rstrip("/"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert scale_settings(spark, 10 * (256 << 20), min_partitions=4) == 10
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+        assert scale_settings(spark, 1, min_partitions=4) == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
