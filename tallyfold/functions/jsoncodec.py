@@ -11,14 +11,48 @@ from tallyfold.schema import METRIC
 DECODE_OPTIONS = {"allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
 
 
+# JSON types accepted per field of an update record, as VARIANT type names
+# (a trailing "(" matches any precision/scale).
+FIELD_TYPES = {
+    "id": ("STRING", "VOID"),
+    "type": ("STRING", "VOID"),
+    "hash": ("STRING", "VOID"),
+    "delta": ("BIGINT", "VOID"),
+    "value": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL(", "VOID"),
+}
+
+
+def _field_ok(el: Column, name: str, allowed: tuple[str, ...]) -> Column:
+    f = F.try_variant_get(el, f"$.{name}", "variant")
+    kind = F.schema_of_variant(f)
+    ok = F.lit(False)
+    for a in allowed:
+        ok = ok | (kind.startswith(a) if a.endswith("(") else kind == a)
+    return f.isNull() | ok
+
+
+def record_types_ok(el: Column, fields=FIELD_TYPES) -> Column:
+    """A parsed JSON value (VARIANT) decodes into an update record: it is an
+    object (or null) and every known field has an accepted JSON type; unknown
+    fields are ignored.  A typed decoder would null a wrong field instead."""
+    kind = F.schema_of_variant(el)
+    ok = kind.startswith("OBJECT") | (kind == "VOID")
+    for name, allowed in fields.items():
+        ok = ok & _field_ok(el, name, allowed)
+    return ok
+
+
 def decode_json(df: DataFrame, col: str = "body", schema=METRIC, keep: bool = True) -> DataFrame:
     """Decode a JSON text column into typed update columns.
 
-    A body that does not decode gives NULL fields and ``decoded = false``.
-    Fields of the wrong JSON type come out NULL, so the later payload check
-    refuses the row."""
+    ``decoded`` is false, and the row answers 400 later, when the body is
+    not JSON, is not an object, or has a field of the wrong JSON type (a
+    float ``delta``, a string ``value``).  Text after the first JSON value
+    is ignored."""
     parsed = F.from_json(F.col(col), schema, DECODE_OPTIONS)
-    ok = F.col(col).isNotNull() & F.try_parse_json(F.col(col)).isNotNull()
+    v = F.try_parse_json(F.col(col))
+    fields = {n: t for n, t in FIELD_TYPES.items() if n in set(schema.fieldNames())}
+    ok = F.coalesce(v.isNotNull() & record_types_ok(v, fields), F.lit(False))
     out = df.withColumn("_m", parsed).withColumn("decoded", ok)
     fields = [F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields]
     others = [c for c in df.columns if c not in {f.name for f in schema.fields}] if keep else []

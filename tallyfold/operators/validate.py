@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.functions.jsoncodec import record_types_ok
 from tallyfold.functions.numtext import parse_counter, parse_gauge
 from tallyfold.operators.fold import is_valid_update
 from tallyfold.schema import COUNTER, GAUGE
@@ -96,16 +97,6 @@ def batch_status(df: DataFrame, batch_col: str = "batch_id", seq: str = "seq") -
     ).withColumn("status", F.when(F.col("first_bad").isNull(), F.lit(200)).otherwise(F.lit(400)))
 
 
-def _field_ok(el: Column, name: str, allowed: tuple[str, ...]) -> Column:
-    f = F.try_variant_get(el, f"$.{name}", "variant")
-    kind = F.schema_of_variant(f)
-    ok = F.lit(False)
-    for a in allowed:
-        # "DECIMAL(" matches any precision and scale.
-        ok = ok | (kind.startswith(a) if a.endswith("(") else kind == a)
-    return f.isNull() | ok
-
-
 def batch_body_status(body: Column | str = "body", content_type: Column | str | None = "content_type",
                       parsed: Column | None = None) -> Column:
     """Status of a whole batch request body.
@@ -118,21 +109,9 @@ def batch_body_status(body: Column | str = "body", content_type: Column | str |
     b = F.col(body) if isinstance(body, str) else body
     arr = F.try_variant_get(parsed if parsed is not None else F.try_parse_json(b), "$", "array<variant>")
 
-    def element_ok(el):
-        kind = F.schema_of_variant(el)
-        is_obj = kind.startswith("OBJECT") | (kind == "VOID")
-        return (
-            is_obj
-            & _field_ok(el, "id", ("STRING", "VOID"))
-            & _field_ok(el, "type", ("STRING", "VOID"))
-            & _field_ok(el, "hash", ("STRING", "VOID"))
-            & _field_ok(el, "delta", ("BIGINT", "VOID"))
-            & _field_ok(el, "value", ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL(", "VOID"))
-        )
-
     chain = F.when(F.octet_length(F.trim(b)) > MAX_BODY_BYTES, F.lit(400)).when(
         arr.isNull(), F.lit(400)
-    ).when(F.size(arr) == 0, F.lit(400)).when(~F.forall(arr, element_ok), F.lit(400)).otherwise(F.lit(200))
+    ).when(F.size(arr) == 0, F.lit(400)).when(~F.forall(arr, lambda el: record_types_ok(el)), F.lit(400)).otherwise(F.lit(200))
     if content_type is not None:
         ct = F.col(content_type) if isinstance(content_type, str) else content_type
         chain = F.when(ct.isNotNull() & (ct != "") & (ct != JSON_CONTENT_TYPE), F.lit(415)).otherwise(chain)
