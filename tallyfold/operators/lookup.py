@@ -14,7 +14,7 @@ def lookup_one(state: DataFrame, mtype: str, mid: str) -> DataFrame:
     return state.where((F.col("type") == mtype) & (F.col("id") == mid))
 
 
-def lookup(requests: DataFrame, state: DataFrame, form: str = "json") -> DataFrame:
+def lookup(requests: DataFrame, state: DataFrame, form: str = "json", salt_buckets: int | None = None) -> DataFrame:
     """Answer a table of lookup requests ``(…, type, id)`` from ``state``.
 
     ``status`` is 200 with the payload, 404 when the metric is absent, and
@@ -25,13 +25,23 @@ def lookup(requests: DataFrame, state: DataFrame, form: str = "json") -> DataFra
 
     One left join on ``(type, id)``: AQE turns it into a broadcast join when
     the state side is small at run time, and splits hot request keys on the
-    request side otherwise."""
+    request side otherwise.  ``salt_buckets=n`` salts explicitly (for runs
+    without AQE): each request takes a random salt in [0, n) and every state
+    row is replicated n times, so one hot metric's requests spread over n
+    tasks.  Any salt meets a copy of its state row, so the answer does not
+    depend on the draw, and recomputation after a lost executor is safe."""
     if form not in ("json", "path"):
         raise ValueError(f"unknown form {form!r}")
     from tallyfold.functions.numtext import format_int, format_shortest
 
     s = state.select(*KEY, F.col("delta").alias("_d"), F.col("value").alias("_v"), F.lit(True).alias("_hit"))
-    j = requests.join(s, on=KEY, how="left")
+    if salt_buckets and salt_buckets > 1:
+        n = int(salt_buckets)
+        req = requests.withColumn("_salt", F.floor(F.rand() * n).cast("int"))
+        s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        j = req.join(s, on=[*KEY, "_salt"], how="left").drop("_salt")
+    else:
+        j = requests.join(s, on=KEY, how="left")
     t = F.col("type")
     known = t.isin(GAUGE, COUNTER)
     bad_type = F.lit(501) if form == "json" else F.lit(400)

@@ -321,3 +321,12 @@ ORACLES["stream_batches"] = ORACLES["encode_batches"]
 ORACLES["feed_roundtrip"] = FOLD
 ORACLES["state_table"] = FOLD
 ORACLES["stream_stateful_rows"] = FOLD
+ORACLES["lookup_hot_salted"] = with_feed(
+    "SELECT r.seq, r.type, r.id, CASE WHEN r.type NOT IN ('gauge', 'counter') THEN 501 "
+    "WHEN e.id IS NULL THEN 404 ELSE 200 END AS status, "
+    "CASE WHEN r.type = 'counter' THEN e.delta END AS delta, "
+    "CASE WHEN r.type = 'gauge' THEN e.value END AS value "
+    "FROM feed r LEFT JOIN early e ON e.type = r.type AND e.id = r.id",
+    EARLY_STATE,
+    hot=True,
+)

@@ -106,3 +106,16 @@ def test_same_name_in_both_types(spark):
         "seq long, id string, type string, delta long, value double")
     assert rows(fold.fold(upd), "type", "id", "delta", "value") == [
         ("counter", "x", 7, None), ("gauge", "x", None, 1.5)]
+
+
+def test_salted_lookup_equals_plain(spark):
+    from conftest import SF01
+    from pyspark.sql import functions as F
+
+    from tallyfold.sources.feed import load_feed
+
+    feed = load_feed(spark, SF01, hot=True)
+    state = fold.fold(feed.where(F.col("seq") < 5000))
+    req = feed.select("seq", "type", "id")
+    cols = ("seq", "type", "id", "status", "delta", "value")
+    assert rows(lookup.lookup(req, state, salt_buckets=8), *cols) == rows(lookup.lookup(req, state), *cols)
