@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.schema import COUNTER, GAUGE, SNAPSHOT, STATE, STATE_COLS
 
+VERSION_PREFIX = "v="
+
 
 def write_feed(df: DataFrame, path: str, compression: str | None = "gzip", fmt: str = "json") -> None:
     """Write updates as JSON lines (gzip by default) or another format."""
@@ -117,3 +119,63 @@ def create_state(spark: SparkSession, name: str, location: str | None = None) ->
 
 def drop_state(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+# ---------------------------------------------------------------- versions
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/{VERSION_PREFIX}{version:012d}"
+
+
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest committed version (one with ``_SUCCESS``) under ``root``,
+    optionally only among versions lower than ``below``.  Lists one
+    directory of the shared store; no data passes through the driver."""
+    if not _path_exists(spark, root):
+        return None
+    fs, hroot = _fs(spark, root)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    best = None
+    for st in fs.listStatus(hroot):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(VERSION_PREFIX):
+            n = int(name[len(VERSION_PREFIX):])
+            if below is not None and n >= below:
+                continue
+            if fs.exists(jpath(st.getPath(), "_SUCCESS")):
+                best = n if best is None or n > best else best
+    return best
+
+
+def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """State at ``version`` (default: the latest committed); empty if none."""
+    v = latest_version(spark, root) if version is None else version
+    if v is None or not _path_exists(spark, version_path(root, v)):
+        return spark.createDataFrame([], STATE)
+    return spark.read.schema(STATE).parquet(version_path(root, v))
+
+
+def publish_snapshot(state: DataFrame, root: str, version: int | None = None) -> int:
+    """Replace the snapshot under ``root`` atomically: the state is written
+    into a new version directory, which counts only once its ``_SUCCESS``
+    marker exists, so a reader (:func:`restore_latest`) sees the old or the
+    new snapshot, never half of one.  Re-publishing the same ``version``
+    (a retried job) overwrites it.  Returns the version written."""
+    spark = state.sparkSession
+    if version is None:
+        last = latest_version(spark, root)
+        version = 0 if last is None else last + 1
+    state.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(root, version))
+    return version
+
+
+def restore_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest complete snapshot under ``root``; empty state if none."""
+    return read_version(spark, root)

@@ -23,9 +23,14 @@ from tallyfold.operators import batching, fold
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
 from tallyfold.session import scratch_path
 from tallyfold.sources.feed import feed_from_events
-from tallyfold.sources.store import _path_exists, restore_snapshot
-
-VERSION_PREFIX = "v="
+from tallyfold.sources.store import (  # noqa: F401  (version helpers are part of this module's API)
+    VERSION_PREFIX,
+    _path_exists,
+    latest_version,
+    read_version,
+    restore_snapshot,
+    version_path,
+)
 
 
 def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None,
@@ -47,45 +52,6 @@ def stream_fold(src: DataFrame) -> DataFrame:
     return fold.fold(src)
 
 
-# ---------------------------------------------------------------- versions
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def version_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{VERSION_PREFIX}{batch_id:012d}"
-
-
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest committed version (one with ``_SUCCESS``) under ``root``,
-    optionally only among versions lower than ``below``."""
-    if not _path_exists(spark, root):
-        return None
-    fs, hroot = _fs(spark, root)
-    best = None
-    for st in fs.listStatus(hroot):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            n = int(name[len(VERSION_PREFIX):])
-            if below is not None and n >= below:
-                continue
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                best = n if best is None or n > best else best
-    return best
-
-
-def read_version(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
-    """State at ``batch_id`` (default: latest); empty state if none."""
-    v = latest_version(spark, root) if batch_id is None else batch_id
-    if v is None or not _path_exists(spark, version_path(root, v)):
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(version_path(root, v))
-
-
 # ---------------------------------------------------------------- sinks
 
 

@@ -161,3 +161,16 @@ def test_bucketed_state_merge_shuffles_only_the_batch(spark, feed, tmp_dir):
         spark.conf.set("spark.sql.shuffle.partitions", old_parts)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_bhj)
         spark.sql("DROP TABLE IF EXISTS tf_bucketed_state")
+
+
+def test_publish_snapshot_versions(spark, feed, tmp_dir):
+    root = f"{tmp_dir}/snaps"
+    assert store.restore_latest(spark, root).count() == 0
+    a = fold.fold(feed.where("seq < 5000"))
+    assert store.publish_snapshot(a, root) == 0
+    assert store.publish_snapshot(fold.fold(feed), root) == 1
+    # An unfinished newer version (no _SUCCESS marker) is not visible.
+    os.makedirs(store.version_path(root, 2))
+    assert rows(store.restore_latest(spark, root), *STATE_COLS) == rows(fold.fold(feed), *STATE_COLS)
+    assert store.publish_snapshot(a, root, version=1) == 1
+    assert rows(store.restore_latest(spark, root), *STATE_COLS) == rows(a, *STATE_COLS)
