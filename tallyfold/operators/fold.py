@@ -137,7 +137,9 @@ def poll_count(samples: DataFrame, ts: str = "ts", every: str | None = None) ->
 
     per = samples.groupBy(F.window(F.col(ts), every).start.alias("win_start")).agg(F.count(F.lit(1)).alias("n"))
     # Order by interval start in seconds; buckets of 2^20 s (about 12 days).
-    per = per.withColumn("_o", F.unix_seconds(F.col("win_start").cast("timestamp")))
+    from tallyfold.functions.timeutil import epoch_seconds
+
+    per = per.withColumn("_o", epoch_seconds(F.col("win_start")))
     r = running(per, [], "_o", {"delta": ("sum", "n")}, bucket_size=1 << 20)
     return r.select("win_start", F.lit(COUNTER).alias("type"), F.lit("PollCount").alias("id"), "delta")
 

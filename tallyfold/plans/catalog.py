@@ -348,6 +348,12 @@ def q_stream_batches(spark, sf):
     )
 
 
+def q_stream_report(spark, sf):
+    from tallyfold.streaming import stream
+
+    return stream.run_stream_report(spark, sf, "1 day", "1 hour")
+
+
 def q_feed_roundtrip(spark, sf):
     # The feed written as gzip JSON lines and read back with the feed reader
     # (corrupt-record column, gzip by suffix), then folded.
@@ -418,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "stream_stateful": q_stream_stateful,
     "stream_stateful_rows": q_stream_stateful_rows,
     "stream_batches": q_stream_batches,
+    "stream_report": q_stream_report,
     "feed_roundtrip": q_feed_roundtrip,
     "state_table": q_state_table,
 }

@@ -330,3 +330,11 @@ ORACLES["lookup_hot_salted"] = with_feed(
     EARLY_STATE,
     hot=True,
 )
+# Intervals closed by the final watermark (newest event time minus 1 hour)
+# are the ones an append-mode stream has emitted at the end of its input.
+ORACLES["stream_report"] = with_feed(
+    "SELECT time_bucket(INTERVAL '1 day', ts) AS win_start, type, id, CAST(sum(delta) AS BIGINT) AS delta, "
+    "arg_max(value, seq) AS value FROM valid GROUP BY 1, 2, 3 "
+    "HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' <= "
+    "(SELECT max(ts) FROM valid) - INTERVAL '1 hour'"
+)

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions.timeutil import utc_instant, utc_wall
 from tallyfold.operators import batching, fold
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
 from tallyfold.session import scratch_path
@@ -107,16 +108,19 @@ def stream_report(src: DataFrame, every: str, delay: str, ts: str = "ts", seq: s
     """Tumbling interval report on a stream: per interval and metric, the
     newest gauge value and the counter sum within the interval.  Rows later
     than the watermark ``delay`` are dropped by rule (Spark counts them in
-    ``numRowsDroppedByWatermark``); an interval is emitted once it closes."""
+    ``numRowsDroppedByWatermark``); an interval is emitted once it closes.
+    A TIMESTAMP_NTZ event time is taken as UTC, so intervals align the same
+    in every session time zone."""
     v = fold.valid_updates(src)
-    if dict(v.dtypes)[ts] == "timestamp_ntz":
-        v = v.withColumn(ts, F.col(ts).cast("timestamp"))
+    ntz = dict(v.dtypes)[ts] == "timestamp_ntz"
+    if ntz:
+        v = v.withColumn(ts, utc_instant(F.col(ts)))
     v = v.withWatermark(ts, delay)
     t = F.col("type")
     return v.groupBy(F.window(F.col(ts), every).alias("win"), *KEY).agg(
         F.sum(F.when(t == COUNTER, F.col("delta"))).alias("delta"),
         F.max_by(F.when(t == GAUGE, F.col("value")), F.col(seq)).alias("value"),
-    ).select(F.col("win.start").alias("win_start"), *KEY, "delta", "value")
+    ).select((utc_wall(F.col("win.start")) if ntz else F.col("win.start")).alias("win_start"), *KEY, "delta", "value")
 
 
 def start_batching(src: DataFrame, path: str, checkpoint: str, max_size: int, every: str,
@@ -164,3 +168,18 @@ def run_stream_batches(spark: SparkSession, sf_dir: str, max_size: int, every: s
         "win_start timestamp_ntz, batch_no bigint, n_rows bigint, first_seq bigint, last_seq bigint, "
         "payload string, micro_batch bigint"
     ).json(f"{root}/out")
+
+
+def run_stream_report(spark: SparkSession, sf_dir: str, every: str, delay: str) -> DataFrame:
+    """Run the watermark interval report over the feed stream to the end;
+    return the emitted (closed) intervals."""
+    root = scratch_path(spark, "stream-report")
+    rep = stream_report(feed_stream(spark, sf_dir), every, delay)
+    q = (
+        rep.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.read.schema("win_start timestamp_ntz, type string, id string, delta bigint, value double").parquet(
+        f"{root}/out"
+    )

@@ -66,3 +66,26 @@ def test_indexed_name(spark):
     df = spark.createDataFrame([(0,), (3,)], "p int")
     assert [r.n for r in df.select(indexed_name("CPUutilization", "p").alias("n")).collect()] == [
         "CPUutilization1", "CPUutilization4"]
+
+
+def test_zone_free_time_conversions(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyfold.functions.timeutil import epoch_seconds, utc_instant, utc_wall
+
+    vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 11, 3, 1, 30),
+            dt.datetime(1969, 12, 31, 23, 59, 59, 500000), dt.datetime(2024, 1, 1)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["UTC", "America/New_York", "Asia/Kolkata"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+            out = df.select("t", F.unix_micros(utc_instant(F.col("t"))).alias("um"),
+                            utc_wall(utc_instant(F.col("t"))).alias("back"), epoch_seconds(F.col("t")).alias("s")).collect()
+            for r in out:
+                exact = (r.t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+                assert r.um == exact and r.back == r.t and r.s == exact // 1_000_000, (tz, r)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

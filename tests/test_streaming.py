@@ -92,6 +92,7 @@ def test_stream_report_closed_windows(spark, tmp_dir):
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress if p["stateOperators"])
     assert dropped == 0
     got = spark.read.parquet(f"{tmp_dir}/out")
+    assert dict(got.dtypes)["win_start"] == "timestamp_ntz"
     feed = fold.valid_updates(load_feed(spark, SF01))
     t = F.col("type")
     want = feed.groupBy(F.window("ts", "1 day").start.alias("win_start"), "type", "id").agg(
@@ -140,3 +141,16 @@ def test_stateful_with_initial_state(spark, tmp_dir, batch_state, vectorized):
     final = allrows.groupBy("type", "id").agg(F.max_by(F.struct("delta", "value", "last_seq"), "batch").alias("s"))
     final = final.select("type", "id", "s.delta", "s.value", "s.last_seq")
     assert rows(final, *STATE_COLS) == batch_state
+
+
+def test_stream_report_independent_of_session_zone(spark):
+    from tallyfold.streaming import stream
+
+    utc = rows(stream.run_stream_report(spark, "/root/testdata/sf0.001", "1 day", "1 hour"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = rows(stream.run_stream_report(spark, "/root/testdata/sf0.001", "1 day", "1 hour"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == other and len(utc) > 0
