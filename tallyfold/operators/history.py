@@ -97,7 +97,10 @@ def running(
     """Add running values per ``keys`` in ``order`` (unique within a key).
 
     ``specs`` maps an output name to ``(kind, input column)``; see ``KINDS``.
-    ``bucket_size=None`` uses a single window level."""
+    ``bucket_size=None`` uses a single window level.  The two-level form
+    reads ``df`` twice (rows and bucket summaries): cheap for a scan, but an
+    expensive ``df`` should be materialised first
+    (:func:`tallyfold.session.materialize` or ``checkpoint()``)."""
     for kind, _ in specs.values():
         if kind not in KINDS:
             raise ValueError(f"unknown running kind {kind!r}")

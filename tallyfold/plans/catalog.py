@@ -16,7 +16,7 @@ from tallyfold.functions.numtext import format_int, format_shortest
 from tallyfold.functions.signing import sign_rows
 from tallyfold.operators import batching, delivery, fold, history, listing, lookup, sampling, validate
 from tallyfold.plans.sql import CUTOFF, SIGN_KEY
-from tallyfold.session import scratch_path
+from tallyfold.session import materialize, scratch_path
 from tallyfold.sources import readers, store
 from tallyfold.sources.feed import load_feed
 from tallyfold.sources.tables import load_table
@@ -191,7 +191,10 @@ def q_fold_atomic(spark, sf):
 
 
 def q_batch_strict(spark, sf):
-    b = _batched(spark, sf).withColumn("batch_id", F.struct("win_start", "batch_no"))
+    # Batch numbering is itself a two-level running pass; it is written once
+    # to the shared folder so the strict check (which reads its input twice)
+    # does not recompute its shuffles.
+    b = materialize(_batched(spark, sf), "batched").withColumn("batch_id", F.struct("win_start", "batch_no"))
     return validate.validate(b, mode="batch_strict", batch_col="batch_id").select(
         "seq", "id", "type", "delta", "value", "win_start", "batch_no", "status"
     )

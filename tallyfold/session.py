@@ -84,3 +84,13 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return os.path.abspath(path)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: a lineage cut for an expensive result that is read more
+    than once (the two-level running scan reads its input twice).  Written
+    by Spark tasks, so a lost executor only reruns its tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
