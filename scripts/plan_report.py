@@ -49,7 +49,7 @@ def main() -> None:
         print(", ".join(f"{k}: {v}" for k, v in c.items() if v) or "no exchange")
         for line in plan.splitlines():
             if "FileScan parquet" in line:
-                pushed = re.search(r"PushedFilters: \[(.*?)\]", line)
+                pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", line)
                 schema = re.search(r"ReadSchema: (struct<.*?>)", line)
                 print(f"\n- scan: pushed [{pushed.group(1) if pushed else ''}], reads `{schema.group(1) if schema else ''}`")
         print()
