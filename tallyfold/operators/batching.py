@@ -31,11 +31,19 @@ def assign_batches(
     return r.withColumn("batch_no", F.floor((F.col("_rn") - 1) / F.lit(max_size))).drop("_rn")
 
 
+def require_bounded(max_size: int) -> None:
+    """Payload encoding collects one batch into one array: only batches with
+    a size cap are bounded."""
+    if max_size <= 0:
+        raise ValueError("encoding payloads needs max_size > 0 (a batch is collected into one array)")
+
+
 def encode_batches(df: DataFrame, seq: str = "seq", batch_cols=("win_start", "batch_no")) -> DataFrame:
     """One payload row per batch: the JSON array of its records in seq order.
 
-    Each batch holds at most ``max_size`` rows (see :func:`assign_batches`),
-    so collecting one batch is bounded."""
+    Each batch holds at most ``max_size`` rows (see :func:`assign_batches`,
+    whose ``max_size`` must be positive here), so collecting one batch is
+    bounded."""
     rec = F.struct(F.col(seq).alias("_o"), *[F.col(c) for c in WIRE_FIELDS])
     recs = F.array_sort(F.collect_list(rec))
     wire = F.transform(recs, lambda r: F.struct(*[r[c].alias(c) for c in WIRE_FIELDS]))

@@ -158,8 +158,9 @@ def ship_samples(
     payload per batch (``win_start, batch_no, n_rows, first_seq, last_seq,
     payload``).  Rows of one sample keep their column order inside a batch
     through a fine-grained order key ``(seq, metric index)``."""
-    from tallyfold.operators.batching import assign_batches, encode_batches
+    from tallyfold.operators.batching import assign_batches, encode_batches, require_bounded
 
+    require_bounded(max_size)
     rows = report_rows(samples, gauge_cols, seq, ts, seed)
     names = list(gauge_cols) + [RANDOM_GAUGE, POLL_COUNTER]
     idx = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("id"))

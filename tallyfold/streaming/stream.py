@@ -129,6 +129,7 @@ def start_batching(src: DataFrame, path: str, checkpoint: str, max_size: int, ev
 
     A micro-batch boundary may split one interval's batch in two; no row is
     lost or repeated (the sink is keyed by ``batch_id``)."""
+    batching.require_bounded(max_size)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batching.assign_batches(batch, max_size, every)

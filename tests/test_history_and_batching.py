@@ -165,3 +165,9 @@ def test_ship_samples(spark):
     assert out.where("n_rows > 50").count() == 0
     dec = decode_batches(out, "payload")
     assert dec.where("id = 'PollCount'").count() == 25
+
+
+def test_unbounded_payloads_refused(spark):
+    s = _wide_samples(spark, 3)
+    with pytest.raises(ValueError):
+        sampling.ship_samples(s, 0, "1 day")
