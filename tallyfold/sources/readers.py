@@ -43,10 +43,12 @@ def read_metric_batch(spark: SparkSession, path: str) -> DataFrame:
     return decode_batches(raw, "body", keep=("batch_id",))
 
 
-def read_metric_feed(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_metric_feed(spark: SparkSession, path: str, streaming: bool = False, order_col: str | None = None) -> DataFrame:
     """JSON-lines updates (one object per line); malformed lines are kept
-    with their text in ``_corrupt_record``."""
-    schema = T.StructType(METRIC.fields + [T.StructField("_corrupt_record", T.StringType())])
+    with their text in ``_corrupt_record``.  ``order_col`` names an extra
+    BIGINT field carrying the arrival order (e.g. ``seq``)."""
+    extra = [T.StructField(order_col, T.LongType())] if order_col else []
+    schema = T.StructType(extra + METRIC.fields + [T.StructField("_corrupt_record", T.StringType())])
     reader = spark.readStream if streaming else spark.read
     return (
         reader.schema(schema)
