@@ -87,18 +87,24 @@ class MetricStateProcessor(StatefulProcessor):
         for pdf in rows:
             if pdf.empty:
                 continue
+            seqs = pdf["seq"].to_numpy()
             if mtype == COUNTER:
-                total = (0 if delta is None else int(delta)) + int(pdf["delta"].astype(object).sum())
+                d = pdf["delta"].to_numpy(dtype="int64")
+                part = int(d.sum())
+                # int64 sums wrap silently: recheck exactly near the limits.
+                if abs(float(d.astype("float64").sum())) > 9.0e18:
+                    part = sum(int(x) for x in d)
+                total = (0 if delta is None else int(delta)) + part
                 if not INT64_MIN <= total <= INT64_MAX:
                     raise ArithmeticError(f"counter {mid} overflows int64")
                 delta = total
-            newest = pdf.loc[pdf["seq"].idxmax()]
-            if last_seq is None or int(newest["seq"]) > last_seq:
-                last_seq = int(newest["seq"])
+            i = int(seqs.argmax())
+            if last_seq is None or int(seqs[i]) > last_seq:
+                last_seq = int(seqs[i])
                 if mtype == GAUGE:
-                    value = float(newest["value"])
+                    value = float(pdf["value"].to_numpy()[i])
         self.state.update((delta, value, last_seq))
-        yield pd.DataFrame([{"type": mtype, "id": mid, "delta": delta, "value": value, "last_seq": last_seq}])
+        yield pd.DataFrame({"type": [mtype], "id": [mid], "delta": [delta], "value": [value], "last_seq": [last_seq]})
 
     def close(self) -> None:
         pass
