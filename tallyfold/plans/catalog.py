@@ -192,6 +192,22 @@ def q_fold_atomic(spark, sf):
     )
 
 
+def q_ingest_batches(spark, sf):
+    # The feed shipped as signed batch payloads (arrival order = first seq),
+    # then ingested: signatures verified, bodies checked whole, accepted
+    # batches decoded in order and folded.
+    from tallyfold.functions.signing import hmac_sha256_hex
+    from tallyfold.operators.ingest import ingest_batches
+
+    enc = batching.encode_batches(_batched(spark, sf))
+    reqs = enc.select(
+        F.col("first_seq").alias("batch_seq"), F.col("payload").alias("body"),
+        hmac_sha256_hex("payload", SIGN_KEY).alias("signature"), F.lit("application/json").alias("content_type"),
+    )
+    _, state = ingest_batches(reqs, key=SIGN_KEY)
+    return state.select("type", "id", "delta", "value")
+
+
 def q_batch_strict(spark, sf):
     # Batch numbering is itself a two-level running pass; it is written once
     # to the shared folder so the strict check (which reads its input twice)
@@ -405,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "encode_batches": q_encode_batches,
     "batch_status": q_batch_status,
     "fold_atomic": q_fold_atomic,
+    "ingest_batches": q_ingest_batches,
     "batch_strict": q_batch_strict,
     "validate_json": q_validate_json,
     "outcome_counts": q_outcome_counts,

@@ -338,3 +338,4 @@ ORACLES["stream_report"] = with_feed(
     "HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' <= "
     "(SELECT max(ts) FROM valid) - INTERVAL '1 hour'"
 )
+ORACLES["ingest_batches"] = FOLD_NO_SEQ
