@@ -359,6 +359,12 @@ def q_stream_stateful_rows(spark, sf):
     return run_stream_stateful(spark, sf, CUTOFF, vectorized=False)
 
 
+def q_stream_live_fold(spark, sf):
+    from tallyfold.streaming import stream
+
+    return stream.run_live_fold(spark, sf)
+
+
 def q_stream_batches(spark, sf):
     from tallyfold.streaming import stream
 
@@ -444,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "stream_stateful": q_stream_stateful,
     "stream_stateful_rows": q_stream_stateful_rows,
     "stream_batches": q_stream_batches,
+    "stream_live_fold": q_stream_live_fold,
     "stream_report": q_stream_report,
     "feed_roundtrip": q_feed_roundtrip,
     "state_table": q_state_table,

@@ -339,3 +339,4 @@ ORACLES["stream_report"] = with_feed(
     "(SELECT max(ts) FROM valid) - INTERVAL '1 hour'"
 )
 ORACLES["ingest_batches"] = FOLD_NO_SEQ
+ORACLES["stream_live_fold"] = FOLD

@@ -154,3 +154,18 @@ def test_stream_report_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == other and len(utc) > 0
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_live_fold_change_log(spark, tmp_dir, batch_state, reverse):
+    split_events(SF01, f"{tmp_dir}/in", 4, reverse=reverse)
+    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
+    root = f"{tmp_dir}/live"
+    stream.start_live_fold(src, root, f"{tmp_dir}/ck").awaitTermination()
+    changes = stream._committed_versions(spark, f"{root}/changes")
+    assert len(changes) == 4
+    # Each version holds only the keys its micro-batch changed.
+    assert spark.read.parquet(stream.version_path(f"{root}/changes", changes[0])).count() < 600
+    assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
+    assert stream.compact_live_state(spark, root) == changes[-1]
+    assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
