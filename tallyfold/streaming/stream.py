@@ -4,9 +4,13 @@
 * :func:`start_snapshots` - the live fold written as a full snapshot every
   trigger interval (periodic snapshot; default 300 s).
 * :func:`start_merge` - each micro-batch merged into a durable state table
-  kept as version directories ``v=<batch_id>``.  A micro-batch reads version
-  ``batch_id - 1`` and overwrites version ``batch_id``, so a replayed batch
-  after a failure rewrites the same version and never adds twice.
+  kept as version directories ``v=<batch_id>``.  A micro-batch reads the
+  newest version below its id and overwrites version ``batch_id``, so a
+  replayed batch after a failure rewrites the same version and never adds
+  twice.  It rewrites the whole state per micro-batch.
+* :func:`start_live_fold` - the fold kept in Spark's state store, writing
+  only the keys each micro-batch changed (a change log with compaction);
+  its work follows the changes, not the state size.
 * :func:`stream_report` - tumbling interval report with a watermark.
 * :func:`start_batching` - size-or-interval payloads per micro-batch.
 
