@@ -169,3 +169,15 @@ def test_live_fold_change_log(spark, tmp_dir, batch_state, reverse):
     assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
     assert stream.compact_live_state(spark, root) == changes[-1]
     assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
+
+
+def test_periodic_snapshots_processing_time(spark, tmp_dir, batch_state):
+    split_events(SF01, f"{tmp_dir}/in", 2)
+    src = stream.feed_stream(spark, f"{tmp_dir}/in")
+    q = stream.start_snapshots(src, f"{tmp_dir}/snap", f"{tmp_dir}/ck", interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert stream.latest_version(spark, f"{tmp_dir}/snap") is not None
+    assert rows(stream.read_version(spark, f"{tmp_dir}/snap"), *STATE_COLS) == batch_state
