@@ -77,6 +77,34 @@ def restore_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     )
 
 
+def write_metric_tables(state: DataFrame, root: str) -> None:
+    """Store state as the reference's two tables: ``gauge_metrics(name,
+    value)`` and ``counter_metrics(name, value)`` under ``root``."""
+    t = F.col("type")
+    state.where(t == GAUGE).select(F.col("id").alias("name"), F.col("value")).write.mode("overwrite").parquet(
+        f"{root.rstrip('/')}/gauge_metrics"
+    )
+    state.where(t == COUNTER).select(F.col("id").alias("name"), F.col("delta").alias("value")).write.mode(
+        "overwrite"
+    ).parquet(f"{root.rstrip('/')}/counter_metrics")
+
+
+def read_metric_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Scan the two metric tables back into one state table (``last_seq``
+    is unknown there: -1).  Reading the same two tables over JDBC is the same
+    plan with ``spark.read.jdbc``."""
+    r = root.rstrip("/")
+    g = spark.read.parquet(f"{r}/gauge_metrics").select(
+        F.lit(GAUGE).alias("type"), F.col("name").alias("id"), F.lit(None).cast("bigint").alias("delta"),
+        F.col("value").cast("double").alias("value"), F.lit(-1).cast("bigint").alias("last_seq"),
+    )
+    c = spark.read.parquet(f"{r}/counter_metrics").select(
+        F.lit(COUNTER).alias("type"), F.col("name").alias("id"), F.col("value").cast("bigint").alias("delta"),
+        F.lit(None).cast("double").alias("value"), F.lit(-1).cast("bigint").alias("last_seq"),
+    )
+    return g.unionByName(c)
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The stored state table (Parquet, partitioned by ``type``)."""
     return spark.read.parquet(path)

@@ -174,3 +174,11 @@ def test_publish_snapshot_versions(spark, feed, tmp_dir):
     assert rows(store.restore_latest(spark, root), *STATE_COLS) == rows(fold.fold(feed), *STATE_COLS)
     assert store.publish_snapshot(a, root, version=1) == 1
     assert rows(store.restore_latest(spark, root), *STATE_COLS) == rows(a, *STATE_COLS)
+
+
+def test_metric_tables_roundtrip(spark, feed, tmp_dir):
+    s = fold.fold(feed)
+    store.write_metric_tables(s, f"{tmp_dir}/db")
+    back = store.read_metric_tables(spark, f"{tmp_dir}/db")
+    assert rows(back, "type", "id", "delta", "value") == rows(s, "type", "id", "delta", "value")
+    assert set(spark.read.parquet(f"{tmp_dir}/db/gauge_metrics").columns) == {"name", "value"}
