@@ -102,3 +102,59 @@ def test_strict_batches_apply_prefix(spark, items):
         status = 400 if bad else 200
         want += [(i, status) for i, *_ in mine if first is None or i < first]
     assert got == sorted(want, key=repr)
+
+
+requests = st.lists(st.tuples(st.sampled_from(["gauge", "counter", "other"]), st.sampled_from(["a", "b", "c", "z"])),
+                    min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(feeds, requests, st.sampled_from(["json", "path"]))
+def test_lookup_matches_model(spark, feed, reqs, form):
+    from tallyfold.operators import lookup
+
+    state = {(t, k): (d, v) for t, k, d, v, _ in model_fold(feed)}
+    req = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(reqs)], "rid long, type string, id string")
+    got = rows(lookup.lookup(req, fold.fold(_df(spark, feed)), form=form), "rid", "status", "delta", "value")
+    want = []
+    for i, (t, k) in enumerate(reqs):
+        if t not in ("gauge", "counter"):
+            want.append((i, 501 if form == "json" else 400, None, None))
+        elif (t, k) not in state:
+            want.append((i, 404, None, None))
+        else:
+            d, v = state[(t, k)]
+            want.append((i, 200, d, v))
+    assert got == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(feeds)
+def test_report_intervals_matches_model(spark, feed):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyfold.operators import sampling
+
+    base = dt.datetime(2024, 1, 1)
+    df = _df(spark, feed).withColumn("ts", (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), (F.col("seq") * 7).cast("int"))))
+    got = rows(sampling.report_intervals(df, "1 hour"), "win_start", "type", "id", "delta", "value")
+    per, totals = {}, {}
+    for i, (t, k, d, v) in enumerate(feed):
+        hour = base + dt.timedelta(hours=(i * 7) // 60)
+        if t == "gauge" and v is not None:
+            per.setdefault((hour, t, k), [None, None])[1] = v
+        elif t == "counter" and d is not None:
+            slot = per.setdefault((hour, t, k), [0, None])
+            slot[0] = (slot[0] or 0) + d
+    want = []
+    for (hour, t, k) in sorted(per, key=lambda x: x[0]):
+        d, v = per[(hour, t, k)]
+        if t == "counter":
+            totals[k] = totals.get(k, 0) + d
+            want.append((hour, t, k, totals[k], None))
+        else:
+            want.append((hour, t, k, None, v))
+    assert got == sorted(want, key=repr)
