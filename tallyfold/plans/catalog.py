@@ -322,17 +322,25 @@ def q_sign_rows(spark, sf):
     return sign_rows(load_feed(spark, sf), SIGN_KEY).select("seq", "body", "signature")
 
 
-def q_delivery_outcome(spark, sf):
+def _attempts(spark, sf):
     # Every event is one send by its user (the request); attempts are the
     # user's sends in seq order, answered with the JSON-endpoint status.
     judged = _json_judged(spark, sf, keep=("user_id",))
     ranked = history.running(judged.select("seq", "user_id", "status"), ["user_id"], "seq",
                              {"attempt": ("count", None)}, bucket_size=500)
-    attempts = ranked.select(
+    return ranked.select(
         F.col("user_id").alias("request_id"), F.col("attempt").cast("int").alias("attempt"),
         F.col("status").alias("http_status"),
     )
-    return delivery.delivery_outcome(attempts, mode="single")
+
+
+def q_delivery_outcome(spark, sf):
+    return delivery.delivery_outcome(_attempts(spark, sf), mode="single")
+
+
+def q_delivery_outcome_batch(spark, sf):
+    # Batch sends count any other non-200 answer (here 501) as a server error.
+    return delivery.delivery_outcome(_attempts(spark, sf), mode="batch")
 
 
 def q_stream_fold(spark, sf):
@@ -445,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "poll_count": q_poll_count,
     "sign_rows": q_sign_rows,
     "delivery_outcome": q_delivery_outcome,
+    "delivery_outcome_batch": q_delivery_outcome_batch,
     "stream_fold": q_stream_fold,
     "stream_merge": q_stream_merge,
     "stream_stateful": q_stream_stateful,

@@ -340,3 +340,9 @@ ORACLES["stream_report"] = with_feed(
 )
 ORACLES["ingest_batches"] = FOLD_NO_SEQ
 ORACLES["stream_live_fold"] = FOLD
+ORACLES["delivery_outcome_batch"] = ORACLES["delivery_outcome"].replace(
+    "min(CASE WHEN http_status = 200 OR (http_status NOT IN (502, 503, 504) "
+    "AND NOT (http_status >= 400 AND http_status < 500)) THEN attempt END)",
+    "min(CASE WHEN http_status = 200 THEN attempt END)",
+)
+assert ORACLES["delivery_outcome_batch"] != ORACLES["delivery_outcome"]
