@@ -21,7 +21,7 @@ from tallyfold.session import build_session  # noqa: E402
 
 RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_stateful", "stream_stateful_rows", "stream_batches",
                     "stream_report", "restore_snapshot", "restore_snapshot_json", "resume", "feed_roundtrip",
-                    "state_table"}
+                    "state_table", "stream_live_fold"}
 NODES = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition", "SortMergeJoin",
          "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate",
          "SortAggregate", "ObjectHashAggregate", "Window", "Generate", "Union", "Expand", "ArrowEvalPython",

@@ -9,7 +9,7 @@ from tallyfold.plans.catalog import QUERIES
 # here; the others are planned without executing.
 RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_stateful", "stream_stateful_rows",
                     "stream_batches", "restore_snapshot", "restore_snapshot_json", "resume",
-                    "feed_roundtrip", "state_table", "stream_report"}
+                    "feed_roundtrip", "state_table", "stream_report", "stream_live_fold"}
 
 
 def plan(df) -> str:
