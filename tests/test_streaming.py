@@ -54,6 +54,8 @@ def test_stream_merge_equals_batch(spark, tmp_dir, batch_state, reverse):
     q = stream.start_merge(src, f"{tmp_dir}/state", f"{tmp_dir}/ck")
     q.awaitTermination()
     assert stream.latest_version(spark, f"{tmp_dir}/state") == 4
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["rows"] for m in seen) == 10000 and sum(m["applied"] for m in seen) == 7189
     assert rows(stream.read_version(spark, f"{tmp_dir}/state"), *STATE_COLS) == batch_state
 
 
