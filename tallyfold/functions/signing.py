@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.jsoncodec import encode_json
 
 BLOCK = 64
+# Fixed value: the header that carries the signature of a body.
 SIG_HEADER = "HashSHA256"
 
 

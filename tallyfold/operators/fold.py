@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.schema import COUNTER, GAUGE, KEY
 
-FOLD_INPUT = ["seq", "type", "id", "delta", "value"]
-
-
 def is_valid_update(type_col: str = "type", delta: str = "delta", value: str = "value") -> Column:
     """A batch row is applied when it is a gauge with a value or a counter
     with a delta; everything else is skipped."""
