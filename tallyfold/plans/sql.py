@@ -346,3 +346,4 @@ ORACLES["delivery_outcome_batch"] = ORACLES["delivery_outcome"].replace(
     "min(CASE WHEN http_status = 200 THEN attempt END)",
 )
 assert ORACLES["delivery_outcome_batch"] != ORACLES["delivery_outcome"]
+ORACLES["running_counter_hot_plain"] = ORACLES["running_counter_hot"]
