@@ -72,7 +72,10 @@ def merge_state(state: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFra
     """Merge a batch of updates into existing state (union + fold, one shuffle).
 
     The state keeps its ``last_seq``, so a batch that arrives late cannot
-    overwrite a newer gauge, and counters simply add."""
+    overwrite a newer gauge, and counters simply add.  Merging the same batch
+    twice adds its counters twice: retries stay exact by rebuilding a version
+    from the version before it (see ``streaming.stream.merge_micro_batch``),
+    not by merging again."""
     upd = batch.select(F.col(seq).alias("seq"), "type", "id", "delta", "value")
     return _fold_valid(state_as_updates(state).unionByName(valid_updates(upd)))
 
