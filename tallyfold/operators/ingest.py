@@ -53,11 +53,11 @@ def ingest_batches(
 
     ``batches`` has one row per request with ``order_col`` (arrival order of
     the batch: a unique, non-negative BIGINT below 2^39), ``body`` and
-    optionally ``signature`` and ``content_type``.  Returns ``(statuses, new_state)``: the status of
-    every batch, and the state after the accepted batches, whose rows are
-    applied in (batch order, position) order with the lenient rules (unknown
-    types and rows without payload are skipped).  ``seq`` of a row is
-    ``batch_seq * 2^24 + pos``."""
+    optionally ``signature`` and ``content_type``.  Returns ``(statuses,
+    new_state)``: the status of every batch, and the state after the
+    accepted batches, whose rows are applied in (batch order, position)
+    order with the lenient rules (unknown types and rows without payload are
+    skipped).  ``seq`` of a row is ``batch_seq * 2^24 + pos``."""
     judged = batch_statuses(batches, key, body, signature, content_type)
     statuses = judged.drop("parsed")
     rows = decode_parsed_batches(judged.where(F.col("status") == 200), "parsed", keep=(order_col,))
