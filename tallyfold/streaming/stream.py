@@ -209,7 +209,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: bool = True,
-                    interval: str | None = None):
+                    interval: str | None = None, compact_every: int | None = None):
     """Live fold whose work per micro-batch follows the keys it changes.
 
     The fold is Spark's streaming aggregate: its state lives in the RocksDB
@@ -217,7 +217,10 @@ def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: b
     state updates), and ``update`` mode emits only the keys a micro-batch
     changed, each with its full new state.  Those rows are written to
     ``{root}/changes/v=<batch_id>`` (overwrite, so a replayed batch rewrites
-    its own version).  :func:`read_live_state` gives the current state."""
+    its own version).  :func:`read_live_state` gives the current state.
+    ``compact_every=n`` folds the change log into a new base every n
+    micro-batches (a periodic snapshot); a replayed batch redoes the same
+    compaction, which overwrites the same base version."""
     spark = src.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -225,6 +228,8 @@ def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: b
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(changes, batch_id))
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_live_state(spark, root)
 
     w = stream_fold(src).writeStream.outputMode("update").foreachBatch(write).option(
         "checkpointLocation", checkpoint

@@ -197,3 +197,12 @@ def test_stream_report_counts_late_rows(spark, tmp_dir):
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0)
                   for p in q.recentProgress if p["stateOperators"])
     assert dropped > 0
+
+
+def test_live_fold_periodic_compaction(spark, tmp_dir, batch_state):
+    split_events(SF01, f"{tmp_dir}/in", 5)
+    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
+    root = f"{tmp_dir}/live"
+    stream.start_live_fold(src, root, f"{tmp_dir}/ck", compact_every=2).awaitTermination()
+    assert stream._committed_versions(spark, f"{root}/base") == [1, 3]
+    assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
