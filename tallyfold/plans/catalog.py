@@ -235,6 +235,16 @@ def q_validate_json(spark, sf):
     return j.select("seq", "type", "id", "status", F.when(F.col("status") == 200, F.col("body")).alias("reply"))
 
 
+def q_decode_json(spark, sf):
+    # Each feed row is sent as a JSON body (P2), decoded back (P1) and judged
+    # as a single JSON update (P7).
+    from tallyfold.functions.jsoncodec import decode_json
+
+    bodies = load_feed(spark, sf).select("seq", encode_json().alias("body"))
+    judged = validate.validate(decode_json(bodies, "body"), mode="json")
+    return judged.select("seq", "type", "id", "status", "delta", "value")
+
+
 def q_outcome_counts(spark, sf):
     return fold.outcome_counts(_json_judged(spark, sf), body="body")
 
@@ -445,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "ingest_batches": q_ingest_batches,
     "batch_strict": q_batch_strict,
     "validate_json": q_validate_json,
+    "decode_json": q_decode_json,
     "outcome_counts": q_outcome_counts,
     "validate_paths": q_validate_paths,
     "lookup": q_lookup,

@@ -347,3 +347,8 @@ ORACLES["delivery_outcome_batch"] = ORACLES["delivery_outcome"].replace(
 )
 assert ORACLES["delivery_outcome_batch"] != ORACLES["delivery_outcome"]
 ORACLES["running_counter_hot_plain"] = ORACLES["running_counter_hot"]
+ORACLES["decode_json"] = with_feed(
+    "SELECT seq, type, id, CASE WHEN type = 'gauge' THEN CASE WHEN value IS NULL THEN 400 ELSE 200 END "
+    "WHEN type = 'counter' THEN CASE WHEN delta IS NULL THEN 400 ELSE 200 END ELSE 501 END AS status, "
+    "delta, value FROM feed"
+)
