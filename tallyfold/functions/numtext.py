@@ -58,14 +58,76 @@ def format_int(col: Column | str) -> Column:
     return _c(col).cast("string")
 
 
+def _shl(x: Column, n: Column) -> Column:
+    # SQL shiftleft takes a column shift count (the Python helper an int).
+    return F.call_function("shiftleft", x, n)
+
+
+def _pow2_decimal(n: Column) -> Column:
+    """2^n as an exact DECIMAL(38,0) for 0 <= n <= 124."""
+    lo = F.least(n, F.lit(62))
+    one = F.lit(1).cast("bigint")
+    return _shl(one, lo).cast("decimal(38,0)") * _shl(one, n - lo).cast("decimal(38,0)")
+
+
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it in ``body`` (a one-element
+    ``transform``): keeps a value that is used several times from being
+    copied into the expression tree each time."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _fixed6_digits(mant: Column, n: Column) -> Column:
+    """round_half_even(mant * 10^6 / 2^n) as plain digits, exactly."""
+    million = F.lit(1_000_000).cast("decimal(38,0)")
+
+    def with_frac(t):
+        q, p = t["q"], t["p"]
+        return _let(q % p, lambda rem: _let(((q - rem) / p).cast("decimal(38,0)"), lambda quo: F.when(
+            (rem * F.lit(2) > p) | ((rem * F.lit(2) == p) & ((quo % F.lit(2)) == 1)), quo + F.lit(1)
+        ).otherwise(quo).cast("decimal(38,0)")))
+
+    frac = _let(
+        F.struct((mant * million).alias("q"), _pow2_decimal(F.greatest(F.least(n, F.lit(124)), F.lit(0))).alias("p")),
+        with_frac,
+    )
+    whole = (mant * _pow2_decimal(F.greatest(-n, F.lit(0))) * million).cast("decimal(38,0)")
+    return F.when(n > 0, frac).otherwise(whole).cast("string")
+
+
 def format_fixed6(col: Column | str) -> Column:
-    """``%f`` text: six decimals; NaN and infinities as ``NaN``, ``+Inf``, ``-Inf``."""
+    """``%f`` text: six decimals, correctly rounded from the double's exact
+    binary value (round half to even), as Go and C print it; NaN and
+    infinities as ``NaN``, ``+Inf``, ``-Inf``.
+
+    The double is split exactly into an integer mantissa m < 2^53 and a
+    power of two (``pow(2, n)`` and scaling by it are exact), then
+    ``m * 10^6 / 2^n`` is rounded with exact decimal arithmetic: the
+    remainder decides, so no division rounds.  Magnitudes of 1e30 and more
+    fall back to Java's formatter (their exact digits exceed DECIMAL(38))."""
     v = _c(col)
+    a = F.abs(v)
+    sign = F.when(v.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+
+    def from_exponent(e0):  # e0 may be off by one at powers of two
+        return _let(a * F.pow(F.lit(2.0), F.lit(52) - e0), lambda m0: _let(
+            F.when(m0 >= F.lit(float(2**53)), F.lit(-1)).when(m0 < F.lit(float(2**52)), F.lit(1)).otherwise(F.lit(0)),
+            lambda adj: _fixed6_digits((m0 * F.pow(F.lit(2.0), adj)).cast("decimal(38,0)"), F.lit(52) - e0 + adj),
+        ))
+
+    def place_point(r):
+        return _let(F.when(F.length(r) < 7, F.lpad(r, 7, "0")).otherwise(r), lambda d: F.concat(
+            sign, F.substr(d, F.lit(1), F.length(d) - F.lit(6)), F.lit("."), F.substr(d, F.length(d) - F.lit(5), F.lit(6))
+        ))
+
+    text = place_point(_let(F.floor(F.log2(a)).cast("int"), from_exponent))
     return (
         F.when(F.isnan(v), F.lit("NaN"))
         .when(v == _pos_inf(), F.lit("+Inf"))
         .when(v == _neg_inf(), F.lit("-Inf"))
-        .otherwise(F.format_string("%f", v))
+        .when(a < F.lit(1e-8), F.concat(sign, F.lit("0.000000")))  # far below half of the last digit
+        .when(a >= F.lit(1e30), F.format_string("%f", v))
+        .otherwise(text)
     )
 
 

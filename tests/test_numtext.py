@@ -89,3 +89,11 @@ def test_zone_free_time_conversions(spark):
                 assert r.um == exact and r.back == r.t and r.s == exact // 1_000_000, (tz, r)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fixed6_rounds_exact_binary_value(spark):
+    # Shortest text ends in a 5 at the 7th decimal; the exact binary value
+    # decides the rounding (Java's formatter would round these up).
+    vals = [5e-7, 1234.5678905, 1.0000005, 2.5e-7, -7.1234565, 9.9999995, 2.0**60]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r.f for r in df.select(format_fixed6("v").alias("f")).collect()] == ["%f" % v for v in vals]

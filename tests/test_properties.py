@@ -158,3 +158,13 @@ def test_report_intervals_matches_model(spark, feed):
         else:
             want.append((hour, t, k, None, v))
     assert got == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.floats(min_value=-1e29, max_value=1e29, allow_nan=False), min_size=1, max_size=200))
+def test_fixed6_matches_correctly_rounded_printf(spark, values):
+    from tallyfold.functions.numtext import format_fixed6
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.f for r in df.select(format_fixed6("v").alias("f")).collect()]
+    assert got == ["%f" % v for v in values]
