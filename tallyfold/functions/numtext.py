@@ -131,20 +131,9 @@ def format_fixed6(col: Column | str) -> Column:
     )
 
 
-def format_shortest(col: Column | str) -> Column:
-    """Shortest round-trip decimal text of a DOUBLE, never with an exponent.
-
-    Spark prints the shortest digits: ``ddd.d`` inside [1e-3, 1e7), where
-    the only excess is a trailing ``.0``, and ``d.dddE±n`` outside it.  The
-    exponent form is expanded by moving the point with plain string
-    operations, so the digits stay exact at every magnitude and the common
-    case costs one suffix test."""
-    v = _c(col)
-    s = v.cast("string")
-    mant = F.substring_index(s, "E", 1)
-    e = F.substring_index(s, "E", -1).cast("int")
-    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.translate(mant, "-.", ""), r"0+$", "")
+def _expand_sci(mant_digits: Column, sign: Column, e: Column) -> Column:
+    """Plain decimal text of ``sign d.ddd x 10^e`` given the digit string."""
+    digits = F.regexp_replace(mant_digits, r"0+$", "")
     digits = F.when(digits == "", F.lit("0")).otherwise(digits)
     n = F.length(digits)
     pos = e + F.lit(1)  # digits before the point
@@ -152,11 +141,49 @@ def format_shortest(col: Column | str) -> Column:
         F.concat(F.substr(digits, F.lit(1), pos), F.lit("."), F.substr(digits, pos + F.lit(1), n - pos))
     )
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -pos), digits)
-    expanded = F.concat(sign, F.when(e >= 0, big).otherwise(small))
+    return F.concat(sign, F.when(e >= 0, big).otherwise(small))
+
+
+def _shortest_search(v: Column) -> Column:
+    """Fewest significant digits (1..17) whose scientific text reads back as
+    ``v``, expanded without exponent."""
+    cands = F.transform(
+        F.sequence(F.lit(0), F.lit(16)),
+        lambda k: F.printf(F.concat(F.lit("%."), k.cast("string"), F.lit("e")), v),
+    )
+    best = F.element_at(F.filter(cands, lambda t: t.cast("double") == v), 1)
+
+    def expand(t):
+        mant = F.substring_index(t, "e", 1)
+        sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+        return _expand_sci(F.translate(mant, "-.", ""), sign, F.substring_index(t, "e", -1).cast("int"))
+
+    return _let(best, expand)
+
+
+def format_shortest(col: Column | str) -> Column:
+    """Shortest round-trip decimal text of a DOUBLE, never with an exponent.
+
+    Spark prints ``ddd.d`` inside [1e-3, 1e7), where the only excess is a
+    trailing ``.0``, and ``d.dddE±n`` outside it; that form is expanded by
+    moving the point with string operations, exact at every magnitude.
+    Java 17's printer sometimes emits one digit too many (e.g.
+    ``1.9999999999999998E23`` for 2e23, ``4.9E-324`` for 5e-324); when its
+    text carries 16 or more significant digits, or the value is subnormal,
+    the fewest digits that read back as the same double are searched
+    instead (at most 17 format-and-parse steps, JVM-side)."""
+    v = _c(col)
+    s = v.cast("string")
+    mant = F.substring_index(s, "E", 1)
+    sig = F.length(F.regexp_replace(F.regexp_replace(F.translate(mant, "-.", ""), r"^0+", ""), r"0+$", ""))
+    e = F.when(s.contains("E"), F.substring_index(s, "E", -1).cast("int"))
+    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    expanded = _expand_sci(F.translate(mant, "-.", ""), sign, e)
     return (
         F.when(F.isnan(v), F.lit("NaN"))
         .when(v == _pos_inf(), F.lit("+Inf"))
         .when(v == _neg_inf(), F.lit("-Inf"))
+        .when((sig >= 16) | ((v != 0) & (F.abs(v) < F.lit(2.2250738585072014e-308))), _shortest_search(v))
         .when(s.contains("E"), expanded)
         .when(s.endswith(".0"), F.substr(s, F.lit(1), F.length(s) - F.lit(2)))
         .otherwise(s)

@@ -97,3 +97,11 @@ def test_fixed6_rounds_exact_binary_value(spark):
     vals = [5e-7, 1234.5678905, 1.0000005, 2.5e-7, -7.1234565, 9.9999995, 2.0**60]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     assert [r.f for r in df.select(format_fixed6("v").alias("f")).collect()] == ["%f" % v for v in vals]
+
+
+def test_shortest_text_where_java_prints_extra_digits(spark):
+    vals = [2e23, 1e23, 5e-324, -5.703712459035042e16, 5.410487932934154e18]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.s for r in df.select(format_shortest("v").alias("s")).collect()]
+    assert got == [go_shortest(v) for v in vals]
+    assert got[2] == "0." + "0" * 323 + "5"
