@@ -121,7 +121,7 @@ def report_rows(
     seq: str = "seq",
     ts: str = "ts",
     seed: int | None = None,
-    bucket_size: int | None = None,
+    bucket_size: int | None = 1 << 20,
 ) -> DataFrame:
     """The agent's report for each wide sample: one gauge per named column,
     a ``RandomValue`` gauge in [0, 1), and the ``PollCount`` counter carrying
@@ -129,7 +129,7 @@ def report_rows(
     two-level so a long sample history is not sorted in one task).
 
     Output: ``seq, ts, type, id, delta, value``."""
-    from tallyfold.operators.history import DEFAULT_BUCKET, running
+    from tallyfold.operators.history import running
 
     gauges = unpivot_sample(samples, [seq, ts], gauge_cols)
     rnd = F.rand(seed) if seed is not None else F.rand()
@@ -137,7 +137,7 @@ def report_rows(
         seq, ts, F.lit(GAUGE).alias("type"), F.lit(RANDOM_GAUGE).alias("id"),
         F.lit(None).cast("bigint").alias("delta"), rnd.alias("value"),
     )
-    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, bucket_size or DEFAULT_BUCKET)
+    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, bucket_size)
     polls = counted.select(
         seq, ts, F.lit(COUNTER).alias("type"), F.lit(POLL_COUNTER).alias("id"),
         F.col("_n").cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"),
