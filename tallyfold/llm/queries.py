@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, sharding
+from . import mixing, pii, quality, sharding, substring
 from .common import table
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 20-word windows that also start earlier, removed from every document."""
+    kept = substring.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed: sources weigh 3, 1, 2 in turn and give 150 % of all words."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -42,6 +48,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,

@@ -44,6 +44,26 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
+OP6 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, unnest(range(1, greatest(len(w) - 18, 1)::BIGINT)) AS s, w FROM words),
+seen AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) > 1 AS again
+  FROM starts),
+gone AS (SELECT DISTINCT doc_id, s + i AS p FROM seen, range(20) t(i) WHERE again),
+spread AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM words),
+kept AS (
+  SELECT s.doc_id, count(*) FILTER (WHERE g.p IS NOT NULL) AS n_removed,
+         string_agg(s.word, ' ' ORDER BY s.p) FILTER (WHERE g.p IS NULL) AS rest
+  FROM spread s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.p = g.p GROUP BY s.doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
 ORACLES = {
+    "op6_substring_dedup": OP6,
     "op7_mixing": OP7,
 }
