@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, sharding, substring
+from . import mixing, pii, quality, sharding, simhash, substring
 from .common import table
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash and component (3-word shingles, 2 bits)."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 20-word windows that also start earlier, removed from every document."""
     kept = substring.dedup(table(spark, sf_dir, "documents"))
@@ -48,6 +54,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,

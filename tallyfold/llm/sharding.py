@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -34,7 +34,7 @@ OVERFULL = 3.0
 COPY_BITS = 24
 
 
-def sharding_key() -> F.Column:
+def sharding_key() -> Column:
     low = (1 << COPY_BITS) - 1
     by_text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     return by_text.bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.col("doc_id")).bitwiseAND(F.lit(low)))
