@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, sharding, simhash, substring
+from . import mixing, pii, quality, sharding, simhash, substring, suffix
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that start in two places, removed from every document."""
+    kept = suffix.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash and component (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -54,6 +60,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,

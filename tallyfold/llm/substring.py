@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import documents, pack, uniq, unpack, with_chunks
+from .common import MESSAGE, documents, messages, mix64, pack, slices, uniq, unpack, with_chunks
 
 WINDOW = 20
 #: Bytes of text in a chunk.
@@ -36,14 +36,6 @@ CHUNK_BYTES = 16 << 20
 #: Cells of each count-min row per byte of text (a word takes several bytes).
 CELLS_PER_BYTE = 0.5
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-MESSAGE = "shard long, chunk int, kind int, blob binary"
-
-
-def mix64(h: np.ndarray) -> np.ndarray:
-    """A bijection that spreads every bit over the word."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
 
 def rolling(h: np.ndarray, window: int, multiplier: int) -> np.ndarray:
@@ -93,22 +85,6 @@ class Chunk:
             self.a, self.b = (rolling(halves[word, i], window, m)[self.start] for i, m in enumerate(MULTIPLIERS))
 
 
-def slices(values: np.ndarray, shift: int):
-    """(shard, values of it) of sorted ``values``; the shard is in the bits from ``shift`` up."""
-    if not len(values):
-        return
-    shard = values >> np.uint64(shift)
-    cut = np.concatenate(([0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(values)]))
-    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        yield int(shard[lo]), slice(lo, hi)
-
-
-def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
-    cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
-                     pa.array(cols[3], pa.binary())], ["shard", "chunk", "kind", "blob"])
-
-
 def replies(table: pa.Table, kind: int) -> bytes:
     """The blobs of one kind, joined in order of shard."""
     t = sorted((s, b) for s, k, b in zip(table.column("shard").to_pylist(), table.column("kind").to_pylist(),
