@@ -106,13 +106,13 @@ def uniq(a: np.ndarray) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers below 2^35 as little-endian base-128 bytes."""
+    """Non-negative integers as little-endian base-128 bytes."""
     v = values.astype(np.uint64)
     if not len(v):
         return b""
     width = np.ones(len(v), np.int64)
-    for bits in (7, 14, 21, 28):
-        width += v >= (1 << bits)
+    for bits in range(7, int(v.max()).bit_length(), 7):
+        width += v >= np.uint64(1 << bits)
     end = np.cumsum(width)
     out = np.zeros(int(end[-1]), np.uint8)
     start = end - width

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, sharding, simhash, substring, suffix
+from . import lm, mixing, pii, quality, sharding, simhash, substring, suffix
 from .common import table
 
 
@@ -21,6 +21,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score under a byte model and a word model of the training part."""
+    docs = lm.split(table(spark, sf_dir, "documents"))
+    model = lm.train(docs.where("not held_out"))
+    scored = model.score(docs)
+    crc = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8"))
+    return scored.select("doc_id", (crc % 7 == 2).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 20-word windows that also start earlier, removed from every document."""
     kept = substring.dedup(table(spark, sf_dir, "documents"))
@@ -62,6 +72,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
