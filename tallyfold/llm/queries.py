@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lm, mixing, pii, quality, sharding, simhash, substring, suffix
+from . import decontaminate, lm, mixing, pii, quality, sharding, simhash, substring, suffix, templates
 from .common import table
 
 
@@ -21,6 +21,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its error budget, and the items."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = decontaminate.mark(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") > 0)
+    return found.select("doc_id", F.size("leaks").cast("long").alias("n_items"), F.col("leaks.item_id").alias("item_ids"),
+                        F.array_min("leaks.distance").alias("least_distance"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score under a byte model and a word model of the training part."""
     docs = lm.split(table(spark, sf_dir, "documents"))
@@ -31,6 +39,12 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    kept = templates.dedup(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 20-word windows that also start earlier, removed from every document."""
     kept = substring.dedup(table(spark, sf_dir, "documents"))
@@ -72,7 +86,9 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,

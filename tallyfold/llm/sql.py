@@ -63,7 +63,45 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT A
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 
+OP5 = r"""
+WITH raw AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+         unnest(string_split(coalesce(text, ''), chr(10))) AS line
+  FROM documents),
+lines AS (
+  SELECT doc_id, pos, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+                       FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS w
+  FROM raw),
+leaves AS (
+  SELECT doc_id, pos, w, array_to_string(w, ' ') AS line, {'n': len(w), 'a': w[1], 'b': w[2], 'c': w[3]} AS leaf
+  FROM lines WHERE len(w) >= 3),
+shared AS (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
+counted AS (
+  SELECT leaf, line, any_value(w) AS w, count(DISTINCT doc_id) AS docs
+  FROM leaves WHERE leaf IN (SELECT leaf FROM shared) GROUP BY leaf, line),
+tokens AS (
+  SELECT leaf, line, docs, generate_subscripts(w, 1) AS spot, unnest(w) AS token FROM counted),
+constant AS (
+  SELECT leaf, spot, token FROM tokens WHERE token <> '<*>' GROUP BY leaf, spot, token HAVING sum(docs) >= 5),
+general AS (
+  SELECT t.leaf, t.line, any_value(t.docs) AS docs, count(c.token) AS constants, count(*) AS n,
+         string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY t.spot) AS template
+  FROM tokens t LEFT JOIN constant c ON t.leaf = c.leaf AND t.spot = c.spot AND t.token = c.token
+  GROUP BY t.leaf, t.line),
+often AS (
+  SELECT leaf, template FROM general WHERE constants >= 0.5 * n GROUP BY leaf, template HAVING sum(docs) >= 5),
+gone AS (
+  SELECT l.doc_id, l.pos FROM leaves l JOIN general g ON l.leaf = g.leaf AND l.line = g.line
+  JOIN often o ON g.leaf = o.leaf AND g.template = o.template WHERE g.constants >= 0.5 * g.n)
+SELECT r.doc_id, (CASE WHEN bool_and(r.line = '') AND count(*) = 1 THEN 0 ELSE count(*) END)::BIGINT AS n_lines,
+       count(g.pos)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(r.line, chr(10) ORDER BY r.pos) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256
+FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.pos = g.pos
+GROUP BY r.doc_id
+"""
+
 ORACLES = {
+    "op5_line_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_mixing": OP7,
 }
