@@ -157,17 +157,16 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Mat
         yield Matcher(held)
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with ``leaks``: an array of (item_id, distance, start, end)."""
-    kind = T.ArrayType(LEAK)
-    out = docs.drop("leaks").withColumn("leaks", F.array().cast(kind))
+def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, column: str = "leaks") -> DataFrame:
+    """``docs`` with ``column``: an array of (item_id, distance, start, end)."""
+    out = docs.withColumn(column, F.array().cast(T.ArrayType(LEAK)))
 
     def marker(matcher: Matcher):
         def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
                     continue
-                at, had = b.schema.get_field_index("leaks"), b.column("leaks").to_pylist()
+                at, had = b.schema.get_field_index(column), b.column(column).to_pylist()
                 new = [old + matcher.leaks(t) for old, t in zip(had, b.column("text").to_pylist(), strict=True)]
                 yield b.set_column(at, "leaks", pa.array(new, b.schema.field(at).type))
 

@@ -63,39 +63,43 @@ def targets(sizes: DataFrame, weights: list[float], share: float, most: float) -
                          F.coalesce(F.least(cap, F.col("_level") * F.col("_w")), cap).cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0,
+        prefix: str = "") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` (of the source),
-    ``copies`` (how often the mix takes the row) and ``taken`` (words)."""
-    given = docs.drop("size", "source_size", "target", "copies", "taken")
-    text = F.coalesce(F.col("text"), F.lit(""))
+    ``copies`` (how often the mix takes the row) and ``taken`` (words).
+
+    The new columns' names get ``prefix``; columns of ``docs`` that have such a
+    name are replaced.
+    """
+    names = {f"_mix_{n}": prefix + n for n in ("size", "source_size", "target", "copies", "taken")}
+    given = docs.drop(*names.values())
+    text, size = F.coalesce(F.col("text"), F.lit("")), F.col("_mix_size")
     key = -F.ln(draw(F.col("doc_id"))) / quality(text)
-    sized = given.withColumn("size", F.regexp_count(text, F.lit(WORD)).cast("long")).withColumn("_key", key)
+    sized = (given.withColumn("_mix_size", F.regexp_count(text, F.lit(WORD)).cast("long"))
+             .withColumn("_mix_key", key).withColumn("_mix_tie", F.xxhash64(text)))
     rows = docs.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     buckets = max(16, math.ceil(rows / BUCKET_ROWS))
     # exp(-key) is u^(1/quality), in (0, 1): equal steps of it cut the keys into buckets in key order.
-    dealt = sized.withColumn("_bucket", F.floor((1.0 - F.exp(-F.col("_key"))) * buckets).cast("int"))
+    dealt = (sized.withColumn("_mix_bucket", F.floor((1.0 - F.exp(-F.col("_mix_key"))) * buckets).cast("int"))
+             .withColumn("_mix_s", F.coalesce(F.col("source"), F.lit(""))).withColumn("_mix_z", F.col("source").isNull()))
 
     # At most `buckets` rows per source from here on; sums within a source are exact (whole numbers).
-    per_bucket = dealt.groupBy("source", "_bucket").agg(F.sum("size").alias("_b"))
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("source", "_bucket", F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"))
-    aims = targets(per_bucket.groupBy("source").agg(F.sum("_b").alias("source_size")),
+    per_bucket = dealt.groupBy("source", "_mix_bucket").agg(F.sum(size).alias("b"))
+    before = Window.partitionBy("source").orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select("source", "_mix_bucket", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("_mix_b0"))
+    aims = targets(per_bucket.groupBy("source").agg(F.sum("b").alias("source_size")),
                    [float(w) for w in weights], share, most)
     plan = (offsets.join(aims, offsets["source"].eqNullSafe(aims["source"])).select(
-        F.coalesce(offsets["source"], F.lit("")).alias("_s"), offsets["source"].isNull().alias("_z"),
-        F.col("_bucket").alias("_b"), "_b0", "source_size", "target"))
+        F.coalesce(offsets["source"], F.lit("")).alias("_mix_s"), offsets["source"].isNull().alias("_mix_z"),
+        "_mix_bucket", "_mix_b0", F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target")))
 
-    tie = [c for c in ("doc_id", "text") if c in given.columns]
-    inside = (Window.partitionBy("_s", "_z", "_bucket").orderBy("_key", *tie)
+    inside = (Window.partitionBy("_mix_s", "_mix_z", "_mix_bucket").orderBy("_mix_key", "doc_id", "_mix_tie")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (dealt.withColumn("_s", F.coalesce(F.col("source"), F.lit(""))).withColumn("_z", F.col("source").isNull())
-              .withColumn("_run", F.sum("size").over(inside) - F.col("size")))
-    joined = placed.join(
-        plan.withColumnRenamed("_b", "_bucket"), ["_s", "_z", "_bucket"])
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    left = F.col("target") - F.col("_epochs") * F.col("source_size")
-    picked = 2 * (F.col("_run") + F.col("_b0")) + F.col("size") <= 2 * F.col("_left")
-    return (joined.withColumn("_epochs", epochs.cast("long")).withColumn("_left", left)
-            .withColumn("copies", F.col("_epochs") + F.when(picked & (F.col("_left") > 0), 1).otherwise(0))
-            .withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("_s", "_z", "_bucket", "_key", "_run", "_b0", "_epochs", "_left"))
+    placed = dealt.withColumn("_mix_run", F.sum(size).over(inside) - size).join(plan, ["_mix_s", "_mix_z", "_mix_bucket"])
+    whole, target = F.col("_mix_source_size"), F.col("_mix_target")
+    epochs = F.when(whole > 0, F.floor(target / whole)).otherwise(F.lit(0)).cast("long")
+    left = target - epochs * whole
+    picked = (left > 0) & (2 * (F.col("_mix_run") + F.col("_mix_b0")) + size <= 2 * left)
+    made = placed.withColumn("_mix_copies", epochs + F.when(picked, 1).otherwise(0)).withColumn(
+        "_mix_taken", F.col("_mix_copies") * size)
+    return made.select(*given.columns, *[F.col(n).alias(to) for n, to in names.items()])

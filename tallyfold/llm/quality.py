@@ -234,3 +234,13 @@ def assess(docs: DataFrame, crf: LineCrf, columns: list[str] | None = None) -> D
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *made], [*keep, *COLUMNS])
 
     return docs.mapInArrow(judged, schema)
+
+
+def retain(docs: DataFrame, crf: LineCrf) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([judge(t, crf)[-1] for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

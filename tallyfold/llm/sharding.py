@@ -66,8 +66,8 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 
 def shard_rows(keyed: DataFrame, shards: int = 8) -> DataFrame:
-    """Rows with a long ``_key`` and ``size`` (both as ``shard`` makes them) dealt to shards."""
-    keyed = keyed.drop("shard", "slot", "_range", "_before", "_rank")
+    """Rows with ``doc_id``, a long ``_key`` and ``size`` (both as ``shard`` makes them) dealt to shards."""
+    keyed = keyed.drop("shard", "slot")
     stat = keyed.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b")).first()
     n, total = int(stat["n"]), int(stat["b"] or 0)
     ranges = max(MIN_RANGES, math.ceil(n / RANGE_ROWS))
@@ -79,8 +79,7 @@ def shard_rows(keyed: DataFrame, shards: int = 8) -> DataFrame:
     offsets = (placed.groupBy("_range").agg(F.sum("size").alias("_b"), F.count(F.lit(1)).alias("_n"))
                .select("_range", F.coalesce(F.sum("_b").over(up_to), F.lit(0)).alias("_b0"),
                        F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_n0")))
-    tie = [c for c in ("doc_id", "text") if c in keyed.columns]
-    order = Window.partitionBy("_range").orderBy("_key", *tie)
+    order = Window.partitionBy("_range").orderBy("_key", "doc_id")
     inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (placed.withColumn("_before", F.sum("size").over(inside) - F.col("size"))
               .withColumn("_rank", F.row_number().over(order))

@@ -65,15 +65,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def row_key() -> Column:
+    """Tells rows apart but for repeated ones."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed long)."""
+    """``doc_id``, ``row`` (a digest of id and text) and ``fp`` (the fingerprint as a signed long)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(fps)], ["doc_id", "row", "fp"])
 
-    return documents(docs).mapInArrow(made, "doc_id long, fp long")
+    return documents(docs, row_key().alias("row")).mapInArrow(made, "doc_id long, row long, fp long")
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -214,15 +219,25 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataF
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links) of every row."""
+    """``doc_id``, ``row``, ``fp``, ``root`` (the component's smallest fingerprint)
+    and ``component_id`` (the smallest id reachable over links) of every row."""
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-nodes")
     rooted = components(links(nodes, distance, parts))
     grouped = nodes.join(rooted, nodes["fp"] == rooted["node"], "left").select(
         "fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(smallest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = grouped.join(smallest, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "row", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each component: that of the smallest id (null last, then any of equal rows)."""
+    found = near_duplicates(docs, shingle, distance)
+    chosen = found.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row"))["row"].alias("__row"))
+    return (docs.withColumn("__row", row_key()).join(chosen.select("__row"), "__row", "left_semi")
+            .dropDuplicates(["__row"]).select(*docs.columns))
 
 
 def hex_text(fp: Column) -> Column:
