@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +39,22 @@ def uniform(*cols: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
 
 
-def splitters(df: DataFrame, key: Column, size: Column, ranges: int, total: int, oversample: int = 32) -> list[int]:
+def splitters(df: DataFrame, key: Column, size: Column, ranges: int, total: int, oversample: int = 32,
+              draw: int = 0) -> list[int]:
     """At most ``ranges - 1`` increasing long values that cut ``key`` into
     ranges of about equal ``size``.
 
     A row is drawn with probability ``size * ranges * oversample / total`` (at
     most 1) and counts as its size over that probability.  The expected sample
     is at most ``ranges * oversample`` rows of two numbers, which is what the
-    driver gathers; the draw depends on the rows' values, so reruns agree.
+    driver gathers; it depends on the rows' keys and ``draw`` only, so reruns agree.
     """
     if ranges <= 1 or total <= 0:
         return []
     want = ranges * oversample
     p = F.least(F.lit(1.0), size.cast("double") * want / float(total))
     drawn = (df.select(key.alias("k"), size.cast("double").alias("s"), p.alias("p"))
-             .where(uniform(F.col("k"), F.lit("draw")) < F.col("p"))
+             .where(uniform(F.col("k"), F.lit(draw)) < F.col("p"))
              .select("k", (F.col("s") / F.col("p")).alias("w")).toPandas())
     drawn = drawn.dropna().sort_values("k", kind="stable")
     if not len(drawn):
@@ -105,6 +107,27 @@ def uniq(a: np.ndarray) -> np.ndarray:
     return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) else a
 
 
+def numbering() -> defaultdict:
+    """Numbers its keys from 0 in the order in which they are first asked for."""
+    number: defaultdict = defaultdict()
+    number.default_factory = number.__len__
+    return number
+
+
+def counted(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often (or with what weight) each occurs."""
+    if not len(values):
+        return values, np.zeros(0, np.int64)
+    if weights is None:
+        values = np.sort(values)
+    else:
+        order = np.argsort(values)
+        values, weights = values[order], weights[order]
+    new = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    n = np.diff(np.concatenate((new, [len(values)]))) if weights is None else np.add.reduceat(weights, new)
+    return values[new], n
+
+
 def pack(values: np.ndarray) -> bytes:
     """Non-negative integers as little-endian base-128 bytes."""
     v = values.astype(np.uint64)
@@ -156,3 +179,65 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
     return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
                      pa.array(cols[3], pa.binary())], ["shard", "chunk", "kind", "blob"])
+
+
+#: Odd multipliers of the two word digests.
+DIGESTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Bytes whose words are digested together.
+WORD_BUFFER = 1 << 20
+
+
+def word_parts(texts: list[bytes]):
+    """Runs of whole texts of about ``WORD_BUFFER`` bytes, and the texts' indices; a
+    longer text comes in parts that end at white space."""
+    held, index, size = [], [], 0
+    for i, text in enumerate(texts):
+        at = 0
+        while at < len(text) or not text:
+            stop = at + WORD_BUFFER
+            if stop < len(text):
+                while stop < len(text) and text[stop] not in b" \t\n\r\x0b\x0c":
+                    stop += 1
+            part = text[at:stop]
+            if held and size + len(part) > WORD_BUFFER:
+                yield held, index
+                held, index, size = [], [], 0
+            held.append(part)
+            index.append(i)
+            size += len(part) + 1
+            at = stop
+            if not text:
+                break
+    if held:
+        yield held, index
+
+
+def word_digests(texts: list[bytes], digests: int = 2) -> tuple[np.ndarray, ...]:
+    """Words (between ASCII white space) of each text, and 64-bit digests of all words in order.
+
+    A digest is a polynomial of the word's bytes modulo 2^64, taken from running
+    sums over a buffer, so no word is handled by itself.
+    """
+    n_words = np.zeros(len(texts), np.int64)
+    out: list[list[np.ndarray]] = [[] for _ in range(digests)]
+    tables: dict[int, np.ndarray] = {}
+
+    def powers(m: int, n: int) -> np.ndarray:
+        if m not in tables or len(tables[m]) < n:
+            base = np.full(max(n, WORD_BUFFER + 1), m, np.uint64)
+            base[0] = 1
+            tables[m] = np.cumprod(base)
+        return tables[m][:n]
+
+    for held, index in word_parts(texts):
+        a = np.frombuffer(b" ".join(held), np.uint8)
+        space = (a == 32) | ((a - np.uint8(9)) < 5)
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
+        start, stop = edge[::2], edge[1::2]
+        begin = np.cumsum([0, *(len(p) + 1 for p in held)])
+        np.add.at(n_words, index, np.diff(np.searchsorted(start, begin)))
+        for found, m in zip(out, DIGESTS, strict=False):
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * powers(m, len(a)))))
+            h = (sums[stop] - sums[start]) * powers(pow(m, -1, 1 << 64), len(a))[start] if len(start) else np.zeros(0, np.uint64)
+            found.append(mix64(h ^ ((stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
+    return n_words, *(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out)

@@ -14,8 +14,8 @@ Items are a query set: they meet all documents block by block
 the benchmark.  Documents are mapped, not shuffled.
 
 Null and empty items and those shorter than ``MIN_CHARS`` are not searched for;
-null and empty texts have no leaks; repeated items count once; empty tables
-give no leaks.
+null and empty texts have no leaks; repeated items count once; an item without
+an id is reported as -1; empty tables give no leaks.
 """
 
 from __future__ import annotations
@@ -24,16 +24,13 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ERRORS_PER_100 = 8
 MIN_CHARS = 20
 #: Characters of items that one pass over the documents looks for.
 BLOCK_CHARS = 1 << 20
-LEAK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
-                     T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
 
 def normal(text: str | None) -> str:
@@ -98,8 +95,8 @@ class Matcher:
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
 
-    def leaks(self, text: str | None) -> list[dict]:
-        """Each leaking item's best match: distance, start and end in the normalised text."""
+    def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
+        """Each leaking item's id, its best match's distance, start and end in the normalised text."""
         if not self.items:
             return []
         if self.automaton is None:
@@ -120,8 +117,8 @@ class Matcher:
                     _, back = myers(item[::-1], clean[lo: lo + end][::-1])
                     best = (distance, lo + end - back, lo + end)
             if best:
-                found.append({"item_id": item_id, "distance": best[0], "start": best[1], "end": best[2]})
-        return sorted(found, key=lambda x: x["item_id"])
+                found.append((-1 if item_id is None else item_id, *best))
+        return sorted(found)
 
     @staticmethod
     def windows(begins: list[int], length: int, k: int) -> Iterator[tuple[int, int]]:
@@ -159,19 +156,25 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Mat
 
 def mark(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, column: str = "leaks") -> DataFrame:
     """``docs`` with ``column``: an array of (item_id, distance, start, end)."""
-    out = docs.withColumn(column, F.array().cast(T.ArrayType(LEAK)))
+    out = docs.withColumn(column, F.array().cast("array<long>"))  # four numbers for each leak until the end
 
     def marker(matcher: Matcher):
         def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                if not b.num_rows:
-                    continue
                 at, had = b.schema.get_field_index(column), b.column(column).to_pylist()
-                new = [old + matcher.leaks(t) for old, t in zip(had, b.column("text").to_pylist(), strict=True)]
-                yield b.set_column(at, "leaks", pa.array(new, b.schema.field(at).type))
+                new = [old + [x for leak in matcher.leaks(t) for x in leak]
+                       for old, t in zip(had, b.column("text").to_pylist(), strict=True)]
+                yield b.set_column(at, column, pa.array(new, pa.list_(pa.int64())))
 
         return marked
 
     for matcher in blocks(benchmark, block_chars):
         out = out.mapInArrow(marker(matcher), out.schema)
-    return out
+    flat = F.col(column)
+
+    def leak(i: Column) -> Column:
+        return F.struct(F.get(flat, i).alias("item_id"), F.get(flat, i + 1).cast("int").alias("distance"),
+                        F.get(flat, i + 2).cast("int").alias("start"), F.get(flat, i + 3).cast("int").alias("end"))
+
+    begins = F.filter(F.transform(flat, lambda _, i: i), lambda i: i % 4 == 0)
+    return out.withColumn(column, F.transform(begins, leak))

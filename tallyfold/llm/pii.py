@@ -2,12 +2,13 @@
 
 Seeds are what four expressions find (email, ip, card, phone).  Tokens with a
 digit or an at sign are candidates; a candidate that overlaps a seed is a known
-instance, and the words around it are its lexical patterns (word before, two
-words before, word after).  The bipartite graph of patterns and instances is
+instance, and the words around it in its line are its lexical patterns (word
+before, two words before, word before and word after).  The bipartite graph of patterns and instances is
 scored in rounds: a pattern's confidence is the mean confidence of its distinct
 instances, counted from ``MIN_KNOWN`` known ones on, and an instance's is its
-best pattern's.  Unknown candidates whose confidence reaches ``CONFIDENT`` join
-the known ones; after the last round they are reported as spans of kind ``id``.
+best pattern's.  Unknown candidates of at least ``MIN_CHARS`` letters or digits whose
+confidence reaches ``CONFIDENT`` join the known ones; after the last round they
+are reported as spans of kind ``id``.
 
 Positions are code points, end exclusive.  Null and empty texts have no spans;
 repeated rows are separate documents; an empty table gives no rows.
@@ -30,7 +31,9 @@ CANDIDATE = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*"
 SPACES = r"[\x20\x09-\x0D]+"
 #: Code points around a candidate in which its pattern words are looked for.
 REACH = 120
-ROUNDS, MIN_KNOWN, CONFIDENT = 3, 3, 0.8
+ROUNDS, MIN_KNOWN, CONFIDENT = 3, 3, 0.6
+#: Letters and digits that an identifier has at least.
+MIN_CHARS = 4
 
 
 def hits(text: Column, pattern: str, possible: Column) -> Column:
@@ -112,12 +115,17 @@ def candidates(placed: DataFrame) -> DataFrame:
     ahead = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     marked = placed.withColumn("_known", F.coalesce((reach > F.col("start")) | (ahead < F.col("end")), F.lit(False)))
     tidy = (marked.where("kind = 4").withColumn("value", core).withColumn("start", F.col("start") + lead)
-            .withColumn("end", F.col("start") + F.length("value")).where("value <> ''"))
-    left = F.filter(F.split(F.lower("left"), SPACES), lambda w: w != "")
-    right = F.filter(F.split(F.lower("right"), SPACES), lambda w: w != "")
-    one, two = F.try_element_at(left, F.lit(-1)), F.try_element_at(left, F.lit(-2))
+            .withColumn("end", F.col("start") + F.length("value"))
+            .where(F.col("_known") | (F.length(F.regexp_replace("value", r"[^\p{L}\p{N}]", "")) >= MIN_CHARS)))
+
+    def words(part: Column) -> Column:
+        return F.filter(F.split(F.lower(part), SPACES), lambda w: w != "")
+
+    left, right = words(F.substring_index("left", "\n", -1)), words(F.substring_index("right", "\n", 1))
+    one, two, after = (F.try_element_at(left, F.lit(-1)), F.try_element_at(left, F.lit(-2)),
+                       F.try_element_at(right, F.lit(1)))
     patterns = F.array(F.concat(F.lit("before:"), one), F.concat(F.lit("before2:"), two, F.lit(" "), one),
-                       F.concat(F.lit("after:"), F.try_element_at(right, F.lit(1))))
+                       F.concat(F.lit("around:"), one, F.lit(" "), after))
     return tidy.select("_row", "start", "end", "value", F.col("_known").alias("known"),
                        F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"))
 

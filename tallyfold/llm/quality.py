@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import numbering
+
 #: Labelled documents that the CRF is fitted on, at most.
 TRAIN_DOCS = 1000
 #: Documents with fewer words, or a larger share of repeated words (in %), fail.
@@ -69,8 +71,8 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     n = len(words)
     if n <= window:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
+    number = numbering()
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, n)
     code, base = ids, len(number)
     for i in range(1, window):  # exact: renumbered before it could overflow
         if base * len(number) >= 1 << 62:
@@ -239,8 +241,9 @@ def assess(docs: DataFrame, crf: LineCrf, columns: list[str] | None = None) -> D
 def retain(docs: DataFrame, crf: LineCrf) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([judge(t, crf)[-1] for t in b.column("text").to_pylist()], pa.bool_()))
+            keep = pa.array([judge(t, crf)[-1] for t in b.column("text").to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns, keep], [*b.schema.names, "__kept"])
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(marked, docs.withColumn("__kept", F.lit(True)).schema).where("__kept").select(*docs.columns)

@@ -44,7 +44,7 @@ def boundaries(keyed: DataFrame, ranges: int, total: int) -> list[int]:
     """Quantile boundaries of ``_key`` by ``size``; overfull ranges get more."""
     cuts = splitters(keyed, F.col("_key"), F.col("size"), ranges, total)
     share = total / ranges
-    for _ in range(4):
+    for again in range(1, 5):
         sizes = (keyed.groupBy(range_index(F.col("_key"), cuts).alias("r"))
                  .agg(F.sum("size").alias("b"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
                  .where((F.col("b") > OVERFULL * share) & (F.col("lo") < F.col("hi")))
@@ -52,8 +52,9 @@ def boundaries(keyed: DataFrame, ranges: int, total: int) -> list[int]:
         new = set(cuts)
         for row in sizes:
             inside = keyed.where(range_index(F.col("_key"), cuts) == row["r"])
-            new |= set(splitters(inside, F.col("_key"), F.col("size"), math.ceil(row["b"] / share) + 1, row["b"]))
-        if len(new) == len(cuts):
+            parts = math.ceil(row["b"] / share) + 1
+            new |= set(splitters(inside, F.col("_key"), F.col("size"), parts, row["b"], draw=again))
+        if not sizes:
             break
         cuts = sorted(new)
     return cuts
