@@ -23,19 +23,20 @@ earlier.  Null ids come first.  An empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
-from .common import MESSAGE, documents, messages, mix64, pack, slices, uniq, unpack, with_chunks
+from .common import MESSAGE, counted, documents, messages, mix64, pack, slices, unpack, with_chunks, word_digests
 
 WINDOW = 20
 #: Bytes of text in a chunk.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Cells of each count-min row per byte of text (a word takes several bytes).
 CELLS_PER_BYTE = 0.5
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+MULTIPLIERS = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
 
 def rolling(h: np.ndarray, window: int, multiplier: int) -> np.ndarray:
@@ -67,22 +68,13 @@ class Chunk:
         rows = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         self.ids = [r[0] for r in rows]
         self.texts = [r[1] for r in rows]
-        number: dict[bytes, int] = {}
-        parts, sizes = [], []
-        for text in self.texts:
-            words = text.encode("utf-8", "surrogatepass").split()
-            parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
-            sizes.append(len(words))
-        self.n_words = np.array(sizes, np.int64)
+        self.n_words, *halves = word_digests([t.encode("utf-8", "surrogatepass") for t in self.texts])
         self.first = np.concatenate(([0], np.cumsum(self.n_words)))
-        word = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        digests = [xxhash.xxh3_128_digest(w) for w in number]
-        halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-        room = np.repeat(self.first[1:], self.n_words) - np.arange(len(word)) >= window
+        room = np.repeat(self.first[1:], self.n_words) - np.arange(self.first[-1]) >= window
         self.start = np.flatnonzero(room)
         self.a = self.b = np.zeros(0, np.uint64)
         if len(self.start):
-            self.a, self.b = (rolling(halves[word, i], window, m)[self.start] for i, m in enumerate(MULTIPLIERS))
+            self.a, self.b = (rolling(h, window, m)[self.start] for h, m in zip(halves, MULTIPLIERS, strict=True))
 
 
 def replies(table: pa.Table, kind: int) -> bytes:
@@ -126,12 +118,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES)
         """The cells a chunk hits, per row and shard: gap from the one before, and whether hit twice here."""
         chunk, out = t.column("chunk")[0].as_py(), []
         for row, hit in enumerate(cells(Chunk(t, window))):
-            hit = np.sort(hit)
-            own = uniq(hit)
-            twice = np.searchsorted(hit, own, "right") - np.searchsorted(hit, own, "left") > 1 if len(own) else own
+            own, n = counted(hit)
             for shard, at in slices(own, shard_bits):
                 gap = np.diff(own[at], prepend=np.uint64(shard << shard_bits))
-                out.append((shard * 2 + row, chunk, row, pack(gap * np.uint64(2) + twice[at].astype(np.uint64))))
+                out.append((shard * 2 + row, chunk, row, pack(gap * np.uint64(2) + (n[at] > 1).astype(np.uint64))))
         return messages(out)
 
     def merge(t: pa.Table) -> pa.Table:
@@ -201,8 +191,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES)
             out = covered[c.first[i]: c.first[i + 1]]
             words = text.encode("utf-8", "surrogatepass").split()
             removed.append(int(out.sum()))
-            kept.append(b" ".join(w for w, x in zip(words, out.tolist(), strict=True) if not x) if removed[-1]
-                        else b" ".join(words))
+            kept.append(b" ".join(compress(words, (~out).tolist()) if removed[-1] else words))
         return pa.table([pa.array(c.ids, pa.int64()), pa.array(c.n_words, pa.int64()), pa.array(removed, pa.int64()),
                          pa.array(kept, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
