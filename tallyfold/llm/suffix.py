@@ -17,7 +17,7 @@ one task:
 3. A block concatenates its distinct contents, sorts the suffixes by their
    first 200 bytes (prefix doubling), takes the Burrows-Wheeler transform and
    derives common prefixes by increasing length: starting from the intervals of
-   single symbols, each interval of rows that begin with a string w is extended
+   all strings of six symbols, each interval of rows that begin with a string w is extended
    backward by every symbol c that precedes it; the row after the interval of
    cw gets the common prefix |w| if it has none yet, and only then is cw
    extended in turn.  The expansion stops at 200: rows without a value there
@@ -42,7 +42,7 @@ from .common import MESSAGE, documents, messages, mix64, slices, uniq, with_chun
 LENGTH = 200
 #: Bytes that a minimiser has.
 KMER = 32
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Bytes that are looked at together; a position in it takes ``POSITION_BITS``.
 BUFFER, POSITION_BITS = (1 << 20) - 1024, 20
 #: Different contents from which a key's windows are keyed one by one.
@@ -53,54 +53,70 @@ SEGMENT = "block int, kind int, key long, content long, n int, chunk int, data b
 REPLY = "chunk int, kind int, key long, content long, data binary"
 
 
+def seeds(text: np.ndarray, size: int) -> np.ndarray:
+    """Each suffix's first ``size`` symbols as one number (nine bits each; past the end: 0)."""
+    padded = np.concatenate((text.astype(np.int64), np.zeros(size, np.int64)))
+    out = padded[: len(text)]
+    for i in range(1, size):
+        out = (out << 9) | padded[i: len(text) + i]
+    return out
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix starts in order of their first ``depth`` symbols at least; symbols are below 512."""
+    """Suffix starts in order of their first ``depth`` symbols at least; symbols are below 512.
+
+    Prefix doubling: suffixes that still tie are sorted by the rank of what follows the part they share.
+    """
     n = len(text)
     bits = max(1, int(n + 1).bit_length())
     index = np.arange(n, dtype=np.int64)
-
-    def ranked(major: np.ndarray, minor: np.ndarray, minor_bits: int) -> tuple[np.ndarray, np.ndarray, bool]:
-        if minor_bits + 2 * bits <= 63 and 3 * bits <= 63:
-            whole = np.sort((major << (minor_bits + bits)) | (minor << bits) | index)
-            order = whole & ((1 << bits) - 1)
-            key = whole >> bits
-            new = key[1:] != key[:-1]
+    low = (1 << bits) - 1
+    have = max(1, min(4, (63 - bits) // 9))
+    head = seeds(text, have)
+    order = np.sort((head << bits) | index) & low
+    head = head[order]
+    at, new = index, np.concatenate(([True], head[1:] != head[:-1]))  # rows that tie, and where ties begin
+    rank = np.zeros(n + 1, np.int64)  # first row of a suffix's tie, from 1; 0 past the end
+    while True:
+        begin = np.flatnonzero(new)
+        size = np.diff(np.concatenate((begin, [len(at)])))
+        rank[order[at]] = np.repeat(at[begin], size) + 1
+        at = at[np.repeat(size > 1, size)]
+        if have >= depth or not len(at):
+            return order
+        tied = order[at]
+        mine, next_ = rank[tied], rank[np.minimum(tied + have, n)]
+        if 3 * bits <= 63:
+            key = np.sort((((mine << bits) | next_) << bits) | tied)
+            order[at] = key & low
+            key >>= bits
+            new = np.concatenate(([True], key[1:] != key[:-1]))
         else:
-            order = np.lexsort((minor, major))
-            new = (major[order][1:] != major[order][:-1]) | (minor[order][1:] != minor[order][:-1])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate(([0], np.cumsum(new)))
-        return order, rank, bool(new.all())
-
-    def ahead(values: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros(n, np.int64)
-        out[: max(0, n - by)] = values[by:]
-        return out
-
-    rank, have = text.astype(np.int64), 1
-    order, rank, done = ranked(rank, ahead(rank, 1), 9)
-    have = 2
-    while have < depth and not done:
-        order, rank, done = ranked(rank, ahead(rank + 1, have), bits)
+            by = np.lexsort((next_, mine))
+            order[at] = tied[by]
+            mine, next_ = mine[by], next_[by]
+            new = np.concatenate(([True], (mine[1:] != mine[:-1]) | (next_[1:] != next_[:-1])))
         have *= 2
-    return order
 
 
-def expand(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def expand(text: np.ndarray, order: np.ndarray, depth: int, seed: int = 6) -> np.ndarray:
     """For each row of ``order``: whether it shares fewer than ``depth`` symbols
-    with the row before (symbol 0 separates contents and is not extended by)."""
+    with the row before (symbol 0 separates contents and is not extended by).
+
+    The expansion starts from the intervals of all strings of ``seed`` symbols.
+    """
     n = len(text)
     before = text[order - 1]  # the transform: the symbol before each suffix
     by_symbol = np.argsort(before, kind="stable")
     row_of = np.empty(n, np.int64)  # of the suffix one symbol longer
     row_of[by_symbol] = np.arange(n)
-    first = text[order]
+    first, head = text[order], seeds(text, min(seed, depth))[order]
     known = np.zeros(n + 1, bool)
     known[n] = True
-    low = np.concatenate(([0], np.flatnonzero(first[1:] != first[:-1]) + 1))
+    low = np.concatenate(([0], np.flatnonzero(head[1:] != head[:-1]) + 1))
     high = np.concatenate((low[1:], [n]))
     known[low] = True
-    for _ in range(1, depth):  # common prefixes of 1, 2, .. depth - 1 symbols
+    for _ in range(seed, depth):  # common prefixes of seed, seed + 1, .. depth - 1 symbols
         if not len(low):
             break
         size = high - low
