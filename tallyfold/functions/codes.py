@@ -21,6 +21,7 @@ def _c(col):
 def classify_delivery(status: Column | str, mode: str = "single") -> Column:
     """``ok``, ``temporary``, ``client_error`` or ``server_error``.
 
+    No status at all (NULL) is a transport failure, which is temporary.
     Single sends count any other non-200 status as success; batch sends count
     it as a server error."""
     s = _c(status)
@@ -28,7 +29,7 @@ def classify_delivery(status: Column | str, mode: str = "single") -> Column:
         raise ValueError(f"unknown mode {mode!r}")
     other = F.lit("ok") if mode == "single" else F.lit("server_error")
     return (
-        F.when(s.isin(*TEMPORARY_HTTP), F.lit("temporary"))
+        F.when(s.isNull() | s.isin(*TEMPORARY_HTTP), F.lit("temporary"))
         .when((s >= 400) & (s < 500), F.lit("client_error"))
         .when(s == 200, F.lit("ok"))
         .otherwise(other)

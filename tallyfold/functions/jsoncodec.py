@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.schema import METRIC
 
@@ -28,9 +29,17 @@ def _field_ok(el: Column, name: str, allowed: tuple[str, ...]) -> Column:
     ok = F.lit(False)
     for a in allowed:
         ok = ok | (kind.startswith(a) if a.endswith("(") else kind == a)
+    if "DOUBLE" in allowed:  # a number too large for a double is refused, not infinite
+        size = F.abs(F.try_variant_get(f, "$", "double"))
+        ok = ok & F.coalesce(size != F.lit(float("inf")), F.lit(True))
     return f.isNull() | ok
 
 
+def empty_if_absent(name: str, value: Column) -> Column:
+    """Text fields that a record does not carry are empty, not missing."""
+    return F.coalesce(value, F.lit("")) if name in ("id", "type") else value
+
+
 def record_types_ok(el: Column, fields=FIELD_TYPES) -> Column:
     """A parsed JSON value (VARIANT) decodes into an update record: it is an
     object (or null) and every known field has an accepted JSON type; unknown
@@ -47,14 +56,22 @@ def decode_json(df: DataFrame, col: str = "body", schema=METRIC, keep: bool = Tr
 
     ``decoded`` is false, and the row answers 400 later, when the body is
     not JSON, is not an object, or has a field of the wrong JSON type (a
-    float ``delta``, a string ``value``).  Text after the first JSON value
-    is ignored."""
-    parsed = F.from_json(F.col(col), schema, DECODE_OPTIONS)
+    float ``delta``, a string ``value``, a number beyond a double).  Text
+    after the first JSON value is ignored.  Of a repeated key the last value
+    counts; the strict parser refuses such a body, so the typed decoder's own
+    verdict stands in for it.  An absent ``id`` or ``type`` is empty."""
+    bad = "_corrupt"
+    marked = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    parsed = F.from_json(F.col(col), marked, DECODE_OPTIONS | {"columnNameOfCorruptRecord": bad})
     v = F.try_parse_json(F.col(col))
     fields = {n: t for n, t in FIELD_TYPES.items() if n in set(schema.fieldNames())}
-    ok = F.coalesce(v.isNotNull() & record_types_ok(v, fields), F.lit(False))
-    out = df.withColumn("_m", parsed).withColumn("decoded", ok)
-    fields = [F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields]
+    m = F.col("_m")
+    typed = m.isNotNull() & m[bad].isNull() & F.col(col).rlike(r"^\s*\{")
+    if "value" in schema.fieldNames():
+        typed = typed & F.coalesce(F.abs(m["value"]) != F.lit(float("inf")), F.lit(True))
+    ok = F.when(v.isNotNull(), record_types_ok(v, fields)).otherwise(typed)
+    out = df.withColumn("_m", parsed).withColumn("decoded", F.coalesce(ok, F.lit(False)))
+    fields = [empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in schema.fields]
     others = [c for c in df.columns if c not in {f.name for f in schema.fields}] if keep else []
     return out.select(*others, *fields, "decoded")
 

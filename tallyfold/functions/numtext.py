@@ -1,7 +1,8 @@
 """Number <-> text rules of the update and lookup endpoints.
 
-Parsing is strict like the reference's: no surrounding spaces, no type
-suffixes, no hex; a decimal that overflows to infinity is refused.  Printing
+Parsing is strict like the reference's: no surrounding spaces or line ends, no
+type suffixes, hex only as a float with a binary exponent; a number that
+overflows to infinity is refused.  Printing
 gives the shortest round-trip digits without an exponent (``5``, ``42.5``).
 All of it is Catalyst expressions; nothing runs in Python per row.
 """
@@ -12,9 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted text shapes.
-INT_TEXT = r"^[+-]?[0-9]+$"
-FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-SPECIAL_FLOAT_TEXT = r"^(?i)([+-]?(inf|infinity)|nan)$"
+INT_TEXT = r"^[+-]?[0-9]+\z"
+FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+HEX_FLOAT_TEXT = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+\z"
+SPECIAL_FLOAT_TEXT = r"^(?i)([+-]?(inf|infinity)|nan)\z"
 
 
 
@@ -49,7 +51,7 @@ def parse_gauge(col: Column | str) -> Column:
         .when(low.isin("-inf", "-infinity"), _neg_inf())
     )
     num = s.try_cast("double")
-    finite = F.when(s.rlike(FLOAT_TEXT) & (F.abs(num) != _pos_inf()), num)
+    finite = F.when((s.rlike(FLOAT_TEXT) | s.rlike(HEX_FLOAT_TEXT)) & (F.abs(num) != _pos_inf()), num)
     return F.when(s.rlike(SPECIAL_FLOAT_TEXT), special).otherwise(finite)
 
 
@@ -95,6 +97,34 @@ def _fixed6_digits(mant: Column, n: Column) -> Column:
     return F.when(n > 0, frac).otherwise(whole).cast("string")
 
 
+def _whole_digits(a: Column) -> Column:
+    """All digits of a double of at least 2^53: m * 2^n with m < 2^53, in
+    limbs of nine decimal digits (lowest first), 29 powers of two at a time."""
+    base = F.lit(1_000_000_000).cast("bigint")
+
+    def times(limbs: Column, factor: Column) -> Column:
+        empty = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+        return F.aggregate(
+            limbs, empty,
+            lambda acc, x: F.struct(
+                F.concat(acc["out"], F.array((x * factor + acc["carry"]) % base)).alias("out"),
+                F.call_function("div", x * factor + acc["carry"], base).alias("carry")),
+            lambda acc: F.concat(acc["out"], F.array(acc["carry"])),
+        )
+
+    def expanded(e: Column) -> Column:  # e may be off by one near powers of two: m then has 53 to 55 bits, still whole
+        mant = (a * F.pow(F.lit(2.0), F.lit(53) - e)).cast("bigint")
+        n = e - F.lit(53)
+        start = F.array(mant % base, F.call_function("div", mant, base))
+        rounds = F.sequence(F.lit(0), F.call_function("div", n, F.lit(29)).cast("int"))
+        step = lambda limbs, i: times(limbs, _shl(F.lit(1).cast("bigint"), F.least(F.lit(29), n - i * F.lit(29))))
+        limbs = F.aggregate(rounds, start, step)
+        text = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+        return F.regexp_replace(text, "^0+(?=.)", "")
+
+    return _let(F.floor(F.log2(a)).cast("int"), expanded)
+
+
 def format_fixed6(col: Column | str) -> Column:
     """``%f`` text: six decimals, correctly rounded from the double's exact
     binary value (round half to even), as Go and C print it; NaN and
@@ -104,7 +134,8 @@ def format_fixed6(col: Column | str) -> Column:
     power of two (``pow(2, n)`` and scaling by it are exact), then
     ``m * 10^6 / 2^n`` is rounded with exact decimal arithmetic: the
     remainder decides, so no division rounds.  Magnitudes of 1e30 and more
-    fall back to Java's formatter (their exact digits exceed DECIMAL(38))."""
+    are whole numbers whose digits exceed DECIMAL(38): their mantissa is
+    multiplied out in base 10^9."""
     v = _c(col)
     a = F.abs(v)
     sign = F.when(v.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
@@ -126,7 +157,7 @@ def format_fixed6(col: Column | str) -> Column:
         .when(v == _pos_inf(), F.lit("+Inf"))
         .when(v == _neg_inf(), F.lit("-Inf"))
         .when(a < F.lit(1e-8), F.concat(sign, F.lit("0.000000")))  # far below half of the last digit
-        .when(a >= F.lit(1e30), F.format_string("%f", v))
+        .when(a >= F.lit(1e30), F.concat(sign, _whole_digits(a), F.lit(".000000")))
         .otherwise(text)
     )
 

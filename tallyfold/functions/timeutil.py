@@ -35,6 +35,19 @@ def utc_wall(ts: Column) -> Column:
     return epoch + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), rest)
 
 
+def interval_start(ts: Column, every: str) -> Column:
+    """Start of the tumbling interval of ``ts``; NULL for a NULL time.  A plain
+    ``window`` would drop such rows."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.window(F.coalesce(ts, epoch), every).start
+
+
+def with_interval(df, ts: str, every: str, name: str = "win_start"):
+    """``df`` with the interval start; rows without a time form an interval of their own (NULL)."""
+    made = df.withColumn(name, interval_start(F.col(ts), every))
+    return made.withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name)))
+
+
 def epoch_seconds(ntz: Column) -> Column:
     """Seconds since the epoch of a UTC wall time (zone-free)."""
     return F.unix_seconds(utc_instant(ntz))

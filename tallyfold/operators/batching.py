@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.history import DEFAULT_BUCKET, running
+from tallyfold.functions.timeutil import with_interval
+from tallyfold.operators.history import DEFAULT_RANGES, running
 
 WIRE_FIELDS = ("id", "type", "delta", "value")
 
@@ -16,18 +17,19 @@ def assign_batches(
     every: str,
     ts: str = "ts",
     seq: str = "seq",
-    bucket_size: int | None = DEFAULT_BUCKET,
+    ranges: int | None = DEFAULT_RANGES,
 ) -> DataFrame:
     """Batch number of each row: a batch is flushed at each interval tick and
     whenever it reaches ``max_size`` rows (``max_size <= 0``: ticks only).
 
     Adds ``win_start`` (the tick interval) and ``batch_no`` (0-based within
     the interval).  The row number inside an interval is a two-level running
-    count, so a busy interval is not sorted in one task."""
-    w = df.withColumn("win_start", F.window(F.col(ts), every).start)
+    count, so a busy interval is not sorted in one task.  Rows without a time
+    are batched together, under a NULL interval."""
+    w = with_interval(df, ts, every)
     if max_size <= 0:
         return w.withColumn("batch_no", F.lit(0).cast("bigint"))
-    r = running(w, ["win_start"], seq, {"_rn": ("count", None)}, bucket_size)
+    r = running(w, ["win_start"], seq, {"_rn": ("count", None)}, ranges)
     return r.withColumn("batch_no", F.floor((F.col("_rn") - 1) / F.lit(max_size))).drop("_rn")
 
 

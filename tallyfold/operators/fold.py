@@ -84,13 +84,16 @@ def merge_state_join(state: DataFrame, batch: DataFrame, seq: str = "seq") -> Da
     """Upsert as a full outer join of state with the folded batch.
 
     Same result as :func:`merge_state`; useful when ``state`` is stored
-    bucketed by ``(type, id)`` so its side of the join needs no exchange."""
-    b = fold(batch, seq).alias("b")
-    s = state.alias("s")
+    bucketed by ``(type, id)`` so its side of the join needs no exchange.
+    A plain equi-join keeps that; the rows without an id, one per type at
+    most, are merged apart."""
+    nameless = merge_state(state.where("id is null"), batch.where("id is null"), seq)
+    b = fold(batch.where("id is not null"), seq).alias("b")
+    s = state.where("id is not null").alias("s")
     cond = [F.col("s.type") == F.col("b.type"), F.col("s.id") == F.col("b.id")]
     j = s.join(b, cond, "full_outer")
     newer = F.col("s.last_seq").isNull() | (F.col("b.last_seq") > F.col("s.last_seq"))
-    return j.select(
+    merged = j.select(
         F.coalesce(F.col("s.type"), F.col("b.type")).alias("type"),
         F.coalesce(F.col("s.id"), F.col("b.id")).alias("id"),
         F.when(
@@ -99,6 +102,7 @@ def merge_state_join(state: DataFrame, batch: DataFrame, seq: str = "seq") -> Da
         F.when(F.col("b.last_seq").isNotNull() & newer, F.col("b.value")).otherwise(F.col("s.value")).alias("value"),
         F.greatest(F.col("s.last_seq"), F.col("b.last_seq")).alias("last_seq"),
     )
+    return merged.unionByName(nameless)
 
 
 def resume(restored: DataFrame, updates: DataFrame, seq: str = "seq") -> DataFrame:
@@ -116,6 +120,22 @@ def fold_atomic(df: DataFrame, batch_status: DataFrame, batch_col: str = "batch_
     return fold(df.join(ok, on=batch_col, how="left_semi"), seq)
 
 
+def fold_batches(rows: DataFrame, order: str, pos: str = "pos") -> DataFrame:
+    """Rows of ordered batches -> state, applied in (batch, position) order.
+
+    Each batch is folded by position first, then the batches by ``order``: two
+    hash aggregates, and no combined order key that could overflow.
+    ``last_seq`` is the ``order`` of the newest batch that touched the key."""
+    t = F.col("type")
+    v = valid_updates(rows)
+    within = v.groupBy(order, *KEY).agg(
+        F.sum(F.when(t == COUNTER, F.col("delta"))).alias("delta"),
+        F.max_by(F.when(t == GAUGE, F.col("value")), F.col(pos)).alias("value"),
+    )
+    return within.groupBy(*KEY).agg(
+        F.sum("delta").alias("delta"), F.max_by("value", order).alias("value"), F.max(order).alias("last_seq"))
+
+
 def metric_names(df: DataFrame) -> DataFrame:
     """Distinct ``(type, id)`` of the valid updates."""
     return valid_updates(df).select(*KEY).distinct()
@@ -135,12 +155,11 @@ def poll_count(samples: DataFrame, ts: str = "ts", every: str | None = None) ->
         )
     from tallyfold.operators.history import running
 
-    per = samples.groupBy(F.window(F.col(ts), every).start.alias("win_start")).agg(F.count(F.lit(1)).alias("n"))
-    # Order by interval start in seconds; buckets of 2^20 s (about 12 days).
-    from tallyfold.functions.timeutil import epoch_seconds
+    from tallyfold.functions.timeutil import epoch_seconds, with_interval
 
+    per = with_interval(samples, ts, every).groupBy("win_start").agg(F.count(F.lit(1)).alias("n"))
     per = per.withColumn("_o", epoch_seconds(F.col("win_start")))
-    r = running(per, [], "_o", {"delta": ("sum", "n")}, bucket_size=1 << 20)
+    r = running(per, [], "_o", {"delta": ("sum", "n")})
     return r.select("win_start", F.lit(COUNTER).alias("type"), F.lit("PollCount").alias("id"), "delta")
 
 

@@ -4,32 +4,34 @@ A plain ``Window.partitionBy(key).orderBy(seq)`` sorts one metric's whole
 history inside one task, which breaks when one key holds a large share of
 all rows.  :func:`running` therefore works in two levels by default:
 
-1. rows are cut into seq ranges (``bucket = floor(seq / bucket_size)``); the
-   running value inside a bucket is a window over ``(key, bucket)``, so no
-   task sorts more than ``bucket_size`` rows of one key;
-2. each ``(key, bucket)`` is summarised by a partial aggregate (combined
-   map-side, so a hot key ships one row per bucket and map task); the
-   summaries are prefix-combined per key and the offset of the earlier
-   buckets is joined to the rows on ``(key, bucket)`` before the level-1
-   window, which then runs on the join's partitioning.  The raw rows are
-   shuffled once (not at all for the join when AQE broadcasts the offsets).
-
-The result equals the one-level window for every row.
+1. the order column is cut into a fixed number of ranges at approximate
+   quantiles, so ranges hold about equally many rows whatever the values look
+   like; the running value inside a range is a window over ``(key, range)``;
+2. each ``(key, range)`` is summarised by a partial aggregate (combined
+   map-side, so a hot key ships one row per range and map task): at most
+   ``ranges`` rows per key, which are prefix-combined per key; the offset of
+   the earlier ranges is joined to the rows on ``(key, range)`` before the
+   level-1 window, which then runs on the join's partitioning.  The raw rows
+   are shuffled once (not at all for the join when AQE broadcasts the offsets).
+
+The result equals the one-level window for every row; rows without an order
+come first, in a range of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyfold.operators.fold import valid_updates
 from tallyfold.schema import COUNTER, GAUGE, KEY
 
-# Rows of one key sorted together at most; seq ranges of this width.
-DEFAULT_BUCKET = 1 << 20
+# Ranges that a key's rows are cut into.  One range of the hottest key is what
+# a task sorts: raise it with the data.
+DEFAULT_RANGES = 64
 
 # Kinds of running value:
 #   sum   running sum, current row included (NULL until a non-NULL input)
@@ -59,13 +61,15 @@ def _one_level(df: DataFrame, keys: Sequence[str], order: str, specs: dict[str,
     return df.select("*", *cols)
 
 
-def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
     """Null-safe surrogate keys: each key becomes (value with NULL replaced by
     a default of its type, is-NULL flag).  Window partitioning and the join
     below then use the very same plain columns, so the join reuses the
-    window's hash partitioning and sort instead of shuffling the rows again."""
+    window's hash partitioning and sort instead of shuffling the rows again.
+    Keys of types without a simple default are returned apart: the join
+    compares them null-safely."""
     types = dict(df.dtypes)
-    cols, names = [], []
+    cols, names, others = [], [], []
     for i, k in enumerate(keys):
         dt = types[k]
         if dt == "string":
@@ -77,14 +81,25 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[st
         elif dt == "boolean":
             default = F.lit(False)
         else:
-            default = None
-        if default is None:
             cols.append(F.col(k).alias(f"_k{i}"))
-            names.append(f"_k{i}")
-        else:
-            cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
-            names += [f"_k{i}", f"_n{i}"]
-    return df.select("*", *cols), names
+            others.append(f"_k{i}")
+            continue
+        cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
+        names += [f"_k{i}", f"_n{i}"]
+    return df.select("*", *cols), names, others
+
+
+def _range_of(order: str, cuts: list[float]) -> Column:
+    """Number of ``cuts`` not above the order value (a tree of comparisons); -1 for NULL."""
+    x = F.col(order)
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return F.when(x.isNull(), F.lit(-1)).otherwise(tree(0, len(cuts)))
 
 
 def running(
@@ -92,45 +107,49 @@ def running(
     keys: Sequence[str],
     order: str,
     specs: dict[str, tuple[str, str | None]],
-    bucket_size: int | None = DEFAULT_BUCKET,
+    ranges: int | None = DEFAULT_RANGES,
 ) -> DataFrame:
-    """Add running values per ``keys`` in ``order`` (unique within a key).
+    """Add running values per ``keys`` in ``order`` (numeric, unique within a key).
 
     ``specs`` maps an output name to ``(kind, input column)``; see ``KINDS``.
-    ``bucket_size=None`` uses a single window level.  The two-level form
-    reads ``df`` twice (rows and bucket summaries): cheap for a scan, but an
-    expensive ``df`` should be materialised first
+    ``ranges=None`` uses a single window level.  The two-level form reads
+    ``df`` for the quantiles of ``order`` when it is called, and twice more
+    (rows and range summaries): cheap for a scan, but an expensive ``df``
+    should be materialised first
     (:func:`tallyfold.session.materialize` or ``checkpoint()``)."""
     for kind, _ in specs.values():
         if kind not in KINDS:
             raise ValueError(f"unknown running kind {kind!r}")
-    if bucket_size is None:
+    if ranges is None:
         return _one_level(df, keys, order, specs)
-    if bucket_size <= 0:
-        raise ValueError("bucket_size must be positive")
+    if ranges <= 0:
+        raise ValueError("ranges must be positive")
 
-    keyed, kcols = _key_columns(df, keys)
+    keyed, names, others = _key_columns(df, keys)
+    cuts = sorted(set(df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
     bcol = "_rb"
-    base = keyed.withColumn(bcol, F.floor(F.col(order) / F.lit(bucket_size)))
+    base = keyed.withColumn(bcol, _range_of(order, cuts))
+    kcols = [*names, *others]
     part = [*kcols, bcol]
 
-    # Bucket summaries: a partial (map-side) aggregate, so only one small
-    # row per (key, bucket) and map task is shuffled.  All buffers are
+    # Range summaries: a partial (map-side) aggregate, so only one small
+    # row per (key, range) and map task is shuffled.  All buffers are
     # fixed-width, so this stays a hash aggregate.
+    first = F.coalesce(F.col(order), F.lit(-(2**63)))
     aggs = []
     for out, (kind, c) in specs.items():
         if kind in ("sum", "total"):
             aggs.append(F.sum(c).alias(f"_bs_{out}"))
         elif kind == "count":
             aggs.append(F.count(F.lit(1)).alias(f"_bs_{out}"))
-        else:  # newest non-NULL value of the bucket; NULL orderings are skipped
-            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_bs_{out}"))
+        else:  # newest non-NULL value of the range
+            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), first)).alias(f"_bs_{out}"))
     summary = base.groupBy(*part).agg(*aggs)
 
-    # Offsets of the earlier buckets of the same key: a window over summary
-    # rows only (bucket_size times fewer than the key's rows).
+    # Offsets of the earlier ranges of the same key: a window over at most
+    # `ranges` + 1 summary rows per key.
     wk = W.partitionBy(*kcols).orderBy(bcol).rowsBetween(W.unboundedPreceding, -1)
-    offs = [F.col(c) for c in part]
+    offs = [F.col(c).alias(f"_o{c}") for c in part]
     for out, (kind, _) in specs.items():
         if kind == "total":
             offs.append(F.sum(f"_bs_{out}").over(W.partitionBy(*kcols)).alias(f"_off_{out}"))
@@ -141,8 +160,13 @@ def running(
     offsets = summary.select(*offs)
 
     # The raw rows meet their offsets first, then the level-1 window runs on
-    # the same (key, bucket) partitioning: the raw rows are shuffled once.
-    j = base.join(offsets, on=part, how="inner")
+    # the same (key, range) partitioning: the raw rows are shuffled once.
+    same = F.lit(True)
+    for c in [*names, bcol]:
+        same = same & (F.col(c) == F.col(f"_o{c}"))
+    for c in others:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o{c}"))
+    j = base.join(offsets, on=same, how="inner")
     lvl1 = _one_level(j, part, order, {f"_in_{o}": ks for o, ks in specs.items() if ks[0] != "total"})
 
     finals = []
@@ -159,20 +183,20 @@ def running(
     return lvl1.select(*df.columns, *finals)
 
 
-def running_counter(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:
+def running_counter(df: DataFrame, ranges: int | None = DEFAULT_RANGES) -> DataFrame:
     """Counter total after every applied counter update: ``total``."""
     c = valid_updates(df).where(F.col("type") == COUNTER).select("seq", "type", "id", "delta")
-    return running(c, KEY, "seq", {"total": ("sum", "delta")}, bucket_size)
+    return running(c, KEY, "seq", {"total": ("sum", "delta")}, ranges)
 
 
-def running_gauge(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:
+def running_gauge(df: DataFrame, ranges: int | None = DEFAULT_RANGES) -> DataFrame:
     """For every gauge row (with or without a value) the gauge as of that
     position: ``value_asof`` is the newest value at or before it."""
     g = df.where(F.col("type") == GAUGE).select("seq", "type", "id", "value")
-    return running(g, KEY, "seq", {"value_asof": ("last", "value")}, bucket_size)
+    return running(g, KEY, "seq", {"value_asof": ("last", "value")}, ranges)
 
 
-def cumulative_to_delta(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:
+def cumulative_to_delta(df: DataFrame, ranges: int | None = DEFAULT_RANGES) -> DataFrame:
     """Counters reported as running totals -> increments.
 
     The increment is the change from the previous report of the same id; the
@@ -181,19 +205,19 @@ def cumulative_to_delta(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET)
     c = valid_updates(df).where(F.col("type") == COUNTER).select(
         "seq", "type", "id", F.col("delta").alias("cumulative")
     )
-    r = running(c, KEY, "seq", {"_prev": ("prev", "cumulative")}, bucket_size)
+    r = running(c, KEY, "seq", {"_prev": ("prev", "cumulative")}, ranges)
     cur, prev = F.col("cumulative"), F.col("_prev")
     inc = F.when(prev.isNull() | (cur < prev), cur).otherwise(cur - prev)
     return r.select("seq", "type", "id", "cumulative", inc.alias("delta"))
 
 
-def update_rank(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:
+def update_rank(df: DataFrame, ranges: int | None = DEFAULT_RANGES) -> DataFrame:
     """1-based number of each applied update within its metric."""
     v = valid_updates(df).select("seq", "type", "id")
-    return running(v, KEY, "seq", {"rank": ("count", None)}, bucket_size)
+    return running(v, KEY, "seq", {"rank": ("count", None)}, ranges)
 
 
-def replay_reads(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> DataFrame:
+def replay_reads(df: DataFrame, ranges: int | None = DEFAULT_RANGES) -> DataFrame:
     """What a lookup at each position of the feed would have returned.
 
     Reads are rows of a known type without payload; writes are the applied
@@ -211,7 +235,7 @@ def replay_reads(df: DataFrame, bucket_size: int | None = DEFAULT_BUCKET) -> Dat
     r = running(
         tagged, KEY, "seq",
         {"_n": ("sum", "_w"), "_tot": ("sum", "delta"), "_val": ("last", "value")},
-        bucket_size,
+        ranges,
     )
     reads = r.where(F.col("_w").isNull())
     found = F.coalesce(F.col("_n"), F.lit(0)) > 0

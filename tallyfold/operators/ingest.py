@@ -16,10 +16,6 @@ from tallyfold.operators import fold
 from tallyfold.operators.validate import batch_body_status
 from tallyfold.sources.readers import decode_parsed_batches
 
-# Rows one batch can hold at most: a body is at most 10 MiB and an element
-# takes at least two bytes, so positions fit below 2^23; 2^24 leaves room.
-POS_BITS = 24
-
 
 def batch_statuses(
     batches: DataFrame,
@@ -52,16 +48,16 @@ def ingest_batches(
     """Apply a table of batch requests to ``state``.
 
     ``batches`` has one row per request with ``order_col`` (arrival order of
-    the batch: a unique, non-negative BIGINT below 2^39), ``body`` and
+    the batch: a unique BIGINT), ``body`` and
     optionally ``signature`` and ``content_type``.  Returns ``(statuses,
     new_state)``: the status of every batch, and the state after the
     accepted batches, whose rows are applied in (batch order, position)
     order with the lenient rules (unknown types and rows without payload are
-    skipped).  ``seq`` of a row is ``batch_seq * 2^24 + pos``."""
+    skipped).  ``last_seq`` is the order of the newest batch of a key; a
+    ``state`` must carry the same orders."""
     judged = batch_statuses(batches, key, body, signature, content_type)
     statuses = judged.drop("parsed")
     rows = decode_parsed_batches(judged.where(F.col("status") == 200), "parsed", keep=(order_col,))
-    seq = F.shiftleft(F.col(order_col), POS_BITS) + F.col("pos")
-    updates = rows.select(seq.alias("seq"), "type", "id", "delta", "value")
-    new_state = fold.fold(updates) if state is None else fold.merge_state(state, updates)
+    folded = fold.fold_batches(rows, order_col)
+    new_state = folded if state is None else fold.merge_state(state, fold.state_as_updates(folded))
     return statuses, new_state

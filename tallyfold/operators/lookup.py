@@ -34,7 +34,10 @@ def lookup(requests: DataFrame, state: DataFrame, form: str = "json", salt_bucke
         raise ValueError(f"unknown form {form!r}")
     from tallyfold.functions.numtext import format_int, format_shortest
 
-    s = state.select(*KEY, F.col("delta").alias("_d"), F.col("value").alias("_v"), F.lit(True).alias("_hit"))
+    # A key without a name is the empty name, in requests as in state.
+    requests = requests.withColumn("id", F.coalesce("id", F.lit("")))
+    s = state.select("type", F.coalesce("id", F.lit("")).alias("id"), F.col("delta").alias("_d"),
+                     F.col("value").alias("_v"), F.lit(True).alias("_hit"))
     if salt_buckets and salt_buckets > 1:
         n = int(salt_buckets)
         req = requests.withColumn("_salt", F.floor(F.rand() * n).cast("int"))
@@ -68,5 +71,6 @@ def lookup_hits(requests: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def lookup_misses(requests: DataFrame, state: DataFrame) -> DataFrame:
-    """Requests whose metric does not exist (anti join)."""
-    return requests.join(state.select(*KEY), on=KEY, how="left_anti")
+    """Requests for a known type whose metric does not exist (anti join);
+    other types are not lookups that miss but requests that are refused."""
+    return requests.where(F.col("type").isin(GAUGE, COUNTER)).join(state.select(*KEY), on=KEY, how="left_anti")

@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numtext import indexed_name
+from tallyfold.functions.timeutil import with_interval
 from tallyfold.operators.fold import valid_updates
+from tallyfold.operators.history import DEFAULT_RANGES, running
 from tallyfold.schema import COUNTER, GAUGE, KEY
 
 # The runtime memory statistics the agent reports as gauges,
@@ -20,6 +22,9 @@ RUNTIME_GAUGES = (
     "MSpanInuse", "MSpanSys", "Mallocs", "NextGC", "NumForcedGC", "NumGC", "OtherSys", "PauseTotalNs",
     "StackInuse", "StackSys", "Sys", "TotalAlloc",
 )
+# The host statistics that join the same stream.
+HOST_GAUGES = ("TotalMemory", "FreeMemory")
+CPU_PREFIX = "CPUutilization"
 RANDOM_GAUGE = "RandomValue"
 POLL_COUNTER = "PollCount"
 
@@ -68,7 +73,7 @@ def report_intervals(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq"
 
     The interval aggregate is partial (map-side); the running total runs per
     key over its intervals, whose number is bounded by the time span."""
-    v = valid_updates(df).withColumn("win_start", F.window(F.col(ts), every).start)
+    v = with_interval(valid_updates(df), ts, every)
     t = F.col("type")
     per = v.groupBy("win_start", *KEY).agg(
         F.sum(F.when(t == COUNTER, F.col("delta"))).alias("_d"),
@@ -83,36 +88,41 @@ def report_filled(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq") -
     reported again in each later interval (the agent re-sends all gauges
     each report), up to the last interval of the feed.
 
-    The interval spine per key is generated with ``sequence`` + ``explode``
-    from the key's first interval to the feed's last one (a scalar
-    subquery), so the output is (intervals x keys) by definition.  Spine rows
-    and interval values are unioned and one window per key carries the
-    values forward; no join, one shuffle of the spine."""
+    Each report is repeated until the interval before the key's next report
+    (or the feed's last one, a scalar subquery): one aggregation, no join and
+    no union, and arrays only as long as a gap.  A metric without an interval
+    (no time) is not repeated."""
     base = report_intervals(df, every, ts, seq)
-    last_win = valid_updates(df).select(F.max(F.window(F.col(ts), every).start)).scalar()
+    last_win = with_interval(valid_updates(df), ts, every).select(F.max("win_start")).scalar()
     step = F.expr(f"INTERVAL {every}")
-    first = base.groupBy(*KEY).agg(F.min("win_start").alias("_first"))
-    spine = first.select(
-        F.explode(F.sequence(F.col("_first"), last_win, step)).alias("win_start"), *KEY,
-        F.lit(None).cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"), F.lit(1).alias("_spine"),
+    by_key = W.partitionBy(*KEY).orderBy("win_start")
+    carried = base.select(
+        "win_start", *KEY, "delta",
+        F.last("value", ignorenulls=True).over(by_key.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("value"),
+        F.lead("win_start").over(by_key).alias("_next"),
     )
-    vals = base.select("win_start", *KEY, "delta", "value", F.lit(0).alias("_spine"))
-    u = vals.unionByName(spine)
-    w = W.partitionBy(*KEY).orderBy("win_start", "_spine").rowsBetween(W.unboundedPreceding, W.currentRow)
-    carried = u.select(
-        "win_start", *KEY, "_spine",
-        F.last("delta", ignorenulls=True).over(w).alias("delta"),
-        F.last("value", ignorenulls=True).over(w).alias("value"),
-    )
-    return carried.where(F.col("_spine") == 1).drop("_spine")
+    until = F.coalesce(F.col("_next") - step, last_win)
+    wins = F.when(F.col("win_start").isNull(), F.array(F.col("win_start"))).otherwise(
+        F.sequence(F.col("win_start"), until, step))
+    return carried.select(F.explode(wins).alias("win_start"), *KEY, "delta", "value")
 
 
 def sample_intervals(df: DataFrame, every: str, ts: str = "ts", seq: str = "seq") -> DataFrame:
-    """Poll sampling: the newest row of each interval (a partial max)."""
-    cols = [c for c in df.columns if c != seq]
-    newest = F.max(F.struct(F.col(seq).alias("_o"), *[F.col(c) for c in cols]))
-    g = df.groupBy(F.window(F.col(ts), every).start.alias("win_start")).agg(newest.alias("_r"))
-    return g.select("win_start", F.col("_r._o").alias(seq), *[F.col(f"_r.{c}").alias(c) for c in cols])
+    """Poll sampling: the newest row of each interval.
+
+    The newest ``seq`` per interval is a hash aggregate of two numbers; the
+    rows are then found by a semi join on it, so no raw row is sorted.
+    ``seq`` must be unique."""
+    cut = with_interval(df, ts, every)
+    newest = cut.groupBy("win_start").agg(F.max(seq).alias(seq)).select(seq)
+    return cut.join(newest, seq, "left_semi").select("win_start", seq, *[c for c in df.columns if c != seq])
+
+
+def host_rows(samples: DataFrame, cpus: str = "cpus", seq: str = "seq", ts: str = "ts") -> DataFrame:
+    """Host samples (total and free memory, an array of CPU shares) -> gauge
+    rows, one per memory figure and one per CPU (1-based)."""
+    memory = unpivot_sample(samples, [seq, ts], HOST_GAUGES)
+    return memory.unionByName(explode_indexed(samples, CPU_PREFIX, cpus, keep=(seq, ts)))
 
 
 def report_rows(
@@ -121,7 +131,7 @@ def report_rows(
     seq: str = "seq",
     ts: str = "ts",
     seed: int | None = None,
-    bucket_size: int | None = 1 << 20,
+    ranges: int | None = DEFAULT_RANGES,
 ) -> DataFrame:
     """The agent's report for each wide sample: one gauge per named column,
     a ``RandomValue`` gauge in [0, 1), and the ``PollCount`` counter carrying
@@ -129,15 +139,13 @@ def report_rows(
     two-level so a long sample history is not sorted in one task).
 
     Output: ``seq, ts, type, id, delta, value``."""
-    from tallyfold.operators.history import running
-
     gauges = unpivot_sample(samples, [seq, ts], gauge_cols)
     rnd = F.rand(seed) if seed is not None else F.rand()
     random_rows = samples.select(
         seq, ts, F.lit(GAUGE).alias("type"), F.lit(RANDOM_GAUGE).alias("id"),
         F.lit(None).cast("bigint").alias("delta"), rnd.alias("value"),
     )
-    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, bucket_size)
+    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, ranges)
     polls = counted.select(
         seq, ts, F.lit(COUNTER).alias("type"), F.lit(POLL_COUNTER).alias("id"),
         F.col("_n").cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"),

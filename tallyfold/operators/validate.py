@@ -83,7 +83,7 @@ def _batch_strict(df: DataFrame, batch_col: str, seq: str) -> DataFrame:
     # or gathered in one task, and the input is not computed twice.
     from tallyfold.operators.history import running
 
-    bad = F.when(~is_valid_update(), F.lit(1)).otherwise(F.lit(0))
+    bad = F.when(F.coalesce(is_valid_update(), F.lit(False)), F.lit(0)).otherwise(F.lit(1))
     r = running(df.withColumn("_bad", bad), [batch_col], seq,
                 {"_pre": ("sum", "_bad"), "_all": ("total", "_bad")})
     status = F.when(F.col("_all") > 0, F.lit(400)).otherwise(F.lit(200))
@@ -93,7 +93,7 @@ def _batch_strict(df: DataFrame, batch_col: str, seq: str) -> DataFrame:
 def batch_status(df: DataFrame, batch_col: str = "batch_id", seq: str = "seq") -> DataFrame:
     """Per batch: 400 with the first bad seq, or 200 (strict fallback)."""
     return df.groupBy(batch_col).agg(
-        F.min(F.when(~is_valid_update(), F.col(seq))).alias("first_bad")
+        F.min(F.when(~F.coalesce(is_valid_update(), F.lit(False)), F.col(seq))).alias("first_bad")
     ).withColumn("status", F.when(F.col("first_bad").isNull(), F.lit(200)).otherwise(F.lit(400)))
 
 
@@ -109,7 +109,7 @@ def batch_body_status(body: Column | str = "body", content_type: Column | str |
     b = F.col(body) if isinstance(body, str) else body
     arr = F.try_variant_get(parsed if parsed is not None else F.try_parse_json(b), "$", "array<variant>")
 
-    chain = F.when(F.octet_length(F.trim(b)) > MAX_BODY_BYTES, F.lit(400)).when(
+    chain = F.when(F.octet_length(F.rtrim(b)) > MAX_BODY_BYTES, F.lit(400)).when(
         arr.isNull(), F.lit(400)
     ).when(F.size(arr) == 0, F.lit(400)).when(~F.forall(arr, lambda el: record_types_ok(el)), F.lit(400)).otherwise(F.lit(200))
     if content_type is not None:
@@ -133,10 +133,10 @@ def validate_batches(df: DataFrame, body: str = "body", content_type: str | None
 
 
 def ack(df: DataFrame) -> DataFrame:
-    """Acknowledgement of accepted single JSON updates: the request echoed."""
-    return df.where(F.col("status") == 200).withColumn(
-        "reply", F.to_json(F.struct("id", "type", "delta", "value"))
-    )
+    """Acknowledgement of accepted single JSON updates: the request echoed
+    (with its ``hash``, if the table has one)."""
+    fields = ["id", "type", "delta", "value", *(["hash"] if "hash" in df.columns else [])]
+    return df.where(F.col("status") == 200).withColumn("reply", F.to_json(F.struct(*fields)))
 
 
 def batch_ack(df: DataFrame) -> DataFrame:

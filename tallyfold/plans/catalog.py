@@ -50,7 +50,7 @@ def q_metric_names(spark, sf):
 
 
 def q_list_metrics(spark, sf):
-    return listing.list_metrics(fold.fold(load_feed(spark, sf)))
+    return listing.list_metrics(fold.fold(load_feed(spark, sf, known_only=True)))
 
 
 def q_all_metrics(spark, sf):
@@ -108,44 +108,29 @@ def q_running_counter(spark, sf):
     return history.running_counter(load_feed(spark, sf))
 
 
-def q_running_counter_bucketed(spark, sf):
-    return history.running_counter(load_feed(spark, sf), bucket_size=500)
-
-
-def q_running_counter_plain(spark, sf):
-    return history.running_counter(load_feed(spark, sf), bucket_size=None)
-
-
 def q_running_gauge(spark, sf):
-    return history.running_gauge(load_feed(spark, sf), bucket_size=500)
+    return history.running_gauge(load_feed(spark, sf))
 
 
 def q_cumulative_to_delta(spark, sf):
-    return history.cumulative_to_delta(load_feed(spark, sf), bucket_size=500)
+    return history.cumulative_to_delta(load_feed(spark, sf))
 
 
 def q_update_rank(spark, sf):
-    return history.update_rank(load_feed(spark, sf), bucket_size=500)
+    return history.update_rank(load_feed(spark, sf))
 
 
 def q_replay_reads(spark, sf):
-    return history.replay_reads(load_feed(spark, sf), bucket_size=500)
+    return history.replay_reads(load_feed(spark, sf))
 
 
 def q_running_counter_hot(spark, sf):
-    # Five keys share the whole feed: no task sorts more than one bucket
-    # (1,000 seq values) of a key.
-    return history.running_counter(load_feed(spark, sf, hot=True), bucket_size=1000)
-
-
-def q_running_counter_hot_plain(spark, sf):
-    # One-level window on the same five hot keys: one task sorts a whole key.
-    # Kept to time and check the two-level form against it.
-    return history.running_counter(load_feed(spark, sf, hot=True), bucket_size=None)
+    # Five keys share the whole feed: no task sorts more than one range of a key.
+    return history.running_counter(load_feed(spark, sf, hot=True))
 
 
 def q_replay_reads_hot(spark, sf):
-    return history.replay_reads(load_feed(spark, sf, hot=True), bucket_size=1000)
+    return history.replay_reads(load_feed(spark, sf, hot=True))
 
 
 def q_fold_hot(spark, sf):
@@ -165,7 +150,7 @@ def q_sample_intervals(spark, sf):
 
 
 def _batched(spark, sf):
-    return batching.assign_batches(load_feed(spark, sf), BATCH_SIZE, BATCH_EVERY, bucket_size=500)
+    return batching.assign_batches(load_feed(spark, sf), BATCH_SIZE, BATCH_EVERY)
 
 
 def q_assign_batches(spark, sf):
@@ -176,42 +161,62 @@ def q_encode_batches(spark, sf):
     return batching.encode_batches(_batched(spark, sf))
 
 
-def q_batch_status(spark, sf):
+def _requests(spark, sf):
+    """The feed as batch requests, some of them faulty by a rule on
+    ``first_seq`` that the oracle restates: cut short, empty, of another
+    content type, not an array, a field of the wrong type, a number beyond a
+    double, an element that is no object."""
     enc = batching.encode_batches(_batched(spark, sf))
-    return validate.validate_batches(enc, body="payload", content_type=None).select("win_start", "batch_no", "status")
+    k, p = F.col("first_seq") % 10, F.col("payload")
+    body = (
+        F.when(k == 1, F.substring(p, F.lit(1), F.length(p) - 1)).when(k == 2, F.lit("[]"))
+        .when(k == 4, F.lit('{"id":"a","type":"gauge","value":1}')).when(k == 5, F.lit('[{"id":"a","type":"counter","delta":1.5}]'))
+        .when(k == 6, F.lit('[{"id":"a","type":"gauge","value":1e400}]')).when(k == 7, F.lit("[5]")).otherwise(p)
+    )
+    kind = F.when(k == 3, F.lit("text/plain")).when(k == 8, F.lit("")).otherwise(F.lit("application/json"))
+    return enc.select("win_start", "batch_no", F.col("first_seq").alias("batch_seq"), body.alias("body"),
+                      kind.alias("content_type"))
+
+
+def q_batch_status(spark, sf):
+    return validate.validate_batches(_requests(spark, sf)).select("win_start", "batch_no", "status")
 
 
 def q_fold_atomic(spark, sf):
-    # Batches travel as JSON payloads; each is checked whole, decoded back to
-    # rows in array order, and only accepted batches are folded.
-    enc = validate.validate_batches(
-        batching.encode_batches(_batched(spark, sf)), body="payload", content_type=None, keep_parsed=True
-    )
-    rows = readers.decode_parsed_batches(enc, "parsed", keep=("win_start", "batch_no", "status"))
-    order = F.struct("win_start", "batch_no", "pos")
-    accepted = rows.where(F.col("status") == 200)
-    v = fold.valid_updates(accepted)
-    t = F.col("type")
-    return v.groupBy("type", "id").agg(
-        F.sum(F.when(t == "counter", F.col("delta"))).alias("delta"),
-        F.max_by(F.when(t == "gauge", F.col("value")), order).alias("value"),
-    )
+    # Batches travel as JSON payloads, some of them faulty; each is checked
+    # whole, and only the rows of accepted batches are folded.
+    judged = materialize(validate.validate_batches(_requests(spark, sf)).select("win_start", "batch_no", "status"), "judged")
+    rows = _batched(spark, sf)
+    key = F.struct("win_start", "batch_no")
+    return fold.fold_atomic(rows.withColumn("batch_id", key), judged.withColumn("batch_id", key))
 
 
 def q_ingest_batches(spark, sf):
-    # The feed shipped as signed batch payloads (arrival order = first seq),
-    # then ingested: signatures verified, bodies checked whole, accepted
-    # batches decoded in order and folded.
+    # The same requests, signed; some signatures are tampered with, some are
+    # empty (nothing to check).  Accepted batches are decoded in order and folded.
     from tallyfold.functions.signing import hmac_sha256_hex
     from tallyfold.operators.ingest import ingest_batches
 
-    enc = batching.encode_batches(_batched(spark, sf))
-    reqs = enc.select(
-        F.col("first_seq").alias("batch_seq"), F.col("payload").alias("body"),
-        hmac_sha256_hex("payload", SIGN_KEY).alias("signature"), F.lit("application/json").alias("content_type"),
-    )
-    _, state = ingest_batches(reqs, key=SIGN_KEY)
-    return state.select("type", "id", "delta", "value")
+    k = F.col("batch_seq") % 10
+    signature = F.when(k == 9, F.lit("00")).when(k == 8, F.lit("")).otherwise(hmac_sha256_hex("body", SIGN_KEY))
+    _, state = ingest_batches(_requests(spark, sf).withColumn("signature", signature), key=SIGN_KEY)
+    return state
+
+
+def q_batch_ack(spark, sf):
+    # The acknowledgements of accepted batches.
+    acked = validate.batch_ack(validate.validate_batches(_requests(spark, sf)))
+    return acked.select("win_start", "batch_no", "status", "reply")
+
+
+def q_read_batches(spark, sf):
+    # Every batch written as a file of its own, read back as request bodies and folded.
+    path = scratch_path(spark, "batch-files")
+    enc = batching.encode_batches(_batched(spark, sf)).select("payload", F.col("first_seq").alias("batch"))
+    enc.write.partitionBy("batch").text(path)
+    rows = readers.read_metric_batch(spark, f"{path}/*/*")
+    order = F.regexp_extract("batch_id", r"batch=(\d+)/", 1).cast("bigint")
+    return fold.fold_batches(rows.withColumn("batch_seq", order), "batch_seq").select("type", "id", "delta", "value")
 
 
 def q_batch_strict(spark, sf):
@@ -235,28 +240,57 @@ def q_validate_json(spark, sf):
     return j.select("seq", "type", "id", "status", F.when(F.col("status") == 200, F.col("body")).alias("reply"))
 
 
+def q_ack(spark, sf):
+    # Accepted single updates, echoed.
+    return validate.ack(_json_judged(spark, sf)).select("seq", "reply")
+
+
 def q_decode_json(spark, sf):
     # Each feed row is sent as a JSON body (P2), decoded back (P1) and judged
-    # as a single JSON update (P7).
+    # as a single JSON update (P7); some bodies are faulty by a rule on ``seq``.
     from tallyfold.functions.jsoncodec import decode_json
 
-    bodies = load_feed(spark, sf).select("seq", encode_json().alias("body"))
+    k, body = F.col("seq") % 20, encode_json()
+    faulty = (
+        F.when(k == 1, F.substring(body, F.lit(1), F.length(body) - 1))
+        .when(k == 2, F.lit('{"id":"big","type":"gauge","value":1e400}'))
+        .when(k == 3, F.lit('{"id":"half","type":"counter","delta":0.5}'))
+        .when(k == 4, F.lit('{"id":"old","id":"twice","type":"counter","delta":1,"delta":7}'))
+        .when(k == 5, F.lit('{"type":"gauge","value":2.5}')).when(k == 6, F.lit('{"id":"untyped","value":1}'))
+        .when(k == 7, F.lit('{"id":"text","type":"gauge","value":"1"}')).when(k == 8, F.lit("[]")).otherwise(body)
+    )
+    bodies = load_feed(spark, sf).select("seq", faulty.alias("body"))
     judged = validate.validate(decode_json(bodies, "body"), mode="json")
-    return judged.select("seq", "type", "id", "status", "delta", "value")
+    ok = F.col("status") == 200
+    return judged.select("seq", "status", *[F.when(ok, F.col(c)).alias(c) for c in ("type", "id", "delta", "value")])
 
 
 def q_outcome_counts(spark, sf):
     return fold.outcome_counts(_json_judged(spark, sf), body="body")
 
 
-def q_validate_paths(spark, sf):
+def _paths(spark, sf):
+    """Update paths of the feed, some of them faulty by a rule on ``seq``."""
     feed = load_feed(spark, sf)
+    k = F.col("seq") % 20
     text = F.coalesce(format_int("delta"), format_shortest("value"), F.lit(""))
-    paths = feed.select(
-        "seq", F.concat(F.lit("/update/"), F.col("type"), F.lit("/"), F.col("id"), F.lit("/"), text).alias("path")
-    )
-    parsed = readers.split_update_path(paths, "path")
-    return validate.validate(parsed, mode="path").select("seq", "type", "id", "status", "delta", "value")
+    text = (F.when(k == 1, F.lit(" 5")).when(k == 2, F.lit("1e400")).when(k == 3, F.lit("5\n")).when(k == 4, F.lit("1.5d"))
+            .when(k == 5, F.lit("0x1p-2")).when(k == 6, F.lit("+7")).otherwise(text))
+    name = F.when(k == 7, F.lit("")).otherwise(F.col("id"))
+    path = F.concat(F.lit("/update/"), F.col("type"), F.lit("/"), name, F.lit("/"), text)
+    return feed.select("seq", F.when(k == 8, F.lit("/else/where")).otherwise(path).alias("path"))
+
+
+def q_validate_paths(spark, sf):
+    parsed = readers.split_update_path(_paths(spark, sf), "path")
+    return validate.validate(parsed, mode="path").select("seq", "status", "delta", "value")
+
+
+def q_read_paths(spark, sf):
+    # Update paths written as lines of text, read back and judged: requests per outcome.
+    path = scratch_path(spark, "paths")
+    _paths(spark, sf).where(F.col("seq") % 20 != 3).select("path").write.text(path)
+    return fold.outcome_counts(validate.validate(readers.read_update_paths(spark, path), mode="path"), body="path")
 
 
 def _requests_and_state(spark, sf):
@@ -270,6 +304,40 @@ def q_lookup(spark, sf):
     return lookup.lookup(req, state, form="json")
 
 
+def q_read_requests(spark, sf):
+    # Lookup requests written as JSON lines and as path lines, read back and answered: replies per form and status.
+    req, state = _requests_and_state(spark, sf)
+    root = scratch_path(spark, "requests")
+    req.select("id", "type").write.json(f"{root}/json")
+    req.select(F.concat(F.lit("/value/"), F.col("type"), F.lit("/"), F.col("id")).alias("path")).write.text(f"{root}/path")
+    answers = [lookup.lookup(readers.read_value_requests(spark, f"{root}/{form}", form), state, form=form)
+               .select(F.lit(form).alias("form"), "status", "delta", "value") for form in ("json", "path")]
+    return answers[0].unionByName(answers[1]).groupBy("form", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("delta").alias("deltas"), F.count("value").alias("gauges"))
+
+
+def q_lookup_one(spark, sf):
+    # The first metric by name and type, looked up in the stored state table.
+    path = scratch_path(spark, "state-one")
+    state = fold.fold(load_feed(spark, sf))
+    store.write_state(state, path)
+    first = store.read_state(spark, path).agg(F.min(F.struct("id", "type")).alias("k")).first()["k"]
+    return lookup.lookup_one(store.read_state(spark, path), first["type"], first["id"]).select(
+        "type", "id", "delta", "value", "last_seq")
+
+
+def q_state_ddl(spark, sf):
+    # The state table created, filled, read and dropped; its files stay at their location.
+    path = scratch_path(spark, "state-ddl")
+    name = "state_" + path.rsplit("-", 1)[1]
+    store.create_state(spark, name, path)
+    fold.fold(load_feed(spark, sf)).select("id", "delta", "value", "last_seq", "type").write.insertInto(name, overwrite=True)
+    rows = spark.table(name).select("type", "id", "delta", "value", "last_seq")
+    rows = materialize(rows, "state-ddl-read")
+    store.drop_state(spark, name)
+    return rows
+
+
 def q_lookup_hot_salted(spark, sf):
     # Every request falls on one of five metrics; salting spreads each hot
     # metric's requests over 8 tasks.
@@ -304,20 +372,22 @@ def q_value_text(spark, sf):
 
 
 WIDE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-WIDE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def _wide_seq():
+    # Order of the samples: order, line, part.
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
 
 
 def q_unpivot_fold(spark, sf):
-    # Each lineitem row is one wide sample of the agent ``l_suppkey``.  Last
-    # write wins per sample: the newest row by (ship date, order, line, part,
-    # then the values) is folded per agent, and only that row is unpivoted
-    # into one gauge per column.  Folding before unpivoting sorts a quarter of
-    # the rows the other order would.
+    # Each lineitem row is one wide sample of the agent ``l_suppkey``: every
+    # row is unpivoted into one gauge per column, and the gauges are folded in
+    # sample order.
     li = load_table(spark, sf, "lineitem")
-    newest = F.max(F.struct(*[F.col(c) for c in WIDE_ORDER], *[F.col(c) for c in WIDE_COLS]))
-    last = li.groupBy("l_suppkey").agg(newest.alias("_s"), F.count(F.lit(1)).alias("n_samples"))
-    wide = last.select("l_suppkey", "n_samples", *[F.col(f"_s.{c}").alias(c) for c in WIDE_COLS])
-    return sampling.unpivot_sample(wide, ["l_suppkey", "n_samples"], WIDE_COLS).drop("delta")
+    seq = _wide_seq()
+    long = sampling.unpivot_sample(li.withColumn("seq", seq), ["seq", "l_suppkey"], WIDE_COLS)
+    named = long.withColumn("id", F.concat(F.col("l_suppkey").cast("string"), F.lit("/"), F.col("id")))
+    return fold.fold(named).drop("delta")
 
 
 def q_explode_indexed(spark, sf):
@@ -326,8 +396,27 @@ def q_explode_indexed(spark, sf):
 
 
 def q_random_gauge(spark, sf):
+    # One uniform value per sample: how many, and whether all lie in [0, 1).
     li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return sampling.with_random_gauge(li, seed=7)
+    r = F.col("random_value")
+    return sampling.with_random_gauge(li, seed=7).groupBy("random_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min((r >= 0) & (r < 1)).alias("in_range"))
+
+
+def q_update_rows(spark, sf):
+    # Gauges from order prices and counters from line numbers, folded per return flag.
+    li = load_table(spark, sf, "lineitem")
+    base = li.select(_wide_seq().alias("seq"), F.col("l_returnflag").alias("mode"), "l_extendedprice", "l_linenumber")
+    rows = sampling.gauge_rows(base, "mode", "l_extendedprice", keep=("seq",)).unionByName(
+        sampling.counter_rows(base, "mode", "l_linenumber", keep=("seq",)))
+    return fold.fold(rows)
+
+
+def q_split_state(spark, sf):
+    # State split into gauges and counters, each counted apart.
+    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf)))
+    return gauges.select("type", "id", F.lit(None).cast("bigint").alias("delta"), "value").unionByName(
+        counters.select("type", "id", "delta", F.lit(None).cast("double").alias("value")))
 
 
 def q_poll_count(spark, sf):
@@ -339,14 +428,16 @@ def q_sign_rows(spark, sf):
 
 
 def _attempts(spark, sf):
-    # Every event is one send by its user (the request); attempts are the
-    # user's sends in seq order, answered with the JSON-endpoint status.
+    # Every event is one send by its user; four sends in a row are the attempts
+    # of one request.  Every seventh send gets no answer, every eleventh a 503.
     judged = _json_judged(spark, sf, keep=("user_id",))
-    ranked = history.running(judged.select("seq", "user_id", "status"), ["user_id"], "seq",
-                             {"attempt": ("count", None)}, bucket_size=500)
+    ranked = history.running(judged.select("seq", "user_id", "status"), ["user_id"], "seq", {"n": ("count", None)})
+    nth = F.col("n") - 1
+    answer = F.when(F.col("seq") % 7 == 0, F.lit(None)).when(F.col("seq") % 11 == 0, F.lit(503)).otherwise(F.col("status"))
+    state = F.when(F.col("seq") % 3 == 0, F.lit("08006")).when(F.col("seq") % 5 == 0, F.lit("23505"))
     return ranked.select(
-        F.col("user_id").alias("request_id"), F.col("attempt").cast("int").alias("attempt"),
-        F.col("status").alias("http_status"),
+        (F.col("user_id") * 1_000_000 + F.floor(nth / 4)).alias("request_id"), (nth % 4 + 1).cast("int").alias("attempt"),
+        answer.cast("int").alias("http_status"), state.alias("sqlstate"),
     )
 
 
@@ -359,6 +450,11 @@ def q_delivery_outcome_batch(spark, sf):
     return delivery.delivery_outcome(_attempts(spark, sf), mode="batch")
 
 
+def q_delivery_outcome_database(spark, sf):
+    # Retriable SQLSTATEs are tried again, the first other one ends the request.
+    return delivery.delivery_outcome(_attempts(spark, sf), mode="database")
+
+
 def q_stream_fold(spark, sf):
     from tallyfold.streaming import stream
 
@@ -371,16 +467,17 @@ def q_stream_merge(spark, sf):
     return stream.run_stream_merge(spark, sf)
 
 
-def q_stream_stateful(spark, sf):
-    from tallyfold.streaming.stateful import run_stream_stateful
+def q_stream_merge_reversed(spark, sf):
+    # The files arrive newest first.
+    from tallyfold.streaming import stream
 
-    return run_stream_stateful(spark, sf, CUTOFF, vectorized=True)
+    return stream.run_stream_merge(spark, sf, reverse=True)
 
 
-def q_stream_stateful_rows(spark, sf):
-    from tallyfold.streaming.stateful import run_stream_stateful
+def q_stream_stateful(spark, sf):
+    from tallyfold.streaming import stream
 
-    return run_stream_stateful(spark, sf, CUTOFF, vectorized=False)
+    return stream.run_stream_stateful(spark, sf, CUTOFF)
 
 
 def q_stream_live_fold(spark, sf):
@@ -435,11 +532,8 @@ QUERIES: dict[str, Query] = {
     "restore_snapshot_json": q_restore_snapshot_json,
     "resume": q_resume,
     "running_counter": q_running_counter,
-    "running_counter_bucketed": q_running_counter_bucketed,
-    "running_counter_plain": q_running_counter_plain,
     "running_gauge": q_running_gauge,
     "running_counter_hot": q_running_counter_hot,
-    "running_counter_hot_plain": q_running_counter_hot_plain,
     "replay_reads_hot": q_replay_reads_hot,
     "fold_hot": q_fold_hot,
     "cumulative_to_delta": q_cumulative_to_delta,
@@ -452,6 +546,17 @@ QUERIES: dict[str, Query] = {
     "encode_batches": q_encode_batches,
     "batch_status": q_batch_status,
     "fold_atomic": q_fold_atomic,
+    "batch_ack": q_batch_ack,
+    "read_batches": q_read_batches,
+    "ack": q_ack,
+    "read_paths": q_read_paths,
+    "read_requests": q_read_requests,
+    "lookup_one": q_lookup_one,
+    "state_ddl": q_state_ddl,
+    "update_rows": q_update_rows,
+    "split_state": q_split_state,
+    "delivery_outcome_database": q_delivery_outcome_database,
+    "stream_merge_reversed": q_stream_merge_reversed,
     "ingest_batches": q_ingest_batches,
     "batch_strict": q_batch_strict,
     "validate_json": q_validate_json,
@@ -475,7 +580,6 @@ QUERIES: dict[str, Query] = {
     "stream_fold": q_stream_fold,
     "stream_merge": q_stream_merge,
     "stream_stateful": q_stream_stateful,
-    "stream_stateful_rows": q_stream_stateful_rows,
     "stream_batches": q_stream_batches,
     "stream_live_fold": q_stream_live_fold,
     "stream_report": q_stream_report,

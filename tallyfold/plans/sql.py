@@ -7,8 +7,6 @@ each query is checked independently of the Spark code.
 
 from __future__ import annotations
 
-from tallyfold.functions.signing import _pads
-
 CUTOFF = "2024-01-16 00:00:00"
 SIGN_KEY = "secret"
 
@@ -81,7 +79,8 @@ early AS (
 
 
 def _hmac_sql(expr: str, key: str) -> str:
-    ipad, opad = _pads(key)
+    block = key.encode().ljust(64, b"\0")  # keys of up to 64 bytes
+    ipad, opad = bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
     return (
         f"sha256(from_hex('{opad.hex()}') || unhex(sha256(from_hex('{ipad.hex()}') || encode({expr}))))"
     )
@@ -177,13 +176,6 @@ spine AS (
         BATCHES,
     ),
     "encode_batches": with_feed("SELECT * FROM encoded", BATCHES, ENCODED),
-    "batch_status": with_feed(
-        "SELECT win_start, batch_no, CASE WHEN json_valid(payload) AND json_type(payload) = 'ARRAY' "
-        "AND json_array_length(payload) > 0 THEN 200 ELSE 400 END AS status FROM encoded",
-        BATCHES,
-        ENCODED,
-    ),
-    "fold_atomic": FOLD_NO_SEQ,
     "batch_strict": with_feed(
         "SELECT seq, id, type, delta, value, win_start, CAST(batch_no AS BIGINT) AS batch_no, "
         "CASE WHEN first_bad IS NULL THEN 200 ELSE 400 END AS status FROM ("
@@ -206,13 +198,6 @@ spine AS (
         "WHEN type = 'counter' THEN CASE WHEN delta IS NULL THEN 400 ELSE 200 END ELSE 501 END AS status "
         "FROM feed) GROUP BY status"
     ),
-    "validate_paths": with_feed(
-        "SELECT seq, type, id, "
-        "CASE WHEN type = 'gauge' AND value IS NOT NULL THEN 200 "
-        "WHEN type = 'counter' AND delta IS NOT NULL THEN 200 ELSE 400 END AS status, "
-        "CASE WHEN type = 'counter' THEN delta END AS delta, "
-        "CASE WHEN type = 'gauge' THEN value END AS value FROM feed"
-    ),
     "lookup": with_feed(
         "SELECT r.seq, r.type, r.id, CASE WHEN r.type NOT IN ('gauge', 'counter') THEN 501 "
         "WHEN e.id IS NULL THEN 404 ELSE 200 END AS status, "
@@ -237,7 +222,7 @@ spine AS (
         EARLY_STATE,
     ),
     "lookup_misses": with_feed(
-        "SELECT r.seq, r.type, r.id FROM feed r WHERE NOT EXISTS "
+        "SELECT r.seq, r.type, r.id FROM feed r WHERE r.type IN ('gauge', 'counter') AND NOT EXISTS "
         "(SELECT 1 FROM early e WHERE e.type = r.type AND e.id = r.id)",
         EARLY_STATE,
     ),
@@ -253,13 +238,11 @@ spine AS (
         FOLD_CTE,
     ),
     "unpivot_fold": (
-        "WITH newest AS (SELECT l_suppkey, count(*) AS n_samples, arg_max({'q': l_quantity, "
-        "'p': l_extendedprice, 'd': l_discount, 't': l_tax}, (l_shipdate, l_orderkey, l_linenumber, "
-        "l_partkey, l_quantity, l_extendedprice, l_discount, l_tax)) AS s FROM lineitem GROUP BY l_suppkey) "
-        "SELECT l_suppkey, n_samples, 'gauge' AS type, 'l_quantity' AS id, s.q AS value FROM newest UNION ALL "
-        "SELECT l_suppkey, n_samples, 'gauge', 'l_extendedprice', s.p FROM newest UNION ALL "
-        "SELECT l_suppkey, n_samples, 'gauge', 'l_discount', s.d FROM newest UNION ALL "
-        "SELECT l_suppkey, n_samples, 'gauge', 'l_tax', s.t FROM newest"
+        "WITH long AS (UNPIVOT (SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS seq, l_suppkey, l_quantity::DOUBLE AS l_quantity, "
+        "l_extendedprice::DOUBLE AS l_extendedprice, l_discount::DOUBLE AS l_discount, l_tax::DOUBLE AS l_tax FROM lineitem) "
+        "ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME col VALUE value) "
+        "SELECT 'gauge' AS type, CAST(l_suppkey AS VARCHAR) || '/' || col AS id, arg_max(value, seq) AS value, "
+        "CAST(max(seq) AS BIGINT) AS last_seq FROM long GROUP BY l_suppkey, col"
     ),
     "explode_indexed": (
         "SELECT vec_id, 'gauge' AS type, 'dim' || CAST(i AS VARCHAR) AS id, CAST(embedding[i] AS DOUBLE) AS value "
@@ -274,28 +257,8 @@ spine AS (
         f"SELECT seq, body, {_hmac_sql('body', SIGN_KEY)} AS signature FROM ("
         f"SELECT seq, {JSON_BODY} || chr(10) AS body FROM feed)"
     ),
-    "delivery_outcome": with_feed(
-        "SELECT request_id, success_at, CAST(coalesce(success_at, seen) AS INTEGER) AS attempts, "
-        "CASE WHEN success_at IS NOT NULL THEN 'delivered' ELSE 'failed' END AS outcome, "
-        "[0, 1, 4, 9][coalesce(success_at, seen)] AS wait_s FROM ("
-        "SELECT request_id, min(CASE WHEN http_status = 200 OR (http_status NOT IN (502, 503, 504) "
-        "AND NOT (http_status >= 400 AND http_status < 500)) THEN attempt END) AS success_at, "
-        "count(*) AS seen FROM attempts WHERE attempt <= 4 GROUP BY request_id)",
-        """
-attempts AS (
-  SELECT user_id AS request_id,
-         CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS attempt,
-         CASE WHEN f.type = 'gauge' THEN CASE WHEN f.value IS NULL THEN 400 ELSE 200 END
-              WHEN f.type = 'counter' THEN CASE WHEN f.delta IS NULL THEN 400 ELSE 200 END
-              ELSE 501 END AS http_status
-  FROM events e JOIN feed f ON f.seq = e.event_id
-)""",
-    ),
 }
 
-ORACLES["running_counter_bucketed"] = ORACLES["running_counter"]
-ORACLES["running_counter_plain"] = ORACLES["running_counter"]
-
 RUNNING_COUNTER_SQL = (
     "SELECT seq, type, id, delta, CAST(sum(delta) OVER (PARTITION BY type, id ORDER BY seq "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total "
@@ -320,7 +283,6 @@ ORACLES["fold_hot"] = with_feed("SELECT * FROM folded", FOLD_CTE, hot=True)
 ORACLES["stream_batches"] = ORACLES["encode_batches"]
 ORACLES["feed_roundtrip"] = FOLD
 ORACLES["state_table"] = FOLD
-ORACLES["stream_stateful_rows"] = FOLD
 ORACLES["lookup_hot_salted"] = with_feed(
     "SELECT r.seq, r.type, r.id, CASE WHEN r.type NOT IN ('gauge', 'counter') THEN 501 "
     "WHEN e.id IS NULL THEN 404 ELSE 200 END AS status, "
@@ -330,25 +292,122 @@ ORACLES["lookup_hot_salted"] = with_feed(
     EARLY_STATE,
     hot=True,
 )
-# Intervals closed by the final watermark (newest event time minus 1 hour)
-# are the ones an append-mode stream has emitted at the end of its input.
 ORACLES["stream_report"] = with_feed(
     "SELECT time_bucket(INTERVAL '1 day', ts) AS win_start, type, id, CAST(sum(delta) AS BIGINT) AS delta, "
-    "arg_max(value, seq) AS value FROM valid GROUP BY 1, 2, 3 "
-    "HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' <= "
-    "(SELECT max(ts) FROM valid) - INTERVAL '1 hour'"
+    "arg_max(value, seq) AS value FROM valid GROUP BY 1, 2, 3"
 )
-ORACLES["ingest_batches"] = FOLD_NO_SEQ
 ORACLES["stream_live_fold"] = FOLD
-ORACLES["delivery_outcome_batch"] = ORACLES["delivery_outcome"].replace(
-    "min(CASE WHEN http_status = 200 OR (http_status NOT IN (502, 503, 504) "
-    "AND NOT (http_status >= 400 AND http_status < 500)) THEN attempt END)",
-    "min(CASE WHEN http_status = 200 THEN attempt END)",
+ORACLES["stream_merge_reversed"] = FOLD
+ORACLES["state_ddl"] = FOLD
+ORACLES["read_batches"] = FOLD_NO_SEQ
+ORACLES["split_state"] = FOLD_NO_SEQ
+ORACLES["lookup_one"] = with_feed("SELECT * FROM folded ORDER BY id, type LIMIT 1", FOLD_CTE)
+
+# Faulty batch requests: every batch whose first_seq ends in 1 to 7 is refused.
+JUDGED = """
+judged AS (
+  SELECT win_start, batch_no, first_seq,
+         CASE WHEN first_seq % 10 = 3 THEN 415 WHEN first_seq % 10 IN (1, 2, 4, 5, 6, 7) THEN 400 ELSE 200 END AS status
+  FROM encoded
+),
+taken AS (
+  SELECT b.*, j.first_seq FROM batched b JOIN judged j ON j.win_start = b.win_start AND j.batch_no = b.batch_no
+  WHERE j.status = 200 AND ((b.type = 'gauge' AND b.value IS NOT NULL) OR (b.type = 'counter' AND b.delta IS NOT NULL))
+)"""
+ORACLES["batch_status"] = with_feed("SELECT win_start, batch_no, status FROM judged", BATCHES, ENCODED, JUDGED)
+ORACLES["batch_ack"] = with_feed(
+    "SELECT win_start, batch_no, status, '{\"status\":\"ok\"}' AS reply FROM judged WHERE status = 200",
+    BATCHES, ENCODED, JUDGED,
+)
+ORACLES["fold_atomic"] = with_feed(
+    "SELECT type, id, CAST(sum(delta) AS BIGINT) AS delta, arg_max(value, seq) AS value, max(seq) AS last_seq "
+    "FROM taken GROUP BY type, id",
+    BATCHES, ENCODED, JUDGED,
+)
+# Signatures of batches whose first_seq ends in 9 are wrong.
+ORACLES["ingest_batches"] = with_feed(
+    "SELECT type, id, CAST(sum(delta) AS BIGINT) AS delta, arg_max(value, seq) AS value, max(first_seq) AS last_seq "
+    "FROM taken WHERE first_seq % 10 <> 9 GROUP BY type, id",
+    BATCHES, ENCODED, JUDGED,
 )
-assert ORACLES["delivery_outcome_batch"] != ORACLES["delivery_outcome"]
-ORACLES["running_counter_hot_plain"] = ORACLES["running_counter_hot"]
+ORACLES["ack"] = with_feed(f"SELECT seq, {JSON_BODY} AS reply FROM valid")
 ORACLES["decode_json"] = with_feed(
-    "SELECT seq, type, id, CASE WHEN type = 'gauge' THEN CASE WHEN value IS NULL THEN 400 ELSE 200 END "
+    "SELECT seq, status, CASE WHEN status = 200 THEN t END AS type, CASE WHEN status = 200 THEN i END AS id, "
+    "CASE WHEN status = 200 THEN d END AS delta, CASE WHEN status = 200 THEN v END AS value FROM ("
+    "SELECT seq, CASE WHEN k IN (1, 2, 3, 7, 8) THEN 400 WHEN k IN (4, 5) THEN 200 WHEN k = 6 THEN 501 "
+    "WHEN type = 'gauge' THEN CASE WHEN value IS NULL THEN 400 ELSE 200 END "
     "WHEN type = 'counter' THEN CASE WHEN delta IS NULL THEN 400 ELSE 200 END ELSE 501 END AS status, "
-    "delta, value FROM feed"
+    "CASE k WHEN 4 THEN 'counter' WHEN 5 THEN 'gauge' ELSE type END AS t, "
+    "CASE k WHEN 4 THEN 'twice' WHEN 5 THEN '' ELSE id END AS i, "
+    "CASE k WHEN 4 THEN 7 WHEN 5 THEN NULL ELSE delta END AS d, "
+    "CASE k WHEN 4 THEN NULL WHEN 5 THEN 2.5 ELSE value END AS v "
+    "FROM (SELECT *, seq % 20 AS k FROM feed))"
 )
+PATHS = f"""
+paths AS (
+  SELECT seq, k, CASE WHEN k = 8 THEN '/else/where' ELSE '/update/' || type || '/' || CASE WHEN k = 7 THEN '' ELSE id END
+         || '/' || CASE k WHEN 1 THEN ' 5' WHEN 2 THEN '1e400' WHEN 3 THEN '5' || chr(10) WHEN 4 THEN '1.5d'
+                   WHEN 5 THEN '0x1p-2' WHEN 6 THEN '+7' ELSE coalesce(CAST(delta AS VARCHAR), {SHORT_TEXT}, '') END END AS path,
+         CASE WHEN k IN (7, 8) THEN 404 WHEN type NOT IN ('gauge', 'counter') OR k IN (1, 2, 3, 4) THEN 400
+              WHEN k = 5 THEN CASE WHEN type = 'gauge' THEN 200 ELSE 400 END WHEN k = 6 THEN 200
+              WHEN delta IS NULL AND value IS NULL THEN 400 ELSE 200 END AS status,
+         CASE WHEN k IN (1, 2, 3, 4, 5, 8) OR type <> 'counter' THEN NULL WHEN k = 6 THEN 7 ELSE delta END AS delta,
+         CASE WHEN k IN (1, 2, 3, 4, 8) OR type <> 'gauge' THEN NULL WHEN k = 5 THEN 0.25 WHEN k = 6 THEN 7.0
+              ELSE value END AS value
+  FROM (SELECT *, seq % 20 AS k FROM feed)
+)"""
+ORACLES["validate_paths"] = with_feed("SELECT seq, status, delta, value FROM paths", PATHS)
+ORACLES["read_paths"] = with_feed(
+    "SELECT status, count(*) AS n, CAST(sum(octet_length(encode(path))) AS BIGINT) AS bytes FROM paths WHERE k <> 3 GROUP BY status",
+    PATHS,
+)
+ORACLES["read_requests"] = with_feed(
+    "SELECT form, status, count(*) AS n, CAST(sum(delta) AS BIGINT) AS deltas, count(value) AS gauges FROM ("
+    "SELECT f.form, CASE WHEN r.type NOT IN ('gauge', 'counter') THEN f.unknown WHEN e.id IS NULL THEN 404 ELSE 200 END AS status, "
+    "CASE WHEN r.type = 'counter' THEN e.delta END AS delta, CASE WHEN r.type = 'gauge' THEN e.value END AS value "
+    "FROM feed r CROSS JOIN (VALUES ('json', 501), ('path', 400)) f(form, unknown) "
+    "LEFT JOIN early e ON e.type = r.type AND e.id = r.id) GROUP BY form, status",
+    EARLY_STATE,
+)
+ORACLES["random_gauge"] = "SELECT 'RandomValue' AS random_id, count(*) AS n, true AS in_range FROM lineitem"
+ORACLES["update_rows"] = (
+    "SELECT 'gauge' AS type, l_returnflag AS id, CAST(NULL AS BIGINT) AS delta, "
+    "arg_max(CAST(l_extendedprice AS DOUBLE), (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS value, "
+    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) AS last_seq FROM lineitem GROUP BY l_returnflag UNION ALL "
+    "SELECT 'counter', l_returnflag, CAST(sum(l_linenumber) AS BIGINT), NULL, "
+    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) FROM lineitem GROUP BY l_returnflag"
+)
+
+# Four sends of a user in a row are the attempts of one request; every seventh
+# send gets no answer, every eleventh a 503; every third meets a connection
+# failure of the database (retriable), every fifth of the rest a broken constraint.
+ATTEMPTS = """
+sends AS (
+  SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY seq) - 1 AS n,
+         CASE WHEN f.type = 'gauge' THEN CASE WHEN f.value IS NULL THEN 400 ELSE 200 END
+              WHEN f.type = 'counter' THEN CASE WHEN f.delta IS NULL THEN 400 ELSE 200 END ELSE 501 END AS status
+  FROM events e JOIN feed f ON f.seq = e.event_id
+),
+attempts AS (
+  SELECT user_id * 1000000 + n // 4 AS request_id, n % 4 + 1 AS attempt,
+         CASE WHEN seq % 7 = 0 THEN NULL WHEN seq % 11 = 0 THEN 503 ELSE status END AS http_status,
+         CASE WHEN seq % 3 = 0 THEN '08006' WHEN seq % 5 = 0 THEN '23505' END AS sqlstate
+  FROM sends
+)"""
+
+
+def _delivery(ok: str, final: str) -> str:
+    return with_feed(
+        "SELECT CAST(request_id AS BIGINT) AS request_id, CAST(CASE WHEN ok = fin THEN ok END AS INTEGER) AS success_at, "
+        "CAST(coalesce(fin, seen) AS INTEGER) AS attempts, CASE WHEN ok = fin THEN 'delivered' ELSE 'failed' END AS outcome, "
+        "[0, 1, 4, 9][coalesce(fin, seen)] AS wait_s FROM ("
+        f"SELECT request_id, min(CASE WHEN {ok} THEN attempt END) AS ok, min(CASE WHEN {final} THEN attempt END) AS fin, "
+        "count(*) AS seen FROM attempts GROUP BY request_id)",
+        ATTEMPTS,
+    )
+
+
+_SINGLE = "http_status IS NOT NULL AND http_status <> 503 AND NOT http_status BETWEEN 400 AND 499"
+ORACLES["delivery_outcome"] = _delivery(_SINGLE, _SINGLE)
+ORACLES["delivery_outcome_batch"] = _delivery("http_status = 200", "http_status = 200")
+ORACLES["delivery_outcome_database"] = _delivery("sqlstate IS NULL", "sqlstate IS NULL OR sqlstate = '23505'")

@@ -4,12 +4,21 @@ checkpoint folder that lineage cuts and snapshots are written under."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+# State store for large streaming state; a session setting, never changed by the library.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tallyfold") -> SparkSession:
     """Session for local runs.  On a cluster, pass the cluster's own session to
     the operators instead; they take no global settings from here."""
@@ -25,6 +34,7 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tal
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(map=STATE_STORE)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,7 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, and it is
-    used as is.  Only when it is unset (local tests) is a private folder made.
+    used as is.  Only when it is unset and the master is local (tests) is a
+    private folder made; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -64,6 +75,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect session)
         sc = None
     if not root:
+        if sc is not None and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to storage that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():

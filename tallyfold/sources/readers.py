@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.functions.jsoncodec import DECODE_OPTIONS
+from tallyfold.functions.jsoncodec import DECODE_OPTIONS, empty_if_absent
 from tallyfold.schema import METRIC, VALUE_REQUEST
 
 BATCH_ARRAY = T.ArrayType(METRIC)
@@ -21,7 +21,7 @@ def decode_batches(df: DataFrame, body: str = "body", keep=()) -> DataFrame:
     element's 0-based position as ``pos`` (array order is arrival order)."""
     arr = F.from_json(F.col(body), BATCH_ARRAY, DECODE_OPTIONS)
     e = df.select(*keep, F.posexplode(arr).alias("pos", "_m"))
-    return e.select(*keep, "pos", *[F.col(f"_m.{f.name}").alias(f.name) for f in METRIC.fields])
+    return e.select(*keep, "pos", *[empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in METRIC.fields])
 
 
 def decode_parsed_batches(df: DataFrame, parsed: str = "parsed", keep=()) -> DataFrame:
@@ -29,7 +29,7 @@ def decode_parsed_batches(df: DataFrame, parsed: str = "parsed", keep=()) -> Dat
     (``validate_batches(..., keep_parsed=True)``): no second JSON parse."""
     arr = F.try_variant_get(F.col(parsed), "$", BATCH_ARRAY.simpleString())
     e = df.select(*keep, F.posexplode(arr).alias("pos", "_m"))
-    return e.select(*keep, "pos", *[F.col(f"_m.{f.name}").alias(f.name) for f in METRIC.fields])
+    return e.select(*keep, "pos", *[empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in METRIC.fields])
 
 
 def read_metric_batch(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +86,8 @@ def split_value_path(df: DataFrame, col: str = "path") -> DataFrame:
 def read_value_requests(spark: SparkSession, path: str, form: str = "json") -> DataFrame:
     """Lookup requests: JSON ``{id, type}`` lines or ``/value/{type}/{name}`` lines."""
     if form == "json":
-        return spark.read.schema(VALUE_REQUEST).json(path)
+        raw = spark.read.schema(VALUE_REQUEST).json(path)
+        return raw.select(*[empty_if_absent(c, F.col(c)).alias(c) for c in raw.columns])
     if form == "path":
         return split_value_path(spark.read.text(path).withColumnRenamed("value", "path"), "path")
     raise ValueError(f"unknown form {form!r}")

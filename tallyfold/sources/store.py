@@ -63,18 +63,17 @@ def restore_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
             raw = raw.withColumn("last_seq", F.lit(-1).cast("bigint"))
     t = F.col("type")
     ok = ((t == GAUGE) & F.col("value").isNotNull()) | ((t == COUNTER) & F.col("delta").isNotNull())
-    # File order is the order of duplicates: tag rows with (file, row-in-file).
-    tagged = raw.where(ok).select(
-        "*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_r")
-    )
-    newest = F.max(F.struct("_f", "_r", F.col("delta"), F.col("value"), F.col("last_seq")))
-    g = tagged.groupBy("type", "id").agg(newest.alias("_n"))
-    return g.select(
-        "type", "id",
-        F.when(F.col("type") == COUNTER, F.col("_n.delta")).alias("delta"),
-        F.when(F.col("type") == GAUGE, F.col("_n.value")).alias("value"),
-        F.col("_n.last_seq").alias("last_seq"),
-    )
+    # File order, then row order, is the order of duplicates.  The newest row of
+    # a key in each file comes from a hash aggregate over fixed-width buffers;
+    # only one row per key and file is compared by file name.
+    tagged = raw.where(ok).select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_r"))
+    at = F.col("_r")
+    per_file = tagged.groupBy("type", "id", "_f").agg(
+        F.max_by("delta", at).alias("delta"), F.max_by("value", at).alias("value"), F.max_by("last_seq", at).alias("last_seq"))
+    newest = per_file.groupBy("type", "id").agg(*[F.max_by(c, "_f").alias(c) for c in ("delta", "value", "last_seq")])
+    return newest.select(
+        "type", "id", F.when(F.col("type") == COUNTER, F.col("delta")).alias("delta"),
+        F.when(F.col("type") == GAUGE, F.col("value")).alias("value"), "last_seq")
 
 
 def write_metric_tables(state: DataFrame, root: str) -> None:
@@ -116,7 +115,7 @@ def write_state(state: DataFrame, path: str) -> None:
     (
         state.select(*STATE_COLS)
         .repartition("type", "id")
-        .sortWithinPartitions("id")
+        .sortWithinPartitions("type", "id")  # the writer's own sort on the partition column is then met
         .write.mode("overwrite")
         .partitionBy("type")
         .parquet(path)
@@ -162,24 +161,29 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/{VERSION_PREFIX}{version:012d}"
 
 
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest committed version (one with ``_SUCCESS``) under ``root``,
-    optionally only among versions lower than ``below``.  Lists one
-    directory of the shared store; no data passes through the driver."""
+def committed_versions(spark: SparkSession, root: str, above: int | None = None, below: int | None = None) -> list[int]:
+    """Committed version numbers (those with ``_SUCCESS``) under ``root``,
+    ascending.  Lists one directory, which pruning keeps short; no data passes
+    through the driver."""
     if not _path_exists(spark, root):
-        return None
+        return []
     fs, hroot = _fs(spark, root)
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    best = None
+    out = []
     for st in fs.listStatus(hroot):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(VERSION_PREFIX):
             n = int(name[len(VERSION_PREFIX):])
-            if below is not None and n >= below:
-                continue
-            if fs.exists(jpath(st.getPath(), "_SUCCESS")):
-                best = n if best is None or n > best else best
-    return best
+            inside = (above is None or n > above) and (below is None or n < below)
+            if inside and fs.exists(jpath(st.getPath(), "_SUCCESS")):
+                out.append(n)
+    return sorted(out)
+
+
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest committed version under ``root``, optionally only among those lower than ``below``."""
+    found = committed_versions(spark, root, below=below)
+    return found[-1] if found else None
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -190,6 +194,17 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.schema(STATE).parquet(version_path(root, v))
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int = 3, below: int | None = None) -> None:
+    """Delete all but the newest ``keep`` committed versions under ``root``
+    (with ``below``: all versions below it).  A replayed micro-batch needs the
+    version before its own, so at least two must stay."""
+    versions = committed_versions(spark, root)
+    old = [v for v in versions if v < below] if below is not None else versions[: -max(2, keep)]
+    fs, _ = _fs(spark, root)
+    for v in old:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(version_path(root, v)), True)
+
+
 def publish_snapshot(state: DataFrame, root: str, version: int | None = None) -> int:
     """Replace the snapshot under ``root`` atomically: the state is written
     into a new version directory, which counts only once its ``_SUCCESS``

@@ -11,8 +11,10 @@
 * :func:`start_live_fold` - the fold kept in Spark's state store, writing
   only the keys each micro-batch changed (a change log with compaction);
   its work follows the changes, not the state size.
-* :func:`stream_report` - tumbling interval report with a watermark.
-* :func:`start_batching` - size-or-interval payloads per micro-batch.
+* :func:`stream_report` - tumbling interval report with a watermark;
+  :func:`start_report` writes it as change versions, open intervals included.
+* :func:`start_batching` - size-or-interval payloads; an unfilled batch is
+  carried to the next micro-batch.
 
 Order inside the stream is the ``seq`` column (source offset or event id),
 never processing time.
@@ -23,15 +25,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.timeutil import utc_instant, utc_wall
+from tallyfold.functions.timeutil import utc_instant, utc_wall, with_interval
 from tallyfold.operators import batching, fold
+from tallyfold.operators.history import running
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
-from tallyfold.session import scratch_path
+from tallyfold.session import materialize, scratch_path
 from tallyfold.sources.feed import feed_from_events
 from tallyfold.sources.store import (  # noqa: F401  (version helpers are part of this module's API)
     VERSION_PREFIX,
-    _path_exists,
+    committed_versions,
     latest_version,
+    prune_versions,
     read_version,
     restore_snapshot,
     version_path,
@@ -92,6 +96,7 @@ def merge_micro_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root
         base = read_version(spark, root, prev)
     merged = fold.merge_state(base, batch.select("seq", "type", "id", "delta", "value"))
     merged.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(root, batch_id))
+    prune_versions(spark, root)
 
 
 def observe_ingest(src: DataFrame, name: str = "ingest") -> DataFrame:
@@ -140,39 +145,141 @@ def stream_report(src: DataFrame, every: str, delay: str, ts: str = "ts", seq: s
     ).select((utc_wall(F.col("win.start")) if ntz else F.col("win.start")).alias("win_start"), *KEY, "delta", "value")
 
 
+PAYLOADS = ("win_start timestamp_ntz, batch_no bigint, n_rows bigint, first_seq bigint, last_seq bigint, payload string")
+OPEN_ROWS = ("seq bigint, ts timestamp_ntz, id string, type string, delta bigint, value double, win_start timestamp_ntz, "
+             "_base bigint")
+
+
 def start_batching(src: DataFrame, path: str, checkpoint: str, max_size: int, every: str,
                    available_now: bool = True, interval: str | None = None):
-    """Size-or-interval payloads per micro-batch, written as JSON lines.
-
-    A micro-batch boundary may split one interval's batch in two; no row is
-    lost or repeated (the sink is keyed by ``batch_id``)."""
+    """Size-or-interval payloads, independent of where micro-batches end.
+
+    Full batches are written as payloads (``out/v=<batch_id>``).  The rows of
+    an interval's last batch that has fewer than ``max_size`` rows are carried
+    to the next micro-batch (``open/v=<batch_id>``, with the number of batches
+    the interval already has), so they are numbered as if the feed had come at
+    once: fewer than ``max_size`` rows per open interval.  Rows must arrive in
+    ``seq`` order, as in a feed.  :func:`read_batches` adds the open rest."""
     batching.require_bounded(max_size)
+    spark, root = src.sparkSession, path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batching.assign_batches(batch, max_size, every)
-        enc = batching.encode_batches(b).withColumn("micro_batch", F.lit(batch_id))
-        enc.write.mode("overwrite").json(f"{path.rstrip('/')}/{VERSION_PREFIX}{batch_id:012d}")
+        last = latest_version(spark, f"{root}/open", below=batch_id)
+        rows = with_interval(batch.select("seq", "ts", "id", "type", "delta", "value"), "ts", every)
+        if last is None:
+            carried = spark.createDataFrame([], OPEN_ROWS)
+        else:
+            carried = spark.read.schema(OPEN_ROWS).parquet(version_path(f"{root}/open", last))
+        base = carried.groupBy("win_start").agg(F.max("_base").alias("_b"))
+        kept = carried.where("seq is not null").drop("_base").unionByName(rows)
+        numbered = running(kept.withColumn("_one", F.lit(1)), ["win_start"], "seq",
+                           {"_rn": ("count", None), "_all": ("total", "_one")})
+        joined = numbered.join(base.withColumnRenamed("win_start", "_w"), F.col("win_start").eqNullSafe(F.col("_w")), "left")
+        made = joined.withColumn("_base", F.coalesce("_b", F.lit(0))).withColumn(
+            "batch_no", F.col("_base") + F.floor((F.col("_rn") - 1) / F.lit(max_size)))
+        full = F.floor(F.col("_all") / F.lit(max_size)) * max_size
+        made = materialize(made.withColumn("_full", F.col("_rn") <= full), "open-batches")
+        batching.encode_batches(made.where("_full")).write.mode("overwrite").json(version_path(f"{root}/out", batch_id))
+        rest = made.where("not _full").select("seq", "ts", "id", "type", "delta", "value", "win_start",
+                                              F.col("batch_no").alias("_base"))
+        # One marker row (no seq) per interval keeps its number of batches when nothing is left open.
+        marks = made.groupBy("win_start").agg(F.max(F.when(F.col("_full"), F.col("batch_no") + 1).otherwise(F.col("batch_no")))
+                                              .alias("_base"))
+        seen = marks.unionByName(base.withColumnRenamed("_b", "_base")).groupBy("win_start").agg(F.max("_base").alias("_base"))
+        empty = [F.lit(None).cast(k).alias(c) for c, k in rest.dtypes if c not in ("win_start", "_base")]
+        out = rest.unionByName(seen.select("win_start", "_base", *empty))
+        out.write.mode("overwrite").parquet(version_path(f"{root}/open", batch_id))
+        prune_versions(spark, f"{root}/open")
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
     return w.start()
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All payloads so far, the open rest of each interval as its last one."""
+    root = path.rstrip("/")
+    done = [version_path(f"{root}/out", v) for v in committed_versions(spark, f"{root}/out")]
+    if not done:
+        return spark.createDataFrame([], PAYLOADS)
+    last = latest_version(spark, f"{root}/open")
+    rest = spark.read.schema(OPEN_ROWS).parquet(version_path(f"{root}/open", last)).where("seq is not null")
+    payloads = spark.read.schema(PAYLOADS).json(done)
+    return payloads.unionByName(batching.encode_batches(rest.withColumnRenamed("_base", "batch_no")))
+
+
+REPORT = "win_start timestamp_ntz, type string, id string, delta bigint, value double"
+
+
+def start_report(src: DataFrame, root: str, checkpoint: str, every: str, delay: str, available_now: bool = True,
+                 interval: str | None = None):
+    """The interval report as change versions: each micro-batch writes the
+    intervals it touched, closed or still open, so none is missing when the
+    input ends.  Rows later than the watermark are dropped by rule."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(version_path(root, batch_id))
+
+    w = stream_report(src, every, delay).writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
+    return w.start()
+
+
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """The newest row of every interval and metric."""
+    parts = [version_path(root, v) for v in committed_versions(spark, root)]
+    if not parts:
+        return spark.createDataFrame([], REPORT)
+    version = F.regexp_extract(F.input_file_name(), rf"/{VERSION_PREFIX}(\d+)/[^/]*$", 1).cast("bigint")
+    rows = spark.read.schema(REPORT).parquet(*parts).withColumn("_version", version)
+    return rows.groupBy("win_start", *KEY).agg(*[F.max_by(c, "_version").alias(c) for c in ("delta", "value")])
+
+
 # ---------------------------------------------------------------- registered runs
 
+# Files that the registered runs cut the feed into, one micro-batch each.
+FEED_FILES = 8
+
+
+def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = FEED_FILES, reverse: bool = False) -> None:
+    """The events as ``files`` Parquet files of consecutive ids.  File times
+    give the order in which a stream takes them: ascending ids, or descending."""
+    from tallyfold.sources.tables import load_table
+
+    events = load_table(spark, sf_dir, "events")
+    cuts = events.approxQuantile("event_id", [i / files for i in range(1, files)], 0.001)
+    edges = [None, *cuts, None]
+    parts = list(zip(edges[:-1], edges[1:], strict=True))
+    for lo, hi in reversed(parts) if reverse else parts:
+        part = events
+        if lo is not None:
+            part = part.where(F.col("event_id") >= lo)
+        if hi is not None:
+            part = part.where(F.col("event_id") < hi)
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def feed_files_stream(spark: SparkSession, sf_dir: str, root: str, reverse: bool = False) -> DataFrame:
+    """The feed as a stream of several files, one per micro-batch."""
+    write_feed_files(spark, sf_dir, f"{root}/events", reverse=reverse)
+    return feed_stream(spark, f"{root}/events", max_files=1, glob="*.parquet")
+
 
 def run_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the live fold over the feed to the end; return the last snapshot."""
     root = scratch_path(spark, "stream-fold")
-    q = start_snapshots(feed_stream(spark, sf_dir), f"{root}/state", f"{root}/_checkpoint", available_now=True)
+    src = feed_files_stream(spark, sf_dir, root)
+    q = start_snapshots(src, f"{root}/state", f"{root}/_checkpoint", available_now=True)
     q.awaitTermination()
     return read_version(spark, f"{root}/state")
 
 
-def run_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_stream_merge(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
     """Run the durable merge over the feed to the end; return the last version."""
     root = scratch_path(spark, "stream-merge")
-    q = start_merge(feed_stream(spark, sf_dir), f"{root}/state", f"{root}/_checkpoint", available_now=True)
+    src = feed_files_stream(spark, sf_dir, root, reverse)
+    q = start_merge(src, f"{root}/state", f"{root}/_checkpoint", available_now=True)
     q.awaitTermination()
     return read_version(spark, f"{root}/state")
 
@@ -180,40 +287,30 @@ def run_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_stream_batches(spark: SparkSession, sf_dir: str, max_size: int, every: str) -> DataFrame:
     """Run size-or-interval batching over the feed stream; return the payloads."""
     root = scratch_path(spark, "stream-batches")
-    q = start_batching(feed_stream(spark, sf_dir), f"{root}/out", f"{root}/_checkpoint", max_size, every)
+    src = feed_files_stream(spark, sf_dir, root)
+    q = start_batching(src, f"{root}/out", f"{root}/_checkpoint", max_size, every)
     q.awaitTermination()
-    return spark.read.schema(
-        "win_start timestamp_ntz, batch_no bigint, n_rows bigint, first_seq bigint, last_seq bigint, "
-        "payload string, micro_batch bigint"
-    ).json(f"{root}/out")
+    return read_batches(spark, f"{root}/out")
 
 
 def run_stream_report(spark: SparkSession, sf_dir: str, every: str, delay: str) -> DataFrame:
     """Run the watermark interval report over the feed stream to the end;
-    return the emitted (closed) intervals."""
+    return all intervals."""
     root = scratch_path(spark, "stream-report")
-    rep = stream_report(feed_stream(spark, sf_dir), every, delay)
-    q = (
-        rep.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
-    )
+    q = start_report(feed_files_stream(spark, sf_dir, root), f"{root}/out", f"{root}/_checkpoint", every, delay)
     q.awaitTermination()
-    return spark.read.schema("win_start timestamp_ntz, type string, id string, delta bigint, value double").parquet(
-        f"{root}/out"
-    )
+    return read_report(spark, f"{root}/out")
 
 
 # ---------------------------------------------------------------- live fold with change log
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: bool = True,
                     interval: str | None = None, compact_every: int | None = None):
     """Live fold whose work per micro-batch follows the keys it changes.
 
-    The fold is Spark's streaming aggregate: its state lives in the RocksDB
-    state store with changelog checkpointing (restart-safe, exactly-once
+    The fold is Spark's streaming aggregate: its state lives in the session's
+    state store (for large state the RocksDB provider with changelog
+    checkpointing, see ``session.STATE_STORE``; restart-safe, exactly-once
     state updates), and ``update`` mode emits only the keys a micro-batch
     changed, each with its full new state.  Those rows are written to
     ``{root}/changes/v=<batch_id>`` (overwrite, so a replayed batch rewrites
@@ -222,8 +319,6 @@ def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: b
     micro-batches (a periodic snapshot); a replayed batch redoes the same
     compaction, which overwrites the same base version."""
     spark = src.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     changes = f"{root.rstrip('/')}/changes"
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -238,63 +333,76 @@ def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: b
     return w.start()
 
 
-def _committed_versions(spark: SparkSession, root: str, above: int | None = None) -> list[int]:
-    """Committed version numbers under ``root`` (directory listing only)."""
-    if not _path_exists(spark, root):
-        return []
-    jvm = spark.sparkContext._jvm
-    hroot = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(hroot):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            n = int(name[len(VERSION_PREFIX):])
-            if (above is None or n > above) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(n)
-    return sorted(out)
+def _live_rows(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
+    """The latest base (below ``below``) and the changes after it, each row with its ``_version``."""
+    root = root.rstrip("/")
+    base_v = latest_version(spark, f"{root}/base", below=below)
+    parts = [version_path(f"{root}/base", base_v)] if base_v is not None else []
+    parts += [version_path(f"{root}/changes", v) for v in committed_versions(spark, f"{root}/changes", above=base_v)]
+    if not parts:
+        return None
+    version = F.regexp_extract(F.input_file_name(), rf"/{VERSION_PREFIX}(\d+)/[^/]*$", 1).cast("bigint")
+    return spark.read.schema(STATE).parquet(*parts).withColumn("_version", version)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The row of the highest version per key.  A change row holds the key's
+    full state, whichever way its numbers moved, so the version alone decides."""
+    v = F.col("_version")
+    return rows.groupBy(*KEY).agg(*[F.max_by(c, v).alias(c) for c in ("delta", "value", "last_seq")])
 
 
 def read_live_state(spark: SparkSession, root: str) -> DataFrame:
     """Current state of a live fold: the latest compacted base plus the
-    change versions after it, newest row per key by ``last_seq`` (a partial
-    aggregate; each change row already holds the key's full state)."""
-    root = root.rstrip("/")
-    base_v = latest_version(spark, f"{root}/base")
-    parts = []
-    if base_v is not None:
-        parts.append(version_path(f"{root}/base", base_v))
-    parts += [version_path(f"{root}/changes", v) for v in _committed_versions(spark, f"{root}/changes", base_v)]
-    if not parts:
-        return spark.createDataFrame([], STATE)
-    rows = spark.read.schema(STATE).parquet(*parts)
-    newest = F.max(F.struct("last_seq", "delta", "value"))
-    g = rows.groupBy(*KEY).agg(newest.alias("_n"))
-    return g.select(*KEY, "_n.delta", "_n.value", "_n.last_seq")
+    change versions after it, newest version per key (a partial aggregate)."""
+    rows = _live_rows(spark, root)
+    return spark.createDataFrame([], STATE) if rows is None else _newest(rows)
 
 
 def compact_live_state(spark: SparkSession, root: str) -> int | None:
     """Fold the change log into a new base version named after the newest
-    change it includes; later reads start from it.  Returns that version."""
+    change it includes; later reads start from it.  Older bases (but for the
+    one before) and the changes they include are removed.  Returns that version."""
     root = root.rstrip("/")
-    versions = _committed_versions(spark, f"{root}/changes")
+    versions = committed_versions(spark, f"{root}/changes")
     if not versions:
         return None
-    top = versions[-1]
-    base_v = latest_version(spark, f"{root}/base")
-    parts = ([version_path(f"{root}/base", base_v)] if base_v is not None else []) + [
-        version_path(f"{root}/changes", v) for v in versions if base_v is None or v > base_v
-    ]
-    rows = spark.read.schema(STATE).parquet(*parts)
-    newest = F.max(F.struct("last_seq", "delta", "value"))
-    state = rows.groupBy(*KEY).agg(newest.alias("_n")).select(*KEY, "_n.delta", "_n.value", "_n.last_seq")
-    state.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(f"{root}/base", top))
+    # A replayed compaction must not read the base that it overwrites.
+    top, before = versions[-1], latest_version(spark, f"{root}/base", below=versions[-1])
+    _newest(_live_rows(spark, root, below=top)).select(*STATE_COLS).write.mode("overwrite").parquet(version_path(f"{root}/base", top))
+    if before is not None:
+        prune_versions(spark, f"{root}/changes", below=before + 1)
+        prune_versions(spark, f"{root}/base", below=before)
     return top
 
 
+def with_initial_state(src: DataFrame, state: DataFrame, path: str) -> DataFrame:
+    """``src`` preceded by a restored state: its rows are written as updates
+    under ``path`` and join the stream in its first micro-batch, so the keyed
+    state starts from them and no other state machinery is needed."""
+    seed = fold.state_as_updates(state).withColumn("ts", F.lit(None).cast(dict(src.dtypes)["ts"]))
+    seed.select(*src.columns).coalesce(1).write.mode("overwrite").parquet(path)
+    return src.unionByName(src.sparkSession.readStream.schema(src.schema).parquet(path))
+
+
+def run_stream_stateful(spark: SparkSession, sf_dir: str, cutoff: str) -> DataFrame:
+    """Snapshot the fold of the feed before ``cutoff``, restore it as initial
+    state, stream the rest in several micro-batches; return the final state."""
+    from tallyfold.sources.feed import load_feed
+    from tallyfold.sources.store import write_snapshot
+
+    root = scratch_path(spark, "stream-stateful")
+    cut = F.lit(cutoff).cast("timestamp_ntz")
+    write_snapshot(fold.fold(load_feed(spark, sf_dir).where(F.col("ts") < cut)), f"{root}/snapshot")
+    late = feed_files_stream(spark, sf_dir, root).where(F.col("ts") >= cut)
+    src = with_initial_state(late, restore_snapshot(spark, f"{root}/snapshot"), f"{root}/initial")
+    start_live_fold(src, f"{root}/live", f"{root}/_checkpoint", compact_every=3).awaitTermination()
+    return read_live_state(spark, f"{root}/live")
+
+
 def run_live_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the live fold over the feed to the end; return the current state."""
     root = scratch_path(spark, "live-fold")
-    q = start_live_fold(feed_stream(spark, sf_dir), root, f"{root}/_checkpoint")
+    q = start_live_fold(feed_files_stream(spark, sf_dir, root), root, f"{root}/_checkpoint", compact_every=3)
     q.awaitTermination()
     return read_live_state(spark, root)

@@ -23,26 +23,49 @@ def skewed(spark):
 SPECS = {"s": ("sum", "delta"), "n": ("count", None), "l": ("last", "value"), "p": ("prev", "delta")}
 
 
-@pytest.mark.parametrize("bucket", [1, 37, 500, 1 << 20])
+@pytest.mark.parametrize("bucket", [1, 2, 7, 64])
 def test_two_level_equals_one_level(skewed, bucket):
     base = skewed.select("seq", "type", "id", "delta", "value")
-    one = history.running(base, ["type", "id"], "seq", SPECS, bucket_size=None)
-    two = history.running(base, ["type", "id"], "seq", SPECS, bucket_size=bucket)
+    one = history.running(base, ["type", "id"], "seq", SPECS, ranges=None)
+    two = history.running(base, ["type", "id"], "seq", SPECS, ranges=bucket)
     assert rows(two) == rows(one)
 
 
 def test_two_level_null_keys(spark):
     df = spark.createDataFrame([(1, None, 1), (2, None, 2), (3, "a", 5), (4, None, 3)], "seq long, k string, d long")
-    got = rows(history.running(df, ["k"], "seq", {"s": ("sum", "d")}, bucket_size=2), "seq", "s")
+    got = rows(history.running(df, ["k"], "seq", {"s": ("sum", "d")}, ranges=2), "seq", "s")
     assert got == [(1, 1), (2, 3), (3, 5), (4, 6)]
 
 
+@pytest.mark.parametrize("key", ["string", "struct<a:int>", "binary"])
+def test_two_level_keeps_rows_without_key_or_order(spark, key):
+    df = spark.range(12).select(
+        F.when(F.col("id") % 4 != 0, F.col("id")).alias("seq"), F.col("id").alias("d"),
+        F.when(F.col("id") % 3 != 0, F.lit("x").cast("binary").cast("string")).alias("k0"))
+    made = {"string": F.col("k0"), "struct<a:int>": F.when(F.col("k0").isNotNull(), F.struct(F.lit(1).alias("a"))),
+            "binary": F.col("k0").cast("binary")}[key]
+    df = df.withColumn("k", made).drop("k0")
+    specs = {"n": ("count", None), "t": ("total", "d")}
+    one, two = (history.running(df, ["k"], "seq", specs, ranges=r) for r in (None, 4))
+    assert sorted(map(str, two.select("d", "t").collect())) == sorted(map(str, one.select("d", "t").collect()))
+    ordered = [sorted(map(str, x.where("seq is not null").collect())) for x in (one, two)]
+    assert ordered[0] == ordered[1] and two.count() == 12
+
+
+def test_rows_without_a_time_are_batched(spark):
+    df = spark.createDataFrame([(1, None), (2, "2024-02-03 04:05:06"), (3, None)], "seq long, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    for size in (0, 1):
+        out = batching.assign_batches(df, size, "1 day")
+        assert rows(out.where("win_start is null"), "seq") == [(1,), (3,)] and out.count() == 3
+
+
 def test_cumulative_to_delta_resets(spark):
     upd = spark.createDataFrame(
         [(1, "PollCount", "counter", 3, None), (2, "PollCount", "counter", 5, None),
          (3, "PollCount", "counter", 9, None), (4, "PollCount", "counter", 2, None), (5, "PollCount", "counter", 4, None)],
         "seq long, id string, type string, delta long, value double")
-    got = [r.delta for r in history.cumulative_to_delta(upd, bucket_size=2).orderBy("seq").collect()]
+    got = [r.delta for r in history.cumulative_to_delta(upd, ranges=2).orderBy("seq").collect()]
     assert got == [3, 2, 4, 2, 2]
 
 
@@ -52,21 +75,21 @@ def test_replay_reads(spark):
          (4, "c", "counter", 5, None), (5, "c", "counter", None, None), (6, "g", "gauge", None, None),
          (7, "g", "gauge", None, 1.5), (8, "g", "gauge", None, None)],
         "seq long, id string, type string, delta long, value double")
-    got = rows(history.replay_reads(upd, bucket_size=3), "seq", "status", "delta", "value")
+    got = rows(history.replay_reads(upd, ranges=3), "seq", "status", "delta", "value")
     assert got == [(1, 404, None, None), (3, 200, 2, None), (5, 200, 7, None), (6, 404, None, None), (8, 200, None, 1.5)]
 
 
 def test_update_rank_and_gauge_asof(spark):
     f = load_feed(spark, SF001)
-    r = history.update_rank(f, bucket_size=50)
+    r = history.update_rank(f, ranges=50)
     assert r.groupBy("type", "id").agg(F.max("rank").alias("m"), F.count("*").alias("n")).where("m != n").count() == 0
-    g = history.running_gauge(f, bucket_size=50)
+    g = history.running_gauge(f, ranges=50)
     assert g.where("value IS NOT NULL AND value_asof != value").count() == 0
 
 
 def test_assign_batches_size_and_ticks(spark):
     f = load_feed(spark, SF01)
-    b = batching.assign_batches(f, 100, "1 day", bucket_size=300)
+    b = batching.assign_batches(f, 100, "1 day", ranges=300)
     sizes = b.groupBy("win_start", "batch_no").count()
     assert sizes.where("count > 100").count() == 0
     assert b.count() == f.count()
@@ -119,24 +142,42 @@ def test_report_filled_carries_forward(spark):
 
 
 def test_classify_and_sqlstate(spark):
-    df = spark.createDataFrame([(s,) for s in [200, 500, 502, 503, 504, 404, 400, 301]], "s int")
+    df = spark.createDataFrame([(s,) for s in [200, 500, 502, 503, 504, 404, 400, 301, None]], "s int")
     single = [r.c for r in df.select(classify_delivery("s", "single").alias("c")).collect()]
     batch = [r.c for r in df.select(classify_delivery("s", "batch").alias("c")).collect()]
-    assert single == ["ok", "ok", "temporary", "temporary", "temporary", "client_error", "client_error", "ok"]
-    assert batch == ["ok", "server_error", "temporary", "temporary", "temporary", "client_error", "client_error", "server_error"]
+    assert single == ["ok", "ok", "temporary", "temporary", "temporary", "client_error", "client_error", "ok", "temporary"]
+    assert batch == ["ok", "server_error", "temporary", "temporary", "temporary", "client_error", "client_error", "server_error", "temporary"]
     st = spark.createDataFrame([("08006",), ("57P03",), ("23505",), (None,)], "s string")
     assert [r.r for r in st.select(is_retriable_sqlstate("s").alias("r")).collect()] == [True, True, False, False]
 
 
 def test_delivery_outcome(spark):
     att = spark.createDataFrame(
-        [(1, 1, 200), (2, 1, 503), (2, 2, 200), (3, 1, 502), (3, 2, 502), (3, 3, 502), (3, 4, 502), (3, 5, 200),
-         (4, 1, 500)],
+        [(11, 1, 201), (12, 1, None), (12, 2, 504), (12, 3, 200), (13, 1, 404), (13, 2, 404), (14, 1, 500),
+         *[(15, n, 502) for n in range(1, 5)], *[(16, n, 503) for n in range(1, 5)], (16, 5, 200),
+         *[(17, n, None) for n in range(1, 8)]],
         "request_id long, attempt int, http_status int")
-    got = rows(delivery.delivery_outcome(att, "single"), "request_id", "success_at", "attempts", "outcome", "wait_s")
-    assert got == [(1, 1, 1, "delivered", 0), (2, 2, 2, "delivered", 1), (3, None, 4, "failed", 9), (4, 1, 1, "delivered", 0)]
-    b = {r.request_id: r.outcome for r in delivery.delivery_outcome(att, "batch").collect()}
-    assert b[4] == "failed"
+    cols = ("request_id", "success_at", "attempts", "outcome", "wait_s")
+    assert rows(delivery.delivery_outcome(att, "single"), *cols) == [
+        (11, 1, 1, "delivered", 0), (12, 3, 3, "delivered", 4), (13, None, 2, "failed", 1), (14, 1, 1, "delivered", 0),
+        (15, None, 4, "failed", 9), (16, 5, 5, "over_limit", None), (17, None, 7, "over_limit", None)]
+    batch = {r.request_id: r.outcome for r in delivery.delivery_outcome(att, "batch").collect()}
+    assert batch[11] == batch[14] == "failed" and batch[12] == "delivered"
+
+
+def test_database_attempts_end_at_the_first_state_that_is_not_retriable(spark):
+    att = spark.createDataFrame(
+        [(1, 1, "08006"), (1, 2, None), (2, 1, "57P03"), (2, 2, "23505"), (2, 3, None), (3, 1, "08001"), (3, 2, "08001")],
+        "request_id long, attempt int, sqlstate string")
+    assert rows(delivery.delivery_outcome(att, "database"), "request_id", "success_at", "attempts", "outcome", "wait_s") == [
+        (1, 2, 2, "delivered", 1), (2, None, 2, "failed", 1), (3, None, 2, "failed", 1)]
+
+
+def test_host_rows(spark):
+    df = spark.createDataFrame([(5, 16e9, 4e9, [0.5, 99.5])], "seq long, TotalMemory double, FreeMemory double, cpus array<double>")
+    df = df.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert rows(sampling.host_rows(df), "id", "value") == sorted(
+        [("TotalMemory", 16e9), ("FreeMemory", 4e9), ("CPUutilization1", 0.5), ("CPUutilization2", 99.5)])
 
 
 def _wide_samples(spark, n=25):

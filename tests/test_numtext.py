@@ -50,7 +50,7 @@ def test_parse_counter(spark, text, expected):
 @pytest.mark.parametrize("text,expected", [
     ("42.5", 42.5), ("-1e3", -1000.0), (".5", 0.5), ("5.", 5.0), ("1E-2", 0.01), ("inf", math.inf),
     ("-Infinity", -math.inf), ("1e400", None), ("1.0d", None), ("1f", None), (" 1", None), ("abc", None),
-    ("", None), ("0x1p-2", None),
+    ("", None), ("0x1p-2", 0.25), ("0x18", None), ("1.5\n", None),
 ])
 def test_parse_gauge(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
@@ -99,6 +99,12 @@ def test_fixed6_rounds_exact_binary_value(spark):
     assert [r.f for r in df.select(format_fixed6("v").alias("f")).collect()] == ["%f" % v for v in vals]
 
 
+def test_fixed6_of_any_magnitude(spark):
+    vals = [1e30, 1.5e30, -2.0**100, 1e31, 2.0**120, 3.3e44, 1.7976931348623157e308, 2.0**1023, 9.007199254740993e35, 1e100]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r.f for r in df.select(format_fixed6("v").alias("f")).collect()] == ["%f" % v for v in vals]
+
+
 def test_shortest_text_where_java_prints_extra_digits(spark):
     vals = [2e23, 1e23, 5e-324, -5.703712459035042e16, 5.410487932934154e18]
     df = spark.createDataFrame([(v,) for v in vals], "v double")

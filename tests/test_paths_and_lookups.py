@@ -1,6 +1,8 @@
-"""Path-form updates and lookups, the reference's handler cases."""
+"""Path-form updates, lookups, listings and the stored state."""
+
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tallyfold.operators import fold, listing, lookup, validate
 from tallyfold.sources.readers import split_update_path, split_value_path
@@ -12,92 +14,108 @@ def _paths(spark, paths):
 
 
 def test_path_updates(spark):
-    out = _paths(spark, [
-        "/update/gauge/testGauge/42.5",
-        "/update/counter/testCounter/5",
-        "/update/unknown/test/123",
-        "/update/gauge//123",
-        "/update/gauge/test/invalid",
-    ]).orderBy("seq").collect()
-    assert [r.status for r in out] == [200, 200, 400, 404, 400]
-    assert out[0].value == 42.5 and out[0].delta is None
-    assert out[1].delta == 5 and out[1].value is None
+    cases = [
+        ("/update/counter/jobs/-12", 200, -12, None), ("/update/gauge/heat/36.6", 200, None, 36.6),
+        ("/update/gauge/heat/36,6", 400, None, None), ("/update/counter//3", 404, 3, None),
+        ("/update/timer/heat/3", 400, None, None), ("/update/gauge/heat", 404, None, None),
+        ("/updates/gauge/heat/3", 404, None, None), ("/update/gauge/heat/3/4", 404, None, None),
+    ]
+    out = _paths(spark, [c[0] for c in cases]).orderBy("seq").collect()
+    assert [(r.status, r.delta, r.value) for r in out] == [c[1:] for c in cases]
 
 
 def test_path_number_rules(spark):
-    cases = {
-        "/update/counter/c/ 5": 400, "/update/counter/c/+5": 200, "/update/counter/c/5.0": 400,
-        "/update/counter/c/9223372036854775808": 400, "/update/gauge/g/1e400": 400,
-        "/update/gauge/g/1.0d": 400, "/update/gauge/g/0x1p-2": 400, "/update/gauge/g/NaN": 200,
-        "/update/gauge/g/-Inf": 200, "/update/gauge/g/.5": 200, "/update/gauge/g/5.": 200,
-        "/update/gauge/g/-1.5e-3": 200,
-    }
+    good = {"counter": ["+77", "-0", "9223372036854775807", "007"],
+            "gauge": ["1e5", "+.25", "7.", "-2.5E-3", "inf", "-Infinity", "nan", "0x1.8p1", "-0XAp-2", "5e-324"]}
+    bad = {"counter": ["", " 77", "77 ", "77\n", "7_7", "7e1", "0x7", "-9223372036854775809", "٧"],
+           "gauge": ["", " 1", "1\n", "1.0f", "2d", "1e999", "-1e999", ".", "e5", "0x18", "0x1p9999", "1,5", "infin"]}
+    cases = {f"/update/{t}/m/{x}": status for status, group in ((200, good), (400, bad)) for t, xs in group.items() for x in xs}
     out = {r.path: r.status for r in _paths(spark, list(cases)).collect()}
     assert out == cases
+    assert _paths(spark, ["/update/gauge/m/0x1.8p1"]).first().value == 3.0
 
 
 def _state(spark):
     upd = spark.createDataFrame(
-        [(1, "myGauge", "gauge", None, 42.5), (2, "myCounter", "counter", 5, None)],
+        [(4, "heat", "gauge", None, 36.6), (5, "jobs", "counter", 40, None), (6, "jobs", "counter", 2, None),
+         (7, "", "gauge", None, 0.5)],
         "seq long, id string, type string, delta long, value double",
     )
     return fold.fold(upd)
 
 
 def test_value_paths(spark):
-    req = spark.createDataFrame(
-        [(p,) for p in ["/value/gauge/myGauge", "/value/counter/myCounter", "/value/gauge/unknown",
-                        "/value/counter/unknown", "/value/unknown/type"]], "path string")
-    out = lookup.lookup(split_value_path(req), _state(spark), form="path")
-    got = {r.path: (r.status, r.text) for r in out.collect()}
-    assert got == {
-        "/value/gauge/myGauge": (200, "42.5"),
-        "/value/counter/myCounter": (200, "5"),
-        "/value/gauge/unknown": (404, None),
-        "/value/counter/unknown": (404, None),
-        "/value/unknown/type": (400, None),
+    want = {
+        "/value/counter/jobs": (200, "42"), "/value/gauge/heat": (200, "36.6"), "/value/gauge/jobs": (404, None),
+        "/value/counter/heat": (404, None), "/value/timer/heat": (400, None), "/value/gauge/": (200, "0.5"),
+        "/elsewhere": (400, None),
     }
+    req = spark.createDataFrame([(p,) for p in want], "path string")
+    out = lookup.lookup(split_value_path(req), _state(spark), form="path")
+    assert {r.path: (r.status, r.text) for r in out.collect()} == want
 
 
 def test_json_lookups(spark):
-    upd = spark.createDataFrame(
-        [(1, "G1", "gauge", None, 99.9), (2, "C1", "counter", 7, None)],
-        "seq long, id string, type string, delta long, value double")
-    req = spark.createDataFrame([("G1", "gauge"), ("C1", "counter"), ("none", "gauge"), ("x", "other")],
-                                "id string, type string")
-    out = {(r.id, r.type): (r.status, r.delta, r.value) for r in lookup.lookup(req, fold.fold(upd)).collect()}
-    assert out == {("G1", "gauge"): (200, None, 99.9), ("C1", "counter"): (200, 7, None),
-                   ("none", "gauge"): (404, None, None), ("x", "other"): (501, None, None)}
-    assert rows(lookup.lookup_hits(req, fold.fold(upd)), "id") == [("C1",), ("G1",)]
-    assert rows(lookup.lookup_misses(req, fold.fold(upd)), "id") == [("none",), ("x",)]
+    req = spark.createDataFrame(
+        [("jobs", "counter"), ("heat", "gauge"), ("cold", "gauge"), ("heat", "timer"), (None, "gauge"), ("heat", None)],
+        "id string, type string")
+    state = _state(spark)
+    out = {(r.id, r.type): (r.status, r.delta, r.value) for r in lookup.lookup(req, state).collect()}
+    assert out == {("jobs", "counter"): (200, 42, None), ("heat", "gauge"): (200, None, 36.6), ("cold", "gauge"): (404, None, None),
+                   ("heat", "timer"): (501, None, None), ("", "gauge"): (200, None, 0.5), ("heat", None): (501, None, None)}
+    assert rows(lookup.lookup_hits(req, state), "id") == [("heat",), ("jobs",)]
+    # a request of unknown type is refused, it is not a miss
+    assert rows(lookup.lookup_misses(req.where("id is not null"), state), "id") == [("cold",)]
 
 
 def test_lookup_one_pushdown(spark, tmp_dir):
     from tallyfold.sources.store import read_state, write_state
 
     write_state(_state(spark), f"{tmp_dir}/state")
-    q = lookup.lookup_one(read_state(spark, f"{tmp_dir}/state"), "gauge", "myGauge")
+    q = lookup.lookup_one(read_state(spark, f"{tmp_dir}/state"), "gauge", "heat")
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(type" in plan and "EqualTo(id,myGauge)" in plan
-    assert [r.value for r in q.collect()] == [42.5]
+    assert "PartitionFilters: [isnotnull(type" in plan and "EqualTo(id,heat)" in plan
+    assert [r.value for r in q.collect()] == [36.6]
 
 
 def test_report_lines(spark):
-    upd = spark.createDataFrame(
-        [(1, "myGauge", "gauge", None, 1.23), (2, "myCounter", "counter", 99, None)],
-        "seq long, id string, type string, delta long, value double")
-    lines = [r.line for r in listing.render_report(fold.fold(upd)).orderBy("section", "id").collect()]
-    assert lines == ["gauge myGauge = 1.230000", "counter myCounter = 99"]
+    lines = [r.line for r in listing.render_report(_state(spark)).orderBy("section", "id").collect()]
+    assert lines == ["gauge  = 0.500000", "gauge heat = 36.600000", "counter jobs = 42"]
 
 
 def test_split_and_all_metrics(spark):
     s = _state(spark)
     g, c = listing.split_state(s)
-    assert rows(g, "id", "value") == [("myGauge", 42.5)]
-    assert rows(c, "id", "delta") == [("myCounter", 5)]
+    assert rows(g, "id", "value") == [("", 0.5), ("heat", 36.6)]
+    assert rows(c, "id", "delta") == [("jobs", 42)]
     back = listing.all_metrics(g, c).select("type", "id", "delta", "value")
     assert rows(back) == rows(s.select("type", "id", "delta", "value"))
-    assert [r.id for r in listing.list_metrics(s).collect()] == ["myCounter", "myGauge"]
+    assert [r.id for r in listing.list_metrics(s).collect()] == ["jobs", "", "heat"]
+
+
+def test_merge_forms_agree_on_null_names(spark):
+    upd = "seq long, id string, type string, delta long, value double"
+    old = fold.fold(spark.createDataFrame([(1, None, "counter", 5, None)], upd))
+    new = spark.createDataFrame([(2, None, "counter", 7, None)], upd)
+    cols = ("type", "id", "delta", "value", "last_seq")
+    assert rows(fold.merge_state(old, new), *cols) == rows(fold.merge_state_join(old, new), *cols) == [("counter", None, 12, None, 2)]
+
+
+def test_state_files_are_sorted_by_name(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tallyfold.sources.store import write_state
+
+    state = spark.range(500).selectExpr("'gauge' type", "concat('m', hash(id)) id", "cast(null as bigint) delta",
+                                        "cast(id as double) value", "id last_seq")
+    write_state(state.unionByName(state.withColumn("type", F.lit("counter"))), f"{tmp_dir}/state")
+    files = glob.glob(f"{tmp_dir}/state/type=*/*.parquet")
+    assert files
+    for f in files:
+        ids = pq.read_table(f, columns=["id"]).column("id").to_pylist()
+        assert ids == sorted(ids)
 
 
 def test_same_name_in_both_types(spark):

@@ -7,9 +7,9 @@ from tallyfold.plans.catalog import QUERIES
 
 # Registered queries that run a stream or write when called are skipped
 # here; the others are planned without executing.
-RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_stateful", "stream_stateful_rows",
-                    "stream_batches", "restore_snapshot", "restore_snapshot_json", "resume",
-                    "feed_roundtrip", "state_table", "stream_report", "stream_live_fold"}
+RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_merge_reversed", "stream_stateful",
+                    "stream_batches", "restore_snapshot", "restore_snapshot_json", "resume", "state_ddl",
+                    "feed_roundtrip", "state_table", "stream_report", "stream_live_fold", "read_batches"}
 
 
 def plan(df) -> str:
@@ -49,16 +49,29 @@ def test_two_level_running_exchanges(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(history.running_counter(load_feed(spark, SF001), bucket_size=100))
+        p = plan(history.running_counter(load_feed(spark, SF001), ranges=16))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # raw rows by (key, bucket) once; summaries: partial->final, per key, back to (key, bucket)
+    # raw rows by (key, range) once; summaries: partial->final, per key, back to (key, range)
     assert p.count("Exchange hashpartitioning") == 4
     assert "SortMergeJoin" in p and p.count("FileScan parquet") == 2
 
 
-def test_report_fill_window_over_union(plans):
-    lines = plans["report_filled"].splitlines()
-    i = next(k for k, line in enumerate(lines) if "Union" in line)
-    above = "\n".join(lines[max(0, i - 3):i])
-    assert "Window" in above and "Exchange" not in above
+def test_range_summaries_are_few(spark):
+    from tallyfold.operators import history
+    from tallyfold.sources.feed import load_feed
+
+    feed = load_feed(spark, SF001, hot=True)
+    cuts = sorted(set(feed.approxQuantile("seq", [i / 16 for i in range(1, 16)], 0.01)))
+    sizes = feed.groupBy(history._range_of("seq", cuts).alias("r")).count().collect()
+    assert len(sizes) <= 16 and max(r["count"] for r in sizes) < 3 * feed.count() / 16
+
+
+def test_report_fill_is_one_aggregation(plans):
+    p = plans["report_filled"]
+    assert "Union" not in p and "Generate" in p
+
+
+@pytest.mark.parametrize("name", ["unpivot_fold", "sample_intervals", "fold_atomic", "ingest_batches"])
+def test_no_raw_rows_are_sorted_to_aggregate(plans, name):
+    assert "SortAggregate" not in plans.get(name, "")

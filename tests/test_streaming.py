@@ -107,42 +107,53 @@ def test_stream_report_closed_windows(spark, tmp_dir):
     assert norm(got) == norm(closed)
 
 
-def test_stream_batching(spark, tmp_dir):
-    split_events(SF01, f"{tmp_dir}/in", 3)
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_stream_batching_does_not_depend_on_micro_batches(spark, tmp_dir, parts):
+    from tallyfold.operators import batching
+
+    split_events(SF01, f"{tmp_dir}/in", parts)
     src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
     stream.start_batching(src, f"{tmp_dir}/out", f"{tmp_dir}/ck", 100, "1 day").awaitTermination()
-    out = spark.read.json(f"{tmp_dir}/out")
-    assert out.agg(F.sum("n_rows")).first()[0] == 10000
-    assert out.where("n_rows > 100").count() == 0
-
+    cols = ("first_seq", "batch_no", "n_rows", "last_seq", "payload")
+    want = batching.encode_batches(batching.assign_batches(load_feed(spark, SF01), 100, "1 day"))
+    assert rows(stream.read_batches(spark, f"{tmp_dir}/out"), *cols) == rows(want, *cols)
 
-@pytest.mark.parametrize("vectorized", [True, False])
-def test_stateful_with_initial_state(spark, tmp_dir, batch_state, vectorized):
-    from tallyfold.streaming.stateful import stream_stateful
 
+def test_initial_state_joins_the_stream(spark, tmp_dir, batch_state):
     feed = load_feed(spark, SF01)
-    initial = fold.fold(feed.where("seq < 5000"))
-    t = pq.read_table(f"{SF01}/events.parquet")
-    os.makedirs(f"{tmp_dir}/in")
-    late = t.filter(pc.greater_equal(t["event_id"], 5000))
-    half = 5000 + (late.num_rows // 2)
-    pq.write_table(late.filter(pc.less(late["event_id"], half)), f"{tmp_dir}/in/events_a.parquet")
-    pq.write_table(late.filter(pc.greater_equal(late["event_id"], half)), f"{tmp_dir}/in/events_b.parquet")
-    os.utime(f"{tmp_dir}/in/events_a.parquet", (time.time() - 100, time.time() - 100))
+    stream.write_feed_files(spark, SF01, f"{tmp_dir}/in", files=3)
+    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1, glob="*.parquet").where("seq >= 5000")
+    seeded = stream.with_initial_state(src, fold.fold(feed.where("seq < 5000")), f"{tmp_dir}/seed")
+    stream.start_live_fold(seeded, f"{tmp_dir}/live", f"{tmp_dir}/ck").awaitTermination()
+    assert rows(stream.read_live_state(spark, f"{tmp_dir}/live"), *STATE_COLS) == batch_state
+
+
+def test_live_state_takes_the_newest_change_not_the_highest_seq(spark, tmp_dir):
+    # A late update of -2 lowers the counter and leaves last_seq where it was.
+    for v, (delta, seq) in enumerate([(5, 10), (3, 10)]):
+        state = spark.createDataFrame([("counter", "c", delta, None, seq)], stream.STATE)
+        state.write.parquet(stream.version_path(f"{tmp_dir}/live/changes", v))
+    assert rows(stream.read_live_state(spark, f"{tmp_dir}/live"), "delta", "last_seq") == [(3, 10)]
+    for _ in range(2):  # a compaction may be replayed
+        assert stream.compact_live_state(spark, f"{tmp_dir}/live") == 1
+        assert rows(stream.read_live_state(spark, f"{tmp_dir}/live"), "delta", "last_seq") == [(3, 10)]
+
+
+def test_report_holds_open_intervals_too(spark, tmp_dir):
+    split_events(SF01, f"{tmp_dir}/in", 6)
     src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
-    out = stream_stateful(src, initial, vectorized)
+    stream.start_report(src, f"{tmp_dir}/out", f"{tmp_dir}/ck", "1 day", "1 hour").awaitTermination()
+    feed = fold.valid_updates(load_feed(spark, SF01))
+    want = feed.select(F.window("ts", "1 day").start, "type", "id").distinct().count()
+    assert stream.read_report(spark, f"{tmp_dir}/out").count() == want == 5898
 
-    def write(b, bid):
-        b.withColumn("batch", F.lit(bid)).write.mode("append").parquet(f"{tmp_dir}/out")
 
-    q = out.writeStream.outputMode("update").foreachBatch(write).option(
-        "checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start()
-    q.awaitTermination()
-    emitted = spark.read.parquet(f"{tmp_dir}/out")
-    allrows = initial.withColumn("batch", F.lit(-1)).unionByName(emitted)
-    final = allrows.groupBy("type", "id").agg(F.max_by(F.struct("delta", "value", "last_seq"), "batch").alias("s"))
-    final = final.select("type", "id", "s.delta", "s.value", "s.last_seq")
-    assert rows(final, *STATE_COLS) == batch_state
+def test_old_versions_are_removed(spark, tmp_dir, batch_state):
+    split_events(SF01, f"{tmp_dir}/in", 6)
+    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
+    stream.start_merge(src, f"{tmp_dir}/state", f"{tmp_dir}/ck").awaitTermination()
+    assert stream.committed_versions(spark, f"{tmp_dir}/state") == [3, 4, 5]
+    assert rows(stream.read_version(spark, f"{tmp_dir}/state"), *STATE_COLS) == batch_state
 
 
 def test_stream_report_independent_of_session_zone(spark):
@@ -164,7 +175,7 @@ def test_live_fold_change_log(spark, tmp_dir, batch_state, reverse):
     src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
     root = f"{tmp_dir}/live"
     stream.start_live_fold(src, root, f"{tmp_dir}/ck").awaitTermination()
-    changes = stream._committed_versions(spark, f"{root}/changes")
+    changes = stream.committed_versions(spark, f"{root}/changes")
     assert len(changes) == 4
     # Each version holds only the keys its micro-batch changed.
     assert spark.read.parquet(stream.version_path(f"{root}/changes", changes[0])).count() < 600
@@ -204,5 +215,5 @@ def test_live_fold_periodic_compaction(spark, tmp_dir, batch_state):
     src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
     root = f"{tmp_dir}/live"
     stream.start_live_fold(src, root, f"{tmp_dir}/ck", compact_every=2).awaitTermination()
-    assert stream._committed_versions(spark, f"{root}/base") == [1, 3]
+    assert stream.committed_versions(spark, f"{root}/base") == [1, 3]
     assert rows(stream.read_live_state(spark, root), *STATE_COLS) == batch_state
