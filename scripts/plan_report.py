@@ -19,9 +19,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tallyfold.plans.catalog import QUERIES  # noqa: E402
 from tallyfold.session import build_session  # noqa: E402
 
-RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_stateful", "stream_stateful_rows", "stream_batches",
-                    "stream_report", "restore_snapshot", "restore_snapshot_json", "resume", "feed_roundtrip",
-                    "state_table", "stream_live_fold"}
 NODES = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition", "SortMergeJoin",
          "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate",
          "SortAggregate", "ObjectHashAggregate", "Window", "Generate", "Union", "Expand", "ArrowEvalPython",
@@ -35,12 +32,9 @@ def main() -> None:
     print("# PLANS\n")
     print("Physical plans of the registered queries (`scripts/plan_report.py`, broadcast joins off so the")
     print("plans show their at-scale shape). Counts are operators in the plan; `scans` lists each Parquet")
-    print("scan's pushed filters and read columns. Queries that run a stream or write when called are listed")
-    print("by name only.\n")
+    print("scan's pushed filters and read columns. A query that writes or runs a stream when called shows")
+    print("the plan of what it reads back; the jobs before it are in its operator.\n")
     for name, q in QUERIES.items():
-        if name in RUNS_WHEN_CALLED:
-            print(f"## {name}\n\nruns a stream or writes when called; see its operator's tests.\n")
-            continue
         plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()
         c = Counter()
         for node in NODES:

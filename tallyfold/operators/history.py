@@ -89,7 +89,16 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[st
     return df.select("*", *cols), names, others
 
 
-def _range_of(order: str, cuts: list[float]) -> Column:
+def quantiles(df: DataFrame, order: str, ranges: int) -> list:
+    """At most ``ranges - 1`` increasing values that cut ``order`` into about
+    equally full ranges (one aggregate; that many values reach the driver)."""
+    if ranges <= 1:
+        return []
+    shares = [i / ranges for i in range(1, ranges)]
+    return sorted(set(df.agg(F.percentile_approx(order, shares, 4 * ranges)).first()[0] or []))
+
+
+def _range_of(order: str, cuts: list) -> Column:
     """Number of ``cuts`` not above the order value (a tree of comparisons); -1 for NULL."""
     x = F.col(order)
 
@@ -126,7 +135,7 @@ def running(
         raise ValueError("ranges must be positive")
 
     keyed, names, others = _key_columns(df, keys)
-    cuts = sorted(set(df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
+    cuts = quantiles(df, order, ranges)
     bcol = "_rb"
     base = keyed.withColumn(bcol, _range_of(order, cuts))
     kcols = [*names, *others]

@@ -16,6 +16,7 @@ from tallyfold.functions.numtext import format_int, format_shortest
 from tallyfold.functions.signing import sign_rows
 from tallyfold.operators import batching, delivery, fold, history, listing, lookup, sampling, validate
 from tallyfold.plans.sql import CUTOFF, SIGN_KEY
+from tallyfold.schema import COUNTER, GAUGE, METRIC_TYPES
 from tallyfold.session import materialize, scratch_path
 from tallyfold.sources import readers, store
 from tallyfold.sources.feed import load_feed
@@ -34,34 +35,33 @@ def _cutoff():
 def q_fold(spark, sf):
     # Only gauge and counter events can fold: filtering them on the stored
     # column lets the predicate reach the Parquet scan.
-    return fold.fold(load_feed(spark, sf, known_only=True))
+    return fold.fold(load_feed(spark, sf, types=METRIC_TYPES))
 
 
 def q_fold_gauges(spark, sf):
-    return fold.fold_gauges(load_feed(spark, sf, known_only=True))
+    return fold.fold_gauges(load_feed(spark, sf, types=(GAUGE,)))
 
 
 def q_fold_counters(spark, sf):
-    return fold.fold_counters(load_feed(spark, sf, known_only=True))
+    return fold.fold_counters(load_feed(spark, sf, types=(COUNTER,)))
 
 
 def q_metric_names(spark, sf):
-    return fold.metric_names(load_feed(spark, sf, known_only=True))
+    return fold.metric_names(load_feed(spark, sf, types=METRIC_TYPES))
 
 
 def q_list_metrics(spark, sf):
-    return listing.list_metrics(fold.fold(load_feed(spark, sf, known_only=True)))
+    return listing.list_metrics(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
 
 
 def q_all_metrics(spark, sf):
-    feed = load_feed(spark, sf)
-    return listing.all_metrics(fold.fold_gauges(feed), fold.fold_counters(feed)).select(
-        "type", "id", "delta", "value", "last_seq"
-    )
+    # One fold, split and put together again: both halves read the same shuffle.
+    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
+    return listing.all_metrics(gauges, counters).select("type", "id", "delta", "value", "last_seq")
 
 
 def _halves(spark, sf):
-    feed = load_feed(spark, sf)
+    feed = load_feed(spark, sf, types=METRIC_TYPES)
     early = feed.where(F.col("ts") < _cutoff())
     late = feed.where(F.col("ts") >= _cutoff())
     return early, late
@@ -86,13 +86,13 @@ def q_merge_state_reversed(spark, sf):
 
 def q_restore_snapshot(spark, sf):
     path = scratch_path(spark, "snapshot")
-    store.write_snapshot(fold.fold(load_feed(spark, sf)), path, fmt="parquet")
+    store.write_snapshot(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)), path, fmt="parquet")
     return store.restore_snapshot(spark, path, fmt="parquet")
 
 
 def q_restore_snapshot_json(spark, sf):
     path = scratch_path(spark, "snapshot-json")
-    store.write_snapshot(fold.fold(load_feed(spark, sf)), path, fmt="json")
+    store.write_snapshot(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)), path, fmt="json")
     return store.restore_snapshot(spark, path, fmt="json").select("type", "id", "delta", "value")
 
 
@@ -105,44 +105,44 @@ def q_resume(spark, sf):
 
 
 def q_running_counter(spark, sf):
-    return history.running_counter(load_feed(spark, sf))
+    return history.running_counter(load_feed(spark, sf, types=(COUNTER,)))
 
 
 def q_running_gauge(spark, sf):
-    return history.running_gauge(load_feed(spark, sf))
+    return history.running_gauge(load_feed(spark, sf, types=(GAUGE,)))
 
 
 def q_cumulative_to_delta(spark, sf):
-    return history.cumulative_to_delta(load_feed(spark, sf))
+    return history.cumulative_to_delta(load_feed(spark, sf, types=(COUNTER,)))
 
 
 def q_update_rank(spark, sf):
-    return history.update_rank(load_feed(spark, sf))
+    return history.update_rank(load_feed(spark, sf, types=METRIC_TYPES))
 
 
 def q_replay_reads(spark, sf):
-    return history.replay_reads(load_feed(spark, sf))
+    return history.replay_reads(load_feed(spark, sf, types=METRIC_TYPES))
 
 
 def q_running_counter_hot(spark, sf):
     # Five keys share the whole feed: no task sorts more than one range of a key.
-    return history.running_counter(load_feed(spark, sf, hot=True))
+    return history.running_counter(load_feed(spark, sf, hot=True, types=(COUNTER,)))
 
 
 def q_replay_reads_hot(spark, sf):
-    return history.replay_reads(load_feed(spark, sf, hot=True))
+    return history.replay_reads(load_feed(spark, sf, hot=True, types=METRIC_TYPES))
 
 
 def q_fold_hot(spark, sf):
-    return fold.fold(load_feed(spark, sf, hot=True))
+    return fold.fold(load_feed(spark, sf, hot=True, types=METRIC_TYPES))
 
 
 def q_report_intervals(spark, sf):
-    return sampling.report_intervals(load_feed(spark, sf), "1 hour")
+    return sampling.report_intervals(load_feed(spark, sf, types=METRIC_TYPES), "1 hour")
 
 
 def q_report_filled(spark, sf):
-    return sampling.report_filled(load_feed(spark, sf), "1 day")
+    return sampling.report_filled(load_feed(spark, sf, types=METRIC_TYPES), "1 day")
 
 
 def q_sample_intervals(spark, sf):
@@ -319,7 +319,7 @@ def q_read_requests(spark, sf):
 def q_lookup_one(spark, sf):
     # The first metric by name and type, looked up in the stored state table.
     path = scratch_path(spark, "state-one")
-    state = fold.fold(load_feed(spark, sf))
+    state = fold.fold(load_feed(spark, sf, types=METRIC_TYPES))
     store.write_state(state, path)
     first = store.read_state(spark, path).agg(F.min(F.struct("id", "type")).alias("k")).first()["k"]
     return lookup.lookup_one(store.read_state(spark, path), first["type"], first["id"]).select(
@@ -331,7 +331,7 @@ def q_state_ddl(spark, sf):
     path = scratch_path(spark, "state-ddl")
     name = "state_" + path.rsplit("-", 1)[1]
     store.create_state(spark, name, path)
-    fold.fold(load_feed(spark, sf)).select("id", "delta", "value", "last_seq", "type").write.insertInto(name, overwrite=True)
+    fold.fold(load_feed(spark, sf, types=METRIC_TYPES)).select("id", "delta", "value", "last_seq", "type").write.insertInto(name, overwrite=True)
     rows = spark.table(name).select("type", "id", "delta", "value", "last_seq")
     rows = materialize(rows, "state-ddl-read")
     store.drop_state(spark, name)
@@ -362,11 +362,11 @@ def q_lookup_misses(spark, sf):
 
 
 def q_render_report(spark, sf):
-    return listing.render_report(fold.fold(load_feed(spark, sf)))
+    return listing.render_report(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
 
 
 def q_value_text(spark, sf):
-    s = fold.fold(load_feed(spark, sf))
+    s = fold.fold(load_feed(spark, sf, types=METRIC_TYPES))
     text = F.when(F.col("type") == "counter", format_int("delta")).otherwise(format_shortest("value"))
     return s.select("type", "id", text.alias("text"))
 
@@ -414,7 +414,7 @@ def q_update_rows(spark, sf):
 
 def q_split_state(spark, sf):
     # State split into gauges and counters, each counted apart.
-    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf)))
+    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
     return gauges.select("type", "id", F.lit(None).cast("bigint").alias("delta"), "value").unionByName(
         counters.select("type", "id", "delta", F.lit(None).cast("double").alias("value")))
 
@@ -514,7 +514,7 @@ def q_feed_roundtrip(spark, sf):
 def q_state_table(spark, sf):
     # State stored partitioned by type and sorted by id, read back whole.
     path = scratch_path(spark, "state-table")
-    store.write_state(fold.fold(load_feed(spark, sf)), path)
+    store.write_state(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)), path)
     return store.read_state(spark, path).select("type", "id", "delta", "value", "last_seq")
 
 

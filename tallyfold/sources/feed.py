@@ -60,15 +60,15 @@ def feed_from_events(events: DataFrame, keep: tuple[str, ...] = (), hot: bool =
 
 
 def load_feed(
-    spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (), hot: bool = False, known_only: bool = False
+    spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (), hot: bool = False, types: tuple[str, ...] | None = None
 ) -> DataFrame:
     """The update feed of ``{sf_dir}/events.parquet``.
 
-    ``known_only=True`` keeps only gauge and counter events, filtered on the
+    ``types`` keeps only the events of those metric types, filtered on the
     stored ``event_type`` column so the predicate reaches the Parquet scan
-    (a filter on the derived ``type`` cannot be pushed).  Folds skip other
-    rows anyway, so their results do not change."""
+    (a filter on the derived ``type`` cannot be pushed)."""
     events = load_table(spark, sf_dir, "events")
-    if known_only:
-        events = events.where(F.col("event_type").isin(*GAUGE_EVENTS, *COUNTER_EVENTS))
+    if types is not None:
+        wanted = [e for t, names in ((GAUGE, GAUGE_EVENTS), (COUNTER, COUNTER_EVENTS)) if t in types for e in names]
+        events = events.where(F.col("event_type").isin(*wanted))
     return feed_from_events(events, keep, hot)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.timeutil import utc_instant, utc_wall, with_interval
 from tallyfold.operators import batching, fold
-from tallyfold.operators.history import running
+from tallyfold.operators.history import quantiles, running
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
 from tallyfold.session import materialize, scratch_path
 from tallyfold.sources.feed import feed_from_events
@@ -248,7 +248,7 @@ def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = F
     from tallyfold.sources.tables import load_table
 
     events = load_table(spark, sf_dir, "events")
-    cuts = events.approxQuantile("event_id", [i / files for i in range(1, files)], 0.001)
+    cuts = quantiles(events, "event_id", files)
     edges = [None, *cuts, None]
     parts = list(zip(edges[:-1], edges[1:], strict=True))
     for lo, hi in reversed(parts) if reverse else parts:

@@ -62,7 +62,7 @@ def test_range_summaries_are_few(spark):
     from tallyfold.sources.feed import load_feed
 
     feed = load_feed(spark, SF001, hot=True)
-    cuts = sorted(set(feed.approxQuantile("seq", [i / 16 for i in range(1, 16)], 0.01)))
+    cuts = history.quantiles(feed, "seq", 16)
     sizes = feed.groupBy(history._range_of("seq", cuts).alias("r")).count().collect()
     assert len(sizes) <= 16 and max(r["count"] for r in sizes) < 3 * feed.count() / 16
 
