@@ -35,12 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import MESSAGE, documents, messages, pack, slices, text_stats, uniq, unpack, with_chunks
+from .common import MESSAGE, counted, documents, messages, pack, slices, text_stats, uniq, unpack, with_chunks, word_digests
 
 DEPTH = 5
 #: Bytes of a chunk, and of the texts that a task counts before it sends on.
@@ -50,7 +49,8 @@ BUFFER, POSITION_BITS, BEFORE = (1 << 20) - 4096, 20, 7
 #: Groups of subtrees.
 GROUPS = 512
 MARK = b"\xff"
-END_TOKEN = xxhash.xxh3_64_intdigest(b"")
+#: Stands for the end among the digests of words.
+END_TOKEN = 0x656E64206F662074
 #: Odd, so multiplying by it permutes the pairs.
 SPREAD, UNSPREAD = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -96,20 +96,6 @@ def unspread(values: np.ndarray, depth: int) -> np.ndarray:
     return (out << np.uint64(8)) | (v & np.uint64(255))
 
 
-def counted(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values and how often (or with what weight) each occurs."""
-    if not len(values):
-        return values, np.zeros(0, np.int64)
-    if weights is None:
-        values = np.sort(values)
-    else:
-        order = np.argsort(values)
-        values, weights = values[order], weights[order]
-    new = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-    n = np.diff(np.concatenate((new, [len(values)]))) if weights is None else np.add.reduceat(weights, new)
-    return values[new], n
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """For x >= 1/2: Stirling's series at x + 8, brought back by the recurrence."""
     y = x + 8
@@ -223,15 +209,10 @@ def group_of(pair: np.ndarray, depth: int) -> np.ndarray:
     return ((top * np.uint64(SPREAD)) >> np.uint64(40)).astype(np.int64) % GROUPS
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Digests of the distinct words (the end token first), and each text's tokens as indices."""
-    number: dict[bytes, int] = {b"": 0}
-    ids = []
-    for text in texts:
-        words = text.split()
-        words.append(b"")
-        ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in number], np.uint64), ids
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of all words of the texts and then of one end token for each; the texts' numbers of words."""
+    n, digest = word_digests(texts, 1)
+    return np.concatenate((digest, np.full(len(texts), END_TOKEN, np.uint64))), n
 
 
 class Codec:
@@ -266,9 +247,7 @@ class Codec:
         def sent() -> pa.RecordBatch:
             found = [counted(pairs(data, spans, self.depth)) for data, spans in parts(held)]
             pair, n = counted(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
-            digest, ids = words_of(held)
-            times = np.bincount(np.concatenate(ids), minlength=len(digest))
-            digest, times = counted(digest, times)
+            digest, times = counted(tokens_of(held)[0])
             out = [(s, 0, 0, self.packed(pair[at], s, n[at])) for s, at in self.pair_slices(pair)]
             out += [(s, 0, 1, word_list(digest[at], times[at])) for s, at in slices(digest, self.word_shift)]
             return messages(out).combine_chunks().to_batches()[0]
@@ -336,7 +315,7 @@ class Model:
         def ask(t: pa.Table) -> pa.Table:
             chunk, texts = t.column("chunk")[0].as_py(), [lowered(x) for x in t.column("text").to_pylist()]
             pair = uniq(np.concatenate([uniq(pairs(data, spans, codec.depth)) for data, spans in parts(texts)]))
-            digest = np.sort(words_of(texts)[0])
+            digest = uniq(tokens_of(texts)[0])
             none = np.zeros(0, np.int64)
             return messages([(s, chunk, 0, codec.packed(pair[at], s, none)) for s, at in codec.pair_slices(pair)]
                             + [(s, chunk, 1, digest[at].tobytes()) for s, at in slices(digest, codec.word_shift)])
@@ -400,10 +379,13 @@ class Model:
                                         key=lambda r: r[:2]):
                 got[kind].append(np.frombuffer(blob, np.float64) if kind == 0 else unpack(blob))
             logs, times = np.concatenate(got[0]), np.concatenate(got[1]).astype(np.float64)
-            digest, ids = words_of(texts)
-            c = np.empty(len(digest))
-            c[np.argsort(digest, kind="stable")] = times
-            cost = np.log10(c + 1) - log_total
+            tokens, n_words = tokens_of(texts)
+            order = np.argsort(tokens)
+            kind = np.concatenate(([0], np.cumsum(tokens[order][1:] != tokens[order][:-1])))
+            c = np.empty(len(tokens))
+            c[order] = times[kind]
+            text_of = np.concatenate((np.repeat(np.arange(len(texts)), n_words), np.arange(len(texts))))
+            n_known, base = np.bincount(text_of, c > 0), np.bincount(text_of, np.log10(c + 1) - log_total)
             score = np.zeros(len(texts))
             made = list(parts(texts))
             known = uniq(np.concatenate([uniq(pairs(data, spans, codec.depth)) for data, spans in made]))
@@ -422,8 +404,7 @@ class Model:
                 begin = np.concatenate(([0], np.cumsum([hi - lo for _, lo, hi in spans])[:-1]))
                 np.add.at(score, [s[0] for s in spans], np.add.reduceat(value, begin))
             return pa.table([
-                t.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()), pa.array([int((c[i] > 0).sum()) for i in ids], pa.int64()),
-                pa.array([float(cost[i].sum()) for i in ids]), pa.array(score)],
+                t.column("doc_id"), pa.array(n_words + 1), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score)],
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
         by_chunk = chunked.groupBy("chunk")
