@@ -23,7 +23,7 @@ one task:
    extended in turn.  The expansion stops at 200: rows without a value there
    share at least 200 bytes with the row before.  Windows in an interval of
    such rows that stand for two places or more are repeated.
-4. Blocks answer the chunks that sent a content which of its windows repeat.
+4. Blocks answer the chunks that sent a content which ranges of its windows repeat.
 
 Strings are judged on the input.  Null and empty texts keep nothing; matches
 never cross documents; repeated rows are separate documents, so each of them is
@@ -377,7 +377,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK_BYTES,
         if contents:
             for (kind, key, content), to, twice in zip(number, senders, repeated_windows(contents, counts, length), strict=True):
                 if twice.any():
-                    out += [(chunk, kind, key, content, np.packbits(twice).tobytes()) for chunk in to]
+                    ranges = np.flatnonzero(np.diff(twice, prepend=False, append=False)).astype(np.int32).tobytes()
+                    out += [(chunk, kind, key, content, ranges) for chunk in to]
         cols = list(zip(*out, strict=True)) if out else [[]] * 5
         return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()),
                                                         strict=True)], ["chunk", "kind", "key", "content", "data"])
@@ -390,36 +391,39 @@ def dedup(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK_BYTES,
         normal = uniq(np.array([k for k, _ in found[0]], np.uint64))
         single = uniq(np.array([k for k, _ in found[1]], np.uint64))
         hot_keys = uniq(np.array([k for k, _ in found[2]], np.uint64))
-        starts: dict[int, list[np.ndarray]] = {}
+        ranges: dict[int, list[np.ndarray]] = {}  # of repeated windows, by document
         for b in buffers(texts, length) if len(normal) or len(single) else ():
-            hit = []
+            begin, stop = [], []
             runs = np.flatnonzero(find(b.key, normal)[1])
-            for run, key, content in zip(runs.tolist(), b.key[runs].tolist(), b.digests(runs).tolist(), strict=True):
-                bits = found[0].get((key, content))
-                if bits is not None:
-                    n = int(b.stop[run] - b.start[run])
-                    hit.append(b.start[run] + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=n)))
+            for start, key, content in zip(b.start[runs].tolist(), b.key[runs].tolist(), b.digests(runs).tolist(), strict=True):
+                edges = found[0].get((key, content))
+                if edges is not None:
+                    for i in range(0, len(edges), 8):
+                        begin.append(start + int.from_bytes(edges[i: i + 4], "little"))
+                        stop.append(start + int.from_bytes(edges[i + 4: i + 8], "little"))
+            begin, stop = np.array(begin, np.int64), np.array(stop, np.int64)
             if len(single):
                 at, digest = b.windows(np.flatnonzero(find(b.key, hot_keys)[1]))
-                hit.append(at[find(digest, single)[1]])
-            if hit:
-                at = np.sort(np.concatenate(hit))
-                part = np.searchsorted(b.part_start, at, "right") - 1
-                cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(at)])) if len(at) else [0]
+                at = at[find(digest, single)[1]]
+                begin, stop = np.concatenate((begin, at)), np.concatenate((stop, at + 1))
+            if len(begin):
+                part = np.searchsorted(b.part_start, begin, "right") - 1
+                order = np.argsort(part, kind="stable")
+                part, begin, stop = part[order], begin[order], stop[order]
+                cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])).tolist()
                 for lo, hi in zip(cut[:-1], cut[1:], strict=True):
                     doc, offset, _ = b.parts[part[lo]]
-                    starts.setdefault(doc, []).append(at[lo:hi] - b.part_start[part[lo]] + offset)
+                    move = offset - b.part_start[part[lo]]
+                    ranges.setdefault(doc, []).append(np.stack((begin[lo:hi], stop[lo:hi] + length - 1)) + move)
         removed, spans, kept = [], [], []
         for i, text in enumerate(texts):
-            if i not in starts:
+            if i not in ranges:
                 removed.append(0)
                 spans.append(0)
                 kept.append(text)
                 continue
-            at = np.concatenate(starts[i])
-            edge = np.zeros(len(text) + 1, np.int32)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + length, -1)
+            begin, stop = np.concatenate(ranges[i], axis=1)  # of the bytes that they cover
+            edge = np.bincount(begin, minlength=len(text) + 1) - np.bincount(stop, minlength=len(text) + 1)
             gone = np.cumsum(edge[:-1]) > 0
             removed.append(int(gone.sum()))
             spans.append(int((gone[1:] & ~gone[:-1]).sum() + gone[0]))
