@@ -331,7 +331,8 @@ def q_state_ddl(spark, sf):
     path = scratch_path(spark, "state-ddl")
     name = "state_" + path.rsplit("-", 1)[1]
     store.create_state(spark, name, path)
-    fold.fold(load_feed(spark, sf, types=METRIC_TYPES)).select("id", "delta", "value", "last_seq", "type").write.insertInto(name, overwrite=True)
+    state = fold.fold(load_feed(spark, sf, types=METRIC_TYPES))
+    state.select("id", "delta", "value", "last_seq", "type").write.insertInto(name, overwrite=True)
     rows = spark.table(name).select("type", "id", "delta", "value", "last_seq")
     rows = materialize(rows, "state-ddl-read")
     store.drop_state(spark, name)

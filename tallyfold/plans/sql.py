@@ -238,7 +238,8 @@ spine AS (
         FOLD_CTE,
     ),
     "unpivot_fold": (
-        "WITH long AS (UNPIVOT (SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS seq, l_suppkey, l_quantity::DOUBLE AS l_quantity, "
+        "WITH long AS (UNPIVOT (SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS seq, l_suppkey, "
+        "l_quantity::DOUBLE AS l_quantity, "
         "l_extendedprice::DOUBLE AS l_extendedprice, l_discount::DOUBLE AS l_discount, l_tax::DOUBLE AS l_tax FROM lineitem) "
         "ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME col VALUE value) "
         "SELECT 'gauge' AS type, CAST(l_suppkey AS VARCHAR) || '/' || col AS id, arg_max(value, seq) AS value, "
@@ -358,7 +359,8 @@ paths AS (
 )"""
 ORACLES["validate_paths"] = with_feed("SELECT seq, status, delta, value FROM paths", PATHS)
 ORACLES["read_paths"] = with_feed(
-    "SELECT status, count(*) AS n, CAST(sum(octet_length(encode(path))) AS BIGINT) AS bytes FROM paths WHERE k <> 3 GROUP BY status",
+    "SELECT status, count(*) AS n, CAST(sum(octet_length(encode(path))) AS BIGINT) AS bytes FROM paths "
+    "WHERE k <> 3 GROUP BY status",
     PATHS,
 )
 ORACLES["read_requests"] = with_feed(
@@ -373,7 +375,8 @@ ORACLES["random_gauge"] = "SELECT 'RandomValue' AS random_id, count(*) AS n, tru
 ORACLES["update_rows"] = (
     "SELECT 'gauge' AS type, l_returnflag AS id, CAST(NULL AS BIGINT) AS delta, "
     "arg_max(CAST(l_extendedprice AS DOUBLE), (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS value, "
-    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) AS last_seq FROM lineitem GROUP BY l_returnflag UNION ALL "
+    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) AS last_seq "
+    "FROM lineitem GROUP BY l_returnflag UNION ALL "
     "SELECT 'counter', l_returnflag, CAST(sum(l_linenumber) AS BIGINT), NULL, "
     "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) FROM lineitem GROUP BY l_returnflag"
 )

@@ -369,7 +369,8 @@ def compact_live_state(spark: SparkSession, root: str) -> int | None:
         return None
     # A replayed compaction must not read the base that it overwrites.
     top, before = versions[-1], latest_version(spark, f"{root}/base", below=versions[-1])
-    _newest(_live_rows(spark, root, below=top)).select(*STATE_COLS).write.mode("overwrite").parquet(version_path(f"{root}/base", top))
+    state = _newest(_live_rows(spark, root, below=top)).select(*STATE_COLS)
+    state.write.mode("overwrite").parquet(version_path(f"{root}/base", top))
     if before is not None:
         prune_versions(spark, f"{root}/changes", below=before + 1)
         prune_versions(spark, f"{root}/base", below=before)
