@@ -21,9 +21,13 @@ no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 LEADING, MIN_TOKENS, MIN_DOCS = 3, 3, 5
 #: Share of constant tokens that a template needs.
 MIN_CONSTANT = 0.5
@@ -31,36 +35,78 @@ FIELD = "<*>"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def tokens_of(line: Column) -> Column:
+    return F.filter(F.split(line, SPACES), lambda t: t != "")
+
+
+def field(token: Column) -> Column:
+    return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
+
+
+def is_plain(line: Column) -> Column:
+    """Tokens are separated by single blanks and nothing else; most lines are, and need no array of tokens."""
+    odd = F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for c in "\t\x0b\x0c\r":
+        odd = odd | F.contains(line, F.lit(c))
+    return ~odd
+
+
 def masked(line: Column) -> Column:
     """The line's tokens joined by one space, those with a digit as fields."""
-    tokens = F.filter(F.split(line, SPACES), lambda t: t != "")
-    fields = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
-    return F.array_join(F.when(line.rlike("[0-9]"), fields).otherwise(tokens), " ")
+    return F.when(is_plain(line) & ~line.rlike("[0-9]"), line).otherwise(
+        F.array_join(F.transform(tokens_of(line), field), " "))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``doc`` (digest of id and text), ``pos`` and the masked ``line`` of every line with enough tokens, and its ``leaf``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    every = docs.select(doc_key().alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "raw"))
-    made = every.select("doc", "pos", masked(F.col("raw")).alias("line"))
-    tokens = F.split("line", " ")
-    return (made.withColumn("n", F.size(tokens)).where(F.col("n") >= MIN_TOKENS)
-            .withColumn("leaf", F.xxhash64("n", *[F.get(tokens, F.lit(i)) for i in range(LEADING)])))
+def token_count(line: Column) -> Column:
+    """Number of tokens; that of a plain line is told by its length without blanks."""
+    plain = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    return F.when(line == "", F.lit(0)).when(is_plain(line), plain).otherwise(F.size(tokens_of(line)))
+
+
+def leaf_of(line: Column) -> Column:
+    """A digest of a raw line's place in the tree: token count and leading tokens."""
+    first = F.substring_index(line, " ", LEADING)
+    any_line = F.array_join(F.transform(F.slice(tokens_of(line), 1, LEADING), field), " ")
+    head = F.when(is_plain(first) & ~first.rlike("[0-9]") & is_plain(line), first).otherwise(any_line)
+    return F.xxhash64(token_count(line), head)
 
 
 def doc_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def recurring(docs: DataFrame) -> DataFrame:
+def split_lines(docs: DataFrame, *more: str) -> DataFrame:
+    """``doc`` (a digest of id and text), ``pos`` and ``raw`` of every line."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(doc_key().alias("doc"), *more, F.posexplode(F.split(text, "\n", -1)).alias("pos", "raw"))
+
+
+def candidate_lines(docs: DataFrame) -> DataFrame:
+    """``doc``, ``pos``, ``leaf``, ``hash`` and masked ``line`` of the lines in leaves that enough documents share."""
+    raw = F.col("raw")
+    placed = materialize(split_lines(docs).where(token_count(raw) >= MIN_TOKENS).select("doc", "pos", leaf_of(raw).alias("leaf")),
+                         "leaves")
+    shared = placed.select("leaf", "doc").distinct().groupBy("leaf").count().where(F.col("count") >= MIN_DOCS)
+    wanted = (placed.join(shared, "leaf", "left_semi").groupBy("doc")
+              .agg(F.collect_set(F.struct("pos", "leaf")).alias("at")).withColumnRenamed("doc", "key"))
+    texts = docs.select("doc_id", "text").join(wanted, doc_key() == F.col("key"))
+    every = split_lines(texts, F.map_from_entries("at").alias("leaves"))
+    found = every.withColumn("leaf", F.try_element_at("leaves", F.col("pos"))).where("leaf is not null")
+    line = masked(F.col("raw"))
+    return materialize(found.select("doc", "pos", "leaf", line.alias("line"), F.xxhash64(line).alias("hash")).distinct(),
+                       "candidate-lines")
+
+
+def recurring(found: DataFrame) -> DataFrame:
     """``leaf`` and ``hash`` of the masked lines that have a recurring template, and that ``template``."""
-    all_lines = lines(docs)
-    shared = (all_lines.select("leaf", "doc").distinct().groupBy("leaf").count().where(F.col("count") >= MIN_DOCS)
-              .select("leaf"))
-    counted = (all_lines.select("leaf", "doc", "line").join(shared, "leaf", "left_semi").distinct()
-               .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs")))
-    tokens = counted.withColumn("hash", F.xxhash64("line")).select(
-        "leaf", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    counted = found.select("leaf", "doc", "hash", "line").distinct().groupBy("leaf", "hash", "line").agg(
+        F.count(F.lit(1)).alias("docs"))
+    tokens = counted.select("leaf", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n"))
                 .where((F.col("n") >= MIN_DOCS) & (F.col("token") != FIELD)).select("leaf", "at", "token", F.lit(1).alias("constant")))
     general = tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "hash").agg(
@@ -76,15 +122,15 @@ def recurring(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (null texts as empty)."""
     given = docs.drop("n_lines", "n_dropped", "kept_text")
-    dropped = (lines(given).select("doc", "pos", "leaf", F.xxhash64("line").alias("hash"))
-               .join(recurring(given).select("leaf", "hash"), ["leaf", "hash"], "left_semi")
-               .groupBy("doc").agg(F.collect_set("pos").alias("_gone")))
+    found = candidate_lines(given)
+    dropped = (found.join(recurring(found), ["leaf", "hash"], "left_semi")
+               .groupBy("doc").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("doc", "_key"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    out = given.withColumn("doc", doc_key()).join(dropped, "doc", "left").drop("doc")
-    cut = F.split(text, "\n", -1)
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
     marks = F.map_from_entries(F.transform(gone, lambda p: F.struct(p, F.lit(True))))
-    stay = F.array_join(F.filter(cut, lambda line, i: ~F.coalesce(F.try_element_at(F.col("_marks"), i), F.lit(False))), "\n")
-    return (out.withColumn("_marks", marks).withColumn("n_lines", F.when(text == "", F.lit(0)).otherwise(F.size(cut)).cast("long"))
+    stay = bind(marks, lambda m: F.array_join(F.filter(
+        F.split(text, "\n", -1), lambda line, i: F.try_element_at(m, i).isNull()), "\n"))
+    return (given.join(dropped, doc_key() == F.col("_key"), "left")
+            .withColumn("n_lines", F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, "\n", -1))).cast("long"))
             .withColumn("n_dropped", F.size(gone).cast("long"))
-            .withColumn("kept_text", F.when(F.col("n_dropped") == 0, text).otherwise(stay)).drop("_gone", "_marks"))
+            .withColumn("kept_text", F.when(F.col("n_dropped") == 0, text).otherwise(stay)).drop("_gone", "_key"))
