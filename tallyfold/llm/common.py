@@ -55,13 +55,14 @@ def splitters(df: DataFrame, key: Column, size: Column, ranges: int, total: int,
     p = F.least(F.lit(1.0), size.cast("double") * want / float(total))
     drawn = (df.select(key.alias("k"), size.cast("double").alias("s"), p.alias("p"))
              .where(uniform(F.col("k"), F.lit(draw)) < F.col("p"))
-             .select("k", (F.col("s") / F.col("p")).alias("w")).toPandas())
-    drawn = drawn.dropna().sort_values("k", kind="stable")
-    if not len(drawn):
-        return []
-    k, w = drawn["k"].to_numpy(np.int64), np.cumsum(drawn["w"].to_numpy())
-    at = np.searchsorted(w, w[-1] * np.arange(1, ranges) / ranges)
-    return sorted({int(x) for x in k[np.minimum(at, len(k) - 1)]})
+             .select("k", (F.col("s") / F.col("p")).alias("w")).dropna().collect())
+    drawn.sort()
+    whole, run, cuts = sum(r["w"] for r in drawn), 0.0, []
+    for r in drawn:
+        run += r["w"]
+        while len(cuts) < ranges - 1 and run >= whole * (len(cuts) + 1) / ranges:
+            cuts.append(int(r["k"]))
+    return sorted(set(cuts))
 
 
 def range_index(key: Column, cuts: list[int]) -> Column:
