@@ -29,6 +29,11 @@ CARD = r"[0-9]([\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 CANDIDATE = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*"
 SPACES = r"[\x20\x09-\x0D]+"
+#: What Spark's (Java's) engine runs in place of the above, with the same leftmost matches: no group repeats by recursion
+#: and no character is scanned from more than a few starts, however long a run of digits or a token is.
+JAVA = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+        r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9](?:[\x20-]?[0-9])++", PHONE,
+        r"(?:^|(?<=[\x20\x09-\x0D]))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
 #: Code points around a candidate in which its pattern words are looked for.
 REACH = 120
 ROUNDS, MIN_KNOWN, CONFIDENT = 3, 3, 0.6
@@ -78,8 +83,7 @@ def find_matches(docs: DataFrame) -> DataFrame:
     documents apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     digit, at, plus = text.rlike("[0-9]"), F.contains(text, F.lit("@")), F.contains(text, F.lit("+"))
-    kinds = [hits(text, EMAIL, at), hits(text, IP, digit), hits(text, CARD, digit), hits(text, PHONE, digit & plus),
-             hits(text, CANDIDATE, digit | at)]
+    kinds = [hits(text, p, possible) for p, possible in zip(JAVA, (at, digit, digit, digit & plus, digit | at), strict=True)]
     empty = F.array().cast("array<struct<kind:int,pos:int,gap:int,hit:string,left:string,right:string>>")
 
     def listed(kind: int, found: Column) -> Column:
@@ -108,11 +112,14 @@ def place(found: DataFrame) -> DataFrame:
 def candidates(placed: DataFrame) -> DataFrame:
     """Candidates cut to their core (no marks around it), whether a seed
     overlaps them, and the words that stand around them."""
-    core = F.regexp_extract("hit", r"^[^\p{L}\p{N}+@]*(.*?)[^\p{L}\p{N}]*$", 1)
-    lead = F.length(F.regexp_extract("hit", r"^[^\p{L}\p{N}+@]*", 0))
+    lead = F.length(F.regexp_extract("hit", r"^[^\p{L}\p{N}+@]*+", 0))
+    tail = F.length(F.regexp_extract(F.reverse("hit"), r"^[^\p{L}\p{N}]*+", 0))
+    core = F.substring("hit", lead + 1, F.greatest(F.length("hit") - lead - tail, F.lit(0)))
     order = Window.partitionBy("_row").orderBy("start", "end", "kind")
     reach = F.max(F.when(F.col("kind") < 4, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # Backwards too, a frame that begins at the first row takes linear time; one that ends at the last row does not.
+    back = Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
+    ahead = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     marked = placed.withColumn("_known", F.coalesce((reach > F.col("start")) | (ahead < F.col("end")), F.lit(False)))
     tidy = (marked.where("kind = 4").withColumn("value", core).withColumn("start", F.col("start") + lead)
             .withColumn("end", F.col("start") + F.length("value"))

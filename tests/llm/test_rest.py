@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -312,6 +313,29 @@ def test_base_spans(spark):
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(s[1] == k for s in spans) for k in range(4)]
 
 
+def test_long_runs_and_tokens(spark):
+    n = 1_000_000
+    mail = "a@b" + ".c" * (n // 2)
+    texts = ["7" * n, "123 " * (n // 4), "1-" * (n // 2), mail, "x" * n, "x" * n + "@", "1" + "-" * n + "1", "1." * (n // 2),
+             "+1" + "(" * n, "+1" * (n // 2), "_" * n + " x@y.z_w@q.r 0.0.0.0"]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] < 4]
+           for r in pii.extract(to_frame(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert got.pop(3) == [(0, 0, len(mail))]
+    assert got.pop(10) == [(0, n + 1, n + 6), (0, n + 6, n + 12), (1, n + 13, n + 20)]
+    ips = got.pop(7)
+    assert len(ips) == n // 8 and ips[:2] == [(1, 0, 7), (1, 8, 15)]
+    assert len(got) == 8 and not any(got.values())
+
+
+def test_java_forms_match_as_the_expressions(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("a1@. .-_+(12\n\u2028\U0001f600") for _ in range(40)) for _ in range(3000)]
+    plain = (pii.EMAIL, pii.IP, pii.CARD, pii.PHONE, pii.CANDIDATE)
+    found = [F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in pii.JAVA]
+    for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", *found).collect():
+        assert list(r[1:]) == [[m[0] for m in re.finditer(p, r["t"])] for p in plain]
+
+
 def test_patterns_find_unseen_identifiers(spark):
     rows = [(i, f"please write to me at user{i}@mail.example.com any time", "a") for i in range(6)]
     rows += [(20, "please write to me at user77[at]mail soon", "a"), (21, "in the year 1984 nothing happened at all", "a")]
