@@ -1,9 +1,12 @@
 """Personal data by bootstrapped contextual extraction (native).
 
-Seeds are what four expressions find (email, ip, card, phone).  Tokens with a
-digit or an at sign are candidates; a candidate that overlaps a seed is a known
-instance, and the words around it in its line are its lexical patterns (word
-before, two words before, word before and word after).  The bipartite graph of patterns and instances is
+Seeds are what four expressions find (email, ip, card, phone); each is one known
+instance, and of overlapping seeds the longest is.  Tokens with a digit or an at
+sign are candidates; those that a seed overlaps stand together as its place, all
+others are unknown.  The words around a place in its line are its lexical
+patterns (word before, two words before, word before and word after);
+neighbouring candidates are one placeholder there, however many they are.
+The bipartite graph of patterns and instances is
 scored in rounds: a pattern's confidence is the mean confidence of its distinct
 instances, counted from ``MIN_KNOWN`` known ones on, and an instance's is its
 best pattern's.  Unknown candidates of at least ``MIN_CHARS`` letters or digits whose
@@ -34,25 +37,54 @@ SPACES = r"[\x20\x09-\x0D]+"
 JAVA = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9](?:[\x20-]?[0-9])++", PHONE,
         r"(?:^|(?<=[\x20\x09-\x0D]))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
-#: Code points around a candidate in which its pattern words are looked for.
+#: Code points around a candidate in which its pattern words are looked for first, and then in the whole line.
 REACH = 120
+#: Stands for the candidates beside a candidate among its words.
+OTHER = "<*>"
 ROUNDS, MIN_KNOWN, CONFIDENT = 3, 3, 0.6
 #: Letters and digits that an identifier has at least.
 MIN_CHARS = 4
 
 
-def hits(text: Column, pattern: str, possible: Column) -> Column:
-    """Array of (gap, hit, tail): the text before each leftmost match since the
-    last one, the match, and the beginning of what follows.  ``possible`` is a
+def words(part: Column) -> Column:
+    return F.filter(F.split(F.lower(part), SPACES), lambda w: w != "")
+
+
+def words_before(gap: Column) -> Column:
+    """The last two words of the line that ``gap`` ends with, the nearest first."""
+    line = F.substring_index(gap, "\n", -1)
+    whole = F.length(line) <= REACH
+    near = words(F.regexp_replace(F.right(line, F.lit(REACH)), r"^[^\x20\x09-\x0D]+", ""))
+    found = F.when(whole, words(line)).when(F.size(near) >= 2, near).otherwise(words(line))
+    return F.slice(F.reverse(found), 1, 2)
+
+
+def word_after(gap: Column) -> Column:
+    """The first word of the line that ``gap`` begins with."""
+    line = F.substring_index(gap, "\n", 1)
+    whole = F.length(line) <= REACH
+    near = words(F.regexp_replace(F.left(line, F.lit(REACH)), r"[^\x20\x09-\x0D]+$", ""))
+    found = F.when(whole, words(line)).when(F.size(near) >= 1, near).otherwise(words(line))
+    return F.try_element_at(found, F.lit(1))
+
+
+def hits(text: Column, pattern: str, possible: Column, kind: int) -> Column:
+    """Array of the leftmost matches in order: ``gap``, the length of the text
+    since the last one, and ``hit``; candidates' also with the words around and
+    whether the last one is in the same line (``joined``).  ``possible`` is a
     cheap test without which nothing can match."""
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    near = F.lit(kind == 4)
     made = F.transform(
         F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"),
                      F.slice(gaps, 2, F.size(found) + 1).alias("tail")),
-        lambda x: F.struct(F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"),
-                           F.right(x["gap"], F.lit(REACH)).alias("left"), F.left(x["tail"], F.lit(REACH)).alias("right")))
-    return F.when(possible, made)
+        lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), F.length(x["gap"]).alias("gap"), x["hit"].alias("hit"),
+            F.when(near, words_before(x["gap"])).alias("before"), F.when(near, word_after(x["tail"])).alias("after"),
+            F.when(near, (i > 0) & ~F.contains(x["gap"], F.lit("\n"))).alias("joined")))
+    empty = F.array().cast("array<struct<kind:int,pos:int,gap:int,hit:string,before:array<string>,after:string,joined:boolean>>")
+    return F.coalesce(F.when(possible, made), empty)
 
 
 def luhn(digits: Column) -> Column:
@@ -83,16 +115,8 @@ def find_matches(docs: DataFrame) -> DataFrame:
     documents apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     digit, at, plus = text.rlike("[0-9]"), F.contains(text, F.lit("@")), F.contains(text, F.lit("+"))
-    kinds = [hits(text, p, possible) for p, possible in zip(JAVA, (at, digit, digit, digit & plus, digit | at), strict=True)]
-    empty = F.array().cast("array<struct<kind:int,pos:int,gap:int,hit:string,left:string,right:string>>")
-
-    def listed(kind: int, found: Column) -> Column:
-        near = F.lit(kind == 4)
-        return F.coalesce(F.transform(found, lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("pos"), x["gap"].alias("gap"), x["hit"].alias("hit"),
-            F.when(near, x["left"]).alias("left"), F.when(near, x["right"]).alias("right"))), empty)
-
-    one = [listed(k, h) for k, h in enumerate(kinds)]
+    one = [hits(text, p, possible, k)
+           for k, (p, possible) in enumerate(zip(JAVA, (at, digit, digit, digit & plus, digit | at), strict=True))]
     # The row number is taken before the matches are spread over rows.
     numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
                            F.concat(*one).alias("m"))
@@ -110,31 +134,51 @@ def place(found: DataFrame) -> DataFrame:
 
 
 def candidates(placed: DataFrame) -> DataFrame:
-    """Candidates cut to their core (no marks around it), whether a seed
-    overlaps them, and the words that stand around them."""
+    """Known instances (``value`` of a seed) and unknown candidates, cut to their
+    core (no marks around it), with the patterns of the place that they stand in."""
+    order = Window.partitionBy("_row").orderBy("start", "end", "kind")
+    before, so_far = (order.rowsBetween(Window.unboundedPreceding, last) for last in (-1, Window.currentRow))
+    seed = F.col("kind") < 4
+
+    def begins(reach: Column) -> Column:
+        return F.coalesce(F.col("start") >= F.max(reach).over(before), F.lit(True))
+
+    # Matches that overlap are one place; the seeds among them that overlap each other are one instance.
+    marked = (placed.withColumn("_place", begins(F.col("end")).cast("int"))
+              .withColumn("_seed", (seed & begins(F.when(seed, F.col("end")))).cast("int"))
+              .withColumn("_place", F.sum("_place").over(so_far)).withColumn("_seed", F.sum("_seed").over(so_far)))
+    longest = Window.partitionBy("_row", "_seed", seed).orderBy(F.length("hit").desc(), "kind")
+    marked = marked.withColumn("_best", seed & (F.row_number().over(longest) == 1))
+    first, last = (F.when(~seed, F.col("start")), F.when(~seed, F.col("end")))
+    places = marked.groupBy("_row", "_place").agg(
+        F.min_by(F.struct("before", "joined", "hit", "start"), first).alias("c"), F.max_by("after", last).alias("after"),
+        F.collect_list(F.when(F.col("_best"), F.col("hit"))).alias("seeds")).select("_row", "_place", "c.*", "after", "seeds")
+
+    line = Window.partitionBy("_row").orderBy("_place")
+    own, own2 = F.get("before", F.lit(0)), F.get("before", F.lit(1))
+    listed = F.col("joined") & own.isNull()
+    head = F.last(F.when(~listed, F.struct(own.alias("word"))), ignorenulls=True).over(
+        line.rowsBetween(Window.unboundedPreceding, Window.currentRow))["word"]
+    around = places.select(
+        "*", listed.alias("_listed"), F.when(listed, F.lit(OTHER)).otherwise(own).alias("one"),
+        F.when(listed, head).otherwise(F.coalesce(own2, F.when(own.isNotNull() & F.col("joined"), F.lit(OTHER)))).alias("two"),
+        F.coalesce("after", F.when(F.lead("joined").over(line), F.lit(OTHER))).alias("next"))
+    one, two = F.col("one"), F.col("two")
+    patterns = F.array(F.when(~F.col("_listed") | two.isNull(), F.concat(F.lit("before:"), one)),
+                       F.concat(F.lit("before2:"), two, F.lit(" "), one),
+                       F.concat(F.lit("around:"), one, F.lit(" "), F.col("next")))
+
     lead = F.length(F.regexp_extract("hit", r"^[^\p{L}\p{N}+@]*+", 0))
     tail = F.length(F.regexp_extract(F.reverse("hit"), r"^[^\p{L}\p{N}]*+", 0))
     core = F.substring("hit", lead + 1, F.greatest(F.length("hit") - lead - tail, F.lit(0)))
-    order = Window.partitionBy("_row").orderBy("start", "end", "kind")
-    reach = F.max(F.when(F.col("kind") < 4, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Backwards too, a frame that begins at the first row takes linear time; one that ends at the last row does not.
-    back = Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
-    ahead = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    marked = placed.withColumn("_known", F.coalesce((reach > F.col("start")) | (ahead < F.col("end")), F.lit(False)))
-    tidy = (marked.where("kind = 4").withColumn("value", core).withColumn("start", F.col("start") + lead)
-            .withColumn("end", F.col("start") + F.length("value"))
-            .where(F.col("_known") | (F.length(F.regexp_replace("value", r"[^\p{L}\p{N}]", "")) >= MIN_CHARS)))
-
-    def words(part: Column) -> Column:
-        return F.filter(F.split(F.lower(part), SPACES), lambda w: w != "")
-
-    left, right = words(F.substring_index("left", "\n", -1)), words(F.substring_index("right", "\n", 1))
-    one, two, after = (F.try_element_at(left, F.lit(-1)), F.try_element_at(left, F.lit(-2)),
-                       F.try_element_at(right, F.lit(1)))
-    patterns = F.array(F.concat(F.lit("before:"), one), F.concat(F.lit("before2:"), two, F.lit(" "), one),
-                       F.concat(F.lit("around:"), one, F.lit(" "), after))
-    return tidy.select("_row", "start", "end", "value", F.col("_known").alias("known"),
-                       F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"))
+    known = F.size("seeds") > 0
+    # Below the explode, so that a token of many seeds is not repeated beside each of them.
+    cut = around.select("_row", (F.col("start") + lead).alias("start"), F.when(~known, core).alias("core"), known.alias("known"),
+                        F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"), "seeds")
+    spread = cut.select("_row", "start", "core", "known", "patterns", F.explode_outer("seeds").alias("seed"))
+    tidy = spread.withColumn("value", F.when(F.col("known"), F.col("seed")).otherwise(F.col("core"))).where(
+        F.col("known") | (F.length(F.regexp_replace("value", r"[^\p{L}\p{N}]", "")) >= MIN_CHARS))
+    return tidy.select("_row", "start", (F.col("start") + F.length("value")).alias("end"), "value", "known", "patterns")
 
 
 def score_graph(found: DataFrame, rounds: int = ROUNDS, min_known: int = MIN_KNOWN,

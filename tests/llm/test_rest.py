@@ -348,5 +348,19 @@ def test_patterns_find_unseen_identifiers(spark):
     assert text == "id:22:37" and hashlib.sha256(b"").hexdigest().startswith("e3b0")
 
 
+def test_seeds_with_blanks_and_lists_teach(spark):
+    rows = [(i, f"call our office line +1 (045) 555-32{i}{i} today\nmembers a{i}@mail.example.com b{i}@mail.example.com", "a")
+            for i in range(6)]
+    rows += [(20, "call our office line ext-4477 today", "a"), (21, "members M-10021 M-10022 M-10023", "a"), (22, "line\n1984x 1985x", "a")]
+    frame = to_frame(spark, rows)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.extract(frame).collect()}
+    assert got[20] == [(4, 21, 29)] and got[22] == []
+    assert got[21] == [(4, 8, 15), (4, 16, 23), (4, 24, 31)]
+    tokens = pii.candidates(pii.place(pii.find_matches(to_frame(spark, [
+        (0, f"word (x@y.zz,v@w.zz) then {'k' * 200} +4539 1488 0343 6467 end", "a")])))).collect()
+    assert sorted((t["value"], t["known"], t["patterns"][0]) for t in tokens) == [
+        ("4539 1488 0343 6467", True, "before:" + "k" * 200), ("v@w.zz", True, "before:word"), ("x@y.zz", True, "before:word")]
+
+
 def test_personal_data_of_nothing(none):
     assert pii.extract(none).count() == 0
