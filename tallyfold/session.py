@@ -107,3 +107,13 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named, through Spark's own file
+    system, so it works wherever the shared folder lies.  Other paths are refused."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/tallyfold/"
+    if not path.startswith(root) or not path[len(root):].strip("/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
