@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, mixing, pii, quality, sharding, simhash, substring, suffix, templates
+from . import decontaminate, lm, mixing, pii, quality, sharding, simhash, substring, suffix, templates, vectors
 from .common import table
 
 
@@ -83,6 +83,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's code, its error, and the error of its label."""
+    found, books = vectors.compress(table(spark, sf_dir, "embeddings"))
+    digest = books.sha256() if books else None
+    return found.select("vec_id", "code", "error", "label_error", F.lit(digest).cast("string").alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -94,4 +101,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_personal_data": op10_personal_data,
+    "op13_vector_codes": op13_vector_codes,
 }

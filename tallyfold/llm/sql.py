@@ -100,8 +100,56 @@ FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.pos = g.pos
 GROUP BY r.doc_id
 """
 
+
+
+def _lloyd(rounds: int = 4) -> str:
+    """The rounds unrolled: assignments ``a0, a1, ...`` under codebooks ``c0, c1, ...``."""
+    steps = [r"""
+WITH kept AS (
+  SELECT row_number() OVER () AS uid, vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+wide AS (SELECT (max(len(v)) + 3) // 4 AS w FROM kept),
+parts AS (
+  SELECT uid, j, [coalesce(v[i], 0) FOR i IN range(j * w + 1, (j + 1) * w + 1)] AS p
+  FROM kept, wide, range(4) t(j)),
+seeds AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS k, uid
+  FROM (SELECT vec_id, min_by(uid, v) AS uid FROM kept GROUP BY vec_id)
+  QUALIFY row_number() OVER (ORDER BY vec_id NULLS LAST) <= 256),
+c0 AS (SELECT j, k, p AS c FROM seeds JOIN parts USING (uid))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (
+  SELECT uid, j, any_value(p) AS p, min(struct_pack(d := d, k := k)) AS best
+  FROM (SELECT uid, j, p, k, list_inner_product(p, p) - 2 * list_inner_product(p, c) + list_inner_product(c, c) AS d
+        FROM parts JOIN c{r} USING (j))
+  GROUP BY uid, j)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT j, k, list(s / n ORDER BY i) AS means
+  FROM (SELECT j, best.k AS k, i, floor(sum(p[i]) / count(*)) AS s, 1 AS n
+        FROM a{r}, wide, range(1, w + 1) t(i) GROUP BY j, best.k, i)
+  GROUP BY j, k),
+c{r + 1} AS (SELECT j, k, coalesce(means, c) AS c FROM c{r} LEFT JOIN m{r} USING (j, k))""")
+    return ",".join(steps) + f""",
+codes AS (
+  SELECT uid, string_agg(printf('%02x', best.k), '' ORDER BY j) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY uid),
+books AS (
+  SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY j, k, i)) AS digest
+  FROM (SELECT j, k, generate_subscripts(c, 1) AS i, unnest(c) AS x FROM c{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, digest AS codebooks_sha256
+FROM kept JOIN codes USING (uid), books
+"""
+
+
+OP13 = _lloyd()
+
 ORACLES = {
     "op5_line_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_mixing": OP7,
+    "op13_vector_codes": OP13,
 }

@@ -23,11 +23,14 @@ def folder(spark, tmp_path_factory, docs, rows):
     docs.write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame([(10, 1, 0), (11, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([(i, [i / 10.0] * 4, None) for i in range(9)], "vec_id long, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
+    spark.createDataFrame([(1, 0, "user", "Why?"), (1, 1, "assistant", None), (None, None, None, None)],
+                          "conv_id long, turn long, role string, text string").write.parquet(f"{at}/conversations.parquet")
     return at
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == sorted({int(n[2:].split("_")[0]) for n in QUERIES})
     assert set(ORACLES) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES][0] == "quality rules"
 
 
@@ -62,6 +65,8 @@ def test_empty_tables(spark, tmp_path):
     to_frame(spark, []).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{at}/conversations.parquet")
     assert corpus_pipeline.run(spark, at).count() == 0
     for name, query in QUERIES.items():
         assert query(spark, at).count() == 0, name
@@ -70,4 +75,7 @@ def test_empty_tables(spark, tmp_path):
 def test_queries_run_on_awkward_documents(spark, folder, rows):
     for name, query in QUERIES.items():
         found = query(spark, folder)
+        if name.startswith(("op12", "op13")):
+            assert found.count() == (2 if name.startswith("op12") else 9), name
+            continue
         assert "doc_id" in found.columns and found.count() == (len(rows) if not name.startswith("op3") else found.count()), name
