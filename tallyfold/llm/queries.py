@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, mixing, pii, quality, sharding, simhash, substring, suffix, templates, vectors
+from . import conversations, decontaminate, lm, mixing, pii, quality, sharding, simhash, substring, suffix, templates, toxicity, vectors
 from .common import table
 
 
@@ -83,6 +83,29 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by the lexicon of the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.learn(docs, table(spark, sf_dir, "labels")).score(docs)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule and repaired at least cost."""
+    given = table(spark, sf_dir, "conversations")
+    hurt = conversations.damage(given)
+    found = conversations.repair(hurt)
+    digests = conversations.digests(hurt, found)
+    every = given.select(F.col("conv_id").alias("its")).distinct()
+    figures = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    out = every.join(found, F.col("its").eqNullSafe(found["conv_id"]), "left").drop("conv_id")
+    out = out.join(digests, F.col("its").eqNullSafe(digests["conv_id"]), "left").drop("conv_id")
+    return out.select(F.col("its").alias("conv_id"), *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in figures],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector's code, its error, and the error of its label."""
     found, books = vectors.compress(table(spark, sf_dir, "embeddings"))
@@ -101,5 +124,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_personal_data": op10_personal_data,
+    "op11_toxicity": op11_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_vector_codes": op13_vector_codes,
 }

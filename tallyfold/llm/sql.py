@@ -147,9 +147,107 @@ FROM kept JOIN codes USING (uid), books
 
 OP13 = _lloyd()
 
+
+def _repair() -> str:
+    """Least (cost, audit) by position and state, kept as text: twelve digits of cost, then the audit."""
+    crc = """list_reduce(
+      [xor(0, 4294967295)] || [ord(x)::BIGINT FOR x IN string_split(
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                            lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+    def then(state: str, cost: str, edit: str) -> str:
+        return f"(printf('%012d', left({state}, 12)::BIGINT + {cost}) || substr({state}, 13) || {edit})"
+
+    def closed(names: str) -> str:
+        """Any inserts: after the start, ``s`` and ``a`` a user, after a user an assistant, twice at most."""
+        return f"""
+      SELECT {names}, s0, s1, s2, least(s3, {then('s2', '5', "'I'")}) AS s3 FROM (
+       SELECT {names}, s0, s1, least(s2, {then('s3', '5', "'I'")}) AS s2, s3 FROM (
+        SELECT {names}, s0, s1, s2, least(s3, {then('s2', '5', "'I'")}) AS s3 FROM (
+         SELECT {names}, s0, s1, least(s2, {then('s0', '5', "'I'")}, {then('s1', '5', "'I'")}, {then('s3', '5', "'I'")}) AS s2, s3"""
+
+    extra = "5 * truncated"
+    gone = [f"{then(f's{q}', '2', chr(39) + 'D' + chr(39))}" for q in range(4)]
+
+    def kept(state: str, initial: str) -> str:
+        return f"CASE WHEN NOT goes AND initial = '{initial}' THEN {then(state, extra, chr(39) + 'K' + chr(39))} END"
+
+    def reroled(state: str) -> str:
+        return f"CASE WHEN NOT goes THEN {then(state, f'1 + {extra}', chr(39) + 'R' + chr(39))} END"
+
+    return rf"""
+WITH RECURSIVE hurt AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(coalesce(text, ' '), '.!?', '')
+              ELSE coalesce(text, ' ') END AS text, fault
+  FROM (SELECT *, xor({crc}, 4294967295) % 20 AS fault FROM conversations)
+  WHERE fault <> 0),
+twice AS (SELECT * FROM hurt UNION ALL SELECT * FROM hurt WHERE fault = 3),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         regexp_replace(text, '[ 	-
+]+$', '') AS bare
+  FROM twice),
+seen AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, bare = '' AS is_blank,
+         bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS is_again,
+         right(bare, 1) NOT IN ('.', '!', '?') AS is_open,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS is_illegal
+  FROM placed),
+rows AS (
+  SELECT conv_id, i, role, text, initial, is_blank OR is_again AS goes,
+         (NOT is_blank AND NOT is_again AND is_open)::INT AS truncated
+  FROM seen),
+figures AS (
+  SELECT s.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_again) AS duplicate,
+         count(*) FILTER (NOT is_blank AND NOT is_again AND is_open) AS truncated,
+         count(*) FILTER (is_illegal) AS illegal, count(*) AS n
+  FROM seen s GROUP BY s.conv_id),
+ways AS (
+  {closed('conv_id, i')} FROM (
+    SELECT conv_id, 0::BIGINT AS i, '000000000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3
+    FROM figures))))
+  UNION ALL
+  {closed('conv_id, i')} FROM (
+    SELECT r.conv_id, r.i, {gone[0]} AS s0, least({gone[1]}, {kept('s0', 's')}) AS s1,
+           least({gone[2]}, {kept('s0', 'u')}, {kept('s1', 'u')}, {kept('s3', 'u')},
+                 {reroled('s0')}, {reroled('s1')}, {reroled('s3')}) AS s2,
+           least({gone[3]}, {kept('s2', 'a')}, {reroled('s2')}) AS s3
+    FROM ways w JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1))))),
+plan AS (
+  SELECT w.conv_id, left(least(s0, s3), 12)::BIGINT AS cost, substr(least(s0, s3), 13) AS audit
+  FROM ways w JOIN figures f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n),
+steps AS (
+  SELECT conv_id, t, audit[t] AS edit, len(replace(audit[1:t], 'I', '')) AS i, len(replace(audit[1:t], 'D', '')) AS o
+  FROM plan, range(1, 1000000) r(t) WHERE t <= len(audit)),
+made AS (
+  SELECT s.conv_id, s.t, s.o, s.edit, r.role, r.text,
+         max((s.o = 1 AND s.edit = 'K' AND r.initial = 's')::INT) OVER (PARTITION BY s.conv_id) AS led
+  FROM steps s LEFT JOIN rows r ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = s.i AND s.edit <> 'I'
+  WHERE s.edit <> 'D'),
+texts AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                    || ':' || coalesce(text, ''), chr(10) ORDER BY t)) AS digest
+  FROM made GROUP BY conv_id)
+SELECT c.conv_id, coalesce(f.gaps, 0)::BIGINT AS gaps, coalesce(f.blank, 0)::BIGINT AS blank,
+       coalesce(f.duplicate, 0)::BIGINT AS duplicate, coalesce(f.truncated, 0)::BIGINT AS truncated,
+       coalesce(f.illegal, 0)::BIGINT AS illegal, coalesce(p.cost, 0)::BIGINT AS cost, coalesce(p.audit, '') AS audit,
+       coalesce(t.digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN figures f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN plan p ON c.conv_id IS NOT DISTINCT FROM p.conv_id
+LEFT JOIN texts t ON c.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
+
+OP12 = _repair()
+
 ORACLES = {
     "op5_line_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_mixing": OP7,
+    "op12_conversation_repair": OP12,
     "op13_vector_codes": OP13,
 }
