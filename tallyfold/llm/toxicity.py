@@ -7,7 +7,8 @@ they imitate, and inside a word the digits and signs that stand for letters
 other languages apart.  A folded text is its words with one space between.
 
 **Lexicon.**  Terms are words whose occurrences in training texts labelled
-toxic are far more than chance gives.  Occurrences are counted by distinct
+toxic are far more than chance gives, at ``RATIO`` times the rate in clean
+ones or more.  Occurrences are counted by distinct
 surroundings (the words before and after), so thousands of copies of one text
 count once.  A term's weight is the logarithm of its rate in toxic texts over
 its rate in clean ones.  Phrases of a term and a neighbour that occur in clean
@@ -54,6 +55,8 @@ MOST_TERMS, SAMPLE = 8192, 200_000
 CANDIDATES = 2
 #: Distinct surroundings that a term needs in toxic texts.
 LEAST = 3
+#: How many times a term's rate in toxic texts must be that in clean ones; lesser words only tell topics and languages.
+RATIO = 5.0
 THRESHOLD = 0.7
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
@@ -282,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, terms: dict[str, float] | None = N
         found = {w: (t, max(0, c - lost[w])) for w, (t, c) in found.items()}
     n_toxic, n_clean = (all_words["t"] or 0) + 1.0, (all_words["c"] or 0) + 1.0
     weights = {w: math.log((t + 0.5) / n_toxic) - math.log((c + 0.5) / n_clean) for w, (t, c) in found.items()}
-    lexicon = Lexicon({w: v for w, v in weights.items() if v > 0} | given, sorted(mild))
+    lexicon = Lexicon({w: v for w, v in weights.items() if v >= math.log(RATIO)} | given, sorted(mild))
 
     # Figures of the training rows, rounded and counted: a bounded table.
     scored = lexicon.score(rows.select("doc_id", "text")).join(
