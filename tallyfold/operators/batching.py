@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.timeutil import with_interval
-from tallyfold.operators.history import DEFAULT_RANGES, running
+from tallyfold.operators.history import DEFAULT_RANGE_ROWS, running
 
 WIRE_FIELDS = ("id", "type", "delta", "value")
 
@@ -17,7 +17,7 @@ def assign_batches(
     every: str,
     ts: str = "ts",
     seq: str = "seq",
-    ranges: int | None = DEFAULT_RANGES,
+    range_rows: int | None = DEFAULT_RANGE_ROWS,
 ) -> DataFrame:
     """Batch number of each row: a batch is flushed at each interval tick and
     whenever it reaches ``max_size`` rows (``max_size <= 0``: ticks only).
@@ -29,7 +29,7 @@ def assign_batches(
     w = with_interval(df, ts, every)
     if max_size <= 0:
         return w.withColumn("batch_no", F.lit(0).cast("bigint"))
-    r = running(w, ["win_start"], seq, {"_rn": ("count", None)}, ranges)
+    r = running(w, ["win_start"], seq, {"_rn": ("count", None)}, range_rows)
     return r.withColumn("batch_no", F.floor((F.col("_rn") - 1) / F.lit(max_size))).drop("_rn")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.numtext import indexed_name
 from tallyfold.functions.timeutil import with_interval
 from tallyfold.operators.fold import valid_updates
-from tallyfold.operators.history import DEFAULT_RANGES, running
+from tallyfold.operators.history import DEFAULT_RANGE_ROWS, running
 from tallyfold.schema import COUNTER, GAUGE, KEY
 
 # The runtime memory statistics the agent reports as gauges,
@@ -131,7 +131,7 @@ def report_rows(
     seq: str = "seq",
     ts: str = "ts",
     seed: int | None = None,
-    ranges: int | None = DEFAULT_RANGES,
+    range_rows: int | None = DEFAULT_RANGE_ROWS,
 ) -> DataFrame:
     """The agent's report for each wide sample: one gauge per named column,
     a ``RandomValue`` gauge in [0, 1), and the ``PollCount`` counter carrying
@@ -145,7 +145,7 @@ def report_rows(
         seq, ts, F.lit(GAUGE).alias("type"), F.lit(RANDOM_GAUGE).alias("id"),
         F.lit(None).cast("bigint").alias("delta"), rnd.alias("value"),
     )
-    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, ranges)
+    counted = running(samples.select(seq, ts), [], seq, {"_n": ("count", None)}, range_rows)
     polls = counted.select(
         seq, ts, F.lit(COUNTER).alias("type"), F.lit(POLL_COUNTER).alias("id"),
         F.col("_n").cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"),

@@ -26,14 +26,14 @@ SPECS = {"s": ("sum", "delta"), "n": ("count", None), "l": ("last", "value"), "p
 @pytest.mark.parametrize("bucket", [1, 2, 7, 64])
 def test_two_level_equals_one_level(skewed, bucket):
     base = skewed.select("seq", "type", "id", "delta", "value")
-    one = history.running(base, ["type", "id"], "seq", SPECS, ranges=None)
-    two = history.running(base, ["type", "id"], "seq", SPECS, ranges=bucket)
+    one = history.running(base, ["type", "id"], "seq", SPECS, range_rows=None)
+    two = history.running(base, ["type", "id"], "seq", SPECS, range_rows=bucket)
     assert rows(two) == rows(one)
 
 
 def test_two_level_null_keys(spark):
     df = spark.createDataFrame([(1, None, 1), (2, None, 2), (3, "a", 5), (4, None, 3)], "seq long, k string, d long")
-    got = rows(history.running(df, ["k"], "seq", {"s": ("sum", "d")}, ranges=2), "seq", "s")
+    got = rows(history.running(df, ["k"], "seq", {"s": ("sum", "d")}, range_rows=2), "seq", "s")
     assert got == [(1, 1), (2, 3), (3, 5), (4, 6)]
 
 
@@ -46,7 +46,7 @@ def test_two_level_keeps_rows_without_key_or_order(spark, key):
             "binary": F.col("k0").cast("binary")}[key]
     df = df.withColumn("k", made).drop("k0")
     specs = {"n": ("count", None), "t": ("total", "d")}
-    one, two = (history.running(df, ["k"], "seq", specs, ranges=r) for r in (None, 4))
+    one, two = (history.running(df, ["k"], "seq", specs, range_rows=r) for r in (None, 4))
     assert sorted(map(str, two.select("d", "t").collect())) == sorted(map(str, one.select("d", "t").collect()))
     ordered = [sorted(map(str, x.where("seq is not null").collect())) for x in (one, two)]
     assert ordered[0] == ordered[1] and two.count() == 12
@@ -65,7 +65,7 @@ def test_cumulative_to_delta_resets(spark):
         [(1, "PollCount", "counter", 3, None), (2, "PollCount", "counter", 5, None),
          (3, "PollCount", "counter", 9, None), (4, "PollCount", "counter", 2, None), (5, "PollCount", "counter", 4, None)],
         "seq long, id string, type string, delta long, value double")
-    got = [r.delta for r in history.cumulative_to_delta(upd, ranges=2).orderBy("seq").collect()]
+    got = [r.delta for r in history.cumulative_to_delta(upd, range_rows=2).orderBy("seq").collect()]
     assert got == [3, 2, 4, 2, 2]
 
 
@@ -75,21 +75,21 @@ def test_replay_reads(spark):
          (4, "c", "counter", 5, None), (5, "c", "counter", None, None), (6, "g", "gauge", None, None),
          (7, "g", "gauge", None, 1.5), (8, "g", "gauge", None, None)],
         "seq long, id string, type string, delta long, value double")
-    got = rows(history.replay_reads(upd, ranges=3), "seq", "status", "delta", "value")
+    got = rows(history.replay_reads(upd, range_rows=3), "seq", "status", "delta", "value")
     assert got == [(1, 404, None, None), (3, 200, 2, None), (5, 200, 7, None), (6, 404, None, None), (8, 200, None, 1.5)]
 
 
 def test_update_rank_and_gauge_asof(spark):
     f = load_feed(spark, SF001)
-    r = history.update_rank(f, ranges=50)
+    r = history.update_rank(f, range_rows=50)
     assert r.groupBy("type", "id").agg(F.max("rank").alias("m"), F.count("*").alias("n")).where("m != n").count() == 0
-    g = history.running_gauge(f, ranges=50)
+    g = history.running_gauge(f, range_rows=50)
     assert g.where("value IS NOT NULL AND value_asof != value").count() == 0
 
 
 def test_assign_batches_size_and_ticks(spark):
     f = load_feed(spark, SF01)
-    b = batching.assign_batches(f, 100, "1 day", ranges=300)
+    b = batching.assign_batches(f, 100, "1 day", range_rows=300)
     sizes = b.groupBy("win_start", "batch_no").count()
     assert sizes.where("count > 100").count() == 0
     assert b.count() == f.count()

@@ -1,7 +1,8 @@
 """Physical-plan properties of the registered queries."""
 
 import pytest
-from conftest import SF001
+from conftest import SF01, SF001, rows
+from pyspark.sql import functions as F
 
 from tallyfold.plans.catalog import QUERIES
 
@@ -42,29 +43,67 @@ def test_lookup_cutoff_pushed(plans):
     assert "LessThan(ts,2024-01-16" in plans["lookup"]
 
 
-def test_two_level_running_exchanges(spark):
+@pytest.fixture()
+def sort_merge(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_raw_rows_of_a_large_key_are_shuffled_once(spark, sort_merge):
     from tallyfold.operators import history
     from tallyfold.sources.feed import load_feed
 
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    p = plan(history.running_counter(load_feed(spark, SF001, hot=True), range_rows=100))
+    # Raw rows by (key, range) once, for the join and the window; the values before each range, read
+    # from a table, per key and back to (key, range).
+    assert p.count("Exchange hashpartitioning") == 3 and p.count("Exchange") == 3 + p.count("BroadcastExchange")
+    assert "SortMergeJoin" in p and "hashpartitioning(_k0" in p or "hashpartitioning(__k0" in p
+
+
+def test_small_keys_need_no_ranges(spark):
+    from tallyfold.operators import history
+    from tallyfold.sources.feed import load_feed
+
+    p = plan(history.running_counter(load_feed(spark, SF001)))
+    assert p.count("Exchange") == 1 and "Join" not in p
+
+
+@pytest.mark.parametrize("size", [20, 137, 5000])
+def test_no_task_sorts_more_than_a_set_number_of_rows(spark, size):
+    """On the hot feed, at any bound: the window's groups, and those of the levels above."""
+    from tallyfold.operators import history
+    from tallyfold.schema import KEY
+    from tallyfold.sources.feed import load_feed
+
+    feed = load_feed(spark, SF01, hot=True, types=("counter", "gauge")).select("seq", "type", "id", "delta")
+    seen, one_level = [], history._one_level
+
+    def watch(df, keys, order, specs):
+        seen.append(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return one_level(df, keys, order, specs)
+
+    history._one_level = watch
     try:
-        p = plan(history.running_counter(load_feed(spark, SF001), ranges=16))
+        out = history.running(feed, KEY, "seq", {"n": ("count", None), "s": ("sum", "delta")}, range_rows=size)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # raw rows by (key, range) once; summaries: partial->final, per key, back to (key, range)
-    assert p.count("Exchange hashpartitioning") == 4
-    assert "SortMergeJoin" in p and p.count("FileScan parquet") == 2
+        history._one_level = one_level
+    hot = feed.groupBy(*KEY).count().agg(F.max("count")).first()[0]
+    assert hot > 1000 and max(seen) <= max(size, history.LEAST_SUMMARIES)
+    assert len(seen) == {20: 4, 137: 2}.get(size, 1)  # levels of summaries
+    whole = one_level(feed, KEY, "seq", {"n": ("count", None), "s": ("sum", "delta")})
+    assert rows(out, "seq", "n", "s") == rows(whole, "seq", "n", "s")
 
 
-def test_range_summaries_are_few(spark):
+def test_many_cuts_are_joined_with_salted_keys(spark, monkeypatch):
     from tallyfold.operators import history
     from tallyfold.sources.feed import load_feed
 
-    feed = load_feed(spark, SF001, hot=True)
-    cuts = history.quantiles(feed, "seq", 16)
-    sizes = feed.groupBy(history._range_of("seq", cuts).alias("r")).count().collect()
-    assert len(sizes) <= 16 and max(r["count"] for r in sizes) < 3 * feed.count() / 16
+    feed = load_feed(spark, SF001, hot=True).select("seq", "id")
+    monkeypatch.setattr(history, "BROADCAST_VALUES", 1)
+    out = history.running(feed, ["id"], "seq", {"n": ("count", None)}, range_rows=200)
+    assert rows(out, "seq", "n") == rows(history._one_level(feed, ["id"], "seq", {"n": ("count", None)}), "seq", "n")
 
 
 def test_report_fill_is_one_aggregation(plans):

@@ -61,8 +61,8 @@ def test_two_level_running_matches_one_level(spark, feed, bucket):
     df = _df(spark, feed)
     specs = {"s": ("sum", "delta"), "n": ("count", None), "l": ("last", "value"), "p": ("prev", "delta"),
              "t": ("total", "delta")}
-    one = history.running(df, ["type", "id"], "seq", specs, ranges=None)
-    two = history.running(df, ["type", "id"], "seq", specs, ranges=bucket)
+    one = history.running(df, ["type", "id"], "seq", specs, range_rows=None)
+    two = history.running(df, ["type", "id"], "seq", specs, range_rows=bucket)
     assert rows(two) == rows(one)
 
 
