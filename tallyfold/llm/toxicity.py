@@ -50,13 +50,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MOST_TERMS, SAMPLE = 8192, 200_000
 #: Candidate words whose surroundings are counted, per term that may be kept.
 CANDIDATES = 2
 #: Distinct surroundings that a term needs in toxic texts.
 LEAST = 3
 #: How many times a term's rate in toxic texts must be that in clean ones; lesser words only tell topics and languages.
-RATIO = 5.0
+RATIO, CANDIDATE_RATIO = 5.0, 1.5
 THRESHOLD = 0.7
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
@@ -65,10 +67,15 @@ GREEK = dict(zip("αβεικνορτυχη", "abeikvoptuxn", strict=True))
 LATIN = {"ı": "i", "ł": "l", "ø": "o", "đ": "d", "ɡ": "g", "ɑ": "a"}
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
 
-LOOKALIKES = str.maketrans(CYRILLIC | GREEK | LATIN)
+SIMILAR = CYRILLIC | GREEK | LATIN
+LOOKALIKES, ANY_SIMILAR = str.maketrans(SIMILAR), re.compile("[" + "".join(SIMILAR) + "]")
 SUBSTITUTES = str.maketrans(SIGNS)
-#: A word: letters and digits, and signs that a letter or digit follows.
+#: A word: letters and digits, and signs that a letter or digit follows (the plain form is for texts without such a sign).
 TOKEN = re.compile(r"(?:[^\W_]|[@$!](?=[@$!]*[^\W_]))+")
+PLAIN, SIGNED, DIGIT = re.compile(r"[^\W_]+"), re.compile(r"[@$!][^\W_]"), re.compile(r"\d")
+LETTER, FOREIGN_SIGN = re.compile(r"[^\W\d_]"), re.compile(r"[^\w\x00-\x7f]")
+#: ASCII bytes that are no letter or digit become blanks.
+BLANKS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 # Ranges of code points that are not seen.
 HIDDEN = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x180E, 0x180E), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x2064),
           (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF)]
@@ -83,19 +90,21 @@ def fold(text: str | None) -> list[str]:
         text = text.lower()
     else:
         text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text)).casefold()
-        if not text.isascii():
+        if ANY_SIMILAR.search(text):
             text = text.translate(LOOKALIKES)
-    words = []
-    for word in TOKEN.findall(text):
-        if not word.isalpha():
-            if not any(c.isalpha() for c in word):
-                continue
-            word = word.translate(SUBSTITUTES)
-        words.append(word)
+    signed = SIGNED.search(text)
+    if signed:
+        words = TOKEN.findall(text)
+    elif FOREIGN_SIGN.search(text):
+        words = PLAIN.findall(text)
+    else:  # the same words, faster
+        words = text.encode().translate(BLANKS).decode().split()
+    if signed or DIGIT.search(text):
+        words = [w if w.isalpha() else w.translate(SUBSTITUTES) for w in words if LETTER.search(w)]
     return words
 
 
-def features(total: float, n_words: int) -> tuple[float, float, float]:
+def features(total: float, n_words: float) -> tuple[float, float, float]:
     """Constant, the matches' weight per word and the weight itself, both damped."""
     return 1.0, math.log1p(100.0 * total / (n_words + 30)), math.log1p(total)
 
@@ -161,6 +170,19 @@ class Lexicon:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(
             run, "doc_id long, n_words long, weight double, score double")
 
+    def figures(self, lines: DataFrame) -> DataFrame:
+        """``y``, ``n_words`` and ``weight`` of folded lines."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = self.automaton()
+            for b in batches:
+                lines = [line.as_py().split(" ") if line.as_py() else [] for line in b.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([len(w) for w in lines], pa.int64()),
+                     pa.array([self.weight(automaton, w) for w in lines], pa.float64())], ["y", "n_words", "weight"])
+
+        return lines.select("y", "line").mapInArrow(run, "y int, n_words long, weight double")
+
 
 def held_out(doc_id: Column) -> Column:
     """Rows that teach nothing: crc32 of the id's text modulo 3 is 1 (null: empty text)."""
@@ -176,37 +198,48 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return rows.join(F.broadcast(few), F.col("doc_id") == F.col("its")).drop("its")  # at most `sample` rows of 12 bytes
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
+def folded_lines(rows: DataFrame) -> DataFrame:
+    """``y`` and the folded words, with one space between, of every training row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([" ".join(fold(t.as_py())) for t in b.column(1)], pa.string())], ["y", "line"])
+
+    return rows.select("y", "text").mapInArrow(run, "y int, line string")
+
+
+def word_counts(lines: DataFrame) -> DataFrame:
     """How often each folded word occurs in clean and in toxic texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen = (Counter(), Counter())
-            for text, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                seen[y].update(fold(text.as_py()))
+            for y, line in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                seen[y].update(line.as_py().split())
             words = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array([seen[0][w] for w in words], pa.int64()),
                  pa.array([seen[1][w] for w in words], pa.int64())], ["word", "clean", "toxic"])
 
-    found = rows.select("text", "y").mapInArrow(run, "word string, clean long, toxic long")
+    found = lines.select("y", "line").mapInArrow(run, "word string, clean long, toxic long")
     return found.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def surroundings(rows: DataFrame, words: set[str]) -> DataFrame:
+def surroundings(lines: DataFrame, words: set[str]) -> DataFrame:
     """The distinct (word before, word, word after) of ``words`` in clean and in toxic texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen = set()
-            for text, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                line = ["", *fold(text.as_py()), ""]
+            for y, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                line = ["", *text.as_py().split(), ""]
                 seen.update((line[i - 1], w, line[i + 1], y) for i, w in enumerate(line) if w in words)
             cols = list(zip(*seen, strict=True)) if seen else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in cols[:3]], pa.array(cols[3], pa.int32())],
                                              ["before", "word", "after", "y"])
 
-    return rows.select("text", "y").mapInArrow(run, "before string, word string, after string, y int").distinct()
+    return lines.select("y", "line").mapInArrow(run, "before string, word string, after string, y int").distinct()
 
 
 def surprise(toxic: Column, clean: Column, share: Column) -> Column:
@@ -251,14 +284,17 @@ def learn(docs: DataFrame, labels: DataFrame, terms: dict[str, float] | None = N
         base = (size["t"] + 0.5) / (size["n"] + 1.0)
         return Lexicon(given, spared, base=None if given else base)
 
-    counts = word_counts(rows)
+    lines = materialize(folded_lines(rows), "toxicity-lines")
+    counts = materialize(word_counts(lines), "toxicity-words")
     all_words = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     rate = F.lit((all_words["t"] or 0) / max(1, (all_words["t"] or 0) + (all_words["c"] or 0)))
+    # Words of nearly the same rate in both (common words, those of a language) are no candidates.
+    enough = F.col("toxic") * float((all_words["c"] or 0) + 1) >= CANDIDATE_RATIO * F.col("clean") * float((all_words["t"] or 0) + 1)
     odd = surprise(F.col("toxic"), F.col("clean"), rate)
-    likely = counts.where(F.col("toxic") >= LEAST).withColumn("odd", odd).where("odd > 0")
+    likely = counts.where((F.col("toxic") >= LEAST) & enough).withColumn("odd", odd).where("odd > 0")
     words = {r["word"] for r in likely.orderBy(F.desc("odd"), "word").limit(CANDIDATES * most).select("word").collect()}
 
-    around = surroundings(rows, words)
+    around = materialize(surroundings(lines, words), "toxicity-surroundings")
     sides = F.array(F.when(F.col("before") != "", F.concat_ws(" ", "before", "word")),
                     F.when(F.col("after") != "", F.concat_ws(" ", "word", "after")))
     vocabulary = math.log(max(2, all_words["v"] or 2))
@@ -287,11 +323,12 @@ def learn(docs: DataFrame, labels: DataFrame, terms: dict[str, float] | None = N
     weights = {w: math.log((t + 0.5) / n_toxic) - math.log((c + 0.5) / n_clean) for w, (t, c) in found.items()}
     lexicon = Lexicon({w: v for w, v in weights.items() if v >= math.log(RATIO)} | given, sorted(mild))
 
-    # Figures of the training rows, rounded and counted: a bounded table.
-    scored = lexicon.score(rows.select("doc_id", "text")).join(
-        rows.select(F.col("doc_id").alias("its"), "y").distinct(), F.col("doc_id") == F.col("its"))
-    grid = scored.groupBy(F.round("weight", 1).alias("w"), F.when(F.col("n_words") < 50, F.col("n_words")).otherwise(
-        F.round(F.exp(F.round(F.ln(F.col("n_words").cast("double")), 1)))).alias("n"), "y").agg(F.count(F.lit(1)).alias("k"))
-    points = [(features(r["w"], r["n"]), r["y"], r["k"]) for r in grid.collect()]
+    # Figures of the training rows in steps of a twentieth of their logarithm: a small table at any size.
+    def step(x):
+        return F.expm1(F.round(F.log1p(x) * 20) / 20)
+
+    grid = lexicon.figures(lines).groupBy(step(F.col("weight")).alias("w"), step(F.col("n_words").cast("double")).alias("n"),
+                                          "y").agg(F.count(F.lit(1)).alias("k")).collect()
+    points = [(features(r["w"], r["n"]), r["y"], r["k"]) for r in grid]
     lexicon.slope = fit(points)
     return lexicon
