@@ -124,13 +124,17 @@ def q_replay_reads(spark, sf):
     return history.replay_reads(load_feed(spark, sf, types=METRIC_TYPES))
 
 
+# Rows of one key that a task may sort in the queries on hot keys: few enough that the given tables are cut too.
+HOT_RANGE_ROWS = 1000
+
+
 def q_running_counter_hot(spark, sf):
     # Five keys share the whole feed: no task sorts more than one range of a key.
-    return history.running_counter(load_feed(spark, sf, hot=True, types=(COUNTER,)))
+    return history.running_counter(load_feed(spark, sf, hot=True, types=(COUNTER,)), HOT_RANGE_ROWS)
 
 
 def q_replay_reads_hot(spark, sf):
-    return history.replay_reads(load_feed(spark, sf, hot=True, types=METRIC_TYPES))
+    return history.replay_reads(load_feed(spark, sf, hot=True, types=METRIC_TYPES), HOT_RANGE_ROWS)
 
 
 def q_fold_hot(spark, sf):
@@ -503,6 +507,18 @@ def q_stream_report(spark, sf):
     return stream.run_stream_report(spark, sf, "1 day", "1 hour")
 
 
+def q_stream_report_filled(spark, sf):
+    from tallyfold.streaming import stream
+
+    return stream.run_stream_filled_report(spark, sf, "1 day")
+
+
+def q_stream_state_cut(spark, sf):
+    from tallyfold.streaming import stream
+
+    return stream.run_state_cut(spark, sf)
+
+
 def q_feed_roundtrip(spark, sf):
     # The feed written as gzip JSON lines and read back with the feed reader
     # (corrupt-record column, gzip by suffix), then folded.
@@ -584,6 +600,8 @@ QUERIES: dict[str, Query] = {
     "stream_batches": q_stream_batches,
     "stream_live_fold": q_stream_live_fold,
     "stream_report": q_stream_report,
+    "stream_report_filled": q_stream_report_filled,
+    "stream_state_cut": q_stream_state_cut,
     "feed_roundtrip": q_feed_roundtrip,
     "state_table": q_state_table,
 }

@@ -298,6 +298,8 @@ ORACLES["stream_report"] = with_feed(
     "arg_max(value, seq) AS value FROM valid GROUP BY 1, 2, 3"
 )
 ORACLES["stream_live_fold"] = FOLD
+ORACLES["stream_state_cut"] = FOLD
+ORACLES["stream_report_filled"] = ORACLES["report_filled"]
 ORACLES["stream_merge_reversed"] = FOLD
 ORACLES["state_ddl"] = FOLD
 ORACLES["read_batches"] = FOLD_NO_SEQ

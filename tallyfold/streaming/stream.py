@@ -13,8 +13,10 @@
   its work follows the changes, not the state size.
 * :func:`stream_report` - tumbling interval report with a watermark;
   :func:`start_report` writes it as change versions, open intervals included.
-* :func:`start_batching` - size-or-interval payloads; an unfilled batch is
-  carried to the next micro-batch.
+* :mod:`tallyfold.streaming.timers` - reports that re-send every metric and
+  size-or-interval payloads, with timers.
+* :func:`read_state_store` - the fold read from the state store itself, all keys
+  as of one micro-batch.
 
 Order inside the stream is the ``seq`` column (source offset or event id),
 never processing time.
@@ -25,14 +27,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.timeutil import utc_instant, utc_wall, with_interval
-from tallyfold.operators import batching, fold
-from tallyfold.operators.history import quantiles, running
+from tallyfold.functions.timeutil import utc_instant, utc_wall
+from tallyfold.operators import fold
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
-from tallyfold.session import materialize, scratch_path
+from tallyfold.session import scratch_path
 from tallyfold.sources.feed import feed_from_events
 from tallyfold.sources.store import (  # noqa: F401  (version helpers are part of this module's API)
     VERSION_PREFIX,
+    _fs,
     committed_versions,
     latest_version,
     prune_versions,
@@ -73,6 +75,7 @@ def start_snapshots(src: DataFrame, path: str, checkpoint: str, interval: str |
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(path, batch_id))
+        prune_versions(batch.sparkSession, path)
 
     w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -145,80 +148,21 @@ def stream_report(src: DataFrame, every: str, delay: str, ts: str = "ts", seq: s
     ).select((utc_wall(F.col("win.start")) if ntz else F.col("win.start")).alias("win_start"), *KEY, "delta", "value")
 
 
-PAYLOADS = ("win_start timestamp_ntz, batch_no bigint, n_rows bigint, first_seq bigint, last_seq bigint, payload string")
-OPEN_ROWS = ("seq bigint, ts timestamp_ntz, id string, type string, delta bigint, value double, win_start timestamp_ntz, "
-             "_base bigint")
-
-
-def start_batching(src: DataFrame, path: str, checkpoint: str, max_size: int, every: str,
-                   available_now: bool = True, interval: str | None = None):
-    """Size-or-interval payloads, independent of where micro-batches end.
-
-    Full batches are written as payloads (``out/v=<batch_id>``).  The rows of
-    an interval's last batch that has fewer than ``max_size`` rows are carried
-    to the next micro-batch (``open/v=<batch_id>``, with the number of batches
-    the interval already has), so they are numbered as if the feed had come at
-    once: fewer than ``max_size`` rows per open interval.  Rows must arrive in
-    ``seq`` order, as in a feed.  :func:`read_batches` adds the open rest."""
-    batching.require_bounded(max_size)
-    spark, root = src.sparkSession, path.rstrip("/")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        last = latest_version(spark, f"{root}/open", below=batch_id)
-        rows = with_interval(batch.select("seq", "ts", "id", "type", "delta", "value"), "ts", every)
-        if last is None:
-            carried = spark.createDataFrame([], OPEN_ROWS)
-        else:
-            carried = spark.read.schema(OPEN_ROWS).parquet(version_path(f"{root}/open", last))
-        base = carried.groupBy("win_start").agg(F.max("_base").alias("_b"))
-        kept = carried.where("seq is not null").drop("_base").unionByName(rows)
-        numbered = running(kept.withColumn("_one", F.lit(1)), ["win_start"], "seq",
-                           {"_rn": ("count", None), "_all": ("total", "_one")})
-        joined = numbered.join(base.withColumnRenamed("win_start", "_w"), F.col("win_start").eqNullSafe(F.col("_w")), "left")
-        made = joined.withColumn("_base", F.coalesce("_b", F.lit(0))).withColumn(
-            "batch_no", F.col("_base") + F.floor((F.col("_rn") - 1) / F.lit(max_size)))
-        full = F.floor(F.col("_all") / F.lit(max_size)) * max_size
-        made = materialize(made.withColumn("_full", F.col("_rn") <= full), "open-batches")
-        batching.encode_batches(made.where("_full")).write.mode("overwrite").json(version_path(f"{root}/out", batch_id))
-        rest = made.where("not _full").select("seq", "ts", "id", "type", "delta", "value", "win_start",
-                                              F.col("batch_no").alias("_base"))
-        # One marker row (no seq) per interval keeps its number of batches when nothing is left open.
-        marks = made.groupBy("win_start").agg(F.max(F.when(F.col("_full"), F.col("batch_no") + 1).otherwise(F.col("batch_no")))
-                                              .alias("_base"))
-        seen = marks.unionByName(base.withColumnRenamed("_b", "_base")).groupBy("win_start").agg(F.max("_base").alias("_base"))
-        empty = [F.lit(None).cast(k).alias(c) for c, k in rest.dtypes if c not in ("win_start", "_base")]
-        out = rest.unionByName(seen.select("win_start", "_base", *empty))
-        out.write.mode("overwrite").parquet(version_path(f"{root}/open", batch_id))
-        prune_versions(spark, f"{root}/open")
-
-    w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
-    return w.start()
-
-
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All payloads so far, the open rest of each interval as its last one."""
-    root = path.rstrip("/")
-    done = [version_path(f"{root}/out", v) for v in committed_versions(spark, f"{root}/out")]
-    if not done:
-        return spark.createDataFrame([], PAYLOADS)
-    last = latest_version(spark, f"{root}/open")
-    rest = spark.read.schema(OPEN_ROWS).parquet(version_path(f"{root}/open", last)).where("seq is not null")
-    payloads = spark.read.schema(PAYLOADS).json(done)
-    return payloads.unionByName(batching.encode_batches(rest.withColumnRenamed("_base", "batch_no")))
-
-
 REPORT = "win_start timestamp_ntz, type string, id string, delta bigint, value double"
 
 
 def start_report(src: DataFrame, root: str, checkpoint: str, every: str, delay: str, available_now: bool = True,
-                 interval: str | None = None):
+                 interval: str | None = None, compact_every: int | None = 4):
     """The interval report as change versions: each micro-batch writes the
     intervals it touched, closed or still open, so none is missing when the
-    input ends.  Rows later than the watermark are dropped by rule."""
+    input ends.  Every ``compact_every`` micro-batches the changes are folded
+    into a base and removed.  Rows later than the watermark are dropped by rule."""
+    spark, changes = src.sparkSession, f"{root.rstrip('/')}/changes"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(version_path(root, batch_id))
+        batch.write.mode("overwrite").parquet(version_path(changes, batch_id))
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            _compact(spark, root, REPORT, _newest_report)
 
     w = stream_report(src, every, delay).writeStream.outputMode("update").foreachBatch(write).option(
         "checkpointLocation", checkpoint)
@@ -226,14 +170,14 @@ def start_report(src: DataFrame, root: str, checkpoint: str, every: str, delay:
     return w.start()
 
 
+def _newest_report(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("win_start", *KEY).agg(*[F.max_by(c, "_version").alias(c) for c in ("delta", "value")])
+
+
 def read_report(spark: SparkSession, root: str) -> DataFrame:
     """The newest row of every interval and metric."""
-    parts = [version_path(root, v) for v in committed_versions(spark, root)]
-    if not parts:
-        return spark.createDataFrame([], REPORT)
-    version = F.regexp_extract(F.input_file_name(), rf"/{VERSION_PREFIX}(\d+)/[^/]*$", 1).cast("bigint")
-    rows = spark.read.schema(REPORT).parquet(*parts).withColumn("_version", version)
-    return rows.groupBy("win_start", *KEY).agg(*[F.max_by(c, "_version").alias(c) for c in ("delta", "value")])
+    rows = _live_rows(spark, root, schema=REPORT)
+    return spark.createDataFrame([], REPORT) if rows is None else _newest_report(rows)
 
 
 # ---------------------------------------------------------------- registered runs
@@ -242,27 +186,37 @@ def read_report(spark: SparkSession, root: str) -> DataFrame:
 FEED_FILES = 8
 
 
-def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = FEED_FILES, reverse: bool = False) -> None:
-    """The events as ``files`` Parquet files of consecutive ids.  File times
-    give the order in which a stream takes them: ascending ids, or descending."""
+def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = FEED_FILES, reverse: bool = False,
+                     clock: str | None = None) -> None:
+    """The events as ``files`` Parquet files of consecutive ids, written in one
+    pass by as many tasks (rows without an id come first).  File times are then
+    set so that a stream takes the files by ascending ids, or descending.
+
+    ``clock`` adds a last file with one event of no known type at that time: no
+    metric takes it, but it moves a stream's event-time clock, as a tick does."""
     from tallyfold.sources.tables import load_table
 
     events = load_table(spark, sf_dir, "events")
-    cuts = quantiles(events, "event_id", files)
-    edges = [None, *cuts, None]
-    parts = list(zip(edges[:-1], edges[1:], strict=True))
-    for lo, hi in reversed(parts) if reverse else parts:
-        part = events
-        if lo is not None:
-            part = part.where(F.col("event_id") >= lo)
-        if hi is not None:
-            part = part.where(F.col("event_id") < hi)
-        part.coalesce(1).write.mode("append").parquet(path)
-
-
-def feed_files_stream(spark: SparkSession, sf_dir: str, root: str, reverse: bool = False) -> DataFrame:
+    events.repartitionByRange(files, F.col("event_id").asc_nulls_first()).write.parquet(path)
+    fs, _ = _fs(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    names = sorted(s.getPath().toString() for s in fs.listStatus(hadoop.Path(path)) if s.getPath().getName().endswith(".parquet"))
+    if clock is not None:
+        tick = spark.range(1).select(*[
+            F.lit(clock).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit("tick").alias(c) if c == "event_type"
+            else F.lit(None).cast(kind).alias(c) for c, kind in events.dtypes])
+        tick.write.mode("append").parquet(path)
+        names += [s.getPath().toString() for s in fs.listStatus(hadoop.Path(path))
+                  if s.getPath().getName().endswith(".parquet") and s.getPath().toString() not in names]
+    now = fs.getFileStatus(hadoop.Path(names[0])).getModificationTime() if names else 0
+    for i, name in enumerate(reversed(names) if reverse else names):
+        fs.setTimes(hadoop.Path(name), now + 1000 * i - 1000 * len(names), -1)
+
+
+def feed_files_stream(spark: SparkSession, sf_dir: str, root: str, reverse: bool = False,
+                      clock: str | None = None) -> DataFrame:
     """The feed as a stream of several files, one per micro-batch."""
-    write_feed_files(spark, sf_dir, f"{root}/events", reverse=reverse)
+    write_feed_files(spark, sf_dir, f"{root}/events", reverse=reverse, clock=clock)
     return feed_stream(spark, f"{root}/events", max_files=1, glob="*.parquet")
 
 
@@ -284,13 +238,56 @@ def run_stream_merge(spark: SparkSession, sf_dir: str, reverse: bool = False) ->
     return read_version(spark, f"{root}/state")
 
 
+def closing_tick(spark: SparkSession, sf_dir: str, every: str) -> str | None:
+    """The end of the feed's last interval (None for an empty feed)."""
+    from tallyfold.sources.tables import load_table
+
+    last = load_table(spark, sf_dir, "events").agg(F.max("ts").alias("ts"))
+    row = last.select((F.window("ts", every).end).cast("string")).first() if last.first()[0] is not None else None
+    return row[0] if row else None
+
+
 def run_stream_batches(spark: SparkSession, sf_dir: str, max_size: int, every: str) -> DataFrame:
-    """Run size-or-interval batching over the feed stream; return the payloads."""
+    """Run size-or-interval batching over the feed stream; return the payloads.
+    A tick at the end of the last interval flushes its rest."""
+    from tallyfold.streaming import timers
+
     root = scratch_path(spark, "stream-batches")
+    src = feed_files_stream(spark, sf_dir, root, clock=closing_tick(spark, sf_dir, every))
+    timers.start_batching(src, f"{root}/out", f"{root}/_checkpoint", max_size, every).awaitTermination()
+    return timers.read_batches(spark, f"{root}/out")
+
+
+def run_stream_filled_report(spark: SparkSession, sf_dir: str, every: str) -> DataFrame:
+    """Run the report that re-sends every metric over the feed stream; a tick at
+    the end of the last interval closes it.  Return all reports."""
+    from tallyfold.streaming import timers
+
+    root = scratch_path(spark, "stream-filled")
+    src = feed_files_stream(spark, sf_dir, root, clock=closing_tick(spark, sf_dir, every))
+    timers.start_filled_report(src, f"{root}/out", f"{root}/_checkpoint", every, "0 seconds").awaitTermination()
+    return spark.read.schema(REPORT).parquet(f"{root}/out")
+
+
+def read_state_store(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The live fold's state as the state store holds it: every key as of one
+    micro-batch (the last one, or ``batch_id``), a consistent cut that no version
+    on disk has to be written for."""
+    r = spark.read.format("statestore")
+    held = (r if batch_id is None else r.option("batchId", batch_id)).load(checkpoint)
+    # The aggregate's buffers, in the order of the fold's columns: sum, (value, its order), max.
+    total, value, _, last = held.schema["value"].dataType.names
+    return held.select("key.type", "key.id", F.col("value")[total].alias("delta"), F.col("value")[value].alias("value"),
+                       F.col("value")[last].alias("last_seq"))
+
+
+def run_state_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the fold over the feed stream without any output; read the state store."""
+    root = scratch_path(spark, "state-cut")
     src = feed_files_stream(spark, sf_dir, root)
-    q = start_batching(src, f"{root}/out", f"{root}/_checkpoint", max_size, every)
-    q.awaitTermination()
-    return read_batches(spark, f"{root}/out")
+    stream_fold(src).writeStream.outputMode("update").format("noop").option(
+        "checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return read_state_store(spark, f"{root}/_checkpoint")
 
 
 def run_stream_report(spark: SparkSession, sf_dir: str, every: str, delay: str) -> DataFrame:
@@ -333,7 +330,7 @@ def start_live_fold(src: DataFrame, root: str, checkpoint: str, available_now: b
     return w.start()
 
 
-def _live_rows(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
+def _live_rows(spark: SparkSession, root: str, below: int | None = None, schema=STATE) -> DataFrame | None:
     """The latest base (below ``below``) and the changes after it, each row with its ``_version``."""
     root = root.rstrip("/")
     base_v = latest_version(spark, f"{root}/base", below=below)
@@ -342,7 +339,7 @@ def _live_rows(spark: SparkSession, root: str, below: int | None = None) -> Data
     if not parts:
         return None
     version = F.regexp_extract(F.input_file_name(), rf"/{VERSION_PREFIX}(\d+)/[^/]*$", 1).cast("bigint")
-    return spark.read.schema(STATE).parquet(*parts).withColumn("_version", version)
+    return spark.read.schema(schema).parquet(*parts).withColumn("_version", version)
 
 
 def _newest(rows: DataFrame) -> DataFrame:
@@ -363,14 +360,17 @@ def compact_live_state(spark: SparkSession, root: str) -> int | None:
     """Fold the change log into a new base version named after the newest
     change it includes; later reads start from it.  Older bases (but for the
     one before) and the changes they include are removed.  Returns that version."""
+    return _compact(spark, root, STATE, lambda rows: _newest(rows).select(*STATE_COLS))
+
+
+def _compact(spark: SparkSession, root: str, schema, newest) -> int | None:
     root = root.rstrip("/")
     versions = committed_versions(spark, f"{root}/changes")
     if not versions:
         return None
     # A replayed compaction must not read the base that it overwrites.
     top, before = versions[-1], latest_version(spark, f"{root}/base", below=versions[-1])
-    state = _newest(_live_rows(spark, root, below=top)).select(*STATE_COLS)
-    state.write.mode("overwrite").parquet(version_path(f"{root}/base", top))
+    newest(_live_rows(spark, root, below=top, schema=schema)).write.mode("overwrite").parquet(version_path(f"{root}/base", top))
     if before is not None:
         prune_versions(spark, f"{root}/changes", below=before + 1)
         prune_versions(spark, f"{root}/base", below=before)
@@ -382,7 +382,7 @@ def with_initial_state(src: DataFrame, state: DataFrame, path: str) -> DataFrame
     under ``path`` and join the stream in its first micro-batch, so the keyed
     state starts from them and no other state machinery is needed."""
     seed = fold.state_as_updates(state).withColumn("ts", F.lit(None).cast(dict(src.dtypes)["ts"]))
-    seed.select(*src.columns).coalesce(1).write.mode("overwrite").parquet(path)
+    seed.select(*src.columns).write.mode("overwrite").parquet(path)
     return src.unionByName(src.sparkSession.readStream.schema(src.schema).parquet(path))
 
 

@@ -107,18 +107,6 @@ def test_stream_report_closed_windows(spark, tmp_dir):
     assert norm(got) == norm(closed)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 7])
-def test_stream_batching_does_not_depend_on_micro_batches(spark, tmp_dir, parts):
-    from tallyfold.operators import batching
-
-    split_events(SF01, f"{tmp_dir}/in", parts)
-    src = stream.feed_stream(spark, f"{tmp_dir}/in", max_files=1)
-    stream.start_batching(src, f"{tmp_dir}/out", f"{tmp_dir}/ck", 100, "1 day").awaitTermination()
-    cols = ("first_seq", "batch_no", "n_rows", "last_seq", "payload")
-    want = batching.encode_batches(batching.assign_batches(load_feed(spark, SF01), 100, "1 day"))
-    assert rows(stream.read_batches(spark, f"{tmp_dir}/out"), *cols) == rows(want, *cols)
-
-
 def test_initial_state_joins_the_stream(spark, tmp_dir, batch_state):
     feed = load_feed(spark, SF01)
     stream.write_feed_files(spark, SF01, f"{tmp_dir}/in", files=3)
