@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -182,8 +183,6 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
                      pa.array(cols[3], pa.binary())], ["shard", "chunk", "kind", "blob"])
 
 
-#: Odd multipliers of the two word digests.
-DIGESTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes whose words are digested together.
 WORD_BUFFER = 1 << 20
 
@@ -213,32 +212,32 @@ def word_parts(texts: list[bytes]):
         yield held, index
 
 
+class WordDigests(dict):
+    """128-bit digests (BLAKE2b) of words, by their number in order of first sight."""
+
+    def __init__(self) -> None:
+        self.blobs: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.blobs)
+        self.blobs.append(blake2b(word, digest_size=16).digest())
+        return n
+
+
 def word_digests(texts: list[bytes], digests: int = 2) -> tuple[np.ndarray, ...]:
-    """Words (between ASCII white space) of each text, and 64-bit digests of all words in order.
+    """Words (between ASCII white space) of each text, and 64-bit digests of all words in order: the
+    halves of a cryptographic digest, so no two words can be made to agree in them.
 
-    A digest is a polynomial of the word's bytes modulo 2^64, taken from running
-    sums over a buffer, so no word is handled by itself.
-    """
+    Each word of a buffer is digested once, however often it stands there."""
     n_words = np.zeros(len(texts), np.int64)
     out: list[list[np.ndarray]] = [[] for _ in range(digests)]
-    tables: dict[int, np.ndarray] = {}
-
-    def powers(m: int, n: int) -> np.ndarray:
-        if m not in tables or len(tables[m]) < n:
-            base = np.full(max(n, WORD_BUFFER + 1), m, np.uint64)
-            base[0] = 1
-            tables[m] = np.cumprod(base)
-        return tables[m][:n]
-
     for held, index in word_parts(texts):
-        a = np.frombuffer(b" ".join(held), np.uint8)
-        space = (a == 32) | ((a - np.uint8(9)) < 5)
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
-        start, stop = edge[::2], edge[1::2]
-        begin = np.cumsum([0, *(len(p) + 1 for p in held)])
-        np.add.at(n_words, index, np.diff(np.searchsorted(start, begin)))
-        for found, m in zip(out, DIGESTS, strict=False):
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * powers(m, len(a)))))
-            h = (sums[stop] - sums[start]) * powers(pow(m, -1, 1 << 64), len(a))[start] if len(start) else np.zeros(0, np.uint64)
-            found.append(mix64(h ^ ((stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
+        table, numbers = WordDigests(), []
+        for part, i in zip(held, index, strict=True):
+            words = part.split()
+            n_words[i] += len(words)
+            numbers.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
+        halves = np.frombuffer(b"".join(table.blobs), "<u8").reshape(-1, 2)
+        for j, found in enumerate(out):
+            found.append(halves[np.concatenate(numbers), j])
     return n_words, *(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out)

@@ -68,31 +68,37 @@ WITH raw AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
          unnest(string_split(coalesce(text, ''), chr(10))) AS line
   FROM documents),
+plain AS (
+  SELECT doc_id, pos, [t FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS p FROM raw),
 lines AS (
-  SELECT doc_id, pos, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
-                       FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS w
-  FROM raw),
+  SELECT doc_id, pos, p, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN p] AS w
+  FROM plain WHERE len(p) > 0),
+keyed AS (
+  SELECT *, array_to_string(CASE WHEN len([t FOR t IN w IF t <> '<*>']) = 0 THEN p ELSE w END, ' ') AS key FROM lines),
+equals AS (SELECT key FROM keyed GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
 leaves AS (
   SELECT doc_id, pos, w, array_to_string(w, ' ') AS line, {'n': len(w), 'a': w[1], 'b': w[2], 'c': w[3]} AS leaf
-  FROM lines WHERE len(w) >= 3),
-shared AS (SELECT leaf FROM leaves GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
-counted AS (
-  SELECT leaf, line, any_value(w) AS w, count(DISTINCT doc_id) AS docs
-  FROM leaves WHERE leaf IN (SELECT leaf FROM shared) GROUP BY leaf, line),
+  FROM lines WHERE len(w) > 3),
+sizes AS (SELECT leaf, count(DISTINCT doc_id) AS size FROM leaves GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
 tokens AS (
-  SELECT leaf, line, docs, generate_subscripts(w, 1) AS spot, unnest(w) AS token FROM counted),
+  SELECT DISTINCT leaf, doc_id, line, generate_subscripts(w, 1) AS spot, unnest(w) AS token
+  FROM leaves WHERE leaf IN (SELECT leaf FROM sizes)),
 constant AS (
-  SELECT leaf, spot, token FROM tokens WHERE token <> '<*>' GROUP BY leaf, spot, token HAVING sum(docs) >= 5),
+  SELECT leaf, spot, token FROM tokens JOIN sizes USING (leaf) WHERE token <> '<*>' AND spot > 3
+  GROUP BY leaf, spot, token, size HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) >= 0.5 * size),
 general AS (
-  SELECT t.leaf, t.line, any_value(t.docs) AS docs, count(c.token) AS constants, count(*) AS n,
-         string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY t.spot) AS template
+  SELECT t.leaf, t.line, t.doc_id, count(c.token) AS constants, count(*) AS n,
+         string_agg(CASE WHEN t.spot <= 3 THEN t.token ELSE coalesce(c.token, '<*>') END, ' ' ORDER BY t.spot) AS template
   FROM tokens t LEFT JOIN constant c ON t.leaf = c.leaf AND t.spot = c.spot AND t.token = c.token
-  GROUP BY t.leaf, t.line),
+  GROUP BY t.leaf, t.line, t.doc_id),
 often AS (
-  SELECT leaf, template FROM general WHERE constants >= 0.5 * n GROUP BY leaf, template HAVING sum(docs) >= 5),
+  SELECT leaf, template FROM general WHERE constants >= 0.5 * (n - 3) GROUP BY leaf, template
+  HAVING count(DISTINCT doc_id) >= 5),
 gone AS (
-  SELECT l.doc_id, l.pos FROM leaves l JOIN general g ON l.leaf = g.leaf AND l.line = g.line
-  JOIN often o ON g.leaf = o.leaf AND g.template = o.template WHERE g.constants >= 0.5 * g.n)
+  SELECT doc_id, pos FROM keyed WHERE key IN (SELECT key FROM equals)
+  UNION
+  SELECT l.doc_id, l.pos FROM leaves l JOIN general g ON l.leaf = g.leaf AND l.line = g.line AND l.doc_id IS NOT DISTINCT FROM g.doc_id
+  JOIN often o ON g.leaf = o.leaf AND g.template = o.template WHERE g.constants >= 0.5 * (g.n - 3))
 SELECT r.doc_id, (CASE WHEN bool_and(r.line = '') AND count(*) = 1 THEN 0 ELSE count(*) END)::BIGINT AS n_lines,
        count(g.pos)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(r.line, chr(10) ORDER BY r.pos) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256

@@ -1,22 +1,29 @@
 """Line dedup by a log-template tree (native).
 
 Lines are tokenised at white space and tokens with a digit become the field
-``<*>``.  A tree of fixed depth sorts lines by token count and then by their
-first ``LEADING`` tokens.  In a leaf, a token is constant at its position if it
-stands there in at least ``MIN_DOCS`` documents; all else generalises to
-``<*>``.  What a line becomes is its template.  Templates of at least
-``MIN_TOKENS`` tokens, half of them constant, that occur in ``MIN_DOCS`` or more
-documents are recurring, and every line with such a template is dropped, in all
-documents.
-
-Leaves are counted on hashes first, so that only lines of leaves that enough
-documents share are looked at token by token; equal lines are counted together
-before that, so a line which a third of all documents carry is one row there.
+``<*>``.  A line that two documents or more have, equal after masking, recurs,
+whatever its length (a line of fields alone must be equal as it is).
+
+Lines that are not equal may still be of one template.  A tree of fixed depth
+sorts lines by token count and then by their first ``LEADING`` tokens.  In a
+leaf, a token is constant at a later position if it stands there in at least
+``MIN_DOCS`` documents and in half of the leaf's documents; all else
+generalises to ``<*>``.  The leading tokens, which all lines of the leaf share,
+tell nothing and do not count.  A template is recurring if half of its later
+tokens are constant and ``MIN_DOCS`` documents or more have a line of it.
+Recurring lines and all lines of recurring templates are dropped, in all documents.
+
+Lines are counted on digests first (128 bits for a line), so that only lines of
+leaves that enough documents share, with different lines in them, are looked at
+token by token; equal lines are counted together before that, so a line which a
+third of all documents carry is one row there.
 
 A document is told by its id and a digest of its text: repeated rows count as
 one document and get equal results.  Null and empty texts have no lines; lines
 without a token are kept.  Null ids are ids like others.  An empty table gives
-no rows.
+no rows.  Lines and texts may be of any length.  Columns of ``docs`` pass
+through, but for ``n_lines``, ``n_dropped`` and ``kept_text``, which are
+replaced; no other name clashes with the operator's own.
 """
 
 from __future__ import annotations
@@ -28,8 +35,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-LEADING, MIN_TOKENS, MIN_DOCS = 3, 3, 5
-#: Share of constant tokens that a template needs.
+LEADING, MIN_DOCS, MIN_EQUAL = 3, 5, 2
+#: Share of constant tokens that a template needs behind the leading ones, and share of
+#: a leaf's documents in which a constant token stands.
 MIN_CONSTANT = 0.5
 FIELD = "<*>"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -62,6 +70,12 @@ def masked(line: Column) -> Column:
         F.array_join(F.transform(tokens_of(line), field), " "))
 
 
+def equal_key(line: Column) -> Column:
+    """What must be equal for a line to recur: the masked line, or the tokens themselves if all are fields."""
+    return F.when(is_plain(line) & ~line.rlike("[0-9]"), line).otherwise(bind(tokens_of(line), lambda w: F.when(
+        F.forall(w, lambda t: t.rlike("[0-9]")), F.array_join(w, " ")).otherwise(F.array_join(F.transform(w, field), " "))))
+
+
 def token_count(line: Column) -> Column:
     """Number of tokens; that of a plain line is told by its length without blanks."""
     plain = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
@@ -86,13 +100,30 @@ def split_lines(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(doc_key().alias("doc"), *more, F.posexplode(F.split(text, "\n", -1)).alias("pos", "raw"))
 
 
-def candidate_lines(docs: DataFrame) -> DataFrame:
-    """``doc``, ``pos``, ``leaf``, ``hash`` and masked ``line`` of the lines in leaves that enough documents share."""
-    raw = F.col("raw")
-    placed = materialize(split_lines(docs).where(token_count(raw) >= MIN_TOKENS).select("doc", "pos", leaf_of(raw).alias("leaf")),
-                         "leaves")
-    shared = placed.select("leaf", "doc").distinct().groupBy("leaf").count().where(F.col("count") >= MIN_DOCS)
-    wanted = (placed.join(shared, "leaf", "left_semi").groupBy("doc")
+def placed_lines(docs: DataFrame) -> DataFrame:
+    """``doc``, ``pos``, the digests ``h1`` and ``h2`` of the line, and its ``leaf`` (lines with later tokens)."""
+    raw, key = F.col("raw"), equal_key(F.col("raw"))
+    leaf = F.when(token_count(raw) > LEADING, leaf_of(raw))
+    hashed = bind(key, lambda k: F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit("line"), k).alias("h2")))
+    found = split_lines(docs).where(token_count(raw) > 0).select("doc", "pos", leaf.alias("leaf"), hashed.alias("h"))
+    return materialize(found.select("doc", "pos", "leaf", "h.h1", "h.h2"), "lines")
+
+
+def equal_lines(placed: DataFrame) -> DataFrame:
+    """``doc`` and ``pos`` of the lines that two documents or more have."""
+    often = (placed.select("h1", "h2", "doc").distinct().groupBy("h1", "h2").count()
+             .where(F.col("count") >= MIN_EQUAL))
+    return placed.join(often, ["h1", "h2"], "left_semi").select("doc", "pos")
+
+
+def candidate_lines(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """``doc``, ``pos``, ``leaf``, ``hash`` and masked ``line`` of the lines in leaves that enough documents share
+    and that hold more than one line."""
+    within = placed.where("leaf is not null")
+    shared = (within.select("leaf", "doc", "h1").distinct().groupBy("leaf", "doc").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+              .groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+              .where((F.col("n") >= MIN_DOCS) & (F.col("lo") < F.col("hi"))))
+    wanted = (within.join(shared, "leaf", "left_semi").groupBy("doc")
               .agg(F.collect_set(F.struct("pos", "leaf")).alias("at")).withColumnRenamed("doc", "key"))
     texts = docs.select("doc_id", "text").join(wanted, doc_key() == F.col("key"))
     every = split_lines(texts, F.map_from_entries("at").alias("leaves"))
@@ -104,33 +135,54 @@ def candidate_lines(docs: DataFrame) -> DataFrame:
 
 def recurring(found: DataFrame) -> DataFrame:
     """``leaf`` and ``hash`` of the masked lines that have a recurring template, and that ``template``."""
-    counted = found.select("leaf", "doc", "hash", "line").distinct().groupBy("leaf", "hash", "line").agg(
-        F.count(F.lit(1)).alias("docs"))
-    tokens = counted.select("leaf", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    constant = (tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n"))
-                .where((F.col("n") >= MIN_DOCS) & (F.col("token") != FIELD)).select("leaf", "at", "token", F.lit(1).alias("constant")))
-    general = tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "hash").agg(
-        F.first("docs").alias("docs"), F.sum("constant").alias("constants"), F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct("at", F.when(F.col("constant").isNull(), F.lit(FIELD)).otherwise(F.col("token"))
-                                             .alias("token")))).alias("parts"))
+    each = found.select("leaf", "doc", "hash", "line").distinct()
+    counted = each.groupBy("leaf", "hash", "line").agg(F.count(F.lit(1)).alias("docs"))
+    size = each.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("of"))
+    tokens = counted.select("leaf", "hash", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    later = tokens.where((F.col("at") >= LEADING) & (F.col("token") != FIELD))
+    # Lines of one document may share a token: only tokens that enough lines carry are counted by document.
+    likely = later.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("most"), F.count(F.lit(1)).alias("lines")).join(
+        size, "leaf").where((F.col("most") >= MIN_DOCS) & (F.col("most") >= MIN_CONSTANT * F.col("of")))
+    exact = (later.join(likely.where("lines > 1").select("leaf", "at", "token"), ["leaf", "at", "token"])
+             .select("leaf", "hash", "at", "token").join(each.select("leaf", "hash", "doc"), ["leaf", "hash"])
+             .select("leaf", "at", "token", "doc").distinct().groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n")))
+    by_doc = likely.join(exact, ["leaf", "at", "token"], "left").withColumn("n", F.coalesce("n", "most"))
+    constant = by_doc.where((F.col("n") >= MIN_DOCS) & (F.col("n") >= MIN_CONSTANT * F.col("of"))).select(
+        "leaf", "at", "token", F.lit(1).alias("constant"))
+    general = tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "hash", "line").agg(
+        F.sum("constant").alias("constants"), F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(F.struct("at", F.when(F.col("constant").isNull() & (F.col("at") >= LEADING), F.lit(FIELD))
+                                             .otherwise(F.col("token")).alias("token")))).alias("parts"))
     template = F.array_join(F.transform("parts", lambda p: p["token"]), " ")
-    kept = general.where(F.col("constants") >= MIN_CONSTANT * F.col("n")).select("leaf", "hash", "docs", template.alias("template"))
-    often = kept.groupBy("leaf", "template").agg(F.sum("docs").alias("n")).where(F.col("n") >= MIN_DOCS).drop("n")
+    kept = general.where(F.col("constants") >= MIN_CONSTANT * (F.col("n") - LEADING)).select("leaf", "hash", template.alias("template"))
+    often = (kept.join(each.select("leaf", "hash", "doc"), ["leaf", "hash"]).select("leaf", "template", "doc").distinct()
+             .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_DOCS).drop("n"))
     return kept.join(often, ["leaf", "template"]).select("leaf", "hash", "template")
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, longer by underscores until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (null texts as empty)."""
     given = docs.drop("n_lines", "n_dropped", "kept_text")
-    found = candidate_lines(given)
-    dropped = (found.join(recurring(found), ["leaf", "hash"], "left_semi")
-               .groupBy("doc").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("doc", "_key"))
+    lost, key = free_name("gone", given.columns), free_name("its_doc", given.columns)
+    placed = placed_lines(given)
+    found = candidate_lines(given, placed)
+    by_template = found.join(recurring(found), ["leaf", "hash"], "left_semi").select("doc", "pos")
+    dropped = (equal_lines(placed).unionByName(by_template)
+               .groupBy("doc").agg(F.collect_set("pos").alias(lost)).withColumnRenamed("doc", key))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    gone = F.coalesce("_gone", F.array().cast("array<int>"))
+    gone = F.coalesce(F.col(lost), F.array().cast("array<int>"))
     marks = F.map_from_entries(F.transform(gone, lambda p: F.struct(p, F.lit(True))))
     stay = bind(marks, lambda m: F.array_join(F.filter(
         F.split(text, "\n", -1), lambda line, i: F.try_element_at(m, i).isNull()), "\n"))
-    return (given.join(dropped, doc_key() == F.col("_key"), "left")
+    return (given.join(dropped, doc_key() == F.col(key), "left")
             .withColumn("n_lines", F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, "\n", -1))).cast("long"))
             .withColumn("n_dropped", F.size(gone).cast("long"))
-            .withColumn("kept_text", F.when(F.col("n_dropped") == 0, text).otherwise(stay)).drop("_gone", "_key"))
+            .withColumn("kept_text", F.when(F.col("n_dropped") == 0, text).otherwise(stay)).drop(lost, key))
