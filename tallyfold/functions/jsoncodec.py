@@ -23,16 +23,44 @@ FIELD_TYPES = {
 }
 
 
-def _field_ok(el: Column, name: str, allowed: tuple[str, ...]) -> Column:
-    f = F.try_variant_get(el, f"$.{name}", "variant")
-    kind = F.schema_of_variant(f)
-    ok = F.lit(False)
+# A JSON object as it was sent: every key in order, repeated ones too, with its value.
+ENTRIES = "map<string,variant>"
+
+
+def parse_object(text: Column) -> Column:
+    """The entries of a JSON object; NULL if the text does not begin with one.
+    Text after the object is ignored."""
+    return F.map_entries(F.from_json(text, ENTRIES, DECODE_OPTIONS))
+
+
+def parse_batch(text: Column) -> Column:
+    """The elements of a JSON array, each as its entries (NULL for a null element);
+    NULL if the text does not begin with an array of objects and nulls."""
+    objects = F.from_json(text, f"array<{ENTRIES}>", DECODE_OPTIONS)
+    # An element of another kind is as missing among the objects as a null is; its text tells.
+    texts = F.from_json(text, "array<string>", DECODE_OPTIONS)
+    whole = F.forall(F.arrays_zip(objects.alias("o"), texts.alias("t")), lambda e: e["o"].isNotNull() | e["t"].isNull())
+    return F.when(whole, F.transform(objects, F.map_entries))
+
+
+def occurrences(entries: Column, name: str) -> Column:
+    """The values under a key, in order; keys are the same in any case."""
+    return F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == name), lambda e: e["value"])
+
+
+def _kind_ok(value: Column, allowed: tuple[str, ...]) -> Column:
+    kind = F.schema_of_variant(value)
+    ok = value.isNull()
     for a in allowed:
         ok = ok | (kind.startswith(a) if a.endswith("(") else kind == a)
     if "DOUBLE" in allowed:  # a number too large for a double is refused, not infinite
-        size = F.abs(F.try_variant_get(f, "$", "double"))
+        size = F.abs(F.try_variant_get(value, "$", "double"))
         ok = ok & F.coalesce(size != F.lit(float("inf")), F.lit(True))
-    return f.isNull() | ok
+    return ok
+
+
+def _accepts(allowed: tuple[str, ...]):
+    return lambda value: _kind_ok(value, allowed)
 
 
 def empty_if_absent(name: str, value: Column) -> Column:
@@ -40,40 +68,42 @@ def empty_if_absent(name: str, value: Column) -> Column:
     return F.coalesce(value, F.lit("")) if name in ("id", "type") else value
 
 
-def record_types_ok(el: Column, fields=FIELD_TYPES) -> Column:
-    """A parsed JSON value (VARIANT) decodes into an update record: it is an
-    object (or null) and every known field has an accepted JSON type; unknown
-    fields are ignored.  A typed decoder would null a wrong field instead."""
-    kind = F.schema_of_variant(el)
-    ok = kind.startswith("OBJECT") | (kind == "VOID")
+def entries_ok(entries: Column, fields=FIELD_TYPES) -> Column:
+    """Every value of a known field, of repeated keys too, has an accepted JSON
+    type; other fields are ignored.  A typed decoder would null a wrong field instead."""
+    ok = F.lit(True)
     for name, allowed in fields.items():
-        ok = ok & _field_ok(el, name, allowed)
-    return ok
+        ok = ok & F.forall(occurrences(entries, name), _accepts(allowed))
+    return F.coalesce(ok, F.lit(True))
+
+
+def decoded_field(entries: Column, name: str) -> Column:
+    """A field of a record: the last value under its key.  A null leaves a text as
+    it was (an earlier one stays) and makes a number missing."""
+    values = occurrences(entries, name)
+    if name in ("delta", "value"):
+        return F.try_variant_get(F.try_element_at(values, F.lit(-1)), "$", "bigint" if name == "delta" else "double")
+    texts = F.filter(values, lambda v: v.isNotNull() & (F.schema_of_variant(v) != "VOID"))
+    return empty_if_absent(name, F.try_variant_get(F.try_element_at(texts, F.lit(-1)), "$", "string"))
 
 
 def decode_json(df: DataFrame, col: str = "body", schema=METRIC, keep: bool = True) -> DataFrame:
     """Decode a JSON text column into typed update columns.
 
     ``decoded`` is false, and the row answers 400 later, when the body is
-    not JSON, is not an object, or has a field of the wrong JSON type (a
-    float ``delta``, a string ``value``, a number beyond a double).  Text
-    after the first JSON value is ignored.  Of a repeated key the last value
-    counts; the strict parser refuses such a body, so the typed decoder's own
-    verdict stands in for it.  An absent ``id`` or ``type`` is empty."""
-    bad = "_corrupt"
-    marked = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    parsed = F.from_json(F.col(col), marked, DECODE_OPTIONS | {"columnNameOfCorruptRecord": bad})
-    v = F.try_parse_json(F.col(col))
+    not JSON, is neither an object nor null, or has a field of the wrong JSON type
+    (a float ``delta``, a string ``value``, a number beyond a double).  Text
+    after the first JSON value is ignored.  Keys count in any case; of a repeated
+    key the last value counts.  An absent ``id`` or ``type`` is empty.  The body is
+    parsed once."""
+    entries = F.col("_entries")
     fields = {n: t for n, t in FIELD_TYPES.items() if n in set(schema.fieldNames())}
-    m = F.col("_m")
-    typed = m.isNotNull() & m[bad].isNull() & F.col(col).rlike(r"^\s*\{")
-    if "value" in schema.fieldNames():
-        typed = typed & F.coalesce(F.abs(m["value"]) != F.lit(float("inf")), F.lit(True))
-    ok = F.when(v.isNotNull(), record_types_ok(v, fields)).otherwise(typed)
-    out = df.withColumn("_m", parsed).withColumn("decoded", F.coalesce(ok, F.lit(False)))
-    fields = [empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in schema.fields]
+    nothing = F.col(col).rlike(r"^\s*null\s*$")
+    ok = F.coalesce(nothing, F.lit(False)) | (entries.isNotNull() & entries_ok(entries, fields))
+    out = df.withColumn("_entries", parse_object(F.col(col))).withColumn("decoded", ok)
+    made = [decoded_field(entries, f.name).alias(f.name) for f in schema.fields]
     others = [c for c in df.columns if c not in {f.name for f in schema.fields}] if keep else []
-    return out.select(*others, *fields, "decoded")
+    return out.select(*others, *made, "decoded")
 
 
 def encode_json(cols=("id", "type", "delta", "value")) -> Column:

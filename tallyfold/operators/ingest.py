@@ -2,8 +2,7 @@
 
 signature check -> whole-batch check -> decode accepted batches -> order ->
 lenient fold merged into state.  Every step is a native expression or one
-aggregate; bodies are parsed once (VARIANT) for both the check and the
-decode.
+aggregate; bodies are parsed once for both the check and the decode.
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.signing import verify_signature
 from tallyfold.operators import fold
-from tallyfold.operators.validate import batch_body_status
+from tallyfold.functions.jsoncodec import parse_batch
+from tallyfold.operators.validate import batch_body_status, limited
 from tallyfold.sources.readers import decode_parsed_batches
 
 
@@ -24,10 +24,10 @@ def batch_statuses(
     signature: str | None = "signature",
     content_type: str | None = "content_type",
 ) -> DataFrame:
-    """Add ``parsed`` (the body as VARIANT) and ``status`` per batch: 400 for
+    """Add ``parsed`` (the body's elements) and ``status`` per batch: 400 for
     a signature that does not match (when a key is set and a signature sent),
     else the whole-batch check (415 / 400 / 200)."""
-    p = batches.withColumn("parsed", F.try_parse_json(F.col(body)))
+    p = batches.withColumn("parsed", parse_batch(limited(F.col(body))))
     ct = content_type if (content_type and content_type in batches.columns) else None
     checked = batch_body_status(body, ct, F.col("parsed"))
     if key and signature and signature in batches.columns:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.jsoncodec import record_types_ok
+from tallyfold.functions.jsoncodec import entries_ok, parse_batch
 from tallyfold.functions.numtext import parse_counter, parse_gauge
 from tallyfold.operators.fold import is_valid_update
 from tallyfold.schema import COUNTER, GAUGE
@@ -97,21 +97,24 @@ def batch_status(df: DataFrame, batch_col: str = "batch_id", seq: str = "seq") -
     ).withColumn("status", F.when(F.col("first_bad").isNull(), F.lit(200)).otherwise(F.lit(400)))
 
 
+def limited(body: Column) -> Column:
+    """What of a body is read: its first 10 MiB."""
+    return F.when(F.octet_length(body) <= MAX_BODY_BYTES, body).otherwise(
+        F.substring(body.cast("binary"), 1, MAX_BODY_BYTES).cast("string"))
+
+
 def batch_body_status(body: Column | str = "body", content_type: Column | str | None = "content_type",
                       parsed: Column | None = None) -> Column:
     """Status of a whole batch request body.
 
-    415 for a content type other than JSON; 400 for a body over 10 MiB, one
-    that is not a JSON array of update objects with fields of the right JSON
-    types, or an empty array; else 200.  Type checks use VARIANT, because a
-    typed decoder would null a bad field and keep the batch.  ``parsed`` is
-    the body already parsed with ``try_parse_json``, if the caller has it."""
+    415 for a content type other than JSON; 400 for one that does not begin with
+    a JSON array, complete within its first 10 MiB, of update objects with fields
+    of the right JSON types, or for an empty array; else 200.  ``parsed`` is
+    ``parse_batch(limited(body))``, if the caller has it."""
     b = F.col(body) if isinstance(body, str) else body
-    arr = F.try_variant_get(parsed if parsed is not None else F.try_parse_json(b), "$", "array<variant>")
-
-    chain = F.when(F.octet_length(F.rtrim(b)) > MAX_BODY_BYTES, F.lit(400)).when(
-        arr.isNull(), F.lit(400)
-    ).when(F.size(arr) == 0, F.lit(400)).when(~F.forall(arr, lambda el: record_types_ok(el)), F.lit(400)).otherwise(F.lit(200))
+    arr = parsed if parsed is not None else parse_batch(limited(b))
+    chain = F.when(arr.isNull(), F.lit(400)).when(F.size(arr) == 0, F.lit(400)).when(
+        ~F.forall(arr, lambda el: entries_ok(el)), F.lit(400)).otherwise(F.lit(200))
     if content_type is not None:
         ct = F.col(content_type) if isinstance(content_type, str) else content_type
         chain = F.when(ct.isNotNull() & (ct != "") & (ct != JSON_CONTENT_TYPE), F.lit(415)).otherwise(chain)
@@ -122,14 +125,13 @@ def validate_batches(df: DataFrame, body: str = "body", content_type: str | None
                      keep_parsed: bool = False) -> DataFrame:
     """Add the batch-level ``status`` to a table of batch requests.
 
-    ``keep_parsed`` also keeps the parsed body as the VARIANT column
-    ``parsed``, so accepted batches can be decoded without parsing again
+    ``keep_parsed`` also keeps the parsed body as the column ``parsed``, so
+    accepted batches can be decoded without parsing again
     (see :func:`tallyfold.sources.readers.decode_parsed_batches`)."""
     ct = content_type if (content_type and content_type in df.columns) else None
-    if not keep_parsed:
-        return df.withColumn("status", batch_body_status(body, ct))
-    p = df.withColumn("parsed", F.try_parse_json(F.col(body)))
-    return p.withColumn("status", batch_body_status(body, ct, F.col("parsed")))
+    p = df.withColumn("parsed", parse_batch(limited(F.col(body))))
+    judged = p.withColumn("status", batch_body_status(body, ct, F.col("parsed")))
+    return judged if keep_parsed else judged.drop("parsed")
 
 
 def ack(df: DataFrame) -> DataFrame:

@@ -175,7 +175,10 @@ def _requests(spark, sf):
     body = (
         F.when(k == 1, F.substring(p, F.lit(1), F.length(p) - 1)).when(k == 2, F.lit("[]"))
         .when(k == 4, F.lit('{"id":"a","type":"gauge","value":1}')).when(k == 5, F.lit('[{"id":"a","type":"counter","delta":1.5}]'))
-        .when(k == 6, F.lit('[{"id":"a","type":"gauge","value":1e400}]')).when(k == 7, F.lit("[5]")).otherwise(p)
+        .when(k == 6, F.lit('[{"id":"a","type":"gauge","value":1e400}]')).when(k == 7, F.lit("[null,5]"))
+        # Other cases of the same keys, a repeated key whose last value counts, text behind the array.
+        .when(k == 8, F.concat(F.replace(F.replace(p, F.lit('"id":'), F.lit('"id":"no","ID":')), F.lit('"delta":'),
+                                         F.lit('"delta":null,"Delta":')), F.lit(" trailing"))).otherwise(p)
     )
     kind = F.when(k == 3, F.lit("text/plain")).when(k == 8, F.lit("")).otherwise(F.lit("application/json"))
     return enc.select("win_start", "batch_no", F.col("first_seq").alias("batch_seq"), body.alias("body"),
@@ -261,7 +264,12 @@ def q_decode_json(spark, sf):
         .when(k == 3, F.lit('{"id":"half","type":"counter","delta":0.5}'))
         .when(k == 4, F.lit('{"id":"old","id":"twice","type":"counter","delta":1,"delta":7}'))
         .when(k == 5, F.lit('{"type":"gauge","value":2.5}')).when(k == 6, F.lit('{"id":"untyped","value":1}'))
-        .when(k == 7, F.lit('{"id":"text","type":"gauge","value":"1"}')).when(k == 8, F.lit("[]")).otherwise(body)
+        .when(k == 7, F.lit('{"id":"text","type":"gauge","value":"1"}')).when(k == 8, F.lit("[]"))
+        # Keys in any case, repeated in two cases, a wrong type behind a right one, text behind the object.
+        .when(k == 9, F.lit('{"ID":"upper","Type":"counter","DELTA":9}'))
+        .when(k == 10, F.lit('{"id":"a","ID":"last","type":"gauge","tYpe":"counter","delta":3,"Id":null,"delta":4}'))
+        .when(k == 11, F.lit('{"id":"a","type":"counter","delta":"x","Delta":1}'))
+        .when(k == 12, F.concat(body, F.lit("{]"))).when(k == 13, F.lit("null")).otherwise(body)
     )
     bodies = load_feed(spark, sf).select("seq", faulty.alias("body"))
     judged = validate.validate(decode_json(bodies, "body"), mode="json")

@@ -337,13 +337,13 @@ ORACLES["ack"] = with_feed(f"SELECT seq, {JSON_BODY} AS reply FROM valid")
 ORACLES["decode_json"] = with_feed(
     "SELECT seq, status, CASE WHEN status = 200 THEN t END AS type, CASE WHEN status = 200 THEN i END AS id, "
     "CASE WHEN status = 200 THEN d END AS delta, CASE WHEN status = 200 THEN v END AS value FROM ("
-    "SELECT seq, CASE WHEN k IN (1, 2, 3, 7, 8) THEN 400 WHEN k IN (4, 5) THEN 200 WHEN k = 6 THEN 501 "
+    "SELECT seq, CASE WHEN k IN (1, 2, 3, 7, 8, 11) THEN 400 WHEN k IN (4, 5, 9, 10) THEN 200 WHEN k IN (6, 13) THEN 501 "
     "WHEN type = 'gauge' THEN CASE WHEN value IS NULL THEN 400 ELSE 200 END "
     "WHEN type = 'counter' THEN CASE WHEN delta IS NULL THEN 400 ELSE 200 END ELSE 501 END AS status, "
-    "CASE k WHEN 4 THEN 'counter' WHEN 5 THEN 'gauge' ELSE type END AS t, "
-    "CASE k WHEN 4 THEN 'twice' WHEN 5 THEN '' ELSE id END AS i, "
-    "CASE k WHEN 4 THEN 7 WHEN 5 THEN NULL ELSE delta END AS d, "
-    "CASE k WHEN 4 THEN NULL WHEN 5 THEN 2.5 ELSE value END AS v "
+    "CASE WHEN k IN (4, 9, 10) THEN 'counter' WHEN k = 5 THEN 'gauge' ELSE type END AS t, "
+    "CASE k WHEN 4 THEN 'twice' WHEN 5 THEN '' WHEN 9 THEN 'upper' WHEN 10 THEN 'last' ELSE id END AS i, "
+    "CASE k WHEN 4 THEN 7 WHEN 5 THEN NULL WHEN 9 THEN 9 WHEN 10 THEN 4 ELSE delta END AS d, "
+    "CASE WHEN k IN (4, 9, 10) THEN NULL WHEN k = 5 THEN 2.5 ELSE value END AS v "
     "FROM (SELECT *, seq % 20 AS k FROM feed))"
 )
 PATHS = f"""

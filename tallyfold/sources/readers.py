@@ -10,26 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.functions.jsoncodec import DECODE_OPTIONS, empty_if_absent
+from tallyfold.functions.jsoncodec import decoded_field, empty_if_absent, parse_batch
 from tallyfold.schema import METRIC, VALUE_REQUEST
 
-BATCH_ARRAY = T.ArrayType(METRIC)
-
-
 def decode_batches(df: DataFrame, body: str = "body", keep=()) -> DataFrame:
     """Batch bodies (JSON arrays) -> one update row per element, with the
     element's 0-based position as ``pos`` (array order is arrival order)."""
-    arr = F.from_json(F.col(body), BATCH_ARRAY, DECODE_OPTIONS)
-    e = df.select(*keep, F.posexplode(arr).alias("pos", "_m"))
-    return e.select(*keep, "pos", *[empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in METRIC.fields])
+    return decode_parsed_batches(df.withColumn("_batch", parse_batch(F.col(body))), "_batch", keep)
 
 
 def decode_parsed_batches(df: DataFrame, parsed: str = "parsed", keep=()) -> DataFrame:
-    """Like :func:`decode_batches`, from bodies already parsed to VARIANT
+    """Like :func:`decode_batches`, from bodies already parsed by ``parse_batch``
     (``validate_batches(..., keep_parsed=True)``): no second JSON parse."""
-    arr = F.try_variant_get(F.col(parsed), "$", BATCH_ARRAY.simpleString())
-    e = df.select(*keep, F.posexplode(arr).alias("pos", "_m"))
-    return e.select(*keep, "pos", *[empty_if_absent(f.name, F.col(f"_m.{f.name}")).alias(f.name) for f in METRIC.fields])
+    e = df.select(*keep, F.posexplode(parsed).alias("pos", "_entries"))
+    return e.select(*keep, "pos", *[decoded_field(F.col("_entries"), f.name).alias(f.name) for f in METRIC.fields])
 
 
 def read_metric_batch(spark: SparkSession, path: str) -> DataFrame:
