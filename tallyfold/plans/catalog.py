@@ -55,8 +55,9 @@ def q_list_metrics(spark, sf):
 
 
 def q_all_metrics(spark, sf):
-    # One fold, split and put together again: both halves read the same shuffle.
-    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
+    # One fold, written once, split and put together again.
+    state = materialize(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)), "all-metrics")
+    gauges, counters = listing.split_state(state)
     return listing.all_metrics(gauges, counters).select("type", "id", "delta", "value", "last_seq")
 
 
@@ -96,6 +97,22 @@ def q_restore_snapshot_json(spark, sf):
     return store.restore_snapshot(spark, path, fmt="json").select("type", "id", "delta", "value")
 
 
+def q_restore_array(spark, sf):
+    # JSON arrays in which every metric stands twice, the second time changed, beside rows
+    # that restore must skip: the last row of a key wins, rows without payload or of no type do not count.
+    path = scratch_path(spark, "snapshot-array")
+    state = fold.fold(load_feed(spark, sf, types=METRIC_TYPES)).drop("last_seq")
+    changed = state.select("type", "id", (F.col("delta") + 1).alias("delta"), (F.col("value") * 2).alias("value"))
+    empty = state.select("type", "id", F.lit(None).cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"))
+    other = state.select(F.lit("}other{").alias("type"), "id", "delta", "value")
+    rows = None
+    for rank, part in enumerate((state, changed, empty, other)):
+        part = part.withColumn("rank", F.lit(rank))
+        rows = part if rows is None else rows.unionByName(part)
+    store.write_json_arrays(rows.select("type", "id", "rank", encode_json().alias("record")), path, 4)
+    return store.restore_snapshot(spark, path, fmt="json_array").select("type", "id", "delta", "value")
+
+
 def q_resume(spark, sf):
     early, late = _halves(spark, sf)
     path = scratch_path(spark, "snapshot-json")
@@ -217,13 +234,12 @@ def q_batch_ack(spark, sf):
 
 
 def q_read_batches(spark, sf):
-    # Every batch written as a file of its own, read back as request bodies and folded.
+    # Batch requests written as files of many, read back and folded in request order.
     path = scratch_path(spark, "batch-files")
-    enc = batching.encode_batches(_batched(spark, sf)).select("payload", F.col("first_seq").alias("batch"))
-    enc.write.partitionBy("batch").text(path)
-    rows = readers.read_metric_batch(spark, f"{path}/*/*")
-    order = F.regexp_extract("batch_id", r"batch=(\d+)/", 1).cast("bigint")
-    return fold.fold_batches(rows.withColumn("batch_seq", order), "batch_seq").select("type", "id", "delta", "value")
+    enc = batching.encode_batches(_batched(spark, sf)).select(F.col("first_seq").alias("batch_seq"), F.col("payload").alias("body"))
+    enc.write.json(path)
+    rows = readers.read_batch_requests(spark, path)
+    return fold.fold_batches(rows, "batch_seq").select("type", "id", "delta", "value")
 
 
 def q_batch_strict(spark, sf):
@@ -281,12 +297,12 @@ def q_outcome_counts(spark, sf):
     return fold.outcome_counts(_json_judged(spark, sf), body="body")
 
 
-def _paths(spark, sf):
+def _paths(spark, sf, line_end="\n"):
     """Update paths of the feed, some of them faulty by a rule on ``seq``."""
     feed = load_feed(spark, sf)
     k = F.col("seq") % 20
     text = F.coalesce(format_int("delta"), format_shortest("value"), F.lit(""))
-    text = (F.when(k == 1, F.lit(" 5")).when(k == 2, F.lit("1e400")).when(k == 3, F.lit("5\n")).when(k == 4, F.lit("1.5d"))
+    text = (F.when(k == 1, F.lit(" 5")).when(k == 2, F.lit("1e400")).when(k == 3, F.lit(f"5{line_end}")).when(k == 4, F.lit("1.5d"))
             .when(k == 5, F.lit("0x1p-2")).when(k == 6, F.lit("+7")).otherwise(text))
     name = F.when(k == 7, F.lit("")).otherwise(F.col("id"))
     path = F.concat(F.lit("/update/"), F.col("type"), F.lit("/"), name, F.lit("/"), text)
@@ -301,7 +317,7 @@ def q_validate_paths(spark, sf):
 def q_read_paths(spark, sf):
     # Update paths written as lines of text, read back and judged: requests per outcome.
     path = scratch_path(spark, "paths")
-    _paths(spark, sf).where(F.col("seq") % 20 != 3).select("path").write.text(path)
+    _paths(spark, sf, line_end="\t").select("path").write.text(path)
     return fold.outcome_counts(validate.validate(readers.read_update_paths(spark, path), mode="path"), body="path")
 
 
@@ -388,8 +404,10 @@ WIDE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _wide_seq():
-    # Order of the samples: order, line, part.
-    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
+    # Order of the samples: order, line, part (below 10^12), as one wide number that never overflows.
+    wide = "decimal(38,0)"
+    line = F.col("l_orderkey").cast(wide) * F.lit(100).cast("decimal(3,0)") + F.col("l_linenumber").cast("decimal(10,0)")
+    return (line.cast("decimal(24,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("l_partkey").cast("decimal(13,0)")).cast(wide)
 
 
 def q_unpivot_fold(spark, sf):
@@ -400,7 +418,7 @@ def q_unpivot_fold(spark, sf):
     seq = _wide_seq()
     long = sampling.unpivot_sample(li.withColumn("seq", seq), ["seq", "l_suppkey"], WIDE_COLS)
     named = long.withColumn("id", F.concat(F.col("l_suppkey").cast("string"), F.lit("/"), F.col("id")))
-    return fold.fold(named).drop("delta")
+    return fold.fold(named).drop("delta").withColumn("last_seq", F.col("last_seq").cast("string"))
 
 
 def q_explode_indexed(spark, sf):
@@ -422,12 +440,12 @@ def q_update_rows(spark, sf):
     base = li.select(_wide_seq().alias("seq"), F.col("l_returnflag").alias("mode"), "l_extendedprice", "l_linenumber")
     rows = sampling.gauge_rows(base, "mode", "l_extendedprice", keep=("seq",)).unionByName(
         sampling.counter_rows(base, "mode", "l_linenumber", keep=("seq",)))
-    return fold.fold(rows)
+    return fold.fold(rows).withColumn("last_seq", F.col("last_seq").cast("string"))
 
 
 def q_split_state(spark, sf):
-    # State split into gauges and counters, each counted apart.
-    gauges, counters = listing.split_state(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)))
+    # State, written once, split into gauges and counters.
+    gauges, counters = listing.split_state(materialize(fold.fold(load_feed(spark, sf, types=METRIC_TYPES)), "split-state"))
     return gauges.select("type", "id", F.lit(None).cast("bigint").alias("delta"), "value").unionByName(
         counters.select("type", "id", "delta", F.lit(None).cast("double").alias("value")))
 
@@ -449,23 +467,27 @@ def _attempts(spark, sf):
     answer = F.when(F.col("seq") % 7 == 0, F.lit(None)).when(F.col("seq") % 11 == 0, F.lit(503)).otherwise(F.col("status"))
     state = F.when(F.col("seq") % 3 == 0, F.lit("08006")).when(F.col("seq") % 5 == 0, F.lit("23505"))
     return ranked.select(
-        (F.col("user_id") * 1_000_000 + F.floor(nth / 4)).alias("request_id"), (nth % 4 + 1).cast("int").alias("attempt"),
+        F.struct("user_id", F.floor(nth / 4).alias("request_no")).alias("request_id"), (nth % 4 + 1).cast("int").alias("attempt"),
         answer.cast("int").alias("http_status"), state.alias("sqlstate"),
     )
 
 
+def _by_request(outcomes):
+    return outcomes.select("request_id.user_id", "request_id.request_no", *outcomes.columns[1:])
+
+
 def q_delivery_outcome(spark, sf):
-    return delivery.delivery_outcome(_attempts(spark, sf), mode="single")
+    return _by_request(delivery.delivery_outcome(_attempts(spark, sf), mode="single"))
 
 
 def q_delivery_outcome_batch(spark, sf):
     # Batch sends count any other non-200 answer (here 501) as a server error.
-    return delivery.delivery_outcome(_attempts(spark, sf), mode="batch")
+    return _by_request(delivery.delivery_outcome(_attempts(spark, sf), mode="batch"))
 
 
 def q_delivery_outcome_database(spark, sf):
     # Retriable SQLSTATEs are tried again, the first other one ends the request.
-    return delivery.delivery_outcome(_attempts(spark, sf), mode="database")
+    return _by_request(delivery.delivery_outcome(_attempts(spark, sf), mode="database"))
 
 
 def q_stream_fold(spark, sf):
@@ -555,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "merge_state_reversed": q_merge_state_reversed,
     "restore_snapshot": q_restore_snapshot,
     "restore_snapshot_json": q_restore_snapshot_json,
+    "restore_array": q_restore_array,
     "resume": q_resume,
     "running_counter": q_running_counter,
     "running_gauge": q_running_gauge,

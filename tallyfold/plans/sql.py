@@ -238,12 +238,12 @@ spine AS (
         FOLD_CTE,
     ),
     "unpivot_fold": (
-        "WITH long AS (UNPIVOT (SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS seq, l_suppkey, "
+        "WITH long AS (UNPIVOT (SELECT (l_orderkey::HUGEINT * 100 + l_linenumber) * 1000000000000 + l_partkey AS seq, l_suppkey, "
         "l_quantity::DOUBLE AS l_quantity, "
         "l_extendedprice::DOUBLE AS l_extendedprice, l_discount::DOUBLE AS l_discount, l_tax::DOUBLE AS l_tax FROM lineitem) "
         "ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME col VALUE value) "
         "SELECT 'gauge' AS type, CAST(l_suppkey AS VARCHAR) || '/' || col AS id, arg_max(value, seq) AS value, "
-        "CAST(max(seq) AS BIGINT) AS last_seq FROM long GROUP BY l_suppkey, col"
+        "CAST(max(seq) AS VARCHAR) AS last_seq FROM long GROUP BY l_suppkey, col"
     ),
     "explode_indexed": (
         "SELECT vec_id, 'gauge' AS type, 'dim' || CAST(i AS VARCHAR) AS id, CAST(embedding[i] AS DOUBLE) AS value "
@@ -298,6 +298,7 @@ ORACLES["stream_report"] = with_feed(
     "arg_max(value, seq) AS value FROM valid GROUP BY 1, 2, 3"
 )
 ORACLES["stream_live_fold"] = FOLD
+ORACLES["restore_array"] = with_feed("SELECT type, id, delta + 1 AS delta, value * 2 AS value FROM folded", FOLD_CTE)
 ORACLES["stream_state_cut"] = FOLD
 ORACLES["stream_report_filled"] = ORACLES["report_filled"]
 ORACLES["stream_merge_reversed"] = FOLD
@@ -362,7 +363,7 @@ paths AS (
 ORACLES["validate_paths"] = with_feed("SELECT seq, status, delta, value FROM paths", PATHS)
 ORACLES["read_paths"] = with_feed(
     "SELECT status, count(*) AS n, CAST(sum(octet_length(encode(path))) AS BIGINT) AS bytes FROM paths "
-    "WHERE k <> 3 GROUP BY status",
+    "GROUP BY status",
     PATHS,
 )
 ORACLES["read_requests"] = with_feed(
@@ -376,11 +377,11 @@ ORACLES["read_requests"] = with_feed(
 ORACLES["random_gauge"] = "SELECT 'RandomValue' AS random_id, count(*) AS n, true AS in_range FROM lineitem"
 ORACLES["update_rows"] = (
     "SELECT 'gauge' AS type, l_returnflag AS id, CAST(NULL AS BIGINT) AS delta, "
-    "arg_max(CAST(l_extendedprice AS DOUBLE), (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS value, "
-    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) AS last_seq "
+    "arg_max(CAST(l_extendedprice AS DOUBLE), (l_orderkey::HUGEINT * 100 + l_linenumber) * 1000000000000 + l_partkey) AS value, "
+    "CAST(max((l_orderkey::HUGEINT * 100 + l_linenumber) * 1000000000000 + l_partkey) AS VARCHAR) AS last_seq "
     "FROM lineitem GROUP BY l_returnflag UNION ALL "
     "SELECT 'counter', l_returnflag, CAST(sum(l_linenumber) AS BIGINT), NULL, "
-    "CAST(max((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) AS BIGINT) FROM lineitem GROUP BY l_returnflag"
+    "CAST(max((l_orderkey::HUGEINT * 100 + l_linenumber) * 1000000000000 + l_partkey) AS VARCHAR) FROM lineitem GROUP BY l_returnflag"
 )
 
 # Four sends of a user in a row are the attempts of one request; every seventh
@@ -394,7 +395,7 @@ sends AS (
   FROM events e JOIN feed f ON f.seq = e.event_id
 ),
 attempts AS (
-  SELECT user_id * 1000000 + n // 4 AS request_id, n % 4 + 1 AS attempt,
+  SELECT user_id, n // 4 AS request_no, n % 4 + 1 AS attempt,
          CASE WHEN seq % 7 = 0 THEN NULL WHEN seq % 11 = 0 THEN 503 ELSE status END AS http_status,
          CASE WHEN seq % 3 = 0 THEN '08006' WHEN seq % 5 = 0 THEN '23505' END AS sqlstate
   FROM sends
@@ -403,11 +404,11 @@ attempts AS (
 
 def _delivery(ok: str, final: str) -> str:
     return with_feed(
-        "SELECT CAST(request_id AS BIGINT) AS request_id, CAST(CASE WHEN ok = fin THEN ok END AS INTEGER) AS success_at, "
+        "SELECT user_id, request_no, CAST(CASE WHEN ok = fin THEN ok END AS INTEGER) AS success_at, "
         "CAST(coalesce(fin, seen) AS INTEGER) AS attempts, CASE WHEN ok = fin THEN 'delivered' ELSE 'failed' END AS outcome, "
         "[0, 1, 4, 9][coalesce(fin, seen)] AS wait_s FROM ("
-        f"SELECT request_id, min(CASE WHEN {ok} THEN attempt END) AS ok, min(CASE WHEN {final} THEN attempt END) AS fin, "
-        "count(*) AS seen FROM attempts GROUP BY request_id)",
+        f"SELECT user_id, request_no, min(CASE WHEN {ok} THEN attempt END) AS ok, min(CASE WHEN {final} THEN attempt END) AS fin, "
+        "count(*) AS seen FROM attempts GROUP BY user_id, request_no)",
         ATTEMPTS,
     )
 

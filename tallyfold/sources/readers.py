@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.functions.jsoncodec import decoded_field, empty_if_absent, parse_batch
+from tallyfold.functions.jsoncodec import decoded_field, empty_if_absent, parse_batch, parse_object
 from tallyfold.schema import METRIC, VALUE_REQUEST
+from tallyfold.sources.arrays import read_json_arrays
 
 def decode_batches(df: DataFrame, body: str = "body", keep=()) -> DataFrame:
     """Batch bodies (JSON arrays) -> one update row per element, with the
@@ -26,15 +27,28 @@ def decode_parsed_batches(df: DataFrame, parsed: str = "parsed", keep=()) -> Dat
     return e.select(*keep, "pos", *[decoded_field(F.col("_entries"), f.name).alias(f.name) for f in METRIC.fields])
 
 
-def read_metric_batch(spark: SparkSession, path: str) -> DataFrame:
+def read_metric_batch(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     """JSON array files -> update rows in array order.
 
     Each file is one batch (``batch_id`` = file name); ``pos`` keeps the
-    array order.  Files are read whole, one per task, like request bodies."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("batch_id"), F.col("value").alias("body")
-    )
-    return decode_batches(raw, "body", keep=("batch_id",))
+    array order.  Files are read whole, one per task, like request bodies: a
+    malformed one gives no rows.  With ``whole=False`` each file is cut into
+    blocks for many tasks (a large feed kept as one array; see
+    :mod:`tallyfold.sources.arrays`)."""
+    if whole:
+        raw = spark.read.text(path, wholetext=True).select(
+            F.input_file_name().alias("batch_id"), F.col("value").alias("body")
+        )
+        return decode_batches(raw, "body", keep=("batch_id",))
+    e = read_json_arrays(spark, path).withColumn("_entries", parse_object(F.col("record")))
+    return e.select(F.col("file").alias("batch_id"), "pos",
+                    *[decoded_field(F.col("_entries"), f.name).alias(f.name) for f in METRIC.fields])
+
+
+def read_batch_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Batch requests kept as JSON lines ``{batch_seq, body}``, many to a file -> update
+    rows with ``batch_seq`` and ``pos``."""
+    return decode_batches(spark.read.schema("batch_seq bigint, body string").json(path), "body", keep=("batch_seq",))
 
 
 def read_metric_feed(spark: SparkSession, path: str, streaming: bool = False, order_col: str | None = None) -> DataFrame:

@@ -8,9 +8,12 @@ version overwrites it (idempotent under task or job retry).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyfold.functions.jsoncodec import decoded_field, encode_json, parse_object
 from tallyfold.schema import COUNTER, GAUGE, SNAPSHOT, STATE, STATE_COLS
+from tallyfold.sources.arrays import read_json_arrays
 
 VERSION_PREFIX = "v="
 
@@ -23,17 +26,31 @@ def write_feed(df: DataFrame, path: str, compression: str | None = "gzip", fmt:
     w.format(fmt).save(path)
 
 
-def write_snapshot(state: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_snapshot(state: DataFrame, path: str, fmt: str = "parquet", files: int = 8) -> None:
     """Replace the snapshot at ``path`` with ``state``.
 
     ``fmt='json'`` writes the reference's record shape (``id, type, delta,
-    value``) as JSON lines; Parquet keeps ``last_seq`` too."""
+    value``) as JSON lines, ``json_array`` as JSON arrays, ``files`` of them by a
+    hash of the key, so that no task writes all of a large state; Parquet keeps
+    ``last_seq`` too."""
     if fmt == "json":
         state.select("id", "type", "delta", "value").write.mode("overwrite").json(path)
+    elif fmt == "json_array":
+        write_json_arrays(state.select("type", "id", F.lit(0).alias("rank"), encode_json().alias("record")), path, files)
     else:
         state.select(*STATE_COLS).write.mode("overwrite").format(fmt).save(path)
 
 
+def write_json_arrays(records: DataFrame, path: str, files: int) -> None:
+    """``record`` texts as JSON arrays: those of a key (``type``, ``id``) in one array, by ``rank``."""
+    part = F.pmod(F.xxhash64("type", "id"), F.lit(files))
+    order = W.partitionBy("_part").orderBy("type", "id", "rank")
+    lines = records.withColumn("_part", part).select(
+        F.concat(F.when(F.row_number().over(order) == 1, F.lit("[")).otherwise(F.lit("")), F.col("record"),
+                 F.when(F.lead("rank").over(order).isNull(), F.lit("]")).otherwise(F.lit(","))).alias("value"))
+    lines.write.mode("overwrite").text(path)
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,13 +67,13 @@ def restore_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     get -1, older than any update."""
     if not _path_exists(spark, path):
         return spark.createDataFrame([], STATE)
-    if fmt in ("json", "json_array"):
-        # json: JSON lines; json_array: one JSON array per file (the
-        # reference's snapshot file), read whole per file.
-        reader = spark.read.schema(SNAPSHOT)
-        if fmt == "json_array":
-            reader = reader.option("multiLine", "true")
-        raw = reader.json(path).withColumn("last_seq", F.lit(-1).cast("bigint"))
+    if fmt == "json_array":
+        # JSON arrays (the reference's snapshot file): each file is cut into blocks for many tasks.
+        entries = read_json_arrays(spark, path).withColumn("_entries", parse_object(F.col("record")))
+        raw = entries.select(*[decoded_field(F.col("_entries"), c).alias(c) for c in ("id", "type", "delta", "value")],
+                             F.lit(-1).cast("bigint").alias("last_seq"), F.col("file").alias("_f"), F.col("pos").alias("_r"))
+    elif fmt == "json":
+        raw = spark.read.schema(SNAPSHOT).json(path).withColumn("last_seq", F.lit(-1).cast("bigint"))
     else:
         raw = spark.read.format(fmt).load(path)
         if "last_seq" not in raw.columns:
@@ -66,7 +83,8 @@ def restore_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     # File order, then row order, is the order of duplicates.  The newest row of
     # a key in each file comes from a hash aggregate over fixed-width buffers;
     # only one row per key and file is compared by file name.
-    tagged = raw.where(ok).select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_r"))
+    placed = raw if "_f" in raw.columns else raw.select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_r"))
+    tagged = placed.where(ok)
     at = F.col("_r")
     per_file = tagged.groupBy("type", "id", "_f").agg(
         F.max_by("delta", at).alias("delta"), F.max_by("value", at).alias("value"), F.max_by("last_seq", at).alias("last_seq"))

@@ -10,7 +10,8 @@ from tallyfold.plans.catalog import QUERIES
 # here; the others are planned without executing.
 RUNS_WHEN_CALLED = {"stream_fold", "stream_merge", "stream_merge_reversed", "stream_stateful",
                     "stream_batches", "restore_snapshot", "restore_snapshot_json", "resume", "state_ddl",
-                    "feed_roundtrip", "state_table", "stream_report", "stream_live_fold", "read_batches", "stream_report_filled", "stream_state_cut"}
+                    "feed_roundtrip", "state_table", "stream_report", "stream_live_fold", "read_batches", "stream_report_filled", "stream_state_cut",
+                    "restore_array"}
 
 
 def plan(df) -> str:
