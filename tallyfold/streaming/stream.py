@@ -31,6 +31,7 @@ from tallyfold.functions.timeutil import utc_instant, utc_wall
 from tallyfold.operators import fold
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
 from tallyfold.session import scratch_path
+from tallyfold.sources import buckets as state_buckets
 from tallyfold.sources.feed import feed_from_events
 from tallyfold.sources.store import (  # noqa: F401  (version helpers are part of this module's API)
     VERSION_PREFIX,
@@ -67,13 +68,17 @@ def stream_fold(src: DataFrame) -> DataFrame:
 
 
 def start_snapshots(src: DataFrame, path: str, checkpoint: str, interval: str | None = "300 seconds",
-                    available_now: bool = False):
+                    available_now: bool = False, buckets: int | None = None):
     """Periodic snapshot of the live fold: the complete state is written as a
     new version each trigger.  ``interval=None`` and not ``available_now``
-    means no snapshots at all (``STORE_INTERVAL=0``)."""
+    means no snapshots at all (``STORE_INTERVAL=0``).  With ``buckets`` a version
+    holds the changed hash buckets only (:mod:`tallyfold.sources.buckets`)."""
     agg = stream_fold(src)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if buckets:
+            state_buckets.publish(batch, path, batch_id, buckets)
+            return
         batch.select(*STATE_COLS).write.mode("overwrite").parquet(version_path(path, batch_id))
         prune_versions(batch.sparkSession, path)
 
@@ -114,14 +119,19 @@ def observe_ingest(src: DataFrame, name: str = "ingest") -> DataFrame:
 
 
 def start_merge(src: DataFrame, root: str, checkpoint: str, initial_path: str | None = None,
-                available_now: bool = True, interval: str | None = None):
+                available_now: bool = True, interval: str | None = None, buckets: int | None = None):
     """Fold a stream into the durable state table at ``root`` (versions).
-    Each micro-batch's progress carries ``observedMetrics["ingest"]``."""
+    Each micro-batch's progress carries ``observedMetrics["ingest"]``.  With
+    ``buckets`` a micro-batch reads and writes only the hash buckets that it
+    touches (:mod:`tallyfold.sources.buckets`); without, the whole state."""
     spark = src.sparkSession
     src = observe_ingest(src)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         init = restore_snapshot(spark, initial_path) if initial_path else None
+        if buckets:
+            state_buckets.merge(batch, root, batch_id, init, buckets)
+            return
         merge_micro_batch(spark, batch, batch_id, root, init)
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -184,6 +194,8 @@ def read_report(spark: SparkSession, root: str) -> DataFrame:
 
 # Files that the registered runs cut the feed into, one micro-batch each.
 FEED_FILES = 8
+# Hash buckets of the states that they keep.
+RUN_BUCKETS = 16
 
 
 def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = FEED_FILES, reverse: bool = False,
@@ -224,18 +236,18 @@ def run_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the live fold over the feed to the end; return the last snapshot."""
     root = scratch_path(spark, "stream-fold")
     src = feed_files_stream(spark, sf_dir, root)
-    q = start_snapshots(src, f"{root}/state", f"{root}/_checkpoint", available_now=True)
+    q = start_snapshots(src, f"{root}/state", f"{root}/_checkpoint", available_now=True, buckets=RUN_BUCKETS)
     q.awaitTermination()
-    return read_version(spark, f"{root}/state")
+    return state_buckets.read(spark, f"{root}/state")
 
 
 def run_stream_merge(spark: SparkSession, sf_dir: str, reverse: bool = False) -> DataFrame:
     """Run the durable merge over the feed to the end; return the last version."""
     root = scratch_path(spark, "stream-merge")
     src = feed_files_stream(spark, sf_dir, root, reverse)
-    q = start_merge(src, f"{root}/state", f"{root}/_checkpoint", available_now=True)
+    q = start_merge(src, f"{root}/state", f"{root}/_checkpoint", available_now=True, buckets=RUN_BUCKETS)
     q.awaitTermination()
-    return read_version(spark, f"{root}/state")
+    return state_buckets.read(spark, f"{root}/state")
 
 
 def closing_tick(spark: SparkSession, sf_dir: str, every: str) -> str | None:
