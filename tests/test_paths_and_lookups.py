@@ -137,3 +137,30 @@ def test_salted_lookup_equals_plain(spark):
     req = feed.select("seq", "type", "id")
     cols = ("seq", "type", "id", "status", "delta", "value")
     assert rows(lookup.lookup(req, state, salt_buckets=8), *cols) == rows(lookup.lookup(req, state), *cols)
+
+
+def scanned_rows(df):
+    """Rows that the file scan handed on: those of row groups and pages that could not be skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while "Scan" not in plan.nodeName():
+        plan = plan.finalPhysicalPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_that_misses_reads_no_row_group(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tallyfold.operators.lookup import lookup_one
+    from tallyfold.sources import store
+
+    n = 20_000
+    state = spark.range(n).select(F.lit("counter").alias("type"), F.format_string("id%06d", F.col("id") * 2).alias("id"),
+                                  F.col("id").alias("delta"), F.lit(None).cast("double").alias("value"), F.col("id").alias("last_seq"))
+    store.write_state(state, f"{tmp_path}/with", ids_per_file=n)
+    state.write.partitionBy("type").parquet(f"{tmp_path}/without")
+    absent = [f"id{i:06d}" for i in range(101, 301, 20)]  # within the bounds of every file, odd: not there
+    read = {kind: [scanned_rows(lookup_one(store.read_state(spark, f"{tmp_path}/{kind}"), "counter", i)) for i in absent]
+            for kind in ("with", "without")}
+    assert sum(x > 0 for x in read["with"]) <= 1 and all(x > 0 for x in read["without"])
+    assert lookup_one(store.read_state(spark, f"{tmp_path}/with"), "counter", "id000200").collect()[0]["delta"] == 100
