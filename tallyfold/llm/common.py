@@ -35,6 +35,14 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, longer by underscores until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def uniform(*cols: Column) -> Column:
     """A number in (0, 1) that depends on the columns' values only."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") + 0.5) / F.lit(float(1 << 53))

@@ -69,7 +69,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     placed = sharding.shard_rows(docs.select(
-        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), sharding.sharding_key().alias("_key"),
+        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), sharding.sharding_key().alias("key"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
                          F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -250,10 +250,31 @@ LEFT JOIN texts t ON c.conv_id IS NOT DISTINCT FROM t.conv_id
 
 OP12 = _repair()
 
+OP9 = r"""
+WITH sized AS (
+  SELECT doc_id, text, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+         ('0x' || substr(md5(coalesce(text, '')), 1, 9))::BIGINT * 16777216
+           + ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 6))::BIGINT AS key
+  FROM documents),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY key, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
+  FROM sized),
+dealt AS (
+  SELECT *, least(((2 * before + size) * 8) // (2 * total), 7)::INT AS shard FROM placed)
+SELECT doc_id, size,
+       xor(list_reduce([4294967295] || [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+         lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                                  lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS text_crc32,
+       'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY key, doc_id NULLS FIRST) - 1 AS slot,
+       NULL::INT AS grown_shard
+FROM dealt
+"""
+
 ORACLES = {
     "op5_line_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_mixing": OP7,
+    "op9_sharding": OP9,
     "op12_conversation_repair": OP12,
     "op13_vector_codes": OP13,
 }

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import free_name
 
 LEADING, MIN_DOCS, MIN_EQUAL = 3, 5, 2
 #: Share of constant tokens that a template needs behind the leading ones, and share of
@@ -129,45 +130,48 @@ def candidate_lines(docs: DataFrame, placed: DataFrame) -> DataFrame:
     every = split_lines(texts, F.map_from_entries("at").alias("leaves"))
     found = every.withColumn("leaf", F.try_element_at("leaves", F.col("pos"))).where("leaf is not null")
     line = masked(F.col("raw"))
-    return materialize(found.select("doc", "pos", "leaf", line.alias("line"), F.xxhash64(line).alias("hash")).distinct(),
-                       "candidate-lines")
+    return materialize(found.select("doc", "pos", "leaf", line.alias("line"), F.xxhash64(line).alias("hash")), "candidate-lines")
+
+
+def enough(docs: Column, of: Column) -> Column:
+    return (docs >= MIN_DOCS) & (docs >= MIN_CONSTANT * of)
 
 
 def recurring(found: DataFrame) -> DataFrame:
-    """``leaf`` and ``hash`` of the masked lines that have a recurring template, and that ``template``."""
-    each = found.select("leaf", "doc", "hash", "line").distinct()
-    counted = each.groupBy("leaf", "hash", "line").agg(F.count(F.lit(1)).alias("docs"))
+    """``leaf`` and ``hash`` of the masked lines that have a recurring template, and that ``template``.
+
+    Documents are counted one by one only where the documents per line do not tell:
+    at least those of the line with the most of them, at most their sum."""
+    each = found.select("leaf", "hash", "doc").distinct()
+    counted = each.groupBy("leaf", "hash").agg(F.count(F.lit(1)).alias("docs"))
     size = each.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("of"))
-    tokens = counted.select("leaf", "hash", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    lines = materialize(found.groupBy("leaf", "hash").agg(F.min("line").alias("line")).join(counted, ["leaf", "hash"]), "template-lines")
+    tokens = lines.select("leaf", "hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     later = tokens.where((F.col("at") >= LEADING) & (F.col("token") != FIELD))
-    # Lines of one document may share a token: only tokens that enough lines carry are counted by document.
-    likely = later.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("most"), F.count(F.lit(1)).alias("lines")).join(
-        size, "leaf").where((F.col("most") >= MIN_DOCS) & (F.col("most") >= MIN_CONSTANT * F.col("of")))
-    exact = (later.join(likely.where("lines > 1").select("leaf", "at", "token"), ["leaf", "at", "token"])
-             .select("leaf", "hash", "at", "token").join(each.select("leaf", "hash", "doc"), ["leaf", "hash"])
-             .select("leaf", "at", "token", "doc").distinct().groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n")))
-    by_doc = likely.join(exact, ["leaf", "at", "token"], "left").withColumn("n", F.coalesce("n", "most"))
-    constant = by_doc.where((F.col("n") >= MIN_DOCS) & (F.col("n") >= MIN_CONSTANT * F.col("of"))).select(
-        "leaf", "at", "token", F.lit(1).alias("constant"))
-    general = tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "hash", "line").agg(
-        F.sum("constant").alias("constants"), F.count(F.lit(1)).alias("n"),
+    spot = ["leaf", "at", "token"]
+    likely = later.groupBy(*spot).agg(F.sum("docs").alias("most"), F.max("docs").alias("least")).join(size, "leaf").where(
+        enough(F.col("most"), F.col("of")))
+    unsure = likely.where(~enough(F.col("least"), F.col("of"))).select(*spot)
+    exact = (later.join(unsure, spot).select("hash", *spot).join(each, ["leaf", "hash"])
+             .select(*spot, "doc").distinct().groupBy(*spot).agg(F.count(F.lit(1)).alias("n")))
+    constant = likely.join(exact, spot, "left").where(enough(F.coalesce("n", "least"), F.col("of"))).select(
+        *spot, F.lit(1).alias("constant"))
+    general = tokens.join(constant, spot, "left").groupBy("leaf", "hash").agg(
+        F.first("docs").alias("docs"), F.sum("constant").alias("constants"), F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.struct("at", F.when(F.col("constant").isNull() & (F.col("at") >= LEADING), F.lit(FIELD))
                                              .otherwise(F.col("token")).alias("token")))).alias("parts"))
-    template = F.array_join(F.transform("parts", lambda p: p["token"]), " ")
-    kept = general.where(F.col("constants") >= MIN_CONSTANT * (F.col("n") - LEADING)).select("leaf", "hash", template.alias("template"))
-    often = (kept.join(each.select("leaf", "hash", "doc"), ["leaf", "hash"]).select("leaf", "template", "doc").distinct()
-             .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_DOCS).drop("n"))
+    text = F.array_join(F.transform("parts", lambda p: p["token"]), " ")
+    kept = general.where(F.col("constants") >= MIN_CONSTANT * (F.col("n") - LEADING)).select(
+        "leaf", "hash", "docs", bind(text, lambda t: F.concat_ws(":", F.xxhash64(t), F.xxhash64(F.lit("template"), t))).alias("template"))
+    kept = materialize(kept, "templates")
+    seen = kept.groupBy("leaf", "template").agg(F.sum("docs").alias("most"), F.max("docs").alias("least")).where(F.col("most") >= MIN_DOCS)
+    counted_docs = (kept.join(seen.where(F.col("least") < MIN_DOCS).select("leaf", "template"), ["leaf", "template"])
+                    .join(each, ["leaf", "hash"]).select("leaf", "template", "doc").distinct()
+                    .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n")))
+    often = seen.join(counted_docs, ["leaf", "template"], "left").where(F.coalesce("n", "least") >= MIN_DOCS).select("leaf", "template")
     return kept.join(often, ["leaf", "template"]).select("leaf", "hash", "template")
 
 
-def free_name(name: str, columns: list[str]) -> str:
-    """``name``, longer by underscores until no column has it in any case."""
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (null texts as empty)."""
     given = docs.drop("n_lines", "n_dropped", "kept_text")

@@ -269,13 +269,48 @@ def test_shards_are_near_equal_with_one_hot_text(spark):
 
 
 def test_overfull_ranges_are_subdivided(spark):
-    keyed = spark.range(4000).select(F.when(F.col("id") < 3000, F.col("id") % 40 + 1000).otherwise(F.col("id") * 10_000).alias("_key"),
+    keyed = spark.range(4000).select(F.when(F.col("id") < 3000, F.col("id") % 40 + 1000).otherwise(F.col("id") * 10_000).alias("key"),
                                      F.lit(1).alias("size"))
     cuts = sharding.boundaries(keyed, 16, 4000)
-    parts = keyed.groupBy(sharding.range_index(F.col("_key"), cuts)).agg(F.sum("size"), F.min("_key"), F.max("_key")).collect()
+    parts = keyed.groupBy(sharding.range_index(F.col("key"), cuts)).agg(F.sum("size"), F.min("key"), F.max("key")).collect()
     assert all(r[1] <= sharding.OVERFULL * 250 or r[2] == r[3] for r in parts)
 
 
+def plain_shards(rows, shards=8):
+    """(doc_id, size, shard, slot) by one sort and one running sum."""
+    def digits(text, n):
+        return int(hashlib.md5(text.encode()).hexdigest()[:n], 16)
+
+    keyed = sorted(((digits(t or "", 9) << 24) + digits("null" if i is None else str(i), 6), i is not None, i or 0, len((t or "").encode()) + 1)
+                   for i, t, *_ in rows)
+    total, before, slots, out = sum(r[3] for r in keyed), 0, Counter(), []
+    for _, known, i, size in keyed:
+        shard = min(((2 * before + size) * shards) // (2 * total), shards - 1)
+        out.append((i if known else None, size, shard, slots[shard]))
+        slots[shard] += 1
+        before += size
+    return out
+
+
+def test_shards_equal_one_plain_sort(spark, docs, rows, monkeypatch):
+    many = [(i, ("the same text for a third" if i % 3 == 0 else f"text number {i} " * (i % 7)) or None, "a") for i in range(2000)]
+    for given, df in ((rows, docs), (many, to_frame(spark, many))):
+        got = sharding.shard(df).select("doc_id", "size", "shard", "slot").collect()
+        assert Counter(map(tuple, got)) == Counter(plain_shards(given))
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 10)  # many ranges
+    got = sharding.shard(to_frame(spark, many)).select("doc_id", "size", "shard", "slot").collect()
+    assert Counter(map(tuple, got)) == Counter(plain_shards(many))
+
+
+def test_sharding_passes_other_columns_through(spark):
+    names = ["key", "KEY_", "range", "before", "rank", "b0", "n0", "first", "_key", "_b0", "_n0", "_first", "_range", "r", "b", "n", "k"]
+    df = spark.createDataFrame([(i, f"t{i}", *[f"{n}{i}" for n in names]) for i in range(20)],
+                               "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = sharding.shard(df)
+    assert got.columns == ["shard", *df.columns, "size", "slot"] or set(got.columns) == {*df.columns, "size", "shard", "slot"}
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in got.collect() for n in names)
+
+
 def test_sharding_of_nothing(none):
     assert sharding.shard(none).count() == 0
 
