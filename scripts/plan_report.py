@@ -29,6 +29,8 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # filters and columns of a scan in full
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     print("# PLANS\n")
     print("Physical plans of the registered queries (`scripts/plan_report.py`, broadcast joins off so the")
     print("plans show their at-scale shape). Counts are operators in the plan; `scans` lists each Parquet")

@@ -40,17 +40,31 @@ def require_bounded(max_size: int) -> None:
         raise ValueError("encoding payloads needs max_size > 0 (a batch is collected into one array)")
 
 
-def encode_batches(df: DataFrame, seq: str = "seq", batch_cols=("win_start", "batch_no")) -> DataFrame:
+# Rows of one batch that are collected without a stated cap.
+MOST_ROWS = 100_000
+
+
+def encode_batches(df: DataFrame, seq: str = "seq", batch_cols=("win_start", "batch_no"), max_size: int | None = None) -> DataFrame:
     """One payload row per batch: the JSON array of its records in seq order.
 
-    Each batch holds at most ``max_size`` rows (see :func:`assign_batches`,
-    whose ``max_size`` must be positive here), so collecting one batch is
-    bounded."""
+    Collecting a batch into one array needs a bound.  With ``max_size`` (the cap
+    given to :func:`assign_batches`) a larger batch fails the job; without, the
+    batches are counted first, and one of more than ``MOST_ROWS`` rows is refused
+    before anything is collected."""
+    if max_size is not None:
+        require_bounded(max_size)
+    else:
+        largest = df.groupBy(*batch_cols).count().agg(F.max("count")).first()[0] or 0
+        if largest > MOST_ROWS:
+            raise ValueError(f"a batch of {largest} rows: batches need a size cap (assign_batches with max_size > 0)")
     rec = F.struct(F.col(seq).alias("_o"), *[F.col(c) for c in WIRE_FIELDS])
     recs = F.array_sort(F.collect_list(rec))
     wire = F.transform(recs, lambda r: F.struct(*[r[c].alias(c) for c in WIRE_FIELDS]))
+    rows = F.count(F.lit(1))
+    if max_size is not None:
+        rows = F.when(rows > max_size, F.raise_error(F.lit(f"a batch has more than {max_size} rows")).cast("bigint")).otherwise(rows)
     return df.groupBy(*batch_cols).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        rows.alias("n_rows"),
         F.min(seq).alias("first_seq"),
         F.max(seq).alias("last_seq"),
         F.to_json(wire).alias("payload"),

@@ -173,4 +173,4 @@ def ship_samples(
     names = list(gauge_cols) + [RANDOM_GAUGE, POLL_COUNTER]
     idx = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("id"))
     ordered = rows.withColumn("_o", F.col(seq) * F.lit(len(names) + 1) + idx).drop(seq).withColumnRenamed("_o", "seq")
-    return encode_batches(assign_batches(ordered, max_size, every))
+    return encode_batches(assign_batches(ordered, max_size, every), max_size=max_size)

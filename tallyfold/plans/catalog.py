@@ -179,7 +179,7 @@ def q_assign_batches(spark, sf):
 
 
 def q_encode_batches(spark, sf):
-    return batching.encode_batches(_batched(spark, sf))
+    return batching.encode_batches(_batched(spark, sf), max_size=BATCH_SIZE)
 
 
 def _requests(spark, sf):
@@ -187,7 +187,7 @@ def _requests(spark, sf):
     ``first_seq`` that the oracle restates: cut short, empty, of another
     content type, not an array, a field of the wrong type, a number beyond a
     double, an element that is no object."""
-    enc = batching.encode_batches(_batched(spark, sf))
+    enc = batching.encode_batches(_batched(spark, sf), max_size=BATCH_SIZE)
     k, p = F.col("first_seq") % 10, F.col("payload")
     body = (
         F.when(k == 1, F.substring(p, F.lit(1), F.length(p) - 1)).when(k == 2, F.lit("[]"))
@@ -236,7 +236,7 @@ def q_batch_ack(spark, sf):
 def q_read_batches(spark, sf):
     # Batch requests written as files of many, read back and folded in request order.
     path = scratch_path(spark, "batch-files")
-    enc = batching.encode_batches(_batched(spark, sf)).select(F.col("first_seq").alias("batch_seq"), F.col("payload").alias("body"))
+    enc = batching.encode_batches(_batched(spark, sf), max_size=BATCH_SIZE).select(F.col("first_seq").alias("batch_seq"), F.col("payload").alias("body"))
     enc.write.json(path)
     rows = readers.read_batch_requests(spark, path)
     return fold.fold_batches(rows, "batch_seq").select("type", "id", "delta", "value")

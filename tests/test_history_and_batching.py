@@ -212,3 +212,14 @@ def test_unbounded_payloads_refused(spark):
     s = _wide_samples(spark, 3)
     with pytest.raises(ValueError):
         sampling.ship_samples(s, 0, "1 day")
+
+
+def test_payloads_need_bounded_batches(spark, monkeypatch):
+    f = load_feed(spark, SF001)
+    uncapped = batching.assign_batches(f, 0, "1000 days")
+    monkeypatch.setattr(batching, "MOST_ROWS", 500)
+    with pytest.raises(ValueError, match="size cap"):
+        batching.encode_batches(uncapped)
+    with pytest.raises(Exception, match="more than 20 rows"):
+        batching.encode_batches(batching.assign_batches(f, 30, "1 day"), max_size=20).collect()
+    assert batching.encode_batches(batching.assign_batches(f, 30, "1 day"), max_size=30).agg(F.sum("n_rows")).first()[0] == f.count()
