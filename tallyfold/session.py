@@ -62,8 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, and it is
-    used as is.  Only when it is unset and the master is local (tests) is a
-    private folder made; on a cluster that is an error.
+    used as is.  Only when it is unset and the master is known to be local (tests)
+    is a private folder made; on a cluster, and in a Connect session, whose master
+    is not known, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -75,7 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect session)
         sc = None
     if not root:
-        if sc is not None and not re.match(r"local(\[|$)", sc.master):
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to storage that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
