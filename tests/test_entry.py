@@ -32,7 +32,7 @@ def test_every_query_has_oracle_or_is_rows_only():
 
 def test_oracles_parse_on_smallest_tables():
     con = duckdb.connect()
-    for t in ["events", "lineitem", "embeddings", "documents"]:
+    for t in ["events", "lineitem", "embeddings", "documents", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     for name, sql in _entry().oracle_sql().items():
         con.execute(f"SELECT count(*) FROM ({sql})").fetchone()
