@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-# State store for large streaming state; a session setting, never changed by the library.
+# State store for large streaming state and for timers; a session setting, never changed in the session that
+# the library is given.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -42,6 +43,25 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tal
     return spark
 
 
+def with_state_store(spark: SparkSession) -> SparkSession:
+    """A session whose streams can keep several states with timers.
+
+    Spark's default state store holds one state per operator only.  A session that
+    has it is left as it is, and one beside it, of the same context and settings but
+    with ``STATE_STORE``, is returned; any other session is returned itself."""
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", default) != default:
+        return spark
+    own = spark.newSession()
+    given = own.conf.getAll
+    for key, value in spark.conf.getAll.items():
+        if given.get(key) != value:
+            own.conf.set(key, value)
+    for key, value in STATE_STORE.items():
+        own.conf.set(key, value)
+    return own
+
+
 def scale_settings(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
                    min_partitions: int = 8) -> int:
     """Size shuffles for an input of ``input_bytes``: one shuffle partition

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.timeutil import utc_instant, utc_wall
 from tallyfold.operators import fold
 from tallyfold.schema import COUNTER, GAUGE, KEY, STATE, STATE_COLS
-from tallyfold.session import scratch_path
+from tallyfold.session import scratch_path, with_state_store
 from tallyfold.sources import buckets as state_buckets
 from tallyfold.sources.feed import feed_from_events
 from tallyfold.sources.store import (  # noqa: F401  (version helpers are part of this module's API)
@@ -214,10 +214,7 @@ def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = F
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     names = sorted(s.getPath().toString() for s in fs.listStatus(hadoop.Path(path)) if s.getPath().getName().endswith(".parquet"))
     if clock is not None:
-        tick = spark.range(1).select(*[
-            F.lit(clock).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit("tick").alias(c) if c == "event_type"
-            else F.lit(None).cast(kind).alias(c) for c, kind in events.dtypes])
-        tick.write.mode("append").parquet(path)
+        write_tick(spark, path, clock)
         names += [s.getPath().toString() for s in fs.listStatus(hadoop.Path(path))
                   if s.getPath().getName().endswith(".parquet") and s.getPath().toString() not in names]
     now = fs.getFileStatus(hadoop.Path(names[0])).getModificationTime() if names else 0
@@ -225,6 +222,38 @@ def write_feed_files(spark: SparkSession, sf_dir: str, path: str, files: int = F
         fs.setTimes(hadoop.Path(name), now + 1000 * i - 1000 * len(names), -1)
 
 
+def write_tick(spark: SparkSession, path: str, clock: str) -> None:
+    """Add a file with one event of no known type at the time ``clock`` to the feed files at ``path``."""
+    tick = spark.range(1).select(*[
+        F.lit(clock).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit("tick").alias(c) if c == "event_type"
+        else F.lit(None).cast(kind).alias(c) for c, kind in spark.read.parquet(path).dtypes])
+    tick.write.mode("append").parquet(path)
+
+
+def lateness(spark: SparkSession, path: str) -> int:
+    """Milliseconds, rounded up, by which an event in the feed files at ``path`` can be older
+    than one in a file before its own: 0 if ids follow time."""
+    per = spark.read.parquet(path).where("ts is not null").groupBy(F.col("_metadata.file_name").alias("name")).agg(
+        *[F.unix_micros(utc_instant(f("ts"))).alias(c) for c, f in (("lo", F.min), ("hi", F.max))])
+    late, newest = 0, None
+    for r in sorted(per.collect()):  # one row per file
+        late = max(late, (newest if newest is not None else r["lo"]) - r["lo"])
+        newest = r["hi"] if newest is None else max(newest, r["hi"])
+    return -(-late // 1000)
+
+
+def ticking_stream(spark: SparkSession, sf_dir: str, root: str, every: str) -> tuple[DataFrame, str]:
+    """The feed as a stream of several files and a tick that closes its last interval, and the
+    watermark delay that lets no event come too late, in whatever order of time the ids are."""
+    path = f"{root}/events"
+    write_feed_files(spark, sf_dir, path)
+    late, end = lateness(spark, path), closing_tick(spark, sf_dir, every)
+    if end is not None:
+        moved = F.lit(end).cast("timestamp_ntz") + F.expr(f"make_dt_interval(0, 0, 0, {late} / 1000BD)")
+        write_tick(spark, path, spark.range(1).select(moved.cast("string")).first()[0])
+    return feed_stream(spark, path, max_files=1, glob="*.parquet"), f"{late} milliseconds"
+
+
 def feed_files_stream(spark: SparkSession, sf_dir: str, root: str, reverse: bool = False,
                       clock: str | None = None) -> DataFrame:
     """The feed as a stream of several files, one per micro-batch."""
@@ -265,8 +294,8 @@ def run_stream_batches(spark: SparkSession, sf_dir: str, max_size: int, every: s
     from tallyfold.streaming import timers
 
     root = scratch_path(spark, "stream-batches")
-    src = feed_files_stream(spark, sf_dir, root, clock=closing_tick(spark, sf_dir, every))
-    timers.start_batching(src, f"{root}/out", f"{root}/_checkpoint", max_size, every).awaitTermination()
+    src, delay = ticking_stream(with_state_store(spark), sf_dir, root, every)
+    timers.start_batching(src, f"{root}/out", f"{root}/_checkpoint", max_size, every, delay).awaitTermination()
     return timers.read_batches(spark, f"{root}/out")
 
 

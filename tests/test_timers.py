@@ -5,7 +5,7 @@ import os
 import time
 
 import pytest
-from conftest import SF01, rows
+from conftest import SF001, SF01, rows
 from pyspark.sql import functions as F
 
 from tallyfold.operators import batching, fold, sampling
@@ -124,3 +124,28 @@ def test_feed_files_keep_rows_without_id(spark, tmp_dir):
     names = sorted(n for n in os.listdir(f"{tmp_dir}/in") if n.endswith(".parquet"))
     times = [os.path.getmtime(f"{tmp_dir}/in/{n}") for n in names]
     assert len(names) == 4 and times == sorted(times, reverse=True) and len(set(times)) == 4
+
+
+def plain_session(spark):
+    """A session with Spark's default state store, as one is that nobody set up."""
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    return plain
+
+
+def two_sites(spark, folder):
+    """Events of two sites: the second's ids come after the first's, its times do not."""
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    more = events.withColumn("event_id", F.col("event_id") + 1_000_000)
+    events.unionByName(more).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_batches_run_under_the_default_state_store(spark, tmp_dir):
+    plain, sf = plain_session(spark), two_sites(spark, f"{tmp_dir}/sf")
+    store = plain.conf.get("spark.sql.streaming.stateStore.providerClass")
+    got = stream.run_stream_batches(plain, sf, 100, "1 day")
+    want = batching.encode_batches(batching.assign_batches(load_feed(spark, sf), 100, "1 day"))
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert plain.conf.get("spark.sql.streaming.stateStore.providerClass") == store
