@@ -305,8 +305,8 @@ def run_stream_filled_report(spark: SparkSession, sf_dir: str, every: str) -> Da
     from tallyfold.streaming import timers
 
     root = scratch_path(spark, "stream-filled")
-    src = feed_files_stream(spark, sf_dir, root, clock=closing_tick(spark, sf_dir, every))
-    timers.start_filled_report(src, f"{root}/out", f"{root}/_checkpoint", every, "0 seconds").awaitTermination()
+    src, delay = ticking_stream(with_state_store(spark), sf_dir, root, every)
+    timers.start_filled_report(src, f"{root}/out", f"{root}/_checkpoint", every, delay).awaitTermination()
     return spark.read.schema(REPORT).parquet(f"{root}/out")
 
 

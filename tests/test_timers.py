@@ -149,3 +149,11 @@ def test_batches_run_under_the_default_state_store(spark, tmp_dir):
     want = batching.encode_batches(batching.assign_batches(load_feed(spark, sf), 100, "1 day"))
     assert rows(got, *want.columns) == rows(want, *want.columns)
     assert plain.conf.get("spark.sql.streaming.stateStore.providerClass") == store
+
+
+def test_filled_reports_run_under_the_default_state_store(spark, tmp_dir):
+    sf = two_sites(spark, f"{tmp_dir}/sf")
+    got = stream.run_stream_filled_report(plain_session(spark), sf, "1 day")
+    want = sampling.report_filled(load_feed(spark, sf), "1 day")
+    cols = ("win_start", "type", "id", "delta", "value")
+    assert rows(got, *cols) == rows(want, *cols)
