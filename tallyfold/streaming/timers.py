@@ -13,8 +13,8 @@
   in event time, or a processing-time timer.
 
 State lives in the session's state store, which must be the RocksDB provider
-(``session.STATE_STORE``).  Any row with a time moves the event-time clock,
-valid or not; late rows (behind the watermark) are dropped by rule.
+(``session.STATE_STORE``, or a session from ``session.with_state_store``).  Any row
+with a time moves the event-time clock, valid or not; late rows (behind the watermark) are dropped by rule.
 """
 
 from __future__ import annotations

@@ -18,6 +18,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached(request):
+    """A module that uses Spark starts without the frames that another one cached: Spark would
+    put them into the plans of this one."""
+    if any("spark" in getattr(item, "fixturenames", ()) for item in request.session.items if item.path == request.path):
+        request.getfixturevalue("spark").catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
